@@ -191,5 +191,5 @@ def suffix_match_counts(combined: DataFrame, tag_col: str = "source_table") -> D
     before the shuffle), so a tag holding most rows costs no more than any
     other. The window then runs over one row per table, a driver-known bound.
     """
-    per_table = combined.groupBy(tag_col).agg(F.count(F.lit(1)).alias("rows"))
-    return per_table.withColumn("tables", F.count(F.lit(1)).over(Window.partitionBy()))
+    per_table = combined.groupBy(tag_col).agg(F.count(F.lit(1)).alias("n_rows"))
+    return per_table.withColumn("n_tables", F.count(F.lit(1)).over(Window.partitionBy()))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.operators.combine import union_tagged
+from pyspark.sql import functions as F
+
+from tessera.operators.combine import (combine_by_suffix, combine_parquet_tables, suffix_match_counts,
+                                       union_by_name, union_same_table, union_tagged)
+from tessera.plans.fixtures import drift_tenants, partitioned_tenants, read_tables, tenant_case_sql
 from tessera.plans.registry import register, table
 
 
@@ -20,3 +24,85 @@ def union_all_tagged(spark, sf_dir):
         ("part", table(spark, sf_dir, "part").selectExpr("p_partkey", "p_name")),
     ]
     return union_tagged(branches)
+
+
+@register("union_same_table", """
+SELECT 'ota' AS source, r_regionkey, r_name FROM region
+UNION ALL SELECT 'learning' AS source, r_regionkey, r_name FROM region
+UNION ALL SELECT 'table' AS source, r_regionkey, r_name FROM region
+""")
+def union_same_table_q(spark, sf_dir):
+    # One table read under three tags: one scan + a generator, not three scans.
+    return union_same_table(table(spark, sf_dir, "region"), ["ota", "learning", "table"])
+
+
+@register("union_by_suffix_columns", f"""
+SELECT {tenant_case_sql()} AS source, o_orderkey, o_custkey FROM orders
+""")
+def union_by_suffix_columns(spark, sf_dir):
+    # Generated union for one suffix with a configured column list; the
+    # decoy ``shop_p_order_totals`` must not match ``_order``.
+    tables = read_tables(spark, drift_tenants(spark, sf_dir))
+    out = combine_by_suffix(tables, {"_order": "combined_order"},
+                            columns={"_order": ["o_orderkey", "o_custkey"]}, tag_col="source")
+    return out["combined_order"]
+
+
+@register("union_by_name_missing", """
+SELECT * FROM region UNION ALL BY NAME SELECT * FROM nation
+""")
+def union_by_name_missing(spark, sf_dir):
+    return union_by_name([table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")])
+
+
+_DRIFT_ORACLE = f"""
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority,
+       {tenant_case_sql()} AS source_table,
+       CASE WHEN o_orderstatus = 'O' THEN o_orderpriority = '1-URGENT' END AS o_urgent
+FROM orders
+"""
+
+
+@register("combine_by_suffix", _DRIFT_ORACLE)
+def combine_by_suffix_q(spark, sf_dir):
+    # By-name fold over drifting tenants: missing o_totalprice null-filled,
+    # extra o_urgent null elsewhere, tag appended as ``source_table``.
+    tables = read_tables(spark, drift_tenants(spark, sf_dir))
+    out = combine_by_suffix(tables, {"_order": "combined_order", "_order_totals": "combined_order_totals",
+                                     "_conf": "combined_conf"})
+    return out["combined_order"]
+
+
+@register("suffix_match_counts", f"""
+SELECT {tenant_case_sql()} AS source_table, count(*) AS n_rows, CAST(3 AS BIGINT) AS n_tables
+FROM orders GROUP BY 1
+""")
+def suffix_match_counts_q(spark, sf_dir):
+    tables = read_tables(spark, drift_tenants(spark, sf_dir))
+    combined = combine_by_suffix(tables, {"_order": "combined_order"})["combined_order"]
+    return suffix_match_counts(combined)
+
+
+@register("combine_single_scan", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       {tenant_case_sql()} AS source_table
+FROM orders
+""")
+def combine_single_scan(spark, sf_dir):
+    # The many-table plan forced on: one multi-root scan, tag from file path.
+    roots = partitioned_tenants(spark, sf_dir)
+    return combine_parquet_tables(spark, roots, plan="scan")
+
+
+@register("scan_path_partition", f"""
+SELECT {tenant_case_sql()} AS source_table, 'o_orderpriority=' || o_orderpriority AS partition_0,
+       count(*) AS n_rows
+FROM orders GROUP BY 1, 2
+""")
+def scan_path_partition(spark, sf_dir):
+    # partition_0 = the un-named directory level below each table root.
+    roots = partitioned_tenants(spark, sf_dir)
+    combined = combine_parquet_tables(spark, roots, plan="scan", partition_levels=1)
+    return combined.groupBy("source_table", "partition_0").agg(F.count(F.lit(1)).alias("n_rows"))
