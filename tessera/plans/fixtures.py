@@ -92,3 +92,21 @@ def drift_tenants(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 def read_tables(spark: SparkSession, roots: dict[str, str]) -> dict[str, DataFrame]:
     from tessera.sources.files import read_parquet_tree
     return {name: read_parquet_tree(spark, root) for name, root in roots.items()}
+
+
+def inventory(spark: SparkSession, sf_dir: str) -> str:
+    """An object inventory derived from ``documents``.
+
+    ``key = docs/<lang>/<doc_id>.txt``; German documents sit in the archive
+    class ``GLACIER``, the rest in ``STANDARD``; ``size`` is the text's bytes.
+    """
+    def build():
+        path = scratch_path(spark, "inventory")
+        docs = table(spark, sf_dir, "documents")
+        (docs.select(F.concat(F.lit("docs/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"),
+                              F.lit(".txt")).alias("key"),
+                     F.when(F.col("lang") == "de", "GLACIER").otherwise("STANDARD").alias("storage_class"),
+                     F.octet_length("text").cast("bigint").alias("size"))
+             .write.parquet(path))
+        return path
+    return _memo(spark, sf_dir, "inventory", build)

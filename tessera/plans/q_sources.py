@@ -1 +1,85 @@
-"""Queries (filled in below)."""
+"""Queries for scans and sources."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tessera.operators.inspect import preview
+from tessera.plans.fixtures import inventory
+from tessera.plans.registry import register, table
+from tessera.session import scratch_path
+from tessera.sinks.files import write_manifest
+from tessera.sinks.tables import create_table_as, ensure_database
+from tessera.sources.catalog import read_table
+from tessera.sources.files import read_lines, read_parquet_tree
+from tessera.sources.inventory import cold_object_keys, keys_by_prefix
+
+SCRATCH_DB = "tessera_scratch"
+
+
+def scratch_table(spark, stem: str) -> tuple[str, str]:
+    """A fresh (table name, location) pair in the scratch database."""
+    ensure_database(spark, SCRATCH_DB)
+    name = f"{stem}_{uuid.uuid4().hex[:10]}"
+    return name, scratch_path(spark, name)
+
+
+@register("scan_catalog_table", "SELECT * FROM orders")
+def scan_catalog_table(spark, sf_dir):
+    # Register orders as a catalog table, then read it by "db"."table" name.
+    name, path = scratch_table(spark, "orders")
+    create_table_as(table(spark, sf_dir, "orders"), f"{SCRATCH_DB}.{name}", path=path)
+    return read_table(spark, SCRATCH_DB, name)
+
+
+@register("scan_parquet_recursive", "SELECT * FROM orders")
+def scan_parquet_recursive(spark, sf_dir):
+    # Files at two different un-named depths below one root; a plain read
+    # cannot infer a schema there, the recursive read finds every file.
+    root = scratch_path(spark, "nested")
+    orders = table(spark, sf_dir, "orders")
+    orders.where("o_orderstatus = 'P'").write.parquet(f"{root}/2024/export-a")
+    orders.where("o_orderstatus <> 'P'").write.parquet(f"{root}/2025/10/export-b")
+    return read_parquet_tree(spark, root)
+
+
+@register("scan_small_files_packed", "SELECT * FROM orders")
+def scan_small_files_packed(spark, sf_dir):
+    # 200 small files; the scan packs them into byte-sized tasks
+    # (maxPartitionBytes + openCostInBytes), not one task per file.
+    root = scratch_path(spark, "small_files")
+    table(spark, sf_dir, "orders").repartition(200).write.parquet(root)
+    return read_parquet_tree(spark, root)
+
+
+@register("cold_object_keys", """
+SELECT 'docs/' || lang || '/' || doc_id || '.txt' AS key FROM documents WHERE lang = 'de'
+""")
+def cold_object_keys_q(spark, sf_dir):
+    return cold_object_keys(spark.read.parquet(inventory(spark, sf_dir)))
+
+
+@register("keys_by_prefix", """
+SELECT 'docs/' || lang || '/' || doc_id || '.txt' AS key, 'STANDARD' AS storage_class,
+       CAST(strlen(text) AS BIGINT) AS size
+FROM documents WHERE lang = 'fr'
+""")
+def keys_by_prefix_q(spark, sf_dir):
+    return keys_by_prefix(spark.read.parquet(inventory(spark, sf_dir)), "docs/fr/")
+
+
+@register("manifest_roundtrip", """
+SELECT 'docs/' || lang || '/' || doc_id || '.txt' AS key FROM documents WHERE lang = 'de'
+""")
+def manifest_roundtrip(spark, sf_dir):
+    # Cold keys → one-key-per-line text manifest → read back line by line.
+    path = scratch_path(spark, "manifest")
+    write_manifest(cold_object_keys(spark.read.parquet(inventory(spark, sf_dir))), path)
+    return read_lines(spark, path, "key")
+
+
+@register("preview_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
+def preview_limit(spark, sf_dir):
+    return preview(table(spark, sf_dir, "orders"), 5, order_by=["o_orderkey"])
