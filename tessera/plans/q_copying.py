@@ -1 +1,88 @@
-"""Queries (filled in below)."""
+"""Queries for copy / upsert / rejects / counts / snapshot."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators.copying import copy_all_tables, copy_table
+from tessera.operators.snapshot import restore_snapshot, snapshot_tables
+from tessera.plans.q_sources import SCRATCH_DB, scratch_table
+from tessera.plans.registry import register, table
+from tessera.session import scratch_path
+from tessera.sinks.tables import ensure_database
+
+# Which market segments form the copy source and the existing
+# target (they overlap in MACHINERY; together they cover every customer).
+SOURCE_SEGMENTS = ("BUILDING", "AUTOMOBILE", "MACHINERY")
+TARGET_SEGMENTS = ("MACHINERY", "HOUSEHOLD", "FURNITURE")
+
+
+def _customer_items(spark, sf_dir):
+    """Customers as items; an item with a negative balance lost its key."""
+    c = table(spark, sf_dir, "customer")
+    return c.withColumn("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")))
+
+
+@register("copy_table_upsert", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM customer
+WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY')
+UNION ALL
+SELECT * FROM customer WHERE c_mktsegment IN ('HOUSEHOLD', 'FURNITURE')
+""")
+def copy_table_upsert(spark, sf_dir):
+    # Existing target, then a keyed copy whose items replace same-key rows.
+    c = table(spark, sf_dir, "customer")
+    name, path = scratch_table(spark, "customer_copy")
+    target = f"{SCRATCH_DB}.{name}"
+    copy_table(spark, c.where(F.col("c_mktsegment").isin(*TARGET_SEGMENTS)), target, "c_custkey", location=path)
+    changed = (c.where(F.col("c_mktsegment").isin(*SOURCE_SEGMENTS))
+                .withColumn("c_acctbal", F.col("c_acctbal") + 1))
+    copy_table(spark, changed, target, "c_custkey", location=path)
+    return spark.table(target)
+
+
+@register("copy_rejects", """
+SELECT c_name, 'missing key c_custkey' AS reason FROM customer WHERE c_acctbal < 0
+""")
+def copy_rejects(spark, sf_dir):
+    name, path = scratch_table(spark, "customer_items")
+    result = copy_table(spark, _customer_items(spark, sf_dir), f"{SCRATCH_DB}.{name}", "c_custkey", location=path)
+    return spark.read.parquet(result.rejects_path).select("c_name", "reason")
+
+
+@register("copy_counts", """
+SELECT 'customer' AS table_name, count(*) FILTER (WHERE c_acctbal >= 0) AS copied,
+       count(*) FILTER (WHERE c_acctbal < 0) AS rejected FROM customer
+UNION ALL SELECT 'nation', count(*), 0 FROM nation
+UNION ALL SELECT 'supplier', count(*), 0 FROM supplier
+""")
+def copy_counts(spark, sf_dir):
+    # Copy every table of a "database" into another; report copied/rejected.
+    db = f"{SCRATCH_DB}_copy"
+    ensure_database(spark, db)
+    suffix = scratch_path(spark, "x").rsplit("-", 1)[-1]
+    sources = {"customer": (_customer_items(spark, sf_dir), "c_custkey"),
+               "nation": (table(spark, sf_dir, "nation"), "n_nationkey"),
+               "supplier": (table(spark, sf_dir, "supplier"), "s_suppkey")}
+    report, _ = copy_all_tables(spark, sources, db, rename={n: f"{n}_{suffix}" for n in sources})
+    return report.withColumn("table_name", F.regexp_replace("table_name", f"_{suffix}$", ""))
+
+
+@register("snapshot_restore", """
+SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'region', count(*) FROM region
+UNION ALL SELECT 'supplier', count(*) FROM supplier
+""")
+def snapshot_restore(spark, sf_dir):
+    # Snapshot four tables, restore all but those matching ``n*``; count the
+    # restored rows from the restored data itself.
+    names = ["region", "nation", "supplier", "customer"]
+    base = scratch_path(spark, "snapshots")
+    snapshot_tables(spark, {n: table(spark, sf_dir, n) for n in names}, base, "snap-001")
+    restored = restore_snapshot(spark, base, "snap-001", "-n*")
+    counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
+              for n, df in restored.items()]
+    out = counts[0]
+    for df in counts[1:]:
+        out = out.unionByName(df)
+    return out
