@@ -110,3 +110,26 @@ def inventory(spark: SparkSession, sf_dir: str) -> str:
              .write.parquet(path))
         return path
     return _memo(spark, sf_dir, "inventory", build)
+
+
+# The attributes of the customer item export and their types.
+ITEM_ATTRIBUTES = {"id": "N", "name": "S", "nation": "N", "acctbal": "N", "segment": "S", "vip": "BOOL"}
+
+
+def customer_item_export(spark: SparkSession, sf_dir: str) -> str:
+    """``customer`` as a gzip typed-attribute export in nested folders.
+
+    Household customers carry no ``segment`` attribute (items differ in
+    their attribute sets).
+    """
+    def build():
+        from tessera.sources.items import export_typed_items
+        base = scratch_path(spark, "item_export")
+        c = table(spark, sf_dir, "customer")
+        items = c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                         F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("acctbal"),
+                         F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).alias("segment"),
+                         (F.col("c_acctbal") > 9000).alias("vip"))
+        export_typed_items(items, f"{base}/exports/01-customer/data", ITEM_ATTRIBUTES)
+        return base
+    return _memo(spark, sf_dir, "customer_item_export", build)
