@@ -133,3 +133,38 @@ def customer_item_export(spark: SparkSession, sf_dir: str) -> str:
         export_typed_items(items, f"{base}/exports/01-customer/data", ITEM_ATTRIBUTES)
         return base
     return _memo(spark, sf_dir, "customer_item_export", build)
+
+
+# Tenant ``conf`` tables and the order status each one holds.
+CONF_TENANTS = {"ota_conf": "P", "learning_conf": "F", "azama_conf": "O"}
+CONF_SERIALIZED_PRIORITIES = ("1-URGENT", "2-HIGH")
+
+
+def conf_tenants(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Per-tenant ``conf`` tables derived from ``orders``, one write.
+
+    ``id, name, value, serialize, name_jp, memo`` per row; urgent and high
+    priority orders carry a serialized array in ``value`` (``serialize = 1``),
+    the rest plain text. Files sit one un-named level below each table root
+    (``export=<year>``), which becomes ``partition_0``.
+    """
+    def build():
+        base = scratch_path(spark, "conf")
+        orders = table(spark, sf_dir, "orders")
+        tenant = None
+        for name, status in CONF_TENANTS.items():
+            cond = F.col("o_orderstatus") == status
+            tenant = F.when(cond, name) if tenant is None else tenant.when(cond, name)
+        serialized = F.col("o_orderpriority").isin(*CONF_SERIALIZED_PRIORITIES)
+        value = F.when(serialized, F.concat(
+            F.lit('a:2:{s:7:"custkey";i:'), F.col("o_custkey").cast("string"),
+            F.lit(';s:6:"status";s:1:"'), F.col("o_orderstatus"), F.lit('";}'))
+        ).otherwise(F.lower("o_orderpriority"))
+        conf = orders.select(
+            F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), value.alias("value"),
+            serialized.cast("int").alias("serialize"), F.lit(None).cast("string").alias("name_jp"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("memo"),
+            tenant.alias("tenant"), F.year("o_orderdate").alias("export"))
+        conf.write.partitionBy("tenant", "export").parquet(base)
+        return {name: f"{base}/tenant={name}" for name in CONF_TENANTS}
+    return _memo(spark, sf_dir, "conf_tenants", build)

@@ -106,3 +106,22 @@ def scan_path_partition(spark, sf_dir):
     roots = partitioned_tenants(spark, sf_dir)
     combined = combine_parquet_tables(spark, roots, plan="scan", partition_levels=1)
     return combined.groupBy("source_table", "partition_0").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("combined_conf_flow", """
+SELECT CASE o_orderstatus WHEN 'P' THEN 'ota_conf' WHEN 'F' THEN 'learning_conf' ELSE 'azama_conf' END AS source,
+       count(*) AS n_rows,
+       count(*) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) AS n_json,
+       CAST(sum(o_custkey) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) AS BIGINT) AS custkey_sum,
+       count(DISTINCT year(o_orderdate)) AS n_partitions
+FROM orders GROUP BY 1
+""")
+def combined_conf_flow(spark, sf_dir):
+    # Flagship: tenant conf exports → combined, normalised catalog table → SQL.
+    from tessera.plans.consolidation import CONF_COLUMNS, conf_report, consolidate
+    from tessera.plans.fixtures import conf_tenants
+    from tessera.plans.q_sources import SCRATCH_DB, scratch_table
+    name, path = scratch_table(spark, "combined_conf")
+    consolidate(spark, conf_tenants(spark, sf_dir), "_conf", f"{SCRATCH_DB}.{name}", location=path,
+                columns=CONF_COLUMNS)
+    return conf_report(spark, f"{SCRATCH_DB}.{name}")
