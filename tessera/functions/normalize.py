@@ -78,12 +78,26 @@ def normalize_column(df: DataFrame, col: str = "value", flag_col: str | None = N
     ``serialize`` flag); ``keep_original`` adds ``<col>_original``.
     """
     gate = (F.col(flag_col) == 1) if flag_col else None
-    out = df
+    out = spread_thin_input(df)
     if keep_original:
         out = out.withColumn(f"{col}_original", F.col(col))
     return out.withColumn(col, php_to_json_expr(col, null_as_empty, strict_json, gate))
 
 
+def spread_thin_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an input that has fewer partitions than the cluster has cores.
+
+    The Python stage costs far more per row than the scan, so a one-file,
+    one-row-group input would otherwise run the whole conversion in a single
+    task. Inputs of cluster size (thousands of splits) pass through untouched,
+    without an exchange.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def is_error_json(col: Column | str) -> Column:
     """True where a converted value is an error object."""
     c = F.col(col) if isinstance(col, str) else col

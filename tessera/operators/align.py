@@ -20,7 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 POLICIES = ("string", "widen", "fail")
 
@@ -45,8 +45,25 @@ def column_types(frames: Sequence[DataFrame]) -> dict[str, list[DataType]]:
     return seen
 
 
+def compatible(a: DataType, b: DataType) -> bool:
+    """Same leaf types; structs may lack fields (a by-name union null-fills them)."""
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        fb = {f.name.lower(): f.dataType for f in b.fields}
+        return all(compatible(f.dataType, fb[f.name.lower()]) for f in a.fields if f.name.lower() in fb)
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return compatible(a.elementType, b.elementType)
+    if isinstance(a, MapType) and isinstance(b, MapType):
+        return compatible(a.keyType, b.keyType) and compatible(a.valueType, b.valueType)
+    return a == b
+
+
 def conflicting_columns(frames: Sequence[DataFrame]) -> dict[str, list[DataType]]:
-    return {k: v for k, v in column_types(frames).items() if len(v) > 1}
+    """Columns whose types differ between inputs beyond missing struct fields."""
+    out = {}
+    for k, types in column_types(frames).items():
+        if any(not compatible(a, b) for i, a in enumerate(types) for b in types[i + 1:]):
+            out[k] = types
+    return out
 
 
 def align(frames: Sequence[DataFrame], on_conflict: str = "string") -> list[DataFrame]:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.operators.align import align, conflicting_columns, union_column_order
+from tessera.operators.align import align, column_types, union_column_order
 from tessera.sources.files import (decoded_file_path, plain_path, read_parquet_tree, tag_from_path,
                                    with_path_partitions)
 
@@ -124,15 +124,17 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
     per_table = raw
     if partition_levels:
         per_table = {n: with_path_partitions(df, roots[n], partition_levels) for n, df in raw.items()}
-    conflicts = conflicting_columns(list(raw.values()))
+    # The scan reads every file with one schema, so every column needs one
+    # exact type (nested field differences included); otherwise fold.
+    differing = sorted(k for k, v in column_types(list(raw.values())).items() if len(v) > 1)
     if plan == "auto":
-        plan = "scan" if len(roots) >= SINGLE_SCAN_MIN_TABLES and not conflicts else "fold"
+        plan = "scan" if len(roots) >= SINGLE_SCAN_MIN_TABLES and not differing else "fold"
     if plan == "fold":
         return combine_tables(per_table, tag_col, on_conflict)
     if plan != "scan":
         raise ValueError("plan must be 'auto', 'scan' or 'fold'")
-    if conflicts:
-        raise ValueError(f"single scan needs one type per column; conflicts in {sorted(conflicts)}")
+    if differing:
+        raise ValueError(f"single scan needs one type per column; types differ in {differing}")
 
     frames = list(per_table.values())
     # The fold's order: first table's columns (tag replaced in place or

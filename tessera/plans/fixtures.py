@@ -168,3 +168,12 @@ def conf_tenants(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         conf.write.partitionBy("tenant", "export").parquet(base)
         return {name: f"{base}/tenant={name}" for name in CONF_TENANTS}
     return _memo(spark, sf_dir, "conf_tenants", build)
+
+
+def small_files(spark: SparkSession, sf_dir: str, n_files: int = 200) -> str:
+    """``orders`` scattered over ``n_files`` small Parquet files."""
+    def build():
+        root = scratch_path(spark, "small_files")
+        table(spark, sf_dir, "orders").repartition(n_files).write.parquet(root)
+        return root
+    return _memo(spark, sf_dir, f"small_files_{n_files}", build)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tessera.operators.inspect import preview
-from tessera.plans.fixtures import inventory
+from tessera.plans.fixtures import inventory, small_files
 from tessera.plans.registry import register, table
 from tessera.session import scratch_path
 from tessera.sinks.files import write_manifest
@@ -49,9 +49,7 @@ def scan_parquet_recursive(spark, sf_dir):
 def scan_small_files_packed(spark, sf_dir):
     # 200 small files; the scan packs them into byte-sized tasks
     # (maxPartitionBytes + openCostInBytes), not one task per file.
-    root = scratch_path(spark, "small_files")
-    table(spark, sf_dir, "orders").repartition(200).write.parquet(root)
-    return read_parquet_tree(spark, root)
+    return read_parquet_tree(spark, small_files(spark, sf_dir))
 
 
 @register("cold_object_keys", """
