@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.operators.align import align, column_types, union_column_order
-from tessera.sources.files import (decoded_file_path, plain_path, read_parquet_tree, tag_from_path,
+from tessera.sources.files import (_depth, path_segment, plain_path, read_parquet_tree, tag_from_path,
                                    with_path_partitions)
 
 log = logging.getLogger(__name__)
@@ -149,15 +149,20 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
     scan = read_parquet_tree(spark, list(roots.values()), schema=schema)
     scan = tag_from_path(scan, roots, tag_col)
     if partition_levels:
-        # Roots can differ in depth: cut each file path below its own root.
-        rel = None
-        for name, root in roots.items():
-            cut = F.substring(decoded_file_path(), len(plain_path(root)) + 2, 1 << 30)
-            cond = F.col(tag_col) == name
-            rel = F.when(cond, cut) if rel is None else rel.when(cond, cut)
-        parts = F.split(rel, "/")
-        scan = scan.select("*", *[F.when(F.size(parts) - 1 > i, parts.getItem(i)).alias(f"partition_{i}")
-                                  for i in range(partition_levels)])
+        depths = {_depth(plain_path(r)) for r in roots.values()}
+        parts = []
+        for i in range(partition_levels):
+            if len(depths) == 1:
+                expr = path_segment(next(iter(depths)) + i)
+            else:
+                # Roots of different depths: pick the level below each row's own root.
+                expr = None
+                for name, root in roots.items():
+                    cond = F.col(tag_col) == name
+                    seg = path_segment(_depth(plain_path(root)) + i)
+                    expr = F.when(cond, seg) if expr is None else expr.when(cond, seg)
+            parts.append(expr.alias(f"partition_{i}"))
+        scan = scan.select("*", *parts)
     return scan.select(*[F.col(f"`{c}`") for c in order])
 
 

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_path
+from tessera.session import RUNTIME_BROADCAST_ONLY, scoped_conf, scratch_path
 
 
 class DuplicateKeys(ValueError):
@@ -70,8 +70,10 @@ def upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str],
     src = latest_per_key(source, keys, order_by) if order_by else source
     if check_unique and not order_by:
         assert_unique(src, keys)
-    # No broadcast hint: AQE switches to a broadcast join only once the
-    # key side's actual shuffle size is known to be small.
+    # No broadcast hint: run the write under RUNTIME_BROADCAST_ONLY and AQE
+    # switches to a broadcast join only once the key side's measured shuffle
+    # output is small; otherwise it stays a sort-merge anti join, with AQE
+    # splitting a target partition made big by a hot key.
     kept = target.join(src.select(*keys), keys, "left_anti")
     return kept.unionByName(src, allowMissingColumns=True).select(
         *target.columns, *[c for c in src.columns if c not in target.columns])
@@ -81,7 +83,7 @@ def validity_reason(key: str | Sequence[str], checks: Mapping[str, Column] | Non
     """Null for a writable row, else the first failing reason.
 
     Built-in checks: every key column present. ``checks`` maps a reason to a
-    *failure* predicate (e.g. ``{"bad price": F.try_cast(...).isNull()}``).
+    *failure* predicate (e.g. ``{"bad price": F.col("price").try_cast("int").isNull()}``).
     """
     expr = None
     for k in _keys(key):
@@ -127,7 +129,8 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
         new = upsert(spark.table(target_table), good, key, order_by)
     else:
         new = latest_per_key(good, key, order_by) if order_by else good
-    new.write.mode("errorifexists").parquet(gen)
+    with scoped_conf(spark, RUNTIME_BROADCAST_ONLY):
+        new.write.mode("errorifexists").parquet(gen)
     if exists:
         spark.sql(f"ALTER TABLE {target_table} SET LOCATION '{gen}'")
         spark.sql(f"REFRESH TABLE {target_table}")

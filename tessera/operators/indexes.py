@@ -8,9 +8,11 @@ the index (sparse index).
 Physically the projection is a bucketed table: ``bucketBy(n, hash_key)``
 co-locates equal keys, so later joins/aggregations on the hash key skip the
 shuffle, and ``sortBy(range_key)`` orders each bucket file. The data is first
-hash-partitioned on the same key into the same ``n`` partitions, so each
-write task produces one file per bucket it owns instead of up to ``n`` files
-per task.
+rebalanced on the same key into the same ``n`` partitions (Spark's bucket id
+and hash partitioning use one hash), so a write task produces one file per
+bucket it owns instead of up to ``n`` files per task. ``REBALANCE`` rather
+than ``repartition``: AQE splits a partition made big by a hot key across
+several tasks (that bucket then has several files) and merges tiny ones.
 """
 
 from __future__ import annotations
@@ -55,7 +57,7 @@ def index_projection(df: DataFrame, spec: IndexSpec, table_keys: Sequence[str])
 def write_index(df: DataFrame, spec: IndexSpec, table_keys: Sequence[str], table_name: str,
                 buckets: int, path: str | None = None) -> DataFrame:
     """Materialise the index as a bucketed (and sorted) catalog table."""
-    proj = index_projection(df, spec, table_keys).repartition(buckets, spec.hash_key)
+    proj = index_projection(df, spec, table_keys).hint("rebalance", buckets, spec.hash_key)
     writer = proj.write.mode("errorifexists").format("parquet").bucketBy(buckets, spec.hash_key)
     if spec.range_key:
         writer = writer.sortBy(spec.range_key)

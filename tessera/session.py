@@ -9,6 +9,7 @@ laptop) do we pick a local folder ourselves.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -61,3 +62,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in root and not root.startswith("file:"):
         os.makedirs(root, exist_ok=True)
     return f"{root}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextlib.contextmanager
+def scoped_conf(spark: SparkSession, values: dict[str, str]):
+    """Set session settings for the actions run inside the block, then restore."""
+    old = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# Joins may broadcast a side only once AQE has measured it: the static
+# threshold (a guess from file sizes) is off, the runtime one is on.
+RUNTIME_BROADCAST_ONLY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+}

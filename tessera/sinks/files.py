@@ -8,24 +8,9 @@ with no count, AQE's ``REBALANCE`` sized by ``target_file_bytes``.
 
 from __future__ import annotations
 
-import contextlib
-
 from pyspark.sql import DataFrame
 
-
-@contextlib.contextmanager
-def _session_conf(spark, values: dict[str, str]):
-    old = {k: spark.conf.get(k, None) for k in values}
-    try:
-        for k, v in values.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+from tessera.session import scoped_conf
 
 
 def compact_write(df: DataFrame, path: str, num_files: int | None = None, shuffle: bool = True,
@@ -51,7 +36,7 @@ def compact_write(df: DataFrame, path: str, num_files: int | None = None, shuffl
     writer = out.write.mode(mode).format(fmt)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    with _session_conf(spark, conf):
+    with scoped_conf(spark, conf):
         writer.save(path)
 
 

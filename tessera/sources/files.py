@@ -12,7 +12,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import re
 from collections.abc import Mapping, Sequence
 
@@ -20,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tessera.session import scoped_conf
+
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
 
 
@@ -41,13 +42,31 @@ def plain_path(path: str) -> str:
     return p.rstrip("/") or "/"
 
 
-def decoded_file_path() -> Column:
-    """Per-row source file as a plain, decoded path (``%20`` → space, ``%25`` → ``%``)."""
-    raw = F.col("_metadata.file_path")
+def _decode(c: Column) -> Column:
     # url_decode also maps '+' to a space; a literal '+' in a file URI is kept
     # as '+', so protect it first.
-    decoded = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, _SCHEME, "")
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
+def decoded_file_path() -> Column:
+    """Per-row source file as a plain, decoded path (``%20`` → space, ``%25`` → ``%``)."""
+    return F.regexp_replace(_decode(F.col("_metadata.file_path")), _SCHEME, "")
+
+
+def path_segment(index: int) -> Column:
+    """The ``index``-th directory name (0 = first below ``/``) of each row's file.
+
+    One regex over the encoded path, then decoding of that short segment
+    only; null when the file sits above that level. The file name itself is
+    never a directory segment.
+    """
+    pattern = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?)?(?:/[^/]*){%d}/([^/]+)/" % index
+    seg = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    return F.when(seg != "", _decode(seg))
+
+
+def _depth(plain: str) -> int:
+    return 0 if plain == "/" else plain.count("/")
 
 
 def with_path_partitions(df: DataFrame, root: str, levels: int = 1,
@@ -57,13 +76,10 @@ def with_path_partitions(df: DataFrame, root: str, levels: int = 1,
     A file directly under ``root`` (or with fewer levels) gets nulls, as a
     crawler assigns no partition value to it.
     """
-    base = plain_path(root)
-    rel = F.substring(decoded_file_path(), len(base) + 2, 1 << 30)  # path below root/
-    parts = F.split(rel, "/")
-    n_dirs = F.size(parts) - 1
+    depth = _depth(plain_path(root))
     out = df
     for i in range(levels):
-        out = out.withColumn(f"{prefix}{i}", F.when(n_dirs > i, parts.getItem(i)))
+        out = out.withColumn(f"{prefix}{i}", path_segment(depth + i))
     return out
 
 
@@ -72,23 +88,21 @@ def tag_from_path(df: DataFrame, roots: Mapping[str, str], tag_col: str) -> Data
 
     Three shapes, cheapest first:
     1. every name equals its directory's basename and all roots share one
-       parent depth → the tag is one path segment (``regexp_extract``);
+       depth → the tag is one path segment;
     2. few roots → a ``CASE WHEN startswith`` chain, longest root first;
-    3. many roots → a broadcast hash join on the root-depth prefix. The small
-       side has one row per input table, a bound the caller already holds in
-       driver memory as the ``roots`` mapping.
+    3. many roots of one depth → a broadcast hash join on the root-depth
+       prefix. The small side has one row per input table, a bound the
+       caller already holds in driver memory as the ``roots`` mapping.
     """
     plain = {name: plain_path(r) for name, r in roots.items()}
-    path = decoded_file_path()
-    depths = {p.count("/") for p in plain.values()}
+    depths = {_depth(p) for p in plain.values()}
     if len(depths) == 1 and all(p.rsplit("/", 1)[-1] == n for n, p in plain.items()):
-        depth = depths.pop()
-        seg = r"^(?:/[^/]*){%d}/([^/]+)/" % (depth - 1)
-        return df.withColumn(tag_col, F.regexp_extract(path, seg, 1))
+        return df.withColumn(tag_col, path_segment(depths.pop() - 1))
+    path = decoded_file_path()
     if len(plain) <= 32 or len(depths) != 1:
         expr = None
         for name, p in sorted(plain.items(), key=lambda kv: -len(kv[1])):
-            cond = path.startswith(p + "/")
+            cond = path.startswith(p.rstrip("/") + "/")
             expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
         return df.withColumn(tag_col, expr)
     depth = depths.pop()
@@ -100,7 +114,6 @@ def tag_from_path(df: DataFrame, roots: Mapping[str, str], tag_col: str) -> Data
               .drop("_root"))
 
 
-@contextlib.contextmanager
 def packed_scan(spark: SparkSession, group_bytes: int, open_cost_bytes: int | None = None):
     """Scope small-file packing: roughly ``group_bytes`` of input per scan task.
 
@@ -110,19 +123,8 @@ def packed_scan(spark: SparkSession, group_bytes: int, open_cost_bytes: int | No
     the action inside the block.
     """
     open_cost = open_cost_bytes if open_cost_bytes is not None else max(1, group_bytes // 16)
-    keys = {"spark.sql.files.maxPartitionBytes": str(group_bytes),
-            "spark.sql.files.openCostInBytes": str(open_cost)}
-    old = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        for k, v in keys.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    return scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": str(group_bytes),
+                               "spark.sql.files.openCostInBytes": str(open_cost)})
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "key") -> DataFrame:
