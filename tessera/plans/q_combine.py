@@ -125,3 +125,15 @@ def combined_conf_flow(spark, sf_dir):
     consolidate(spark, conf_tenants(spark, sf_dir), "_conf", f"{SCRATCH_DB}.{name}", location=path,
                 columns=CONF_COLUMNS)
     return conf_report(spark, f"{SCRATCH_DB}.{name}")
+
+
+@register("combine_incremental", _DRIFT_ORACLE)
+def combine_incremental(spark, sf_dir):
+    # The same by-name combine as a file stream run with availableNow: the
+    # checkpoint makes the next run take only files that arrived since.
+    from tessera.session import scratch_path
+    from tessera.streaming.incremental import run_once
+    roots = {n: r for n, r in drift_tenants(spark, sf_dir).items() if n.endswith("_order")}
+    sink = scratch_path(spark, "combined_order_stream")
+    run_once(spark, roots, sink, checkpoint=f"{sink}-checkpoint")
+    return spark.read.parquet(sink)
