@@ -137,3 +137,18 @@ def combine_incremental(spark, sf_dir):
     sink = scratch_path(spark, "combined_order_stream")
     run_once(spark, roots, sink, checkpoint=f"{sink}-checkpoint")
     return spark.read.parquet(sink)
+
+
+@register("combine_catalog_suffix", _DRIFT_ORACLE)
+def combine_catalog_suffix(spark, sf_dir):
+    # Table names come from the session catalog: every table of a database
+    # whose name ends in ``_order`` (the decoy ``…_order_totals`` does not).
+    import uuid
+
+    from tessera.sinks.tables import ensure_database
+    from tessera.sources.catalog import tables_by_suffix
+    db = f"tessera_tenants_{uuid.uuid4().hex[:10]}"
+    ensure_database(spark, db)
+    for name, root in drift_tenants(spark, sf_dir).items():
+        spark.catalog.createTable(f"{db}.{name}", path=root, source="parquet")
+    return combine_by_suffix(tables_by_suffix(spark, db, "_order"), {"_order": "combined_order"})["combined_order"]
