@@ -59,14 +59,20 @@ def read_typed_items(spark: SparkSession, path: str, attributes: Mapping[str, st
 def read_typed_items_raw(spark: SparkSession, path: str) -> DataFrame:
     """Each line as ``item: map<attribute, map<type, value-text>>``."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return lines.select(F.from_json(F.get_json_object("value", "$.Item"),
-                                    "map<string,map<string,string>>").alias("item"))
+    # One JSON parse per line (the wrapping object is part of the schema).
+    parsed = F.from_json("value", "Item map<string,map<string,string>>")
+    return lines.select(parsed.getField("Item").alias("item"))
 
 
 def profile_items(raw: DataFrame) -> DataFrame:
     """Items per (attribute, type code): the de-facto schema of an export."""
-    attrs = raw.select(F.explode("item").alias("attribute", "typed"))
-    return (attrs.select("attribute", F.explode(F.map_keys("typed")).alias("type_code"))
+    # explode_outer + a null filter, not explode: for a plain explode the
+    # optimizer infers ``size(item) > 0`` and pushes it below the projection,
+    # which would parse every JSON line twice.
+    attrs = (raw.select(F.explode_outer("item").alias("attribute", "typed"))
+                .where(F.col("attribute").isNotNull()))
+    codes = attrs.select("attribute", F.explode_outer(F.map_keys("typed")).alias("type_code"))
+    return (codes.where(F.col("type_code").isNotNull())
                  .groupBy("attribute", "type_code").agg(F.count(F.lit(1)).alias("n_items")))
 
 
