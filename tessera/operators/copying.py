@@ -58,23 +58,32 @@ def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str],
-           order_by: str | None = None, check_unique: bool = True) -> DataFrame:
+           order_by: str | None = None, check_unique: bool = True,
+           observe_duplicates: Observation | None = None) -> DataFrame:
     """New target contents: all source rows, plus target rows whose key the source lacks.
 
     Columns follow the target; source-only columns are appended, and columns
     the source lacks are null for its rows. With ``order_by`` the source is
-    first reduced to its latest row per key; otherwise duplicate source keys
-    raise (``check_unique``).
+    first reduced to its latest row per key. Otherwise duplicate source keys
+    are an error: checked eagerly (``check_unique``), or — when the caller
+    runs the write itself — through ``observe_duplicates``, which records
+    ``max_per_key`` on the key side of the join during that same write, so
+    no extra pass over the source is needed.
     """
     keys = _keys(key)
     src = latest_per_key(source, keys, order_by) if order_by else source
-    if check_unique and not order_by:
+    if check_unique and not order_by and observe_duplicates is None:
         assert_unique(src, keys)
+    # The key side is grouped first: partial aggregation collapses a hot key
+    # to one row per task before the shuffle.
+    key_side = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if observe_duplicates is not None:
+        key_side = key_side.observe(observe_duplicates, F.max("_n").alias("max_per_key"))
     # No broadcast hint: run the write under RUNTIME_BROADCAST_ONLY and AQE
     # switches to a broadcast join only once the key side's measured shuffle
     # output is small; otherwise it stays a sort-merge anti join, with AQE
     # splitting a target partition made big by a hot key.
-    kept = target.join(src.select(*keys), keys, "left_anti")
+    kept = target.join(key_side.select(*keys), keys, "left_anti")
     return kept.unionByName(src, allowMissingColumns=True).select(
         *target.columns, *[c for c in src.columns if c not in target.columns])
 
@@ -116,8 +125,8 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
     reason = validity_reason(key, checks)
     flagged = source.withColumn("_reason", reason)
     good_obs, bad_obs = Observation(), Observation()
-    good = flagged.where(F.col("_reason").isNull()).drop("_reason").observe(
-        good_obs, F.count(F.lit(1)).alias("n"))
+    good_rows = flagged.where(F.col("_reason").isNull()).drop("_reason")
+    good = good_rows.observe(good_obs, F.count(F.lit(1)).alias("n"))
     bad = flagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason").observe(
         bad_obs, F.count(F.lit(1)).alias("n"))
 
@@ -125,14 +134,27 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
     gen = f"{base}/gen-{uuid.uuid4().hex[:12]}"
     rejects_path = f"{base}/rejects/run-{uuid.uuid4().hex[:12]}"
     exists = spark.catalog.tableExists(target_table)
+    dup_obs = Observation()
     if exists:
-        new = upsert(spark.table(target_table), good, key, order_by)
+        new = upsert(spark.table(target_table), good, key, order_by, observe_duplicates=dup_obs)
+    elif order_by:
+        new = latest_per_key(good, key, order_by)
     else:
-        new = latest_per_key(good, key, order_by) if order_by else good
+        # A first copy has no join to piggyback on: one pass over the key
+        # columns only, partially aggregated.
+        assert_unique(good_rows, key)
+        new = good
     with scoped_conf(spark, RUNTIME_BROADCAST_ONLY):
         new.write.mode("errorifexists").parquet(gen)
+    if exists and not order_by and dup_obs.get.get("max_per_key", 0) > 1:
+        raise DuplicateKeys(f"duplicate key in copy source for {target_table}; {gen} left unused")
     if exists:
+        known = {c.lower() for c in spark.table(target_table).columns}
         spark.sql(f"ALTER TABLE {target_table} SET LOCATION '{gen}'")
+        added = [f for f in new.schema.fields if f.name.lower() not in known]
+        if added:  # attributes only the source items carry become table columns
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            spark.sql(f"ALTER TABLE {target_table} ADD COLUMNS ({cols})")
         spark.sql(f"REFRESH TABLE {target_table}")
     else:
         spark.catalog.createTable(target_table, path=gen, source="parquet")

@@ -71,3 +71,20 @@ def test_snapshot_restore(spark, tmp_base):
     assert list(restored) == ["a"] and restored["a"].count() == 5
     with pytest.raises(Exception):
         snapshot_tables(spark, t, tmp_base, "s1")
+
+
+def test_copy_duplicate_source_keys_leave_table_unchanged(spark, tmp_base):
+    ensure_database(spark, "t_copy")
+    name = "t_copy.d_" + tmp_base.rsplit("-", 1)[-1]
+    copy_table(spark, spark.createDataFrame([(1, "a")], "k int, v string"), name, "k", location=tmp_base)
+    with pytest.raises(DuplicateKeys):
+        copy_table(spark, spark.createDataFrame([(2, "b"), (2, "c")], "k int, v string"), name, "k",
+                   location=tmp_base)
+    assert rows(spark.table(name)) == [(1, "a")]
+    with pytest.raises(DuplicateKeys):
+        copy_table(spark, spark.createDataFrame([(2, "b"), (2, "c")], "k int, v string"), name + "_new", "k",
+                   location=tmp_base + "_new")
+    res = copy_table(spark, spark.createDataFrame([(2, "b", 1), (2, "c", 2)], "k int, v string, ts int"),
+                     name, "k", order_by="ts", location=tmp_base)
+    assert res.copied == 2
+    assert rows(spark.table(name)) == [(1, "a", None), (2, "c", 2)]
