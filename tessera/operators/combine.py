@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.operators.align import align, column_types, union_column_order
+from tessera.session import run_parallel
 from tessera.sources.files import (_depth, path_segment, plain_path, read_parquet_tree, tag_from_path,
                                    with_path_partitions)
 
@@ -120,7 +121,9 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
     """
     if not roots:
         raise ValueError("no tables to combine")
-    raw = {name: read_parquet_tree(spark, root) for name, root in roots.items()}
+    # One listing + footer read per table, overlapped on a few driver threads.
+    frames = run_parallel(lambda root: read_parquet_tree(spark, root), roots.values(), max_workers=16)
+    raw = dict(zip(roots, frames))
     per_table = raw
     if partition_levels:
         per_table = {n: with_path_partitions(df, roots[n], partition_levels) for n, df in raw.items()}

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import RUNTIME_BROADCAST_ONLY, scoped_conf, scratch_path
+from tessera.session import RUNTIME_BROADCAST_ONLY, run_parallel, scoped_conf, scratch_path
 
 
 class DuplicateKeys(ValueError):
@@ -165,17 +165,22 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
 
 def copy_all_tables(spark: SparkSession, sources: Mapping[str, tuple[DataFrame, str | Sequence[str]]],
                     target_db: str, checks: Mapping[str, Mapping[str, Column]] | None = None,
-                    rename: Mapping[str, str] | None = None) -> tuple[DataFrame, list[CopyResult]]:
+                    rename: Mapping[str, str] | None = None,
+                    max_workers: int = 4) -> tuple[DataFrame, list[CopyResult]]:
     """Copy every ``name → (DataFrame, key)`` into ``target_db`` (same name unless renamed).
 
-    Returns a report DataFrame ``table_name, copied, rejected`` (one row per
-    table: its size is the number of tables, held by the driver anyway) and
-    the per-table results.
+    Tables are copied concurrently (``max_workers`` driver threads). Returns a
+    report DataFrame ``table_name, copied, rejected`` (one row per table: its
+    size is the number of tables, held by the driver anyway) and the
+    per-table results.
     """
-    results = []
-    for name, (df, key) in sources.items():
+    def copy_one(item):
+        name, (df, key) = item
         target = f"{target_db}.{(rename or {}).get(name, name)}"
-        results.append(copy_table(spark, df, target, key, (checks or {}).get(name)))
+        return copy_table(spark, df, target, key, (checks or {}).get(name))
+
+    with scoped_conf(spark, RUNTIME_BROADCAST_ONLY):  # set once for all threads
+        results = run_parallel(copy_one, sources.items(), max_workers)
     rows = [(r.table.split(".")[-1], r.copied, r.rejected) for r in results]
     report = spark.createDataFrame(rows, "table_name string, copied bigint, rejected bigint")
     return report, results

@@ -18,17 +18,25 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import run_parallel
+
 MANIFEST = "_manifest"
 
 
-def snapshot_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, name: str) -> DataFrame:
-    """Write each table under ``base/name/``; fail if the snapshot exists."""
-    rows = []
-    for table_name, df in tables.items():
+def snapshot_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, name: str,
+                    max_workers: int = 4) -> DataFrame:
+    """Write each table under ``base/name/``; fail if the snapshot exists.
+
+    Tables are written concurrently (``max_workers`` driver threads).
+    """
+    def write_one(item):
+        table_name, df = item
         path = f"{base.rstrip('/')}/{name}/{table_name}"
         obs = Observation()
         df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
-        rows.append((name, table_name, path, int(obs.get["n"]), df.schema.json()))
+        return (name, table_name, path, int(obs.get["n"]), df.schema.json())
+
+    rows = run_parallel(write_one, tables.items(), max_workers)
     manifest = spark.createDataFrame(rows, "snapshot string, table_name string, path string, "
                                            "n_rows bigint, schema_json string")
     manifest.coalesce(1).write.mode("errorifexists").parquet(f"{base.rstrip('/')}/{name}/{MANIFEST}")

@@ -66,14 +66,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 @contextlib.contextmanager
 def scoped_conf(spark: SparkSession, values: dict[str, str]):
-    """Set session settings for the actions run inside the block, then restore."""
-    old = {k: spark.conf.get(k, None) for k in values}
+    """Set session settings for the actions run inside the block, then restore.
+
+    Only keys whose value actually changes are touched, so a block nested in
+    an outer block with the same settings (e.g. per-table work on driver
+    threads inside one outer scope) neither sets nor restores anything.
+    """
+    changed = {k: spark.conf.get(k, None) for k, v in values.items() if spark.conf.get(k, None) != v}
     try:
-        for k, v in values.items():
-            spark.conf.set(k, v)
+        for k in changed:
+            spark.conf.set(k, values[k])
         yield
     finally:
-        for k, v in old.items():
+        for k, v in changed.items():
             if v is None:
                 spark.conf.unset(k)
             else:
@@ -87,3 +92,18 @@ RUNTIME_BROADCAST_ONLY = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
 }
+
+
+def run_parallel(fn, items, max_workers: int = 8) -> list:
+    """``[fn(x) for x in items]`` on a small driver thread pool, order kept.
+
+    For per-table driver work (listing and footer reads, independent writes):
+    Spark runs jobs submitted from several threads concurrently, so many small
+    tables share the cluster instead of queueing one after another.
+    """
+    items = list(items)
+    if max_workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(items))) as pool:
+        return list(pool.map(fn, items))
