@@ -11,9 +11,10 @@ Decoding rules the output must follow:
 * every array becomes a JSON object (list indices become string keys);
   a later duplicate key overwrites the earlier value in place;
 * numbers are parsed with Python's ``int``/``float`` (so ``d:3;`` → ``3.0``);
-* strings are bytes, decoded as UTF-8 afterwards; a value (or a map key) that
-  is not valid UTF-8 turns its enclosing subtree into
-  ``{"error": "key conversion failed"}``;
+* string lengths count bytes; each string is decoded as UTF-8 (for text
+  input a byte-length slice between its quotes always decodes, so the
+  ``{"error": "key conversion failed"}`` subtree of a failed decode cannot
+  arise from a string column);
 * objects (``O:``) are not supported and, like any other failure, make the
   whole value ``{"error": "<message>"}``;
 * bytes after the first complete value are ignored;
@@ -28,13 +29,13 @@ from __future__ import annotations
 
 import json
 import math
+import re
 
 # The prefixes that mark a value as serialized (case-sensitive).
 GATE_PREFIXES = ("a:", "s:", "i:", "d:", "O:", "b:", "N;")
 # The same gate as a Java regex, for the JVM side.
 GATE_REGEX = r"^(?:[asidOb]:|N;)"
 
-KEY_ERROR = {"error": "key conversion failed"}
 MAX_DEPTH = 200
 
 
@@ -42,80 +43,58 @@ class _Bad(ValueError):
     pass
 
 
-def _expect(buf: bytes, pos: int, token: bytes) -> int:
-    end = pos + len(token)
-    if buf[pos:end] != token:
-        raise _Bad(f"expected {token!r} at byte {pos}, found {buf[pos:end]!r}")
-    return end
+# One token header per match: ``s:<len>:`` / ``a:<count>:`` (group 1, 2),
+# ``i:<n>;`` / ``d:<x>;`` / ``b:<n>;`` (group 3, 4), or ``N;`` (group 5).
+# Type letters are case-insensitive below the top level.
+_TOKEN = re.compile(rb"([sa]):([^:]*):|([idb]):([^;]*);|(n);", re.IGNORECASE)
+_QUOTE, _SEMI, _OPEN, _CLOSE = 0x22, 0x3B, 0x7B, 0x7D
 
 
-def _until(buf: bytes, pos: int, delim: int) -> tuple[bytes, int]:
-    end = buf.find(delim, pos)
-    if end < 0:
-        raise _Bad("unexpected end of input")
-    return buf[pos:end], end + 1
+_match = _TOKEN.match
 
 
 def _parse(buf: bytes, pos: int, depth: int):
     """Parse one value at ``pos``; return (value, next position)."""
-    op = buf[pos:pos + 1].lower()
-    pos += 1
-    if op == b"n":
-        return None, _expect(buf, pos, b";")
-    if op in (b"i", b"d", b"b"):
-        pos = _expect(buf, pos, b":")
-        raw, pos = _until(buf, pos, 0x3B)  # ';'
-        if op == b"i":
-            return int(raw), pos
-        if op == b"d":
-            return float(raw), pos
-        return int(raw) != 0, pos
-    if op == b"s":
-        pos = _expect(buf, pos, b":")
-        raw, pos = _until(buf, pos, 0x3A)  # ':'
-        size = int(raw)
-        pos = _expect(buf, pos, b'"')
-        if size < 0 or pos + size > len(buf):
+    m = _match(buf, pos)
+    if m is None:
+        if buf[pos:pos + 1] in (b"O", b"o"):
+            raise _Bad("objects are not supported")
+        raise _Bad(f"malformed value at byte {pos}")
+    end = m.end()
+    kind = m.lastindex  # 2: s/a header, 4: i/d/b scalar, 5: null
+    if kind == 4:
+        op, raw = m.group(3, 4)
+        if op in b"iI":
+            return int(raw), end
+        if op in b"dD":
+            return float(raw), end
+        return int(raw) != 0, end
+    if kind == 5:
+        return None, end
+    op, raw = m.group(1, 2)
+    size = int(raw)
+    if op in b"sS":
+        stop = end + 1 + size
+        if size < 0 or stop + 2 > len(buf):
             raise _Bad(f"string length {size} out of range")
-        data = buf[pos:pos + size]
-        pos = _expect(buf, pos + size, b'"')
-        return data, _expect(buf, pos, b";")
-    if op == b"a":
-        if depth >= MAX_DEPTH:
-            raise _Bad("nesting too deep")
-        pos = _expect(buf, pos, b":")
-        raw, pos = _until(buf, pos, 0x3A)
-        count = int(raw)
-        pos = _expect(buf, pos, b"{")
-        out: dict = {}
-        for _ in range(max(count, 0)):
-            key, pos = _parse(buf, pos, depth + 1)
-            val, pos = _parse(buf, pos, depth + 1)
-            out[key] = val  # an unhashable key (an array) raises TypeError → error object
-        return out, _expect(buf, pos, b"}")
-    if op == b"o":
-        raise _Bad("objects are not supported")
-    raise _Bad(f"unexpected type marker {op!r}")
-
-
-def _as_text(value):
-    """Decode bytes (values and map keys) to str; a failing subtree becomes KEY_ERROR."""
-    if isinstance(value, bytes):
-        try:
-            return value.decode("utf-8")
-        except UnicodeDecodeError:
-            return dict(KEY_ERROR)
-    if isinstance(value, dict):
-        out = {}
-        for k, v in value.items():
-            if isinstance(k, bytes):
-                try:
-                    k = k.decode("utf-8")
-                except UnicodeDecodeError:
-                    return dict(KEY_ERROR)
-            out[k] = _as_text(v)
-        return out
-    return value
+        if buf[end] != _QUOTE or buf[stop] != _QUOTE or buf[stop + 1] != _SEMI:
+            raise _Bad(f"string of length {size} at byte {pos} is not delimited")
+        # The slice sits between two ASCII quotes, i.e. on character
+        # boundaries of the (valid) UTF-8 input, so it always decodes.
+        return buf[end + 1:stop].decode("utf-8"), stop + 2
+    if depth >= MAX_DEPTH:
+        raise _Bad("nesting too deep")
+    if end >= len(buf) or buf[end] != _OPEN:
+        raise _Bad(f"expected '{{' at byte {end}")
+    pos = end + 1
+    out: dict = {}
+    depth += 1
+    for _ in range(size):
+        key, pos = _parse(buf, pos, depth)
+        out[key], pos = _parse(buf, pos, depth)  # an unhashable key (an array) raises TypeError
+    if pos >= len(buf) or buf[pos] != _CLOSE:
+        raise _Bad(f"expected '}}' at byte {pos}")
+    return out, pos + 1
 
 
 def _finite(value):
@@ -129,7 +108,7 @@ def _finite(value):
 def decode(text: str):
     """Parse serialized text into Python values (str keys/values). Raises on failure."""
     value, _ = _parse(text.encode("utf-8"), 0, 0)
-    return _as_text(value)
+    return value
 
 
 def php_to_json(text: str | None, strict_json: bool = False) -> str:
