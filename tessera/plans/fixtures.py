@@ -177,3 +177,12 @@ def small_files(spark: SparkSession, sf_dir: str, n_files: int = 200) -> str:
         table(spark, sf_dir, "orders").repartition(n_files).write.parquet(root)
         return root
     return _memo(spark, sf_dir, f"small_files_{n_files}", build)
+
+
+def document_files(spark: SparkSession, sf_dir: str) -> str:
+    """Every document's text as a line of a text file under ``lang=<lang>/``."""
+    def build():
+        root = scratch_path(spark, "document_files")
+        table(spark, sf_dir, "documents").select("text", "lang").write.partitionBy("lang").text(root)
+        return root
+    return _memo(spark, sf_dir, "document_files", build)

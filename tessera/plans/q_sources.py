@@ -7,14 +7,14 @@ import uuid
 from pyspark.sql import functions as F
 
 from tessera.operators.inspect import preview
-from tessera.plans.fixtures import inventory, small_files
+from tessera.plans.fixtures import document_files, inventory, small_files
 from tessera.plans.registry import register, table
 from tessera.session import scratch_path
 from tessera.sinks.files import write_manifest
 from tessera.sinks.tables import create_table_as, ensure_database
 from tessera.sources.catalog import read_table
 from tessera.sources.files import read_lines, read_parquet_tree
-from tessera.sources.inventory import cold_object_keys, keys_by_prefix
+from tessera.sources.inventory import cold_object_keys, keys_by_prefix, list_objects
 
 SCRATCH_DB = "tessera_scratch"
 
@@ -81,3 +81,15 @@ def manifest_roundtrip(spark, sf_dir):
 @register("preview_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
 def preview_limit(spark, sf_dir):
     return preview(table(spark, sf_dir, "orders"), 5, order_by=["o_orderkey"])
+
+
+@register("list_objects_bytes", """
+SELECT lang, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY lang
+""")
+def list_objects_bytes(spark, sf_dir):
+    # No inventory: list the objects themselves (metadata only, file contents
+    # are never read) and total their sizes per folder.
+    root = document_files(spark, sf_dir)
+    listing = list_objects(spark, root)
+    lang = F.regexp_extract("key", r"/lang=([^/]+)/", 1)
+    return listing.groupBy(lang.alias("lang")).agg(F.sum("size").cast("bigint").alias("n_bytes"))

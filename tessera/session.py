@@ -47,12 +47,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; set one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = getattr(spark, "sparkContext", None) if not root else None
+    if not root and context is not None:
+        try:
+            root = context.getCheckpointDir()
+        except Exception:  # noqa: BLE001 — a remote session has no context
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        if context is not None:
+            context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

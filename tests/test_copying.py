@@ -88,3 +88,15 @@ def test_copy_duplicate_source_keys_leave_table_unchanged(spark, tmp_base):
                      name, "k", order_by="ts", location=tmp_base)
     assert res.copied == 2
     assert rows(spark.table(name)) == [(1, "a", None), (2, "c", 2)]
+
+
+def test_upserted_keys_unique_and_restore_equals_source(spark, tmp_base):
+    ensure_database(spark, "t_copy")
+    name = "t_copy.u_" + tmp_base.rsplit("-", 1)[-1]
+    c = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    copy_table(spark, c.where("c_mktsegment <> 'BUILDING'"), name, "c_custkey", location=tmp_base)
+    copy_table(spark, c.where("c_mktsegment IN ('BUILDING', 'MACHINERY')"), name, "c_custkey", location=tmp_base)
+    out = spark.table(name)
+    assert out.count() == out.select("c_custkey").distinct().count() == c.count()
+    snapshot_tables(spark, {"customer": c}, tmp_base, "s")
+    assert rows(restore_snapshot(spark, tmp_base, "s", "cust*")["customer"]) == rows(c)
