@@ -107,8 +107,10 @@ def php_to_json_passthrough(spark, sf_dir):
 
 
 @register("php_to_json_error", """
-SELECT c_custkey, form, true AS is_error
-FROM customer, (VALUES ('truncated'), ('object'), ('bad_length'), ('looks_serialized')) AS f(form)
+SELECT c_custkey, 'truncated' AS form, true AS is_error FROM customer
+UNION ALL SELECT c_custkey, 'object', true FROM customer
+UNION ALL SELECT c_custkey, 'bad_length', true FROM customer
+UNION ALL SELECT c_custkey, 'looks_serialized', true FROM customer
 """)
 def php_to_json_error(spark, sf_dir):
     # Every failure replaces the value with a one-key {"error": …} object.
