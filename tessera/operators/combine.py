@@ -109,7 +109,7 @@ def combine_tables(tables: Mapping[str, DataFrame], tag_col: str = "source_table
 
 def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_col: str = "source_table",
                            on_conflict: str = "string", plan: str = "auto",
-                           partition_levels: int = 0) -> DataFrame:
+                           partition_levels: int = 0, schema: StructType | None = None) -> DataFrame:
     """Combine Parquet table roots (name → directory), tagging rows by table.
 
     ``plan="scan"`` reads all roots in one scan with an explicit merged schema
@@ -118,9 +118,20 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
     ``"fold"`` reads each root separately and unions by name. ``"auto"``
     picks the scan for many tables without type conflicts. Both give the same
     rows and the same column order.
+
+    With a known ``schema`` (the combined data columns, in order) no table is
+    inspected at all: one listing, one scan, missing columns null-filled.
     """
     if not roots:
         raise ValueError("no tables to combine")
+    if schema is not None:
+        scan = tag_from_path(read_parquet_tree(spark, list(roots.values()), schema=schema), roots, tag_col)
+        parts = [path_segment(_depth(plain_path(r)) + i) for r in list(roots.values())[:1]
+                 for i in range(partition_levels)]
+        if partition_levels and len({_depth(plain_path(r)) for r in roots.values()}) != 1:
+            raise ValueError("partition levels with a given schema need roots of one depth")
+        return scan.select(*[F.col(f"`{f.name}`") for f in schema.fields],
+                           *[p.alias(f"partition_{i}") for i, p in enumerate(parts)], tag_col)
     # One listing + footer read per table, overlapped on a few driver threads.
     frames = run_parallel(lambda root: read_parquet_tree(spark, root), roots.values(), max_workers=16)
     raw = dict(zip(roots, frames))

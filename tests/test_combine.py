@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from conftest import SMALL, rows
 from tessera.operators.align import SchemaConflict
@@ -142,3 +143,13 @@ def test_filter_reaches_every_branch_scan(spark):
     plan = union_tagged(list(t.items())).where("id < 10")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(c_custkey), LessThan(c_custkey,10)]" in plan
     assert "PushedFilters: [IsNotNull(s_suppkey), LessThan(s_suppkey,10)]" in plan
+
+
+def test_known_schema_skips_inference(spark, tmp_base):
+    roots = _write_tables(spark, tmp_base, 6)
+    fold = combine_parquet_tables(spark, roots, plan="fold", partition_levels=1)
+    schema = spark.read.parquet(f"{SMALL}/orders.parquet").schema.add("extra", IntegerType())
+    given = combine_parquet_tables(spark, roots, partition_levels=1, schema=schema)
+    cols = sorted(fold.columns)
+    assert sorted(given.columns) == cols
+    assert rows(given.select(cols)) == rows(fold.select(cols))
