@@ -14,6 +14,7 @@ under the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
@@ -24,6 +25,13 @@ from tessera.session import checkpoint_root
 from tessera.sources.files import read_parquet_tree, with_path_partitions
 
 
+def default_checkpoint(spark: SparkSession, sink_path: str) -> str:
+    """One checkpoint per sink: the same sink resumes, two sinks never share."""
+    digest = hashlib.sha1(sink_path.rstrip("/").encode()).hexdigest()[:16]
+    name = sink_path.rstrip("/").rsplit("/", 1)[-1]
+    return f"{checkpoint_root(spark)}/tessera/streams/{name}-{digest}"
+
+
 def incremental_combine(spark: SparkSession, roots: Mapping[str, str], sink_path: str,
                         checkpoint: str | None = None, tag_col: str = "source_table",
                         partition_levels: int = 0, on_conflict: str = "string",
@@ -41,7 +49,7 @@ def incremental_combine(spark: SparkSession, roots: Mapping[str, str], sink_path
             df = with_path_partitions(df, root, partition_levels)
         frames.append(tag(df, name, tag_col, "last"))
     combined = union_by_name(frames, allow_missing=True, on_conflict=on_conflict)
-    ckpt = checkpoint or f"{checkpoint_root(spark)}/tessera/streams/{sink_path.rstrip('/').rsplit('/', 1)[-1]}"
+    ckpt = checkpoint or default_checkpoint(spark, sink_path)
     writer = (combined.writeStream.format("parquet").option("path", sink_path)
               .option("checkpointLocation", ckpt).outputMode("append"))
     if query_name:
