@@ -186,3 +186,18 @@ def document_files(spark: SparkSession, sf_dir: str) -> str:
         table(spark, sf_dir, "documents").select("text", "lang").write.partitionBy("lang").text(root)
         return root
     return _memo(spark, sf_dir, "document_files", build)
+
+
+def monthly_tenants(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Many tenant tables: ``orders`` split by order month, one write.
+
+    ``base/ym=<yyyymm>/part-*`` → table ``shop_<yyyymm>_order`` (about 80
+    tables). The month is a directory, not a data column.
+    """
+    def build():
+        base = scratch_path(spark, "monthly")
+        orders = table(spark, sf_dir, "orders")
+        orders.withColumn("ym", F.date_format("o_orderdate", "yyyyMM")).write.partitionBy("ym").parquet(base)
+        months = [r.ym for r in spark.read.parquet(base).select("ym").distinct().collect()]
+        return {f"shop_{m}_order": f"{base}/ym={m}" for m in sorted(months)}
+    return _memo(spark, sf_dir, "monthly_tenants", build)

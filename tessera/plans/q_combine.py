@@ -152,3 +152,28 @@ def combine_catalog_suffix(spark, sf_dir):
     for name, root in drift_tenants(spark, sf_dir).items():
         spark.catalog.createTable(f"{db}.{name}", path=root, source="parquet")
     return combine_by_suffix(tables_by_suffix(spark, db, "_order"), {"_order": "combined_order"})["combined_order"]
+
+
+_MONTHLY_ORACLE = """
+SELECT 'shop_' || strftime(o_orderdate, '%Y%m') || '_order' AS source_table, count(*) AS n_rows,
+       CAST(sum(o_custkey) AS BIGINT) AS custkey_sum
+FROM orders GROUP BY 1
+"""
+
+
+@register("combine_many_tables", _MONTHLY_ORACLE)
+def combine_many_tables(spark, sf_dir):
+    # ~80 tenant tables: the automatic plan is one multi-root scan.
+    from tessera.plans.fixtures import monthly_tenants
+    combined = combine_parquet_tables(spark, monthly_tenants(spark, sf_dir))
+    return combined.groupBy("source_table").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                F.sum("o_custkey").cast("bigint").alias("custkey_sum"))
+
+
+@register("combine_many_tables_fold", _MONTHLY_ORACLE)
+def combine_many_tables_fold(spark, sf_dir):
+    # The same tables through the per-table fold (one scan per table).
+    from tessera.plans.fixtures import monthly_tenants
+    combined = combine_parquet_tables(spark, monthly_tenants(spark, sf_dir), plan="fold")
+    return combined.groupBy("source_table").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                F.sum("o_custkey").cast("bigint").alias("custkey_sum"))
