@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from tessera.operators.align import align, column_types, union_column_order
 from tessera.session import run_parallel
-from tessera.sources.files import (_depth, path_segment, plain_path, read_parquet_tree, tag_from_path,
+from tessera.sources.files import (path_depth, path_segment, read_parquet_tree, tag_from_path,
                                    with_path_partitions)
 
 log = logging.getLogger(__name__)
@@ -126,12 +126,8 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
         raise ValueError("no tables to combine")
     if schema is not None:
         scan = tag_from_path(read_parquet_tree(spark, list(roots.values()), schema=schema), roots, tag_col)
-        parts = [path_segment(_depth(plain_path(r)) + i) for r in list(roots.values())[:1]
-                 for i in range(partition_levels)]
-        if partition_levels and len({_depth(plain_path(r)) for r in roots.values()}) != 1:
-            raise ValueError("partition levels with a given schema need roots of one depth")
         return scan.select(*[F.col(f"`{f.name}`") for f in schema.fields],
-                           *[p.alias(f"partition_{i}") for i, p in enumerate(parts)], tag_col)
+                           *_partition_columns(roots, tag_col, partition_levels), tag_col)
     # One listing + footer read per table, overlapped on a few driver threads.
     frames = run_parallel(lambda root: read_parquet_tree(spark, root), roots.values(), max_workers=16)
     raw = dict(zip(roots, frames))
@@ -162,24 +158,26 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
     schema = StructType([fields[c.lower()] for c in order if c.lower() not in derived])
     scan = read_parquet_tree(spark, list(roots.values()), schema=schema)
     scan = tag_from_path(scan, roots, tag_col)
-    if partition_levels:
-        depths = {_depth(plain_path(r)) for r in roots.values()}
-        parts = []
-        for i in range(partition_levels):
-            if len(depths) == 1:
-                expr = path_segment(next(iter(depths)) + i)
-            else:
-                # Roots of different depths: pick the level below each row's own root.
-                expr = None
-                for name, root in roots.items():
-                    cond = F.col(tag_col) == name
-                    seg = path_segment(_depth(plain_path(root)) + i)
-                    expr = F.when(cond, seg) if expr is None else expr.when(cond, seg)
-            parts.append(expr.alias(f"partition_{i}"))
-        scan = scan.select("*", *parts)
+    scan = scan.select("*", *_partition_columns(roots, tag_col, partition_levels))
     return scan.select(*[F.col(f"`{c}`") for c in order])
 
 
+def _partition_columns(roots: Mapping[str, str], tag_col: str, levels: int) -> list:
+    """``partition_0…`` for a multi-root scan: the levels below each row's own root."""
+    depths = {path_depth(r) for r in roots.values()}
+    cols = []
+    for i in range(levels):
+        if len(depths) == 1:
+            expr = path_segment(next(iter(depths)) + i)
+        else:
+            expr = None
+            for name, root in roots.items():
+                cond, seg = F.col(tag_col) == name, path_segment(path_depth(root) + i)
+                expr = F.when(cond, seg) if expr is None else expr.when(cond, seg)
+        cols.append(expr.alias(f"partition_{i}"))
+    return cols
+
+
 def combine_by_suffix(tables: Mapping[str, DataFrame], suffixes: Mapping[str, str],
                       columns: Mapping[str, Sequence[str]] | None = None, tag_col: str = "source_table",
                       on_conflict: str = "string") -> dict[str, DataFrame]:

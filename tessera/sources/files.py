@@ -65,7 +65,9 @@ def path_segment(index: int) -> Column:
     return F.when(seg != "", _decode(seg))
 
 
-def _depth(plain: str) -> int:
+def path_depth(path: str) -> int:
+    """Number of directory levels of a root: ``/a/b`` → 2."""
+    plain = plain_path(path)
     return 0 if plain == "/" else plain.count("/")
 
 
@@ -76,7 +78,7 @@ def with_path_partitions(df: DataFrame, root: str, levels: int = 1,
     A file directly under ``root`` (or with fewer levels) gets nulls, as a
     crawler assigns no partition value to it.
     """
-    depth = _depth(plain_path(root))
+    depth = path_depth(root)
     out = df
     for i in range(levels):
         out = out.withColumn(f"{prefix}{i}", path_segment(depth + i))
@@ -95,7 +97,7 @@ def tag_from_path(df: DataFrame, roots: Mapping[str, str], tag_col: str) -> Data
        caller already holds in driver memory as the ``roots`` mapping.
     """
     plain = {name: plain_path(r) for name, r in roots.items()}
-    depths = {_depth(p) for p in plain.values()}
+    depths = {path_depth(p) for p in plain.values()}
     if len(depths) == 1 and all(p.rsplit("/", 1)[-1] == n for n, p in plain.items()):
         return df.withColumn(tag_col, path_segment(depths.pop() - 1))
     path = decoded_file_path()
