@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 from tessera.session import scoped_conf
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
+_SCHEME_OPT = r"^([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?)?"
 
 
 def read_parquet_tree(spark: SparkSession, paths: str | Sequence[str],
@@ -60,8 +61,8 @@ def path_segment(index: int) -> Column:
     only; null when the file sits above that level. The file name itself is
     never a directory segment.
     """
-    pattern = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?)?(?:/[^/]*){%d}/([^/]+)/" % index
-    seg = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    pattern = _SCHEME_OPT + r"(?:/[^/]*){%d}/([^/]+)/" % index
+    seg = F.regexp_extract(F.col("_metadata.file_path"), pattern, 2)
     return F.when(seg != "", _decode(seg))
 
 
@@ -100,8 +101,8 @@ def tag_from_path(df: DataFrame, roots: Mapping[str, str], tag_col: str) -> Data
     depths = {path_depth(p) for p in plain.values()}
     if len(depths) == 1 and all(p.rsplit("/", 1)[-1] == n for n, p in plain.items()):
         return df.withColumn(tag_col, path_segment(depths.pop() - 1))
-    path = decoded_file_path()
     if len(plain) <= 32 or len(depths) != 1:
+        path = decoded_file_path()
         expr = None
         for name, p in sorted(plain.items(), key=lambda kv: -len(kv[1])):
             cond = path.startswith(p.rstrip("/") + "/")
@@ -110,7 +111,9 @@ def tag_from_path(df: DataFrame, roots: Mapping[str, str], tag_col: str) -> Data
     depth = depths.pop()
     spark = df.sparkSession
     lookup = spark.createDataFrame([(p, n) for n, p in plain.items()], f"_root string, `{tag_col}` string")
-    key = F.regexp_extract(path, r"^((?:/[^/]*){%d})/" % depth, 1)
+    # Cut the root-depth prefix out of the encoded path, then decode just that.
+    prefix = F.regexp_extract(F.col("_metadata.file_path"), _SCHEME_OPT + r"((?:/[^/]*){%d})/" % depth, 2)
+    key = _decode(prefix)
     return (df.withColumn("_root", key)
               .join(F.broadcast(lookup), "_root", "left")
               .drop("_root"))

@@ -153,3 +153,13 @@ def test_known_schema_skips_inference(spark, tmp_base):
     cols = sorted(fold.columns)
     assert sorted(given.columns) == cols
     assert rows(given.select(cols)) == rows(fold.select(cols))
+
+
+def test_many_roots_with_awkward_names_use_lookup_join(spark, tmp_base):
+    spark.range(40 * 3).selectExpr("id", "CAST(id % 40 AS INT) AS t").write.partitionBy("t").parquet(
+        f"{tmp_base}/d x+%")
+    roots = {f"table {i:02d}": f"{tmp_base}/d x+%/t={i}" for i in range(40)}
+    out = combine_parquet_tables(spark, roots, plan="scan")
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.source_table, r["count"]) for r in out.groupBy("source_table").count().collect()}
+    assert got == {(f"table {i:02d}", 3) for i in range(40)}
