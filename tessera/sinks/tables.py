@@ -6,8 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{loc}")
+    """Create ``db`` if missing; ``location`` defaults to the shared checkpoint folder.
+
+    (Without a location Spark would put the database under the warehouse
+    folder, by default ``./spark-warehouse`` of the driver's working directory.)
+    """
+    if location is None:
+        from tessera.session import checkpoint_root
+        location = f"{checkpoint_root(spark)}/tessera/warehouse/{db}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{location}'")
 
 
 def create_table_as(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet",
