@@ -177,3 +177,23 @@ def combine_many_tables_fold(spark, sf_dir):
     combined = combine_parquet_tables(spark, monthly_tenants(spark, sf_dir), plan="fold")
     return combined.groupBy("source_table").agg(F.count(F.lit(1)).alias("n_rows"),
                                                 F.sum("o_custkey").cast("bigint").alias("custkey_sum"))
+
+
+@register("combine_job_report", """
+SELECT '_order' AS suffix, 'combined_order' AS output_table, CAST(3 AS BIGINT) AS n_tables,
+       count(*) AS n_rows, 'written' AS status FROM orders
+UNION ALL
+SELECT '_order_totals', 'combined_order_totals', 1, count(*), 'written' FROM orders WHERE o_orderstatus = 'P'
+UNION ALL
+SELECT '_conf', 'combined_conf', 0, 0, 'no match'
+""")
+def combine_job_report(spark, sf_dir):
+    # The whole combine job over tenant roots: per suffix, combine, write
+    # size-based Parquet, report tables and observed rows; a suffix with no
+    # tables is reported, not an error.
+    from tessera.plans.consolidation import consolidate_by_suffix
+    from tessera.session import scratch_path
+    return consolidate_by_suffix(
+        spark, drift_tenants(spark, sf_dir),
+        {"_order": "combined_order", "_order_totals": "combined_order_totals", "_conf": "combined_conf"},
+        scratch_path(spark, "combined"))
