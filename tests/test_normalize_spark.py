@@ -53,3 +53,20 @@ def test_udf_argument_is_gated(spark):
     df = normalize_column(_frame(spark, ["plain", "i:1;", 'a:1:{i:0;N;}']), "value")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "CASE WHEN" in plan
+
+
+def test_native_fast_paths_match_python_on_fuzzed_text(spark):
+    # Strings close to the natively handled forms (N;, i:<n>;, b:<n>;):
+    # whatever path a value takes, the result equals the Python rule.
+    import random
+    rng = random.Random(7)
+    alphabet = "ibdNsa:;-+0123456789 _{}\"é"
+    values = []
+    for _ in range(3000):
+        head = rng.choice(["i:", "b:", "N;", "d:", "s:", "a:", "I:", "n;", ""])
+        body = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 24)))
+        values.append(head + body)
+    values += [f"i:{'9' * n};" for n in range(15, 25)] + [f"b:{'-' if n % 2 else ''}{'0' * n};" for n in range(1, 20)]
+    out = normalize_column(_frame(spark, values), "value").orderBy("id").collect()
+    for text, row in zip(values, out):
+        assert row.value == php_to_json(text), text
