@@ -197,3 +197,47 @@ def combine_job_report(spark, sf_dir):
         spark, drift_tenants(spark, sf_dir),
         {"_order": "combined_order", "_order_totals": "combined_order_totals", "_conf": "combined_conf"},
         scratch_path(spark, "combined"))
+
+
+# A CTAS written the way the reference's SQL files are (quoted identifiers,
+# inline comments, trailing ';'); {db} is filled in per run.
+ATHENA_STYLE_CTAS = """
+CREATE TABLE "{db}"."combined_orders" AS --the combined table
+SELECT
+    'ota' AS source, --where the row came from
+    o_orderkey,
+    o_custkey,
+    o_orderdate
+FROM
+    "{db}"."shop_p_order"
+
+UNION ALL
+
+SELECT 'learning' AS source, o_orderkey, o_custkey, o_orderdate
+FROM "{db}"."shop_f_order"
+
+UNION ALL
+
+SELECT 'order' AS source, o_orderkey, o_custkey, o_orderdate
+FROM "{db}"."shop_o_order"; --end of statement
+"""
+
+
+@register("sql_ctas_union", """
+SELECT CASE o_orderstatus WHEN 'P' THEN 'ota' WHEN 'F' THEN 'learning' ELSE 'order' END AS source,
+       o_orderkey, o_custkey, o_orderdate
+FROM orders
+""")
+def sql_ctas_union(spark, sf_dir):
+    # The SQL route: tenant tables in a catalog database, then the CTAS text
+    # run by Spark SQL itself, then a quoted-identifier SELECT.
+    import uuid
+
+    from tessera.plans.sql import run_statement
+    from tessera.sinks.tables import ensure_database
+    db = f"tessera_sql_{uuid.uuid4().hex[:10]}"
+    ensure_database(spark, db)
+    for name, root in drift_tenants(spark, sf_dir).items():
+        spark.catalog.createTable(f"{db}.{name}", path=root, source="parquet")
+    run_statement(spark, ATHENA_STYLE_CTAS.format(db=db))
+    return run_statement(spark, f'SELECT * FROM "{db}"."combined_orders"')
