@@ -112,15 +112,53 @@ class CopyResult:
     rejected: int
 
 
+def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """``(buckets, columns)`` of a bucketed catalog table, else None."""
+    rows = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if "Num Buckets" not in rows:
+        return None
+    cols = [c.strip().strip("`") for c in rows.get("Bucket Columns", "").strip("[]").split(",") if c.strip()]
+    return int(rows["Num Buckets"]), cols
+
+
+def _write_generation(spark: SparkSession, df: DataFrame, table: str, path: str,
+                      spec: tuple[int, list[str]] | None, exists: bool) -> None:
+    """Write one generation of ``table`` at ``path`` (bucketed when ``spec``)."""
+    if spec is None:
+        df.write.mode("errorifexists").parquet(path)
+        return
+    n, cols = spec
+    writer = lambda d: d.write.mode("errorifexists").bucketBy(n, *cols).option("path", path).format("parquet")
+    if not exists:
+        # A first copy creates the table itself, spread by key once so each
+        # task writes one bucket.
+        writer(df.repartition(n, *cols)).saveAsTable(table)
+        return
+    # Bucketed files can only be written through a table: write under a
+    # throw-away external name, drop that entry (external: the files stay),
+    # and let the caller repoint the real table at the files.
+    staging = f"{table}__gen_{uuid.uuid4().hex[:8]}"
+    writer(df).saveAsTable(staging)
+    spark.sql(f"DROP TABLE {staging}")
+
+
 def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: str | Sequence[str],
                checks: Mapping[str, Column] | None = None, order_by: str | None = None,
-               location: str | None = None) -> CopyResult:
+               location: str | None = None, buckets: int | None = None) -> CopyResult:
     """Copy ``source`` into catalog table ``target_table`` (created if absent).
 
     Steps: split source rows into writable / rejected (with a reason), upsert
     the writable ones against the current target, write the new generation
     to a fresh directory, then point the table at it. Rejects are written
     beside it. ``copied``/``rejected`` come from observations on the writes.
+
+    ``buckets`` (first copy only) buckets the table by its key, as a keyed
+    store partitions items by hash key. Every later copy then reads the
+    target already partitioned by key: the anti join shuffles only the
+    source's keys, never the target, and the new generation is written with
+    the same bucket spec. Use at least ``spark.sql.shuffle.partitions``
+    buckets: with fewer, Spark re-shuffles the bucketed side to keep the
+    join's parallelism.
     """
     reason = validity_reason(key, checks)
     flagged = source.withColumn("_reason", reason)
@@ -144,8 +182,9 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
         # columns only, partially aggregated.
         assert_unique(good_rows, key)
         new = good
+    spec = bucket_spec(spark, target_table) if exists else ((buckets, _keys(key)) if buckets else None)
     with scoped_conf(spark, RUNTIME_BROADCAST_ONLY):
-        new.write.mode("errorifexists").parquet(gen)
+        _write_generation(spark, new, target_table, gen, spec, exists)
     if exists and not order_by and dup_obs.get.get("max_per_key", 0) > 1:
         raise DuplicateKeys(f"duplicate key in copy source for {target_table}; {gen} left unused")
     if exists:
@@ -156,7 +195,7 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
             spark.sql(f"ALTER TABLE {target_table} ADD COLUMNS ({cols})")
         spark.sql(f"REFRESH TABLE {target_table}")
-    else:
+    elif spec is None:
         spark.catalog.createTable(target_table, path=gen, source="parquet")
     bad.write.mode("errorifexists").parquet(rejects_path)
     return CopyResult(target_table, gen, rejects_path,

@@ -31,10 +31,14 @@ SELECT * FROM customer WHERE c_mktsegment IN ('HOUSEHOLD', 'FURNITURE')
 """)
 def copy_table_upsert(spark, sf_dir):
     # Existing target, then a keyed copy whose items replace same-key rows.
+    # The target is bucketed by key (as a keyed store partitions by hash
+    # key), so the upsert's anti join shuffles only the changed items.
     c = table(spark, sf_dir, "customer")
     name, path = scratch_table(spark, "customer_copy")
     target = f"{SCRATCH_DB}.{name}"
-    copy_table(spark, c.where(F.col("c_mktsegment").isin(*TARGET_SEGMENTS)), target, "c_custkey", location=path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    copy_table(spark, c.where(F.col("c_mktsegment").isin(*TARGET_SEGMENTS)), target, "c_custkey", location=path,
+               buckets=buckets)
     changed = (c.where(F.col("c_mktsegment").isin(*SOURCE_SEGMENTS))
                 .withColumn("c_acctbal", F.col("c_acctbal") + 1))
     copy_table(spark, changed, target, "c_custkey", location=path)

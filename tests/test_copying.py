@@ -100,3 +100,24 @@ def test_upserted_keys_unique_and_restore_equals_source(spark, tmp_base):
     assert out.count() == out.select("c_custkey").distinct().count() == c.count()
     snapshot_tables(spark, {"customer": c}, tmp_base, "s")
     assert rows(restore_snapshot(spark, tmp_base, "s", "cust*")["customer"]) == rows(c)
+
+
+def test_bucketed_target_is_never_shuffled(spark, tmp_base):
+    ensure_database(spark, "t_copy")
+    name = "t_copy.b_" + tmp_base.rsplit("-", 1)[-1]
+    c = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    copy_table(spark, c.where("c_mktsegment <> 'BUILDING'"), name, "c_custkey", location=tmp_base, buckets=n)
+    src = c.where("c_mktsegment IN ('BUILDING', 'MACHINERY')").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    from tessera.session import RUNTIME_BROADCAST_ONLY, scoped_conf
+    with scoped_conf(spark, RUNTIME_BROADCAST_ONLY):   # the settings copy_table writes under
+        plan = upsert(spark.table(name), src, "c_custkey", check_unique=False)._jdf.queryExecution().executedPlan()
+    scan_side = plan.toString().split("LeftAnti")[1].split("Exchange")[0]
+    assert "Bucketed: true" in scan_side      # the target reaches the join without an exchange
+    copy_table(spark, src, name, "c_custkey", location=tmp_base)
+    out = spark.table(name)
+    assert out.count() == out.select("c_custkey").distinct().count() == c.count()
+    assert rows(out.where("c_mktsegment = 'MACHINERY'")) == rows(
+        src.where("c_mktsegment = 'MACHINERY'"))
+    desc = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert desc.get("Num Buckets") == str(n)
