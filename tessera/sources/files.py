@@ -22,6 +22,9 @@ from pyspark.sql.types import StructType
 from tessera.session import scoped_conf
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
+# Up to this many table roots (~100 bytes each) the root → name lookup is
+# broadcast; beyond it the join is left to the planner (shuffled).
+MAX_BROADCAST_ROOTS = 100_000
 _SCHEME_OPT = r"^([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?)?"
 
 
@@ -93,9 +96,10 @@ def tag_from_path(df: DataFrame, roots: Mapping[str, str], tag_col: str) -> Data
     1. every name equals its directory's basename and all roots share one
        depth → the tag is one path segment;
     2. few roots → a ``CASE WHEN startswith`` chain, longest root first;
-    3. many roots of one depth → a broadcast hash join on the root-depth
-       prefix. The small side has one row per input table, a bound the
-       caller already holds in driver memory as the ``roots`` mapping.
+    3. many roots of one depth → a hash join on the root-depth prefix. The
+       small side has one row per input table (a bound the caller already
+       holds in driver memory as the ``roots`` mapping); it is broadcast up
+       to ``MAX_BROADCAST_ROOTS`` rows and shuffled beyond that.
     """
     plain = {name: plain_path(r) for name, r in roots.items()}
     depths = {path_depth(p) for p in plain.values()}
@@ -114,9 +118,8 @@ def tag_from_path(df: DataFrame, roots: Mapping[str, str], tag_col: str) -> Data
     # Cut the root-depth prefix out of the encoded path, then decode just that.
     prefix = F.regexp_extract(F.col("_metadata.file_path"), _SCHEME_OPT + r"((?:/[^/]*){%d})/" % depth, 2)
     key = _decode(prefix)
-    return (df.withColumn("_root", key)
-              .join(F.broadcast(lookup), "_root", "left")
-              .drop("_root"))
+    small = F.broadcast(lookup) if len(plain) <= MAX_BROADCAST_ROOTS else lookup
+    return df.withColumn("_root", key).join(small, "_root", "left").drop("_root")
 
 
 def packed_scan(spark: SparkSession, group_bytes: int, open_cost_bytes: int | None = None):
