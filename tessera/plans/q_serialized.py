@@ -143,3 +143,33 @@ def php_to_json_multibyte(spark, sf_dir):
     return out.select("doc_id", "lang", "n_chars",
                       (back_text.eqNullSafe(F.col("text")) & (back_lang == F.col("lang"))).alias("roundtrip_ok"),
                       (~F.col("value").rlike("[^\\x00-\\x7F]")).alias("ascii_only"))
+
+
+@register("php_job_json", """
+SELECT CASE o_orderstatus WHEN 'P' THEN 'ota_conf' WHEN 'F' THEN 'learning_conf' ELSE 'azama_conf' END AS source,
+       o_orderkey AS id, o_orderpriority AS name,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
+            THEN '{"custkey": ' || o_custkey || ', "status": "' || o_orderstatus || '"}'
+            ELSE lower(o_orderpriority) END AS value,
+       CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS INTEGER) AS serialize,
+       CAST(NULL AS VARCHAR) AS name_jp,
+       strftime(o_orderdate, '%Y-%m-%d') AS memo,
+       'export=' || year(o_orderdate) AS partition_0
+FROM orders
+""")
+def php_job_json(spark, sf_dir):
+    # The column job end to end: the combined conf table from the catalog →
+    # ``value`` normalised in place → JSON lines → read back with its schema.
+    from tessera.operators.combine import combine_parquet_tables
+    from tessera.plans.consolidation import CONF_COLUMNS
+    from tessera.plans.fixtures import conf_tenants
+    from tessera.plans.q_sources import SCRATCH_DB, scratch_table
+    from tessera.session import scratch_path
+    from tessera.sinks.files import write_json
+    from tessera.sinks.tables import create_table_as
+    name, path = scratch_table(spark, "combined_conf_raw")
+    combined = combine_parquet_tables(spark, conf_tenants(spark, sf_dir), tag_col="source", partition_levels=1)
+    conf = create_table_as(combined.select(*CONF_COLUMNS), f"{SCRATCH_DB}.{name}", path=path)
+    out = scratch_path(spark, "conf_json")
+    write_json(normalize_column(conf, "value"), out)
+    return spark.read.schema(conf.schema).json(out)
