@@ -28,8 +28,20 @@ _BOOL = r"^b:(-?[0-9]{1,18});"
 
 
 def _convert(batch: pd.Series, strict: bool) -> pd.Series:
-    return pd.Series([None if v is None else serialized_to_json(v, strict) for v in batch],
-                     index=batch.index, dtype=object)
+    # Serialized settings repeat (the same value in many rows and tenants):
+    # each distinct text is parsed once per Arrow batch. The memo lives only
+    # for the batch, which Spark caps at maxBytesPerBatch.
+    memo: dict[str, str] = {}
+    out = []
+    for v in batch:
+        if v is None:
+            out.append(None)
+            continue
+        r = memo.get(v)
+        if r is None:
+            r = memo[v] = serialized_to_json(v, strict)
+        out.append(r)
+    return pd.Series(out, index=batch.index, dtype=object)
 
 
 @F.pandas_udf(StringType())
