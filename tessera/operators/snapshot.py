@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,23 +24,44 @@ from tessera.session import run_parallel
 MANIFEST = "_manifest"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists (the data source resolves paths when loading)."""
+    try:
+        spark.read.format("text").load(path)
+        return True
+    except AnalysisException:
+        return False
+
+
 def snapshot_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, name: str,
                     max_workers: int = 4) -> DataFrame:
-    """Write each table under ``base/name/``; fail if the snapshot exists.
+    """Write each table under ``base/name/``.
 
-    Tables are written concurrently (``max_workers`` driver threads).
+    A finished snapshot (its manifest exists) is never overwritten. An
+    unfinished one — the job or its driver died part-way — is resumed: tables
+    whose copy was committed (``_SUCCESS``) are kept and only counted, the
+    rest are (re)written. Tables are written concurrently on driver threads.
     """
+    root = f"{base.rstrip('/')}/{name}"
+    if _exists(spark, f"{root}/{MANIFEST}"):
+        raise FileExistsError(f"snapshot {name!r} already exists under {base}")
+
     def write_one(item):
         table_name, df = item
-        path = f"{base.rstrip('/')}/{name}/{table_name}"
-        obs = Observation()
-        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
-        return (name, table_name, path, int(obs.get["n"]), df.schema.json())
+        path = f"{root}/{table_name}"
+        if _exists(spark, f"{path}/_SUCCESS"):
+            n = spark.read.schema(df.schema).parquet(path).count()   # footers only
+        else:
+            obs = Observation()
+            df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+            n = obs.get["n"]
+        return (name, table_name, path, int(n), df.schema.json())
 
     rows = run_parallel(write_one, tables.items(), max_workers)
     manifest = spark.createDataFrame(rows, "snapshot string, table_name string, path string, "
                                            "n_rows bigint, schema_json string")
-    manifest.coalesce(1).write.mode("errorifexists").parquet(f"{base.rstrip('/')}/{name}/{MANIFEST}")
+    # Written last: its presence marks the snapshot finished.
+    manifest.coalesce(1).write.mode("errorifexists").parquet(f"{root}/{MANIFEST}")
     return manifest
 
 

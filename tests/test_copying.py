@@ -121,3 +121,13 @@ def test_bucketed_target_is_never_shuffled(spark, tmp_base):
         src.where("c_mktsegment = 'MACHINERY'"))
     desc = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
     assert desc.get("Num Buckets") == str(n)
+
+
+def test_snapshot_resumes_after_partial_run(spark, tmp_base):
+    t = {"a": spark.range(5).toDF("x"), "b": spark.range(3).toDF("y")}
+    # A previous run died after copying "a" only (and left debris for "b").
+    t["a"].write.parquet(f"{tmp_base}/s2/a")
+    spark.range(1).toDF("junk").write.parquet(f"{tmp_base}/s2/b/_temporary/0")
+    manifest = snapshot_tables(spark, t, tmp_base, "s2")
+    assert {r.table_name: r.n_rows for r in manifest.collect()} == {"a": 5, "b": 3}
+    assert rows(restore_snapshot(spark, tmp_base, "s2")["b"]) == rows(t["b"])
