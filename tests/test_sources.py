@@ -56,3 +56,28 @@ def test_index_projection_kinds(spark, tmp_base):
     assert rows(out) == [(10, "a", 1, 1.0)]
     desc = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
     assert desc.get("Num Buckets") == "4"
+
+
+def test_index_write_splits_a_hot_key(spark, tmp_base):
+    # A third of all rows share one hash key; REBALANCE lets AQE split that
+    # bucket over several tasks (several files of one bucket id).
+    import glob
+    import re as _re
+
+    from tessera.session import scoped_conf
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("h"),
+        F.col("id").alias("k"), F.lit("x" * 50).alias("pad"))
+    ensure_database(spark, "t_idx")
+    name = "t_idx.hot_" + tmp_base.rsplit("-", 1)[-1]
+    with scoped_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}):
+        out = write_index(df, IndexSpec("hot", "h", projection="ALL"), ["k"], name, buckets=8, path=f"{tmp_base}/i")
+    assert out.count() == 30000
+    hot_bucket = spark.sql("SELECT pmod(hash(CAST(7 AS BIGINT)), 8) AS b").first().b
+    files = glob.glob(f"{tmp_base}/i/*.parquet".replace("file:", ""))
+    per_bucket = {}
+    for f in files:
+        b = int(_re.search(r"_(\d{5})(?:\.c\d+)?\.[^/]*parquet$", f).group(1))
+        per_bucket[b] = per_bucket.get(b, 0) + 1
+    assert per_bucket[hot_bucket] > 1
