@@ -50,15 +50,17 @@ def conf_report(spark: SparkSession, table_name: str) -> DataFrame:
 
 def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixes: Mapping[str, str],
                           out_base: str, num_files: int | None = None, on_conflict: str = "string",
-                          tag_col: str = "source_table", plan: str = "auto") -> DataFrame:
+                          tag_col: str = "source_table", plan: str = "auto", on_error: str = "raise") -> DataFrame:
     """The combine job: for each ``suffix → output``, combine and write Parquet.
 
     Every matching root is combined (single scan or fold, see
     ``combine_parquet_tables``) and written to ``<out_base>/<output>`` —
     size-based files by default, or ``num_files``. A suffix without tables
-    is reported as ``no match`` and skipped; any other failure raises.
-    Returns ``suffix, output_table, n_tables, n_rows, status`` — row counts
-    observed during the writes, one report row per suffix.
+    is reported as ``no match`` and skipped. Any other failure raises, or
+    with ``on_error="report"`` is recorded as ``failed: <error>`` and the
+    remaining suffixes still run. Returns ``suffix, output_table, n_tables,
+    n_rows, status`` — row counts observed during the writes, one report row
+    per suffix.
     """
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
@@ -72,11 +74,16 @@ def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixe
         if not names:
             report.append((suffix, output, 0, 0, "no match"))
             continue
-        combined = combine_parquet_tables(spark, {n: roots[n] for n in names}, tag_col=tag_col,
-                                          on_conflict=on_conflict, plan=plan)
-        obs = Observation()
-        compact_write(combined.observe(obs, F.count(F.lit(1)).alias("n")),
-                      f"{out_base.rstrip('/')}/{output}", num_files=num_files)
-        report.append((suffix, output, len(names), int(obs.get["n"]), "written"))
+        try:
+            combined = combine_parquet_tables(spark, {n: roots[n] for n in names}, tag_col=tag_col,
+                                              on_conflict=on_conflict, plan=plan)
+            obs = Observation()
+            compact_write(combined.observe(obs, F.count(F.lit(1)).alias("n")),
+                          f"{out_base.rstrip('/')}/{output}", num_files=num_files)
+            report.append((suffix, output, len(names), int(obs.get["n"]), "written"))
+        except Exception as exc:  # noqa: BLE001 — reported per suffix when asked to
+            if on_error != "report":
+                raise
+            report.append((suffix, output, len(names), 0, f"failed: {type(exc).__name__}: {str(exc)[:200]}"))
     return spark.createDataFrame(report, "suffix string, output_table string, n_tables bigint, "
                                          "n_rows bigint, status string")

@@ -163,3 +163,19 @@ def test_many_roots_with_awkward_names_use_lookup_join(spark, tmp_base):
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     got = {(r.source_table, r["count"]) for r in out.groupBy("source_table").count().collect()}
     assert got == {(f"table {i:02d}", 3) for i in range(40)}
+
+
+def test_combine_job_reports_failures_when_asked(spark, tmp_base):
+    from tessera.operators.align import SchemaConflict
+    from tessera.plans.consolidation import consolidate_by_suffix
+    spark.createDataFrame([(1,)], "v int").write.parquet(f"{tmp_base}/in/a_x")
+    spark.createDataFrame([("z",)], "v string").write.parquet(f"{tmp_base}/in/b_x")
+    spark.createDataFrame([(2,)], "v int").write.parquet(f"{tmp_base}/in/a_y")
+    roots = {n: f"{tmp_base}/in/{n}" for n in ["a_x", "b_x", "a_y"]}
+    suffixes = {"_x": "all_x", "_y": "all_y", "_z": "all_z"}
+    with pytest.raises(SchemaConflict):
+        consolidate_by_suffix(spark, roots, suffixes, f"{tmp_base}/out1", on_conflict="fail")
+    report = {r.suffix: (r.n_tables, r.n_rows, r.status.split(":")[0])
+              for r in consolidate_by_suffix(spark, roots, suffixes, f"{tmp_base}/out2", on_conflict="fail",
+                                             on_error="report").collect()}
+    assert report == {"_x": (2, 0, "failed"), "_y": (1, 1, "written"), "_z": (0, 0, "no match")}
