@@ -64,7 +64,9 @@ def php_to_json_expr(col: Column | str, null_as_empty: bool = True, strict_json:
                      gate: Column | None = None) -> Column:
     """Column expression implementing the full per-value rule."""
     c = F.col(col) if isinstance(col, str) else col
-    gated = is_serialized(c) if gate is None else (is_serialized(c) & gate)
+    # A null flag means "not flagged": a null condition would fall through
+    # to the native branches below.
+    gated = is_serialized(c) if gate is None else (is_serialized(c) & F.coalesce(gate, F.lit(False)))
     native_null = c.startswith("N;")
     native_int = c.rlike(_INT)
     native_bool = c.rlike(_BOOL)

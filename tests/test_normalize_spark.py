@@ -33,10 +33,12 @@ def test_gate_is_case_sensitive(spark):
 
 
 def test_options(spark):
-    df = spark.createDataFrame([(1, "i:5;", 1), (2, "i:6;", 0), (3, None, 1)], "id int, value string, flag int")
+    df = spark.createDataFrame([(1, "i:5;", 1), (2, "i:6;", 0), (3, None, 1), (4, "N;", None), (5, "a:0:{}", None)],
+                               "id int, value string, flag int")
     out = normalize_column(df, "value", flag_col="flag", keep_original=True, null_as_empty=False)
     got = {r.id: (r.value, r.value_original) for r in out.collect()}
-    assert got == {1: ("5", "i:5;"), 2: ("i:6;", "i:6;"), 3: (None, None)}
+    assert got == {1: ("5", "i:5;"), 2: ("i:6;", "i:6;"), 3: (None, None), 4: ("N;", "N;"),
+                   5: ("a:0:{}", "a:0:{}")}
     assert out.columns == ["id", "value", "flag", "value_original"]
 
 
