@@ -45,7 +45,10 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str) -> Da
     """
     keys = _keys(key)
     rest = [c for c in df.columns if c not in keys]
-    packed = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(order_by)).alias("_row")
+    # Nulls in ``order_by`` rank lowest (instead of being skipped, which
+    # would turn a key whose rows all lack it into an all-null row).
+    rank = F.struct(F.col(order_by).isNotNull(), F.col(order_by))
+    packed = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), rank).alias("_row")
     return df.groupBy(*keys).agg(packed).select(*keys, "_row.*").select(*df.columns)
 
 
@@ -99,7 +102,7 @@ def validity_reason(key: str | Sequence[str], checks: Mapping[str, Column] | Non
         cond = F.col(k).isNull()
         expr = F.when(cond, F.lit(f"missing key {k}")) if expr is None else expr.when(cond, F.lit(f"missing key {k}"))
     for reason, failing in (checks or {}).items():
-        expr = expr.when(failing, F.lit(reason))
+        expr = expr.when(F.coalesce(failing, F.lit(False)), F.lit(reason))  # null: not failing
     return expr
 
 

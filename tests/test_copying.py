@@ -131,3 +131,8 @@ def test_snapshot_resumes_after_partial_run(spark, tmp_base):
     manifest = snapshot_tables(spark, t, tmp_base, "s2")
     assert {r.table_name: r.n_rows for r in manifest.collect()} == {"a": 5, "b": 3}
     assert rows(restore_snapshot(spark, tmp_base, "s2")["b"]) == rows(t["b"])
+
+
+def test_latest_per_key_with_null_order(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "b", 5), (2, "c", None)], "k int, v string, ts int")
+    assert rows(latest_per_key(df, "k", "ts")) == [(1, "b", 5), (2, "c", None)]
