@@ -201,3 +201,20 @@ def monthly_tenants(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         months = [r.ym for r in spark.read.parquet(base).select("ym").distinct().collect()]
         return {f"shop_{m}_order": f"{base}/ym={m}" for m in sorted(months)}
     return _memo(spark, sf_dir, "monthly_tenants", build)
+
+
+def customer_item_export_keyless(spark: SparkSession, sf_dir: str) -> str:
+    """Like ``customer_item_export``, but items with a negative balance lack
+    their ``id`` attribute (the key), as a broken export would."""
+    def build():
+        from tessera.sources.items import export_typed_items
+        base = scratch_path(spark, "item_export_keyless")
+        c = table(spark, sf_dir, "customer")
+        items = c.select(F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("id"),
+                         F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"),
+                         F.col("c_acctbal").alias("acctbal"),
+                         F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).alias("segment"),
+                         (F.col("c_acctbal") > 9000).alias("vip"))
+        export_typed_items(items, f"{base}/exports/02-customer/data", ITEM_ATTRIBUTES)
+        return base
+    return _memo(spark, sf_dir, "customer_item_export_keyless", build)
