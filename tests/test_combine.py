@@ -1,6 +1,8 @@
 """Unions, suffix matching, conflict policies, single-scan ≡ fold, path tags, plans."""
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -179,3 +181,27 @@ def test_combine_job_reports_failures_when_asked(spark, tmp_base):
               for r in consolidate_by_suffix(spark, roots, suffixes, f"{tmp_base}/out2", on_conflict="fail",
                                              on_error="report").collect()}
     assert report == {"_x": (2, 0, "failed"), "_y": (1, 1, "written"), "_z": (0, 0, "no match")}
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.sets(st.sampled_from(["a", "b", "c", "d"])), st.integers(0, 5), st.booleans()),
+                min_size=1, max_size=6))
+def test_fold_equals_scan_property(spark, tables):
+    # Random tenant tables: a random subset of a column pool (one type per
+    # name), 0-5 rows, files directly under the root or one level down.
+    import uuid as _uuid
+
+    from tessera.session import scratch_path
+    base = scratch_path(spark, "prop")
+    types = {"a": "int", "b": "string", "c": "double", "d": "boolean"}
+    roots = {}
+    for i, (cols, n, nested) in enumerate(tables):
+        cols = sorted(cols) or ["a"]
+        df = spark.range(n).selectExpr("id AS k", *[f"CAST(id AS {types[c]}) AS {c}" for c in cols])
+        name = f"t{i}_{_uuid.uuid4().hex[:4]}"
+        roots[name] = f"{base}/{name}"
+        df.write.parquet(roots[name] + ("/part one" if nested else ""))
+    fold = combine_parquet_tables(spark, roots, plan="fold")
+    scan = combine_parquet_tables(spark, roots, plan="scan")
+    assert fold.columns == scan.columns
+    assert rows(fold) == rows(scan)
