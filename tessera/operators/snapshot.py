@@ -15,24 +15,14 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import run_parallel
+from tessera.session import path_exists, run_parallel
 
 MANIFEST = "_manifest"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists (the data source resolves paths when loading)."""
-    try:
-        spark.read.format("text").load(path)
-        return True
-    except AnalysisException:
-        return False
-
-
 def snapshot_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, name: str,
                     max_workers: int = 4) -> DataFrame:
     """Write each table under ``base/name/``.
@@ -43,13 +33,13 @@ def snapshot_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base:
     rest are (re)written. Tables are written concurrently on driver threads.
     """
     root = f"{base.rstrip('/')}/{name}"
-    if _exists(spark, f"{root}/{MANIFEST}"):
+    if path_exists(spark, f"{root}/{MANIFEST}"):
         raise FileExistsError(f"snapshot {name!r} already exists under {base}")
 
     def write_one(item):
         table_name, df = item
         path = f"{root}/{table_name}"
-        if _exists(spark, f"{path}/_SUCCESS"):
+        if path_exists(spark, f"{path}/_SUCCESS"):
             n = spark.read.schema(df.schema).parquet(path).count()   # footers only
         else:
             obs = Observation()
