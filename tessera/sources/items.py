@@ -25,8 +25,10 @@ from pyspark.sql.types import (ArrayType, BooleanType, DecimalType, StringType,
 # The attribute type descriptors of the format.
 TYPE_CODES = ("S", "N", "B", "BOOL", "NULL", "M", "L", "SS", "NS", "BS")
 
+# ``N`` is read as its decimal text (up to 38 significant digits, any scale)
+# and cast to the caller's type, by default decimal(38,10).
 _READ_TYPES = {
-    "S": StringType(), "N": DecimalType(38, 10), "B": StringType(), "BOOL": BooleanType(),
+    "S": StringType(), "N": StringType(), "B": StringType(), "BOOL": BooleanType(),
     "NULL": BooleanType(), "SS": ArrayType(StringType()), "NS": ArrayType(StringType()),
     "BS": ArrayType(StringType()), "M": StringType(), "L": StringType(),
 }
@@ -52,6 +54,8 @@ def read_typed_items(spark: SparkSession, path: str, attributes: Mapping[str, st
         value = F.col("Item").getField(name).getField(code)
         if cast and name in cast:
             value = value.cast(cast[name])
+        elif code == "N":
+            value = value.cast(DecimalType(38, 10))
         cols.append(value.alias(name))
     return raw.select(*cols)
 

@@ -35,3 +35,13 @@ def test_raw_and_profile(spark, tmp_base):
     prof = {(r.attribute, r.type_code): r.n_items for r in profile_items(raw).collect()}
     assert prof == {("id", "S"): 2, ("n", "N"): 2, ("b", "BOOL"): 1, ("z", "NULL"): 1, ("tags", "SS"): 1,
                     ("m", "M"): 1, ("l", "L"): 1}
+
+
+def test_big_numbers_keep_their_digits(spark, tmp_base):
+    import os
+    d = os.path.join(tmp_base.replace("file:", ""), "x")
+    os.makedirs(d)
+    with open(os.path.join(d, "p.json"), "w") as f:
+        f.write('{"Item":{"n":{"N":"123456789012345678901234567890123"}}}\n')
+    df = read_typed_items(spark, tmp_base, {"n": "N"}, cast={"n": "decimal(38,0)"})
+    assert str(df.first().n) == "123456789012345678901234567890123"
