@@ -6,7 +6,7 @@ manifest table ``<base>/<snapshot>/_manifest`` with one row per table:
 ``Observation`` on each write, so a snapshot reads every table exactly once.
 
 Restore selects manifest rows with a comma-separated pattern list: ``*``
-wildcards, a leading ``-`` excludes (``"-.kibana*,-.opendistro-*"`` = all
+wildcards, a leading ``-`` excludes (``"-.system*,-.audit-*"`` = all
 but those), a name without wildcards selects that table only.
 """
 

@@ -201,7 +201,7 @@ def combine_job_report(spark, sf_dir):
 
 # A CTAS written the way the reference's SQL files are (quoted identifiers,
 # inline comments, trailing ';'); {db} is filled in per run.
-ATHENA_STYLE_CTAS = """
+TRINO_STYLE_CTAS = """
 CREATE TABLE "{db}"."combined_orders" AS --the combined table
 SELECT
     'ota' AS source, --where the row came from
@@ -239,5 +239,5 @@ def sql_ctas_union(spark, sf_dir):
     ensure_database(spark, db)
     for name, root in drift_tenants(spark, sf_dir).items():
         spark.catalog.createTable(f"{db}.{name}", path=root, source="parquet")
-    run_statement(spark, ATHENA_STYLE_CTAS.format(db=db))
+    run_statement(spark, TRINO_STYLE_CTAS.format(db=db))
     return run_statement(spark, f'SELECT * FROM "{db}"."combined_orders"')

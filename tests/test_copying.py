@@ -53,11 +53,11 @@ def test_copy_table_rejects_and_counts(spark, tmp_base):
 
 
 def test_pattern_filter(spark):
-    df = spark.createDataFrame([(n,) for n in [".kibana_1", ".opendistro_security", ".opendistro-x",
+    df = spark.createDataFrame([(n,) for n in [".system_1", ".security", ".audit-x",
                                                "my-index", "other"]], "table_name string")
     def pick(p):
         return sorted(r[0] for r in df.where(pattern_filter(p)).collect())
-    assert pick("-.kibana*,-.opendistro_security,-.opendistro-*") == ["my-index", "other"]
+    assert pick("-.system*,-.security,-.audit-*") == ["my-index", "other"]
     assert pick("my-index") == ["my-index"]
     assert pick("*") == sorted(r[0] for r in df.collect())
     assert pick("my*,-my-index") == []
