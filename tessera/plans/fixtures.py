@@ -136,7 +136,7 @@ def customer_item_export(spark: SparkSession, sf_dir: str) -> str:
 
 
 # Tenant ``conf`` tables and the order status each one holds.
-CONF_TENANTS = {"ota_conf": "P", "learning_conf": "F", "azama_conf": "O"}
+CONF_TENANTS = {"alpha_conf": "P", "beta_conf": "F", "gamma_conf": "O"}
 CONF_SERIALIZED_PRIORITIES = ("1-URGENT", "2-HIGH")
 
 

@@ -27,13 +27,13 @@ def union_all_tagged(spark, sf_dir):
 
 
 @register("union_same_table", """
-SELECT 'ota' AS source, r_regionkey, r_name FROM region
-UNION ALL SELECT 'learning' AS source, r_regionkey, r_name FROM region
+SELECT 'alpha' AS source, r_regionkey, r_name FROM region
+UNION ALL SELECT 'beta' AS source, r_regionkey, r_name FROM region
 UNION ALL SELECT 'table' AS source, r_regionkey, r_name FROM region
 """)
 def union_same_table_q(spark, sf_dir):
     # One table read under three tags: one scan + a generator, not three scans.
-    return union_same_table(table(spark, sf_dir, "region"), ["ota", "learning", "table"])
+    return union_same_table(table(spark, sf_dir, "region"), ["alpha", "beta", "table"])
 
 
 @register("union_by_suffix_columns", f"""
@@ -109,7 +109,7 @@ def scan_path_partition(spark, sf_dir):
 
 
 @register("combined_conf_flow", """
-SELECT CASE o_orderstatus WHEN 'P' THEN 'ota_conf' WHEN 'F' THEN 'learning_conf' ELSE 'azama_conf' END AS source,
+SELECT CASE o_orderstatus WHEN 'P' THEN 'alpha_conf' WHEN 'F' THEN 'beta_conf' ELSE 'gamma_conf' END AS source,
        count(*) AS n_rows,
        count(*) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) AS n_json,
        CAST(sum(o_custkey) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) AS BIGINT) AS custkey_sum,
@@ -204,7 +204,7 @@ def combine_job_report(spark, sf_dir):
 TRINO_STYLE_CTAS = """
 CREATE TABLE "{db}"."combined_orders" AS --the combined table
 SELECT
-    'ota' AS source, --where the row came from
+    'alpha' AS source, --where the row came from
     o_orderkey,
     o_custkey,
     o_orderdate
@@ -213,7 +213,7 @@ FROM
 
 UNION ALL
 
-SELECT 'learning' AS source, o_orderkey, o_custkey, o_orderdate
+SELECT 'beta' AS source, o_orderkey, o_custkey, o_orderdate
 FROM "{db}"."shop_f_order"
 
 UNION ALL
@@ -224,7 +224,7 @@ FROM "{db}"."shop_o_order"; --end of statement
 
 
 @register("sql_ctas_union", """
-SELECT CASE o_orderstatus WHEN 'P' THEN 'ota' WHEN 'F' THEN 'learning' ELSE 'order' END AS source,
+SELECT CASE o_orderstatus WHEN 'P' THEN 'alpha' WHEN 'F' THEN 'beta' ELSE 'order' END AS source,
        o_orderkey, o_custkey, o_orderdate
 FROM orders
 """)

@@ -146,7 +146,7 @@ def php_to_json_multibyte(spark, sf_dir):
 
 
 @register("php_job_json", """
-SELECT CASE o_orderstatus WHEN 'P' THEN 'ota_conf' WHEN 'F' THEN 'learning_conf' ELSE 'azama_conf' END AS source,
+SELECT CASE o_orderstatus WHEN 'P' THEN 'alpha_conf' WHEN 'F' THEN 'beta_conf' ELSE 'gamma_conf' END AS source,
        o_orderkey AS id, o_orderpriority AS name,
        CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
             THEN '{"custkey": ' || o_custkey || ', "status": "' || o_orderstatus || '"}'
