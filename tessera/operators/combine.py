@@ -128,8 +128,13 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
         scan = tag_from_path(read_parquet_tree(spark, list(roots.values()), schema=schema), roots, tag_col)
         return scan.select(*[F.col(f"`{f.name}`") for f in schema.fields],
                            *_partition_columns(roots, tag_col, partition_levels), tag_col)
-    # One listing + footer read per table, overlapped on a few driver threads.
-    frames = run_parallel(lambda root: read_parquet_tree(spark, root), roots.values(), max_workers=16)
+    if plan in ("auto", "scan") and len(roots) >= SINGLE_SCAN_MIN_TABLES:
+        uniform = _uniform_schema(spark, roots)
+        if uniform is not None and tag_col.lower() not in {f.name.lower() for f in uniform.fields}:
+            return combine_parquet_tables(spark, roots, tag_col, on_conflict, "scan", partition_levels,
+                                          schema=uniform)
+    # One listing + footer read per table, overlapped on driver threads.
+    frames = run_parallel(lambda root: read_parquet_tree(spark, root), roots.values(), max_workers=32)
     raw = dict(zip(roots, frames))
     per_table = raw
     if partition_levels:
@@ -162,6 +167,28 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
     return scan.select(*[F.col(f"`{c}`") for c in order])
 
 
+def _uniform_schema(spark: SparkSession, roots: Mapping[str, str]) -> StructType | None:
+    """The common schema when every table has the same columns and types, else None.
+
+    Two jobs instead of one per table: the first table's footer, and one
+    schema-merging read of all roots (it fails on any type difference). When
+    the merge adds nothing to the first table's schema, the fold's column
+    order is that schema, so no other table needs inspecting.
+    """
+    first = read_parquet_tree(spark, next(iter(roots.values()))).schema
+    try:
+        merged = (spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+                  .parquet(*roots.values()).schema)
+    except Exception:  # noqa: BLE001 — conflicting types: the per-table path decides
+        return None
+    by_name = {f.name.lower(): f.dataType for f in first.fields}
+    if len(merged.fields) != len(first.fields):
+        return None
+    if any(by_name.get(f.name.lower()) != f.dataType for f in merged.fields):
+        return None
+    return first
+
+
 def _partition_columns(roots: Mapping[str, str], tag_col: str, levels: int) -> list:
     """``partition_0…`` for a multi-root scan: the levels below each row's own root."""
     depths = {path_depth(r) for r in roots.values()}
