@@ -62,12 +62,16 @@ def union_positional(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def union_tagged(branches: Sequence[tuple[str, DataFrame]], columns: Sequence[str] | None = None,
-                 tag_col: str = "source", on_conflict: str = "widen") -> DataFrame:
+                 tag_col: str = "source", on_conflict: str = "string") -> DataFrame:
     """One branch per (tag, table): ``SELECT tag AS source, <columns> … UNION ALL``."""
     selected = []
     for name, df in branches:
         cols = list(columns) if columns is not None else df.columns
         selected.append(df.select(*[F.col(f"`{c}`") for c in cols]))
+    # Positional: the first branch names every position, so the conflict
+    # policy compares position by position.
+    names = selected[0].columns
+    selected = [df.toDF(*names) if len(df.columns) == len(names) else df for df in selected]
     aligned = align(selected, on_conflict)
     return union_positional([tag(df, name, tag_col) for (name, _), df in zip(branches, aligned)])
 

@@ -205,3 +205,13 @@ def test_fold_equals_scan_property(spark, tables):
     scan = combine_parquet_tables(spark, roots, plan="scan")
     assert fold.columns == scan.columns
     assert rows(fold) == rows(scan)
+
+
+def test_positional_conflicts_are_checked_by_position(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, name string")
+    b = spark.createDataFrame([("k2", "y")], "code string, label string")
+    out = union_tagged([("a", a), ("b", b)])
+    assert out.columns == ["source", "id", "name"] and dict(out.dtypes)["id"] == "string"
+    assert rows(out) == [("a", "1", "x"), ("b", "k2", "y")]
+    with pytest.raises(SchemaConflict):
+        union_tagged([("a", a), ("b", b)], on_conflict="fail")
