@@ -50,7 +50,8 @@ def conf_report(spark: SparkSession, table_name: str) -> DataFrame:
 
 def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixes: Mapping[str, str],
                           out_base: str, num_files: int | None = None, on_conflict: str = "string",
-                          tag_col: str = "source_table", plan: str = "auto", on_error: str = "raise") -> DataFrame:
+                          tag_col: str = "source_table", plan: str = "auto", on_error: str = "raise",
+                          group_bytes: int | None = None) -> DataFrame:
     """The combine job: for each ``suffix → output``, combine and write Parquet.
 
     Every matching root is combined (single scan or fold, see
@@ -60,12 +61,16 @@ def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixe
     with ``on_error="report"`` is recorded as ``failed: <error>`` and the
     remaining suffixes still run. Returns ``suffix, output_table, n_tables,
     n_rows, status`` — row counts observed during the writes, one report row
-    per suffix.
+    per suffix. ``group_bytes`` packs small input files into scan tasks of
+    about that many bytes while the job runs (``packed_scan``).
     """
+    import contextlib
+
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     from tessera.sinks.files import compact_write
+    from tessera.sources.files import packed_scan
 
     outputs = set(suffixes.values())
     report = []
@@ -78,8 +83,10 @@ def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixe
             combined = combine_parquet_tables(spark, {n: roots[n] for n in names}, tag_col=tag_col,
                                               on_conflict=on_conflict, plan=plan)
             obs = Observation()
-            compact_write(combined.observe(obs, F.count(F.lit(1)).alias("n")),
-                          f"{out_base.rstrip('/')}/{output}", num_files=num_files)
+            packing = packed_scan(spark, group_bytes) if group_bytes else contextlib.nullcontext()
+            with packing:
+                compact_write(combined.observe(obs, F.count(F.lit(1)).alias("n")),
+                              f"{out_base.rstrip('/')}/{output}", num_files=num_files)
             report.append((suffix, output, len(names), int(obs.get["n"]), "written"))
         except Exception as exc:  # noqa: BLE001 — reported per suffix when asked to
             if on_error != "report":

@@ -196,7 +196,7 @@ def combine_job_report(spark, sf_dir):
     return consolidate_by_suffix(
         spark, drift_tenants(spark, sf_dir),
         {"_order": "combined_order", "_order_totals": "combined_order_totals", "_conf": "combined_conf"},
-        scratch_path(spark, "combined"))
+        scratch_path(spark, "combined"), group_bytes=1 << 20)
 
 
 # A CTAS written the way the reference's SQL files are (quoted identifiers,
