@@ -165,11 +165,14 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
     """
     reason = validity_reason(key, checks)
     flagged = source.withColumn("_reason", reason)
-    good_obs, bad_obs = Observation(), Observation()
+    # Counted below the filter, during the main write: rows seen and rows
+    # rejected. The rejects need their own pass only when there are any.
+    counts = Observation()
+    observed = flagged.observe(counts, F.count(F.lit(1)).alias("n"),
+                               F.count_if(F.col("_reason").isNotNull()).alias("bad"))
     good_rows = flagged.where(F.col("_reason").isNull()).drop("_reason")
-    good = good_rows.observe(good_obs, F.count(F.lit(1)).alias("n"))
-    bad = flagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason").observe(
-        bad_obs, F.count(F.lit(1)).alias("n"))
+    good = observed.where(F.col("_reason").isNull()).drop("_reason")
+    bad = flagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
 
     base = location or scratch_path(spark, target_table.replace(".", "_").replace("`", ""))
     gen = f"{base}/gen-{uuid.uuid4().hex[:12]}"
@@ -200,9 +203,12 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
         spark.sql(f"REFRESH TABLE {target_table}")
     elif spec is None:
         spark.catalog.createTable(target_table, path=gen, source="parquet")
-    bad.write.mode("errorifexists").parquet(rejects_path)
-    return CopyResult(target_table, gen, rejects_path,
-                      int(good_obs.get.get("n", 0)), int(bad_obs.get.get("n", 0)))
+    n_all, n_bad = int(counts.get.get("n", 0)), int(counts.get.get("bad", 0))
+    if n_bad:
+        bad.write.mode("errorifexists").parquet(rejects_path)
+    else:  # nothing rejected: an empty rejects set, without reading the source again
+        spark.createDataFrame([], bad.schema).write.mode("errorifexists").parquet(rejects_path)
+    return CopyResult(target_table, gen, rejects_path, n_all - n_bad, n_bad)
 
 
 def copy_all_tables(spark: SparkSession, sources: Mapping[str, tuple[DataFrame, str | Sequence[str]]],

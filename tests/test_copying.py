@@ -49,6 +49,8 @@ def test_copy_table_rejects_and_counts(spark, tmp_base):
     res2 = copy_table(spark, spark.createDataFrame([(1, "11"), (4, "1")], "k int, price string"), name, "k",
                       location=tmp_base)
     assert res2.path != res.path
+    assert (res2.copied, res2.rejected) == (2, 0)
+    assert spark.read.parquet(res2.rejects_path).count() == 0
     assert rows(spark.table(name)) == [(1, "11"), (4, "1")]
 
 
