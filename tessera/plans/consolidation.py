@@ -51,7 +51,7 @@ def conf_report(spark: SparkSession, table_name: str) -> DataFrame:
 def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixes: Mapping[str, str],
                           out_base: str, num_files: int | None = None, on_conflict: str = "string",
                           tag_col: str = "source_table", plan: str = "auto", on_error: str = "raise",
-                          group_bytes: int | None = None) -> DataFrame:
+                          group_bytes: int | None = None, max_workers: int = 4) -> DataFrame:
     """The combine job: for each ``suffix → output``, combine and write Parquet.
 
     Every matching root is combined (single scan or fold, see
@@ -69,28 +69,37 @@ def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixe
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
-    from tessera.sinks.files import compact_write
+    from tessera.session import run_parallel, scoped_conf
+    from tessera.sinks.files import TARGET_FILE_BYTES, compact_write
     from tessera.sources.files import packed_scan
 
     outputs = set(suffixes.values())
-    report = []
-    for suffix, output in suffixes.items():
+
+    def run_one(item):
+        suffix, output = item
         names = match_suffix(roots, suffix, exclude=outputs)
         if not names:
-            report.append((suffix, output, 0, 0, "no match"))
-            continue
+            return (suffix, output, 0, 0, "no match")
         try:
             combined = combine_parquet_tables(spark, {n: roots[n] for n in names}, tag_col=tag_col,
                                               on_conflict=on_conflict, plan=plan)
             obs = Observation()
-            packing = packed_scan(spark, group_bytes) if group_bytes else contextlib.nullcontext()
-            with packing:
-                compact_write(combined.observe(obs, F.count(F.lit(1)).alias("n")),
-                              f"{out_base.rstrip('/')}/{output}", num_files=num_files)
-            report.append((suffix, output, len(names), int(obs.get["n"]), "written"))
+            compact_write(combined.observe(obs, F.count(F.lit(1)).alias("n")),
+                          f"{out_base.rstrip('/')}/{output}", num_files=num_files)
+            return (suffix, output, len(names), int(obs.get["n"]), "written")
         except Exception as exc:  # noqa: BLE001 — reported per suffix when asked to
             if on_error != "report":
                 raise
-            report.append((suffix, output, len(names), 0, f"failed: {type(exc).__name__}: {str(exc)[:200]}"))
+            return (suffix, output, len(names), 0, f"failed: {type(exc).__name__}: {str(exc)[:200]}")
+
+    # Outputs are independent: run them on driver threads. Session settings
+    # (file packing, output file size) are set once around all of them, so
+    # the per-write scopes inside are no-ops and no thread restores a value
+    # another one still uses.
+    packing = packed_scan(spark, group_bytes) if group_bytes else contextlib.nullcontext()
+    sizing = scoped_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_FILE_BYTES)}
+                         if num_files is None else {})
+    with packing, sizing:
+        report = run_parallel(run_one, suffixes.items(), max_workers)
     return spark.createDataFrame(report, "suffix string, output_table string, n_tables bigint, "
                                          "n_rows bigint, status string")

@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame
 from tessera.session import scoped_conf
 
 
+TARGET_FILE_BYTES = 256 << 20
+
+
 def compact_write(df: DataFrame, path: str, num_files: int | None = None, shuffle: bool = True,
-                  target_file_bytes: int = 256 << 20, mode: str = "overwrite", fmt: str = "parquet",
+                  target_file_bytes: int = TARGET_FILE_BYTES, mode: str = "overwrite", fmt: str = "parquet",
                   max_records_per_file: int | None = None) -> None:
     """Write with a bounded number of output files.
 
