@@ -130,8 +130,8 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
         raise ValueError("no tables to combine")
     if schema is not None:
         scan = tag_from_path(read_parquet_tree(spark, list(roots.values()), schema=schema), roots, tag_col)
-        return scan.select(*[F.col(f"`{f.name}`") for f in schema.fields],
-                           *_partition_columns(roots, tag_col, partition_levels), tag_col)
+        data = [F.col(f"`{f.name}`") for f in schema.fields if f.name.lower() != tag_col.lower()]
+        return scan.select(*data, *_partition_columns(roots, tag_col, partition_levels), tag_col)
     if plan in ("auto", "scan") and len(roots) >= SINGLE_SCAN_MIN_TABLES:
         uniform = _uniform_schema(spark, roots)
         if uniform is not None and tag_col.lower() not in {f.name.lower() for f in uniform.fields}:
