@@ -27,13 +27,14 @@ def union_all_tagged(spark, sf_dir):
 
 
 @register("union_same_table", """
-SELECT 'alpha' AS source, r_regionkey, r_name FROM region
-UNION ALL SELECT 'beta' AS source, r_regionkey, r_name FROM region
-UNION ALL SELECT 'table' AS source, r_regionkey, r_name FROM region
+SELECT 'alpha' AS source, c_custkey, c_name FROM customer
+UNION ALL SELECT 'beta' AS source, c_custkey, c_name FROM customer
+UNION ALL SELECT 'table' AS source, c_custkey, c_name FROM customer
 """)
 def union_same_table_q(spark, sf_dir):
     # One table read under three tags: one scan + a generator, not three scans.
-    return union_same_table(table(spark, sf_dir, "region"), ["alpha", "beta", "table"])
+    return union_same_table(table(spark, sf_dir, "customer"), ["alpha", "beta", "table"],
+                            columns=["c_custkey", "c_name"])
 
 
 @register("union_by_suffix_columns", f"""
@@ -49,10 +50,17 @@ def union_by_suffix_columns(spark, sf_dir):
 
 
 @register("union_by_name_missing", """
-SELECT * FROM region UNION ALL BY NAME SELECT * FROM nation
+SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer
+UNION ALL BY NAME
+SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance, s_nationkey AS nation FROM supplier
 """)
 def union_by_name_missing(spark, sf_dir):
-    return union_by_name([table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")])
+    # Partly overlapping columns: each side's missing ones are null-filled.
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id", "c_name AS name", "c_acctbal AS balance", "c_mktsegment AS segment")
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS id", "s_name AS name", "s_acctbal AS balance", "s_nationkey AS nation")
+    return union_by_name([customers, suppliers])
 
 
 _DRIFT_ORACLE = f"""
