@@ -15,9 +15,9 @@ under the session's ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators.combine import tag, union_by_name
@@ -36,8 +36,14 @@ def incremental_combine(spark: SparkSession, roots: Mapping[str, str], sink_path
                         checkpoint: str | None = None, tag_col: str = "source_table",
                         partition_levels: int = 0, on_conflict: str = "string",
                         max_files_per_trigger: int | None = None, available_now: bool = True,
-                        query_name: str | None = None) -> StreamingQuery:
-    """Start (and with ``available_now`` run to the end of the current files) one combine run."""
+                        query_name: str | None = None,
+                        transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Start (and with ``available_now`` run to the end of the current files) one combine run.
+
+    ``transform`` is applied to the combined stream before the sink, e.g.
+    ``lambda df: normalize_column(df, "value")`` for the whole
+    combine → normalise flow, incrementally.
+    """
     frames = []
     for name, root in roots.items():
         schema = read_parquet_tree(spark, root).schema  # a stream needs its schema up front
@@ -49,6 +55,8 @@ def incremental_combine(spark: SparkSession, roots: Mapping[str, str], sink_path
             df = with_path_partitions(df, root, partition_levels)
         frames.append(tag(df, name, tag_col, "last"))
     combined = union_by_name(frames, allow_missing=True, on_conflict=on_conflict)
+    if transform is not None:
+        combined = transform(combined)
     ckpt = checkpoint or default_checkpoint(spark, sink_path)
     writer = (combined.writeStream.format("parquet").option("path", sink_path)
               .option("checkpointLocation", ckpt).outputMode("append"))

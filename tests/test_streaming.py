@@ -23,3 +23,15 @@ def test_incremental_runs(spark, tmp_base):
     out = spark.read.parquet(sink)
     assert out.count() == orders.count()
     assert {r[0] for r in out.select("partition_0").distinct().collect()} == {"batch 1", "b1", "b2"}
+
+
+def test_incremental_combine_with_normalisation(spark, tmp_base):
+    from tessera.functions.normalize import normalize_column
+    from tessera.functions.phpserial import php_to_json
+    spark.createDataFrame([(1, 'a:1:{s:1:"k";i:5;}'), (2, "plain")], "id int, value string").write.parquet(
+        f"{tmp_base}/in/a_conf")
+    spark.createDataFrame([(3, "N;"), (4, "d:0.5;")], "id int, value string").write.parquet(f"{tmp_base}/in/b_conf")
+    roots = {n: f"{tmp_base}/in/{n}" for n in ["a_conf", "b_conf"]}
+    run_once(spark, roots, f"{tmp_base}/out", transform=lambda df: normalize_column(df, "value"))
+    got = {r.id: r.value for r in spark.read.parquet(f"{tmp_base}/out").collect()}
+    assert got == {1: php_to_json('a:1:{s:1:"k";i:5;}'), 2: "plain", 3: "null", 4: "0.5"}
