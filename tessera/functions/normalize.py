@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tessera.functions.phpserial import GATE_REGEX, serialized_to_json
+from tessera.session import ship_package
 
 _INT = r"^i:(-?[0-9]{1,18});"
 _BOOL = r"^b:(-?[0-9]{1,18});"
@@ -91,6 +92,7 @@ def normalize_column(df: DataFrame, col: str = "value", flag_col: str | None = N
     ``flag_col`` restricts conversion to rows where that column is 1 (e.g. a
     ``serialize`` flag); ``keep_original`` adds ``<col>_original``.
     """
+    ship_package(df.sparkSession)  # the UDF is unpickled by module name on workers
     gate = (F.col(flag_col) == 1) if flag_col else None
     out = spread_thin_input(df)
     if keep_original:

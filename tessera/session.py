@@ -119,3 +119,49 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
+_shipped: set[str] = set()
+_ship_lock = __import__("threading").Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable by this application's Python workers.
+
+    Python UDFs are pickled by module name, so workers must import the
+    package. On a cluster it is shipped at submit time (``--py-files``); for
+    local sessions whose workers may not see the driver's import path, the
+    package is zipped once per application under the checkpoint folder and
+    added with ``addPyFile``.
+    """
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 — remote session: code ships with the client
+        return
+    with _ship_lock:
+        if app in _shipped:
+            return
+        root = checkpoint_root(spark)
+        if "://" in root and not root.startswith("file:"):
+            _shipped.add(app)  # a cluster store: rely on --py-files / an installed package
+            return
+        import hashlib
+        import zipfile
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
+        digest = hashlib.sha1()
+        for f in files:
+            with open(f, "rb") as fh:
+                digest.update(f.encode() + fh.read())
+        local_root = root[len("file:"):] if root.startswith("file:") else root
+        target = os.path.join(local_root, "tessera", "pkg", f"tessera-{digest.hexdigest()[:16]}.zip")
+        if not os.path.exists(target):
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            tmp = f"{target}.{uuid.uuid4().hex[:8]}"
+            with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+                for f in files:
+                    z.write(f, os.path.join("tessera", os.path.relpath(f, pkg)))
+            os.replace(tmp, target)
+        sc.addPyFile(target)
+        _shipped.add(app)
