@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from tessera.functions.normalize import is_serialized, normalize_column
 from tessera.functions.phpserial import php_to_json
