@@ -211,11 +211,14 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
     return CopyResult(target_table, gen, rejects_path, n_all - n_bad, n_bad)
 
 
-def copy_all_tables(spark: SparkSession, sources: Mapping[str, tuple[DataFrame, str | Sequence[str]]],
+def copy_all_tables(spark: SparkSession, sources: Mapping[str, tuple],
                     target_db: str, checks: Mapping[str, Mapping[str, Column]] | None = None,
                     rename: Mapping[str, str] | None = None,
                     max_workers: int = 4) -> tuple[DataFrame, list[CopyResult]]:
-    """Copy every ``name → (DataFrame, key)`` into ``target_db`` (same name unless renamed).
+    """Copy every ``name → (DataFrame, key[, order_by])`` into ``target_db`` (same name unless renamed).
+
+    With ``order_by`` a table keeps the latest row per key instead of
+    rejecting duplicate keys.
 
     Tables are copied concurrently (``max_workers`` driver threads). Returns a
     report DataFrame ``table_name, copied, rejected`` (one row per table: its
@@ -223,9 +226,9 @@ def copy_all_tables(spark: SparkSession, sources: Mapping[str, tuple[DataFrame,
     per-table results.
     """
     def copy_one(item):
-        name, (df, key) = item
+        name, (df, key, *rest) = item
         target = f"{target_db}.{(rename or {}).get(name, name)}"
-        return copy_table(spark, df, target, key, (checks or {}).get(name))
+        return copy_table(spark, df, target, key, (checks or {}).get(name), order_by=rest[0] if rest else None)
 
     with scoped_conf(spark, RUNTIME_BROADCAST_ONLY):  # set once for all threads
         results = run_parallel(copy_one, sources.items(), max_workers)

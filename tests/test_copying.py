@@ -138,3 +138,14 @@ def test_snapshot_resumes_after_partial_run(spark, tmp_base):
 def test_latest_per_key_with_null_order(spark):
     df = spark.createDataFrame([(1, "a", None), (1, "b", 5), (2, "c", None)], "k int, v string, ts int")
     assert rows(latest_per_key(df, "k", "ts")) == [(1, "b", 5), (2, "c", None)]
+
+
+def test_copy_all_tables_with_order_by(spark, tmp_base):
+    from tessera.operators.copying import copy_all_tables
+    db = "t_all_" + tmp_base.rsplit("-", 1)[-1]
+    ensure_database(spark, db)
+    dup = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "k int, v string, ts int")
+    uniq = spark.createDataFrame([(5, "x")], "k int, v string")
+    report, _ = copy_all_tables(spark, {"d": (dup, "k", "ts"), "u": (uniq, "k")}, db)
+    assert {r.table_name: (r.copied, r.rejected) for r in report.collect()} == {"d": (2, 0), "u": (1, 0)}
+    assert rows(spark.table(f"{db}.d")) == [(1, "b", 2)]

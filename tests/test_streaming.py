@@ -35,3 +35,11 @@ def test_incremental_combine_with_normalisation(spark, tmp_base):
     run_once(spark, roots, f"{tmp_base}/out", transform=lambda df: normalize_column(df, "value"))
     got = {r.id: r.value for r in spark.read.parquet(f"{tmp_base}/out").collect()}
     assert got == {1: php_to_json('a:1:{s:1:"k";i:5;}'), 2: "plain", 3: "null", 4: "0.5"}
+
+
+def test_available_now_with_file_rate_limit(spark, tmp_base):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    for s in "PFO":
+        orders.where(f"o_orderstatus = '{s}'").coalesce(1).write.parquet(f"{tmp_base}/in/x_order/{s}")
+    run_once(spark, {"x_order": f"{tmp_base}/in/x_order"}, f"{tmp_base}/out", max_files_per_trigger=1)
+    assert spark.read.parquet(f"{tmp_base}/out").count() == orders.count()
