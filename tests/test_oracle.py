@@ -8,8 +8,9 @@ from tools.check_oracle import TABLES, digest
 
 import __spark_entry__ as entry_mod
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+from tessera.plans.registry import ORACLE_SQL as ORACLES, QUERIES, load_all
+
+load_all()
 
 
 @pytest.fixture(scope="module")
