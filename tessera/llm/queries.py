@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import toxicity
+from tessera.llm import simhash, toxicity
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -22,3 +22,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lexicon = toxicity.learn_lexicon(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, lexicon)
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint (3-word shingles) and group (3 bits) of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
