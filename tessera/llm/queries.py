@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash, toxicity
+from tessera.llm import simhash, tokens, toxicity
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -28,3 +28,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint (3-word shingles) and group (3 bits) of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact tokens of every document, and what of it fits in 2048 tokens."""
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), "word_bpe_49k.json", limit=2048)
