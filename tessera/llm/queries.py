@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash, tokens, toxicity
+from tessera.llm import langid, simhash, tokens, toxicity
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -34,3 +34,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact tokens of every document, and what of it fits in 2048 tokens."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"), "word_bpe_49k.json", limit=2048)
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn_centroids(docs))
