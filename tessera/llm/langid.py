@@ -88,12 +88,15 @@ def vectors_of(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def cluster(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Spherical k-means; the first centre is the mean's nearest text, each next one the text farthest from all."""
-    mean = vectors.mean(axis=0)
-    chosen = [int(np.argmax(vectors @ mean))]
+    """Spherical k-means; after the text nearest the mean, start texts are drawn by their distance from those drawn."""
+    draw = np.random.default_rng(8)
+    chosen = [int(np.argmax(vectors @ vectors.mean(axis=0)))]
     near = vectors @ vectors[chosen[0]]
     while len(chosen) < min(k, len(vectors)):
-        chosen.append(int(np.argmin(near)))
+        far = np.maximum(1.0 - near, 0.0).astype(np.float64) ** 2
+        if far.sum() <= 0:
+            break
+        chosen.append(int(draw.choice(len(vectors), p=far / far.sum())))
         near = np.maximum(near, vectors @ vectors[chosen[-1]])
     centres = vectors[chosen]
     for _ in range(rounds):
@@ -129,7 +132,7 @@ def learn_centroids(docs: DataFrame, max_rows: int = MAX_FIT_ROWS, clusters: int
             yield pd.Series([None if c is None else np.stack((np.flatnonzero(c), c[np.flatnonzero(c)])).ravel().astype(np.int32)
                              for c in found])
 
-    train = persist(rows.filter(keep).select("lang", count(F.col("text")).alias("grams")).filter("grams IS NOT NULL"), "op8-train")
+    train = persist(rows.filter(keep).select("doc_id", "lang", count(F.col("text")).alias("grams")).filter("grams IS NOT NULL"), "op8-train")
 
     def dense(series) -> np.ndarray:
         out = np.zeros((len(series), DIMENSIONS), dtype=np.float32)
@@ -154,7 +157,7 @@ def learn_centroids(docs: DataFrame, max_rows: int = MAX_FIT_ROWS, clusters: int
     idf = np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1.0
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        vectors = vectors_of(dense(group["grams"]), idf)
+        vectors = vectors_of(dense(group.sort_values("doc_id", kind="stable")["grams"]), idf)
         centres = cluster(vectors, clusters)
         cosine = vectors @ centres.T
         own = cosine.argmax(axis=1)
