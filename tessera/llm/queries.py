@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import langid, simhash, tokens, toxicity
+from tessera.llm import decontaminate, langid, simhash, tokens, toxicity
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -24,6 +24,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, lexicon)
 
 
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document that holds a benchmark item within 20 % word edits, with the item and the place."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint (3-word shingles) and group (3 bits) of every document."""
