@@ -65,3 +65,27 @@ def tokenizer_path(name: str) -> str:
         return os.path.join(folder, name)
     import public_tokenizers
     return public_tokenizers.path(name)
+
+
+ROW_ID = ("llm_row_file", "llm_row_index")
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    """``df`` with two columns that name each row: its Parquet file and the position in it.
+
+    The name is the same in every task and every retry. What is not a plain Parquet scan is written
+    to the shared folder first.
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        found = df.select("*", F.col("_metadata.file_path").alias(ROW_ID[0]), F.col("_metadata.row_index").alias(ROW_ID[1]))
+        found.schema  # noqa: B018 — resolves the columns
+        return found
+    except AnalysisException:
+        kept = persist(df, "rows")
+        return kept.select("*", F.col("_metadata.file_path").alias(ROW_ID[0]), F.col("_metadata.row_index").alias(ROW_ID[1]))
+
+
+def word_count(text: Column) -> Column:
+    """Number of runs of anything but ASCII white space; 0 for a null text."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

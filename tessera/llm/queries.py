@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, simhash, tokens, toxicity
+from tessera.llm import decontaminate, langid, mixing, simhash, tokens, toxicity
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -47,3 +47,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from the rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.learn_centroids(docs))
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
