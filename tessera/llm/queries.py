@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, simhash, tokens, toxicity
+from tessera.llm import decontaminate, langid, mixing, sharding, simhash, tokens, toxicity
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -30,6 +30,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard (0 to 23, sizes near equal) and slot of every document."""
+    return sharding.shard_report(table(spark, sf_dir, "documents"), shards=24)
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint (3-word shingles) and group (3 bits) of every document."""
