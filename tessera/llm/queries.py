@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, sharding, simhash, tokens, toxicity
+from tessera.llm import decontaminate, langid, mixing, secrets, sharding, simhash, tokens, toxicity
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -42,6 +42,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+@query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, found once per distinct text and joined back to all documents."""
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op5_secrets"] = secrets.ORACLE
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact tokens of every document, and what of it fits in 2048 tokens."""
