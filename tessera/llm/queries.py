@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, secrets, sharding, simhash, tokens, toxicity
+from tessera.llm import decontaminate, langid, mixing, secrets, sharding, simhash, tokens, toxicity, warc
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -68,3 +68,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to the archive and read back."""
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
+ORACLE_SQL["op10_warc"] = warc.ORACLE.strip()
