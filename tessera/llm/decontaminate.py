@@ -23,7 +23,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -84,7 +84,7 @@ class Walks:
         flat = np.concatenate((windows + 2, np.ones((n, 1), dtype=np.int64)), axis=1).astype(np.uint64).ravel()
         at = np.zeros((n, len(self.places)), dtype=np.int64)
         row = (np.arange(n) * (width + 1))[:, None]
-        key = np.zeros(at.shape, dtype=np.uint64)
+        key = np.broadcast_to(_mix(np.arange(len(self.places)), 0), at.shape).copy()
         for step in range(int(self.places.max()) + 1):
             symbol = flat.take(row + at)
             sampled = np.flatnonzero((self.places == step).any(axis=1))
@@ -132,7 +132,7 @@ class Index:
         self.by_size = {size: np.stack([words[k] for k in own]) for size, own in self.owners.items()}
         pairs = [w[:-1] * self.base + w[1:] for w in words]
         self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, dtype=np.int64)
-        self.pairs_of_size = {size: np.isin(self.pairs, (m[:, :-1] * self.base + m[:, 1:]).ravel())
+        self.pairs_of_size = {size: np.append(np.isin(self.pairs, (m[:, :-1] * self.base + m[:, 1:]).ravel()), False)
                               for size, m in self.by_size.items()}
         bits = max(16, min(26, int(math.log2(max(1, len(self.pairs)))) + 6))
         self.shift = np.uint64(64 - bits)
@@ -146,13 +146,11 @@ class Index:
             else:
                 self.brackets.append([size])
         self.walks = {size: self._calibrated(size, target_recall) for size in self.by_size}
-        self.keys = {size: [self._sorted(keys) for keys in walks.keys(self.by_size[size]).T]
-                     for size, walks in self.walks.items()}
-
-    @staticmethod
-    def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(keys, kind="stable")
-        return keys[order], order
+        self.keys = {}
+        for size, walks in self.walks.items():  # all repetitions in one sorted array, with the item of each key
+            keys = walks.keys(self.by_size[size])
+            order = np.argsort(keys, axis=None, kind="stable")
+            self.keys[size] = keys.ravel()[order], order // keys.shape[1]
 
     def _slot(self, pairs: np.ndarray) -> np.ndarray:
         return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
@@ -189,22 +187,28 @@ class Index:
         if not self.by_size:
             return [[] for _ in texts]
         get = self.vocab.get
-        parts = [[get(w, 0) for w in words_of(t)] for t in texts]
+        parts = [list(map(get, words_of(t), repeat(0))) for t in texts]
         starts = np.cumsum([0, *(len(p) for p in parts)])
         words = np.fromiter(chain.from_iterable(parts), dtype=np.int64, count=int(starts[-1]))
         if len(words) < 2:
             return [[] for _ in texts]
         pair = words[:-1] * self.base + words[1:]
-        known = self.table[self._slot(pair)] & (words[:-1] > 0) & (words[1:] > 0)
-        total = np.concatenate(([0], np.cumsum(known, dtype=np.int64)))
+        known = self.table[self._slot(pair)]
+        # Number of each known pair among the items' pairs; the last number stands for none.
+        slots = np.full(len(pair), len(self.pairs), dtype=np.int32)
+        on = np.flatnonzero(known)
+        slot = np.minimum(np.searchsorted(self.pairs, pair[on]), len(self.pairs) - 1)
+        slots[on] = np.where(self.pairs[slot] == pair[on], slot, len(self.pairs))
+        total = np.concatenate(([0], np.cumsum(slots < len(self.pairs), dtype=np.int32)))
+        longest = max(self.by_size) + allowed_edits(max(self.by_size), self.similarity)
+        total = np.concatenate((total, np.full(longest, total[-1])))
         for bracket in self.brackets:
             reach = max(s + allowed_edits(s, self.similarity) for s in bracket) - 1
             least = min(self.need(s) for s in bracket)
-            upto = np.minimum(np.arange(len(pair)) + reach, len(pair))
-            at = np.flatnonzero(total[upto] - total[:-1] >= least)
+            at = np.flatnonzero(total[reach:reach + len(pair)] - total[:len(pair)] >= least)
             for lo in range(0, len(at), WINDOW_STEP):
                 for size in bracket:
-                    self._match(size, at[lo:lo + WINDOW_STEP], words, pair, known, starts, found)
+                    self._match(size, at[lo:lo + WINDOW_STEP], words, slots, starts, found)
         out = []
         for per_item in found:
             out.append([(self.ids[k], *per_item[k]) for k in sorted(per_item)])
@@ -216,30 +220,28 @@ class Index:
         inside = (place < end[:, None]) & (place >= first[:, None])
         return np.where(inside, words[np.clip(place, 0, len(words) - 1)], 0)
 
-    def _match(self, size, at, words, pair, known, starts, found) -> None:
+    def _match(self, size, at, words, slots, starts, found) -> None:
         edits = allowed_edits(size, self.similarity)
         width = size + edits
         doc = np.searchsorted(starts, at, side="right") - 1
         end = starts[doc + 1]
-        # Word pairs of items of this very size.
-        place = at[:, None] + np.arange(width - 1)
-        inside = (place < (end - 1)[:, None]) & known[np.minimum(place, len(known) - 1)]
-        code = np.where(inside, pair[np.minimum(place, len(pair) - 1)], -1)
-        slot = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
-        own = inside & (self.pairs[slot] == code) & self.pairs_of_size[size][slot]
-        live = np.flatnonzero(own.sum(axis=1) >= self.need(size))
+        # Word pairs of items of this very size; pairs over a text's end only let more windows through.
+        place = np.minimum(at[:, None] + np.arange(width - 1), len(slots) - 1)
+        live = np.flatnonzero(self.pairs_of_size[size][slots[place]].sum(axis=1) >= self.need(size))
         if not len(live):
             return
         at, doc, end = at[live], doc[live], end[live]
         windows = self._gather(words, at, width, starts[doc], end)
-        pairs = set()
-        for key, (keys, order) in zip(self.walks[size].keys(windows).T, self.keys[size]):
-            low, high = np.searchsorted(keys, key, side="left"), np.searchsorted(keys, key, side="right")
-            for w in np.flatnonzero(high > low).tolist():
-                pairs.update((w, int(o)) for o in order[low[w]:high[w]])
-        pairs = sorted(pairs)
+        keys, item_of = self.keys[size]
+        key = self.walks[size].keys(windows)
+        low = np.searchsorted(keys, key.ravel())
+        met = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == key.ravel())
+        many = np.searchsorted(keys, key.ravel()[met], side="right") - low[met]
+        window = np.repeat(met // key.shape[1], many)
+        place = np.repeat(low[met], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        pairs = np.unique(window * len(self.owners[size]) + item_of[place])
         for lo in range(0, len(pairs), WINDOW_STEP):
-            w, item = (np.array(x) for x in zip(*pairs[lo:lo + WINDOW_STEP]))
+            w, item = np.divmod(pairs[lo:lo + WINDOW_STEP], len(self.owners[size]))
             first = np.maximum(at[w] - edits, starts[doc[w]])
             text = self._gather(words, first, width + 2 * edits, starts[doc[w]], end[w])
             cost, begin, stop = fitting_distance(self.by_size[size][item], text)
