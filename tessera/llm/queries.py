@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, secrets, sharding, simhash, tokens, toxicity, warc
+from tessera.llm import ann, decontaminate, langid, mixing, secrets, sharding, simhash, tokens, toxicity, warc
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -57,6 +57,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), "word_bpe_49k.json", limit=2048)
 
 
+@query
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every 20th vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), k=20)
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from the rows that are not held out."""
