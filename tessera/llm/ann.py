@@ -124,13 +124,15 @@ def _pivots(nodes: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _first_edges(nodes: DataFrame, pivots: np.ndarray, degree: int) -> DataFrame:
-    """Best neighbours within blocks of vectors that share one of their two nearest pivots."""
+    """Best neighbours within blocks of vectors that share one of their two nearest pivots, and within random blocks."""
     def place(batches):
         for batch in batches:
             if len(batch):
                 near = np.argsort(-(_matrix(batch["vec"]) @ pivots.T), axis=1)[:, :2]
                 for k in range(near.shape[1]):
                     yield pd.DataFrame({"pivot": near[:, k], "node": batch["node"], "vec": batch["vec"]})
+                # One more cell has everyone: its random blocks tie the others together.
+                yield pd.DataFrame({"pivot": len(pivots), "node": batch["node"], "vec": batch["vec"]})
 
     placed = persist(nodes.mapInPandas(place, "pivot int, node long, vec binary"), "ann-placed")
     # A full cell is cut into blocks, so that no task meets a large one.
