@@ -11,9 +11,11 @@ The new contents go to a fresh directory and the catalog table is then
 pointed at it, so a failed or retried job never leaves the target half
 written (a path cannot be overwritten while it is being read).
 
-Rows that cannot be written (no key, or a failed type check) are split off
-with a reason into a ``rejects`` location instead of failing the job, and
-counted with an ``Observation`` during the same write — no second pass.
+Rows that cannot be written (no key, a failed check, or a value the target's
+column type cannot hold) are split off with a reason into a ``rejects``
+location instead of failing the job. One pass over the key and the checked
+columns, before anything is written, counts rows and rejects and finds
+duplicate keys; the write then reads the source's rows.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType, NumericType, StructType
 
 from tessera.session import RUNTIME_BROADCAST_ONLY, run_parallel, scoped_conf, scratch_path
 
@@ -61,36 +64,57 @@ def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str],
-           order_by: str | None = None, check_unique: bool = True,
-           observe_duplicates: Observation | None = None) -> DataFrame:
+           order_by: str | None = None, check_unique: bool = True) -> DataFrame:
     """New target contents: all source rows, plus target rows whose key the source lacks.
 
     Columns follow the target; source-only columns are appended, and columns
     the source lacks are null for its rows. With ``order_by`` the source is
     first reduced to its latest row per key. Otherwise duplicate source keys
-    are an error: checked eagerly (``check_unique``), or — when the caller
-    runs the write itself — through ``observe_duplicates``, which records
-    ``max_per_key`` on the key side of the join during that same write, so
-    no extra pass over the source is needed.
+    are an error, checked eagerly unless the caller did (``check_unique``).
     """
     keys = _keys(key)
     src = latest_per_key(source, keys, order_by) if order_by else source
-    if check_unique and not order_by and observe_duplicates is None:
+    if check_unique and not order_by:
         assert_unique(src, keys)
-    # The key side is grouped first: partial aggregation collapses a hot key
-    # to one row per task before the shuffle.
-    key_side = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    if observe_duplicates is not None:
-        key_side = key_side.observe(observe_duplicates, F.max("_n").alias("max_per_key"))
     # No broadcast hint: run the write under RUNTIME_BROADCAST_ONLY and AQE
     # switches to a broadcast join only once the key side's measured shuffle
     # output is small; otherwise it stays a sort-merge anti join, with AQE
-    # splitting a target partition made big by a hot key.
-    kept = target.join(key_side.select(*keys), keys, "left_anti")
+    # splitting a target partition made big by a hot key. The key side is
+    # distinct first: partial aggregation collapses a hot key to one row per task.
+    kept = target.join(src.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(src, allowMissingColumns=True).select(
         *target.columns, *[c for c in src.columns if c not in target.columns])
 
 
+def fit_to_schema(source: DataFrame, schema: StructType) -> tuple[DataFrame, dict[str, Column]]:
+    """Cast ``source`` to the types ``schema`` has, and a failure predicate per column that drifted.
+
+    A value fails if the cast gives null, or if a number comes back different
+    (a fraction into an integer column, too many decimals). Columns of the
+    same type, and those ``schema`` lacks, stay as they are. Predicates refer
+    to columns of the returned frame, which carries the drifted originals as
+    ``_was_<name>``.
+    """
+    want = {f.name.lower(): f.dataType for f in schema.fields}
+    columns, kept, failing = [], [], {}
+    for f in source.schema.fields:
+        to = want.get(f.name.lower(), f.dataType)
+        at = F.col(f"`{f.name}`")
+        if to == f.dataType:
+            columns.append(at)
+            continue
+        cast = at.try_cast(to)
+        columns.append(cast.alias(f.name))
+        was = f"_was_{f.name}"
+        kept.append(at.alias(was))
+        lost = at.isNotNull() & cast.isNull()
+        if isinstance(f.dataType, NumericType) and isinstance(to, (IntegralType, DecimalType)):
+            lost = lost | ~cast.try_cast(f.dataType).eqNullSafe(at)
+        columns.append(lost.alias(f"_lost_{f.name}"))
+        failing[f"{f.name} does not fit {to.simpleString()}"] = F.col(f"`_lost_{f.name}`")
+    return source.select(*columns, *kept), failing
+
+
 def validity_reason(key: str | Sequence[str], checks: Mapping[str, Column] | None = None) -> Column:
     """Null for a writable row, else the first failing reason.
 
@@ -150,10 +174,13 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
                location: str | None = None, buckets: int | None = None) -> CopyResult:
     """Copy ``source`` into catalog table ``target_table`` (created if absent).
 
-    Steps: split source rows into writable / rejected (with a reason), upsert
-    the writable ones against the current target, write the new generation
-    to a fresh directory, then point the table at it. Rejects are written
-    beside it. ``copied``/``rejected`` come from observations on the writes.
+    Steps: cast the source to the target's column types; split its rows into
+    writable / rejected (with a reason); count both and look for duplicate
+    keys in one pass over the key and the checked columns; upsert the
+    writable rows against the current target into a fresh directory; point
+    the table at it. Rejects are written beside it, as the source had them.
+    With nothing to write an existing target stays as it is, and a missing
+    one is created empty.
 
     ``buckets`` (first copy only) buckets the table by its key, as a keyed
     store partitions items by hash key. Every later copy then reads the
@@ -163,58 +190,57 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
     buckets: with fewer, Spark re-shuffles the bucketed side to keep the
     join's parallelism.
     """
-    reason = validity_reason(key, checks)
-    flagged = source.withColumn("_reason", reason)
-    # Counted below the filter, during the main write: rows seen and rows
-    # rejected. The rejects need their own pass only when there are any.
-    counts = Observation()
-    observed = flagged.observe(counts, F.count(F.lit(1)).alias("n"),
-                               F.count_if(F.col("_reason").isNotNull()).alias("bad"))
-    good_rows = flagged.where(F.col("_reason").isNull()).drop("_reason")
-    good = observed.where(F.col("_reason").isNull()).drop("_reason")
-    bad = flagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
+    exists = spark.catalog.tableExists(target_table)
+    # The caller's checks see the values as they were given, before any cast.
+    checked = source.withColumn("_own_reason", validity_reason(key, checks))
+    fitted, drifted = fit_to_schema(checked, spark.table(target_table).schema) if exists else (checked, {})
+    helpers = [c for c in fitted.columns if c not in source.columns]
+    reason = F.coalesce(F.col("_own_reason"), *(F.when(lost, F.lit(why)) for why, lost in drifted.items()))
+    flagged = fitted.withColumn("_reason", reason)
+    good = flagged.where(F.col("_reason").isNull()).drop("_reason", *helpers)
+    originals = [F.col(f"`_was_{c}`").alias(c) if f"_was_{c}" in flagged.columns else F.col(f"`{c}`") for c in source.columns]
+    bad = flagged.where(F.col("_reason").isNotNull()).select(*originals, F.col("_reason").alias("reason"))
+
+    keys = _keys(key)
+    per_key = (flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_reason").isNull()).alias("ok")))
+    seen = per_key.agg(F.sum("n").alias("n"), F.sum("ok").alias("ok"), F.max("ok").alias("most")).first()
+    n_all, n_good = int(seen["n"] or 0), int(seen["ok"] or 0)
+    if not order_by and (seen["most"] or 0) > 1:
+        example = per_key.where("ok > 1").limit(1).collect()[0].asDict()
+        raise DuplicateKeys(f"duplicate key in copy source for {target_table}: { {k: example[k] for k in keys} }")
 
     base = location or scratch_path(spark, target_table.replace(".", "_").replace("`", ""))
     gen = f"{base}/gen-{uuid.uuid4().hex[:12]}"
     rejects_path = f"{base}/rejects/run-{uuid.uuid4().hex[:12]}"
-    exists = spark.catalog.tableExists(target_table)
-    dup_obs = Observation()
     if exists:
-        new = upsert(spark.table(target_table), good, key, order_by, observe_duplicates=dup_obs)
-    elif order_by:
-        new = latest_per_key(good, key, order_by)
+        new = upsert(spark.table(target_table), good, key, order_by, check_unique=False)
     else:
-        # A first copy has no join to piggyback on: one pass over the key
-        # columns only, partially aggregated.
-        assert_unique(good_rows, key)
-        new = good
-    spec = bucket_spec(spark, target_table) if exists else ((buckets, _keys(key)) if buckets else None)
-    with scoped_conf(spark, RUNTIME_BROADCAST_ONLY):
-        _write_generation(spark, new, target_table, gen, spec, exists)
-    if exists and not order_by and dup_obs.get.get("max_per_key", 0) > 1:
-        raise DuplicateKeys(f"duplicate key in copy source for {target_table}; {gen} left unused")
-    if exists:
-        known = {c.lower() for c in spark.table(target_table).columns}
-        spark.sql(f"ALTER TABLE {target_table} SET LOCATION '{gen}'")
-        added = [f for f in new.schema.fields if f.name.lower() not in known]
-        if added:  # attributes only the source items carry become table columns
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            spark.sql(f"ALTER TABLE {target_table} ADD COLUMNS ({cols})")
-        spark.sql(f"REFRESH TABLE {target_table}")
-    elif spec is None:
-        spark.catalog.createTable(target_table, path=gen, source="parquet")
-    n_all, n_bad = int(counts.get.get("n", 0)), int(counts.get.get("bad", 0))
-    if n_bad:
+        new = latest_per_key(good, key, order_by) if order_by else good
+    if n_good or not exists:
+        spec = bucket_spec(spark, target_table) if exists else ((buckets, keys) if buckets else None)
+        with scoped_conf(spark, RUNTIME_BROADCAST_ONLY):
+            _write_generation(spark, new, target_table, gen, spec, exists)
+        if exists:
+            known = {c.lower() for c in spark.table(target_table).columns}
+            spark.sql(f"ALTER TABLE {target_table} SET LOCATION '{gen}'")
+            added = [f for f in new.schema.fields if f.name.lower() not in known]
+            if added:  # attributes only the source items carry become table columns
+                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+                spark.sql(f"ALTER TABLE {target_table} ADD COLUMNS ({cols})")
+            spark.sql(f"REFRESH TABLE {target_table}")
+        elif spec is None:
+            spark.catalog.createTable(target_table, path=gen, source="parquet")
+    if n_all > n_good:
         bad.write.mode("errorifexists").parquet(rejects_path)
     else:  # nothing rejected: an empty rejects set, without reading the source again
         spark.createDataFrame([], bad.schema).write.mode("errorifexists").parquet(rejects_path)
-    return CopyResult(target_table, gen, rejects_path, n_all - n_bad, n_bad)
+    return CopyResult(target_table, gen, rejects_path, n_good, n_all - n_good)
 
 
 def copy_all_tables(spark: SparkSession, sources: Mapping[str, tuple],
                     target_db: str, checks: Mapping[str, Mapping[str, Column]] | None = None,
-                    rename: Mapping[str, str] | None = None,
-                    max_workers: int = 4) -> tuple[DataFrame, list[CopyResult]]:
+                    rename: Mapping[str, str] | None = None, max_workers: int = 4,
+                    on_error: str = "raise") -> tuple[DataFrame, list[CopyResult]]:
     """Copy every ``name → (DataFrame, key[, order_by])`` into ``target_db`` (same name unless renamed).
 
     With ``order_by`` a table keeps the latest row per key instead of
@@ -223,15 +249,40 @@ def copy_all_tables(spark: SparkSession, sources: Mapping[str, tuple],
     Tables are copied concurrently (``max_workers`` driver threads). Returns a
     report DataFrame ``table_name, copied, rejected`` (one row per table: its
     size is the number of tables, held by the driver anyway) and the
-    per-table results.
+    per-table results. With ``on_error="report"`` a table that fails does not
+    stop the others: the report gets a column ``error``, null for copied tables.
     """
     def copy_one(item):
         name, (df, key, *rest) = item
         target = f"{target_db}.{(rename or {}).get(name, name)}"
-        return copy_table(spark, df, target, key, (checks or {}).get(name), order_by=rest[0] if rest else None)
+        try:
+            if isinstance(df, str):
+                df = spark.table(df)
+            return copy_table(spark, df, target, key, (checks or {}).get(name), order_by=rest[0] if rest else None)
+        except Exception as exc:  # noqa: BLE001 — reported per table when asked to
+            if on_error != "report":
+                raise
+            return (target, f"{type(exc).__name__}: {exc}")
 
     with scoped_conf(spark, RUNTIME_BROADCAST_ONLY):  # set once for all threads
-        results = run_parallel(copy_one, sources.items(), max_workers)
-    rows = [(r.table.split(".")[-1], r.copied, r.rejected) for r in results]
-    report = spark.createDataFrame(rows, "table_name string, copied bigint, rejected bigint")
-    return report, results
+        outcomes = run_parallel(copy_one, sources.items(), max_workers)
+    results = [r for r in outcomes if isinstance(r, CopyResult)]
+    rows = [(r.table.split(".")[-1], r.copied, r.rejected, None) if isinstance(r, CopyResult)
+            else (r[0].split(".")[-1], 0, 0, r[1]) for r in outcomes]
+    report = spark.createDataFrame(rows, "table_name string, copied bigint, rejected bigint, error string")
+    return (report if on_error == "report" else report.drop("error")), results
+
+
+def copy_database(spark: SparkSession, source_db: str, target_db: str, keys: Mapping[str, str | Sequence[str]],
+                  rename: Mapping[str, str] | None = None, max_workers: int = 4) -> DataFrame:
+    """Copy every table of a catalog database into another: ``table_name, copied, rejected, error``.
+
+    ``keys`` names each table's key. A table without one, or whose copy
+    fails, is a row of the report with its error; the others are copied.
+    """
+    from tessera.sources.catalog import list_table_names
+    names = sorted(list_table_names(spark, source_db))
+    known = {n: (f"`{source_db}`.`{n}`", keys[n]) for n in names if n in keys}
+    report, _ = copy_all_tables(spark, known, target_db, rename=rename, max_workers=max_workers, on_error="report")
+    missing = [((rename or {}).get(n, n), 0, 0, "no key given") for n in names if n not in keys]
+    return report.unionByName(spark.createDataFrame(missing, report.schema)) if missing else report

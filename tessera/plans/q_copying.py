@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators.copying import copy_all_tables, copy_table
+from tessera.operators.copying import copy_all_tables, copy_database, copy_table
 from tessera.operators.snapshot import restore_snapshot, snapshot_tables
 from tessera.plans.q_sources import SCRATCH_DB, scratch_table
 from tessera.plans.registry import register, table
@@ -54,6 +54,82 @@ def copy_rejects(spark, sf_dir):
     return spark.read.parquet(result.rejects_path).select("c_name", "reason")
 
 
+@register("copy_into_empty_target", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal >= 0
+""")
+def copy_into_empty_target(spark, sf_dir):
+    # The target exists and holds nothing, as when tables are recreated before a copy.
+    items = _customer_items(spark, sf_dir)
+    name, path = scratch_table(spark, "customer_empty")
+    target = f"{SCRATCH_DB}.{name}"
+    copy_table(spark, items.limit(0), target, "c_custkey", location=path)
+    copy_table(spark, items, target, "c_custkey", location=path)
+    copy_table(spark, items.limit(0), target, "c_custkey", location=path)  # an empty source changes nothing
+    return spark.table(target)
+
+
+@register("copy_type_drift", """
+SELECT 'table' AS place, o_orderkey AS k, CAST(o_custkey AS BIGINT) AS v, CAST(NULL AS VARCHAR) AS reason FROM orders
+WHERE o_orderkey % 5 <> 0 AND o_orderpriority <> '1-URGENT'
+UNION ALL
+SELECT 'rejects', o_orderkey, NULL, 'v does not fit int' FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderpriority = '1-URGENT'
+UNION ALL
+SELECT 'table', o_orderkey, CAST(o_custkey AS BIGINT), NULL FROM orders WHERE o_orderkey % 5 = 0
+""")
+def copy_type_drift(spark, sf_dir):
+    # The target's v is int, the source's is text: fitting values are cast, the others are rejected row by row.
+    o = table(spark, sf_dir, "orders")
+    name, path = scratch_table(spark, "order_drift")
+    target = f"{SCRATCH_DB}.{name}"
+    copy_table(spark, o.where("o_orderkey % 5 = 0").selectExpr("o_orderkey AS k", "CAST(o_custkey AS int) AS v"), target, "k",
+               location=path)
+    text = o.where("o_orderkey % 5 <> 0").selectExpr(
+        "o_orderkey AS k", "CASE WHEN o_orderpriority = '1-URGENT' THEN 'x' || o_custkey ELSE CAST(o_custkey AS string) END AS v")
+    result = copy_table(spark, text, target, "k", location=path)
+    kept = spark.table(target).selectExpr("'table' AS place", "k", "CAST(v AS bigint) AS v", "CAST(NULL AS string) AS reason")
+    rejects = spark.read.parquet(result.rejects_path).selectExpr("'rejects' AS place", "k", "CAST(NULL AS bigint) AS v", "reason")
+    return kept.unionByName(rejects)
+
+
+@register("copy_all_rejected", """
+SELECT 'table' AS place, s_suppkey AS k, s_name AS name, NULL AS reason FROM supplier
+UNION ALL SELECT 'rejects', NULL, s_name, 'missing key s_suppkey' FROM supplier
+""")
+def copy_all_rejected(spark, sf_dir):
+    # No row of the second copy has a key: the target keeps its rows, every row is a reject.
+    s = table(spark, sf_dir, "supplier")
+    name, path = scratch_table(spark, "supplier_rejected")
+    target = f"{SCRATCH_DB}.{name}"
+    copy_table(spark, s, target, "s_suppkey", location=path)
+    result = copy_table(spark, s.withColumn("s_suppkey", F.lit(None).cast(s.schema["s_suppkey"].dataType)), target, "s_suppkey",
+                        location=path)
+    kept = spark.table(target).selectExpr("'table' AS place", "s_suppkey AS k", "s_name AS name", "CAST(NULL AS string) AS reason")
+    rejects = spark.read.parquet(result.rejects_path).selectExpr("'rejects' AS place", "s_suppkey AS k", "s_name AS name", "reason")
+    return kept.unionByName(rejects)
+
+
+@register("copy_database", """
+SELECT 'customer' AS table_name, c_custkey AS k, c_name AS name, NULL AS failed FROM customer
+UNION ALL SELECT 'supplier', s_suppkey, s_name, NULL FROM supplier
+UNION ALL SELECT 'keyless', NULL, NULL, 'no key given'
+UNION ALL SELECT 'nation', NULL, NULL, 'DuplicateKeys'
+""")
+def copy_database_q(spark, sf_dir):
+    # Every table of a catalog database; one has no key, one has duplicate keys: both are rows of the report.
+    suffix = scratch_path(spark, "x").rsplit("-", 1)[-1]
+    source_db, target_db = f"tessera_from_{suffix}", f"tessera_to_{suffix}"
+    ensure_database(spark, source_db)
+    ensure_database(spark, target_db)
+    for name, source in (("customer", "customer"), ("supplier", "supplier"), ("nation", "nation"), ("keyless", "region")):
+        spark.catalog.createTable(f"{source_db}.{name}", path=f"{sf_dir.rstrip('/')}/{source}.parquet", source="parquet")
+    report = copy_database(spark, source_db, target_db, {"customer": "c_custkey", "supplier": "s_suppkey", "nation": "n_regionkey"})
+    copied = [spark.table(f"{target_db}.{n}").selectExpr(f"'{n}' AS table_name", f"{k} AS k", f"{v} AS name", "CAST(NULL AS string) AS failed")
+              for n, k, v in (("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"))]
+    failed = report.where("error IS NOT NULL").selectExpr(
+        "table_name", "CAST(NULL AS bigint) AS k", "CAST(NULL AS string) AS name", "split(error, ':')[0] AS failed")
+    return copied[0].unionByName(copied[1]).unionByName(failed)
+
+
 @register("copy_counts", """
 SELECT 'customer' AS table_name, count(*) FILTER (WHERE c_acctbal >= 0) AS copied,
        count(*) FILTER (WHERE c_acctbal < 0) AS rejected FROM customer

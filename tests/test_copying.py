@@ -149,3 +149,35 @@ def test_copy_all_tables_with_order_by(spark, tmp_base):
     report, _ = copy_all_tables(spark, {"d": (dup, "k", "ts"), "u": (uniq, "k")}, db)
     assert {r.table_name: (r.copied, r.rejected) for r in report.collect()} == {"d": (2, 0), "u": (1, 0)}
     assert rows(spark.table(f"{db}.d")) == [(1, "b", 2)]
+
+
+def _target(spark, name):
+    return f"tessera_scratch.{name}_{__import__('uuid').uuid4().hex[:8]}"
+
+
+def test_copy_into_an_empty_table_and_from_an_empty_source(spark, tmp_base):
+    from tessera.sinks.tables import ensure_database
+    ensure_database(spark, "tessera_scratch")
+    name = _target(spark, "empty")
+    empty = spark.createDataFrame([], "k int, v string")
+    assert copy_table(spark, empty, name, "k", location=tmp_base).copied == 0
+    some = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    assert copy_table(spark, some, name, "k", location=tmp_base).copied == 2
+    result = copy_table(spark, empty, name, "k", location=tmp_base)
+    assert (result.copied, result.rejected) == (0, 0) and rows(spark.table(name)) == [(1, "a"), (2, None)]
+    result = copy_table(spark, spark.createDataFrame([(None, "x")], "k int, v string"), name, "k", location=tmp_base)
+    assert (result.copied, result.rejected) == (0, 1) and spark.table(name).count() == 2
+
+
+def test_values_that_do_not_fit_the_target_are_rejected_one_by_one(spark, tmp_base):
+    from tessera.sinks.tables import ensure_database
+    ensure_database(spark, "tessera_scratch")
+    name = _target(spark, "drift")
+    copy_table(spark, spark.createDataFrame([(0, 7, 1.5)], "k int, v int, d float"), name, "k", location=tmp_base)
+    for rows_in, schema in (([(1, 8, 0.1), (2, 2 ** 40, 0.2)], "k bigint, v bigint, d double"),
+                            ([(3, 9.0, 1.0), (4, 9.5, 1.0)], "k int, v double, d double"),
+                            ([(5, "10", 1.0), (6, "x", 1.0), (7, None, 1.0)], "k int, v string, d double")):
+        copy_table(spark, spark.createDataFrame(rows_in, schema), name, "k", location=tmp_base)
+    assert [(r["k"], r["v"]) for r in spark.table(name).orderBy("k").collect()] == [(0, 7), (1, 8), (3, 9), (5, 10), (7, None)]
+    result = copy_table(spark, spark.createDataFrame([("y", 1, 1.0)], "k string, v int, d double"), name, "k", location=tmp_base)
+    assert rows(spark.read.parquet(result.rejects_path)) == [("y", 1, 1.0, "k does not fit int")]
