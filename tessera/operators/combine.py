@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from tessera.operators.align import align, column_types, union_column_order
 from tessera.session import run_parallel
-from tessera.sources.files import (path_depth, path_segment, read_parquet_tree, tag_from_path,
+from tessera.sources.files import (is_merge_conflict, location, outermost, read_parquet_groups, read_parquet_tree, tag_from_path,
                                    with_path_partitions)
 
 log = logging.getLogger(__name__)
@@ -62,7 +62,7 @@ def union_positional(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def union_tagged(branches: Sequence[tuple[str, DataFrame]], columns: Sequence[str] | None = None,
-                 tag_col: str = "source", on_conflict: str = "string") -> DataFrame:
+                 tag_col: str = "source", on_conflict: str = "lossless") -> DataFrame:
     """One branch per (tag, table): ``SELECT tag AS source, <columns> … UNION ALL``."""
     selected = []
     for name, df in branches:
@@ -88,7 +88,7 @@ def union_same_table(df: DataFrame, tags: Sequence[str], columns: Sequence[str]
 
 
 def union_by_name(frames: Sequence[DataFrame], allow_missing: bool = True,
-                  on_conflict: str = "string") -> DataFrame:
+                  on_conflict: str = "lossless") -> DataFrame:
     """Union by column name; missing columns null-filled (also inside structs)."""
     if not frames:
         raise ValueError("nothing to union")
@@ -103,7 +103,7 @@ def match_suffix(names: Iterable[str], suffix: str, exclude: Iterable[str] = ())
 
 
 def combine_tables(tables: Mapping[str, DataFrame], tag_col: str = "source_table",
-                   on_conflict: str = "string") -> DataFrame:
+                   on_conflict: str = "lossless") -> DataFrame:
     """Fold plan: tag each table (appended column), then union by name."""
     if not tables:
         raise ValueError("no tables to combine")
@@ -112,7 +112,7 @@ def combine_tables(tables: Mapping[str, DataFrame], tag_col: str = "source_table
 
 
 def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_col: str = "source_table",
-                           on_conflict: str = "string", plan: str = "auto",
+                           on_conflict: str = "lossless", plan: str = "auto",
                            partition_levels: int = 0, schema: StructType | None = None) -> DataFrame:
     """Combine Parquet table roots (name → directory), tagging rows by table.
 
@@ -129,62 +129,63 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
     if not roots:
         raise ValueError("no tables to combine")
     if schema is not None:
-        scan = tag_from_path(read_parquet_tree(spark, list(roots.values()), schema=schema), roots, tag_col)
-        data = [F.col(f"`{f.name}`") for f in schema.fields if f.name.lower() != tag_col.lower()]
-        return scan.select(*data, *_partition_columns(roots, tag_col, partition_levels), tag_col)
+        where = outermost([location(spark, r) for r in roots.values()])
+        scan = tag_from_path(read_parquet_tree(spark, where, schema=schema), roots, tag_col, partition_levels)
+        derived = [f"partition_{i}" for i in range(partition_levels)]
+        data = [F.col(f"`{f.name}`") for f in schema.fields if f.name.lower() not in {tag_col.lower(), *derived}]
+        return scan.select(*data, *derived, tag_col)
+    if plan not in ("auto", "scan", "fold"):
+        raise ValueError("plan must be 'auto', 'scan' or 'fold'")
     if plan in ("auto", "scan") and len(roots) >= SINGLE_SCAN_MIN_TABLES:
         uniform = _uniform_schema(spark, roots)
         if uniform is not None and tag_col.lower() not in {f.name.lower() for f in uniform.fields}:
             return combine_parquet_tables(spark, roots, tag_col, on_conflict, "scan", partition_levels,
                                           schema=uniform)
-    # One listing + footer read per table, overlapped on driver threads.
-    frames = run_parallel(lambda root: read_parquet_tree(spark, root), roots.values(), max_workers=32)
+    # One listing and schema merge per table, overlapped on driver threads.
+    frames = run_parallel(lambda root: read_parquet_groups(spark, root), roots.values(), max_workers=32)
     raw = dict(zip(roots, frames))
-    per_table = raw
-    if partition_levels:
-        per_table = {n: with_path_partitions(df, roots[n], partition_levels) for n, df in raw.items()}
     # The scan reads every file with one schema, so every column needs one
     # exact type (nested field differences included); otherwise fold.
-    differing = sorted(k for k, v in column_types(list(raw.values())).items() if len(v) > 1)
-    if plan == "auto":
-        plan = "scan" if len(roots) >= SINGLE_SCAN_MIN_TABLES and not differing else "fold"
-    if plan == "fold":
-        return combine_tables(per_table, tag_col, on_conflict)
-    if plan != "scan":
-        raise ValueError("plan must be 'auto', 'scan' or 'fold'")
-    if differing:
+    differing = sorted(k for k, v in column_types([df for group in frames for df in group]).items() if len(v) > 1)
+    if plan == "scan" and differing:
         raise ValueError(f"single scan needs one type per column; types differ in {differing}")
+    if plan == "fold" or differing or len(roots) < SINGLE_SCAN_MIN_TABLES and plan == "auto":
+        per_table = {}
+        for name, group in raw.items():
+            if partition_levels:
+                group = [with_path_partitions(df, roots[name], partition_levels) for df in group]
+            per_table[name] = group[0] if len(group) == 1 else union_by_name(group, on_conflict=on_conflict)
+        return combine_tables(per_table, tag_col, on_conflict)
 
-    frames = list(per_table.values())
     # The fold's order: first table's columns (tag replaced in place or
     # appended), then columns first seen in later tables.
-    order = union_column_order([frames[0].withColumn(tag_col, F.lit(""))] + frames[1:])
+    derived = [f"partition_{i}" for i in range(partition_levels)]
+    tables = [functools.reduce(lambda df, c: df.withColumn(c, F.lit("")), derived, group[0]) for group in frames]
+    order = union_column_order([tables[0].withColumn(tag_col, F.lit(""))] + tables[1:])
     fields = {}
-    for df in raw.values():
-        for f in df.schema.fields:
+    for group in frames:
+        for f in group[0].schema.fields:
             fields.setdefault(f.name.lower(), f)
-    derived = {tag_col.lower()} | {f"partition_{i}" for i in range(partition_levels)}
-    schema = StructType([fields[c.lower()] for c in order if c.lower() not in derived])
-    scan = read_parquet_tree(spark, list(roots.values()), schema=schema)
-    scan = tag_from_path(scan, roots, tag_col)
-    scan = scan.select("*", *_partition_columns(roots, tag_col, partition_levels))
+    skip = {tag_col.lower(), *derived}
+    schema = StructType([fields[c.lower()] for c in order if c.lower() not in skip])
+    scan = combine_parquet_tables(spark, roots, tag_col, on_conflict, "scan", partition_levels, schema=schema)
     return scan.select(*[F.col(f"`{c}`") for c in order])
 
 
 def _uniform_schema(spark: SparkSession, roots: Mapping[str, str]) -> StructType | None:
     """The common schema when every table has the same columns and types, else None.
 
-    Two jobs instead of one per table: the first table's footer, and one
-    schema-merging read of all roots (it fails on any type difference). When
-    the merge adds nothing to the first table's schema, the fold's column
-    order is that schema, so no other table needs inspecting.
+    Two jobs instead of one per table: a merge of the first table's footers and one of all. When the
+    second adds nothing to the first table's schema, the fold's column order is that schema, so no
+    other table needs inspecting.
     """
-    first = read_parquet_tree(spark, next(iter(roots.values()))).schema
     try:
-        merged = (spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
-                  .parquet(*roots.values()).schema)
-    except Exception:  # noqa: BLE001 — conflicting types: the per-table path decides
-        return None
+        first = read_parquet_tree(spark, next(iter(roots.values()))).schema
+        merged = read_parquet_tree(spark, list(roots.values())).schema
+    except Exception as exc:  # noqa: BLE001 — raised again unless it is a merge conflict
+        if not is_merge_conflict(exc):
+            raise
+        return None  # the per-table path decides
     by_name = {f.name.lower(): f.dataType for f in first.fields}
     if len(merged.fields) != len(first.fields):
         return None
@@ -193,25 +194,9 @@ def _uniform_schema(spark: SparkSession, roots: Mapping[str, str]) -> StructType
     return first
 
 
-def _partition_columns(roots: Mapping[str, str], tag_col: str, levels: int) -> list:
-    """``partition_0…`` for a multi-root scan: the levels below each row's own root."""
-    depths = {path_depth(r) for r in roots.values()}
-    cols = []
-    for i in range(levels):
-        if len(depths) == 1:
-            expr = path_segment(next(iter(depths)) + i)
-        else:
-            expr = None
-            for name, root in roots.items():
-                cond, seg = F.col(tag_col) == name, path_segment(path_depth(root) + i)
-                expr = F.when(cond, seg) if expr is None else expr.when(cond, seg)
-        cols.append(expr.alias(f"partition_{i}"))
-    return cols
-
-
 def combine_by_suffix(tables: Mapping[str, DataFrame], suffixes: Mapping[str, str],
                       columns: Mapping[str, Sequence[str]] | None = None, tag_col: str = "source_table",
-                      on_conflict: str = "string") -> dict[str, DataFrame]:
+                      on_conflict: str = "lossless") -> dict[str, DataFrame]:
     """For each ``suffix → output``: combine every input whose name ends in it.
 
     Outputs are never inputs (a configured output name that happens to end in
@@ -234,12 +219,19 @@ def combine_by_suffix(tables: Mapping[str, DataFrame], suffixes: Mapping[str, st
     return result
 
 
-def suffix_match_counts(combined: DataFrame, tag_col: str = "source_table") -> DataFrame:
-    """Rows per input table and the number of tables matched, from the combined rows.
+def suffix_match_counts(combined: DataFrame, tag_col: str = "source_table",
+                        names: Sequence[str] | None = None) -> DataFrame:
+    """Rows per input table and the number of tables matched.
+
+    With the matched ``names`` an empty table counts too (with 0 rows); without them only tables
+    that gave a row are known.
 
     The group-by is partially aggregated map-side (one row per tag per task
     before the shuffle), so a tag holding most rows costs no more than any
     other. The window then runs over one row per table, a driver-known bound.
     """
     per_table = combined.groupBy(tag_col).agg(F.count(F.lit(1)).alias("n_rows"))
+    if names is not None:
+        known = combined.sparkSession.createDataFrame([(n,) for n in names], f"`{tag_col}` string")
+        per_table = known.join(per_table, tag_col, "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
     return per_table.withColumn("n_tables", F.count(F.lit(1)).over(Window.partitionBy()))

@@ -49,7 +49,7 @@ def conf_report(spark: SparkSession, table_name: str) -> DataFrame:
 
 
 def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixes: Mapping[str, str],
-                          out_base: str, num_files: int | None = None, on_conflict: str = "string",
+                          out_base: str, num_files: int | None = None, on_conflict: str = "lossless",
                           tag_col: str = "source_table", plan: str = "auto", on_error: str = "raise",
                           group_bytes: int | None = None, max_workers: int = 4) -> DataFrame:
     """The combine job: for each ``suffix → output``, combine and write Parquet.
@@ -90,7 +90,7 @@ def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixe
         except Exception as exc:  # noqa: BLE001 — reported per suffix when asked to
             if on_error != "report":
                 raise
-            return (suffix, output, len(names), 0, f"failed: {type(exc).__name__}: {str(exc)[:200]}")
+            return (suffix, output, len(names), 0, f"failed: {type(exc).__name__}: {exc}")
 
     # Outputs are independent: run them on driver threads. Session settings
     # (file packing, output file size) are set once around all of them, so

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators.combine import (combine_by_suffix, combine_parquet_tables, suffix_match_counts,
+from tessera.operators.combine import (combine_by_suffix, combine_parquet_tables, match_suffix, suffix_match_counts,
                                        union_by_name, union_same_table, union_tagged)
 from tessera.plans.fixtures import drift_tenants, partitioned_tenants, read_tables, tenant_case_sql
 from tessera.plans.registry import register, table
@@ -90,7 +90,7 @@ FROM orders GROUP BY 1
 def suffix_match_counts_q(spark, sf_dir):
     tables = read_tables(spark, drift_tenants(spark, sf_dir))
     combined = combine_by_suffix(tables, {"_order": "combined_order"})["combined_order"]
-    return suffix_match_counts(combined)
+    return suffix_match_counts(combined, names=match_suffix(tables, "_order"))
 
 
 @register("combine_single_scan", f"""
@@ -138,13 +138,15 @@ def combined_conf_flow(spark, sf_dir):
 @register("combine_incremental", _DRIFT_ORACLE)
 def combine_incremental(spark, sf_dir):
     # The same by-name combine as a file stream run with availableNow: the
-    # checkpoint makes the next run take only files that arrived since.
+    # checkpoint makes the next run take only files that are new to it.
     from tessera.session import scratch_path
-    from tessera.streaming.incremental import run_once
+    from tessera.streaming.incremental import read_combined, run_once
     roots = {n: r for n, r in drift_tenants(spark, sf_dir).items() if n.endswith("_order")}
     sink = scratch_path(spark, "combined_order_stream")
-    run_once(spark, roots, sink, checkpoint=f"{sink}-checkpoint")
-    return spark.read.parquet(sink)
+    names = sorted(roots)
+    run_once(spark, {n: roots[n] for n in names[1:]}, sink)
+    run_once(spark, roots, sink)  # a table that was added between two runs
+    return read_combined(spark, sink)
 
 
 @register("combine_catalog_suffix", _DRIFT_ORACLE)
@@ -187,6 +189,58 @@ def combine_many_tables_fold(spark, sf_dir):
                                                 F.sum("o_custkey").cast("bigint").alias("custkey_sum"))
 
 
+@register("combine_aliased_roots", _MONTHLY_ORACLE.strip() + """
+UNION ALL
+SELECT alias, count(*), CAST(sum(o_custkey) AS BIGINT) FROM orders, (VALUES ('alpha'), ('beta'), ('table')) AS a(alias)
+WHERE strftime(o_orderdate, '%Y%m') = (SELECT min(strftime(o_orderdate, '%Y%m')) FROM orders)
+GROUP BY 1
+""")
+def combine_aliased_roots(spark, sf_dir):
+    # One folder under several names, among ~80 tables: its rows come once per name under either plan.
+    from tessera.plans.fixtures import monthly_tenants
+    roots = dict(monthly_tenants(spark, sf_dir))
+    first = roots[min(roots)]
+    combined = combine_parquet_tables(spark, {**roots, "alpha": first, "beta": first, "table": first + "/"})
+    return combined.groupBy("source_table").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                F.sum("o_custkey").cast("bigint").alias("custkey_sum"))
+
+
+@register("combine_batch_drift", f"""
+SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, CASE WHEN year(o_orderdate) >= 1995 THEN o_orderpriority END AS o_orderpriority,
+       {tenant_case_sql()} AS source_table
+FROM orders
+""")
+def combine_batch_drift(spark, sf_dir):
+    # Every table's later batch has one more column and a wider key type: nothing of it is lost.
+    from tessera.session import scratch_path
+    orders, base, roots = table(spark, sf_dir, "orders"), scratch_path(spark, "batch-drift"), {}
+    for status in "PFO":
+        name = f"shop_{status.lower()}_order"
+        roots[name] = f"{base}/{name}"
+        own = orders.where(F.col("o_orderstatus") == status)
+        (own.where("year(o_orderdate) < 1995").selectExpr("o_orderkey", "CAST(o_custkey AS int) AS o_custkey")
+            .write.parquet(f"{roots[name]}/batch 1"))
+        (own.where("year(o_orderdate) >= 1995").selectExpr("o_orderkey", "CAST(o_custkey AS bigint) AS o_custkey", "o_orderpriority")
+            .write.parquet(f"{roots[name]}/batch 2"))
+    return combine_parquet_tables(spark, roots)
+
+
+@register("union_type_drift", """
+SELECT 'a' AS source, CAST(c_custkey AS BIGINT) AS id, CAST(CAST(c_acctbal AS DECIMAL(9,2)) AS DECIMAL(14,4)) AS balance,
+       c_mktsegment AS note, CAST(c_nationkey AS DOUBLE) AS nation FROM customer
+UNION ALL
+SELECT 'b', c_custkey * 1000000000, CAST(c_acctbal AS DECIMAL(14,4)), CAST(c_nationkey AS VARCHAR), c_nationkey + 0.5 FROM customer
+""")
+def union_type_drift(spark, sf_dir):
+    # int + bigint, two decimals and int + double widen without loss; text + int becomes text.
+    c = table(spark, sf_dir, "customer")
+    a = c.selectExpr("CAST(c_custkey AS int) AS id", "CAST(c_acctbal AS decimal(9,2)) AS balance", "c_mktsegment AS note",
+                     "CAST(c_nationkey AS int) AS nation")
+    b = c.selectExpr("c_custkey * 1000000000L AS id", "CAST(c_acctbal AS decimal(14,4)) AS balance", "CAST(c_nationkey AS int) AS note",
+                     "CAST(c_nationkey + 0.5 AS double) AS nation")
+    return union_tagged([("a", a), ("b", b)])
+
+
 @register("combine_job_report", """
 SELECT '_order' AS suffix, 'combined_order' AS output_table, CAST(3 AS BIGINT) AS n_tables,
        count(*) AS n_rows, 'written' AS status FROM orders
@@ -204,7 +258,7 @@ def combine_job_report(spark, sf_dir):
     return consolidate_by_suffix(
         spark, drift_tenants(spark, sf_dir),
         {"_order": "combined_order", "_order_totals": "combined_order_totals", "_conf": "combined_conf"},
-        scratch_path(spark, "combined"), group_bytes=1 << 20)
+        scratch_path(spark, "combined"), group_bytes=16 << 20)
 
 
 # A CTAS written the way the reference's SQL files are (quoted identifiers,

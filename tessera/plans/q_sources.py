@@ -13,7 +13,7 @@ from tessera.session import scratch_path
 from tessera.sinks.files import write_manifest
 from tessera.sinks.tables import create_table_as, ensure_database
 from tessera.sources.catalog import read_table
-from tessera.sources.files import read_lines, read_parquet_tree
+from tessera.sources.files import packed_scan, read_lines, read_parquet_tree
 from tessera.sources.inventory import cold_object_keys, keys_by_prefix, list_objects
 
 SCRATCH_DB = "tessera_scratch"
@@ -47,9 +47,12 @@ def scan_parquet_recursive(spark, sf_dir):
 
 @register("scan_small_files_packed", "SELECT * FROM orders")
 def scan_small_files_packed(spark, sf_dir):
-    # 200 small files; the scan packs them into byte-sized tasks
-    # (maxPartitionBytes + openCostInBytes), not one task per file.
-    return read_parquet_tree(spark, small_files(spark, sf_dir))
+    # 200 small files, rewritten: the scan takes many of them per task.
+    # The settings hold while the block runs, so the action is in it.
+    out = scratch_path(spark, "packed")
+    with packed_scan(spark, 16 << 20):
+        read_parquet_tree(spark, small_files(spark, sf_dir)).write.parquet(out)
+    return spark.read.parquet(out)
 
 
 @register("cold_object_keys", """

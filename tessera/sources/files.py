@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 
@@ -21,24 +22,78 @@ from pyspark.sql.types import StructType
 
 from tessera.session import scoped_conf
 
+# Tables whose root → name lookup is larger than this are joined by shuffle.
+LOOKUP_BROADCAST_BYTES = 32 << 20
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
-# Up to this many table roots (~100 bytes each) the root → name lookup is
-# broadcast; beyond it the join is left to the planner (shuffled).
-MAX_BROADCAST_ROOTS = 100_000
 _SCHEME_OPT = r"^([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?)?"
 
 
 def read_parquet_tree(spark: SparkSession, paths: str | Sequence[str],
                       schema: StructType | str | None = None) -> DataFrame:
-    """Read all Parquet files below ``paths`` (sub-folders need not be named ``k=v``)."""
+    """Read all Parquet files below ``paths`` (sub-folders need not be named ``k=v``).
+
+    Without a ``schema`` the columns are those of all files together (a column that only some
+    files have is null elsewhere): Spark merges the footers in a distributed job.
+    """
     reader = spark.read.option("recursiveFileLookup", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
     if isinstance(paths, str):
         paths = [paths]
     return reader.parquet(*paths)
 
 
+def is_merge_conflict(exc: Exception) -> bool:
+    """Whether reading failed because files disagree on a column's type."""
+    return "CANNOT_MERGE_SCHEMAS" in str(exc)
+
+
+def read_parquet_groups(spark: SparkSession, root: str) -> list[DataFrame]:
+    """One frame per group of files below ``root`` whose column types agree; one in all, as a rule.
+
+    Only when the footers cannot be merged (a column changed its type between batches) are they read
+    one by one, in a distributed job, and files with equal schemas grouped.
+    """
+    try:
+        return [read_parquet_tree(spark, root)]
+    except Exception as exc:  # noqa: BLE001 — raised again unless it is a merge conflict
+        if not is_merge_conflict(exc):
+            raise
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(root).select("path"))
+
+    def footers(batches):
+        import pandas as pd
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        from pyspark.sql.pandas.types import from_arrow_schema
+        for batch in batches:
+            out = []
+            for path in batch["path"]:
+                if path.startswith("file:"):
+                    system, inner = fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+                else:
+                    system, inner = fs.FileSystem.from_uri(path)
+                schema = pq.read_schema(inner, filesystem=system)
+                stored = (schema.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+                out.append(stored.decode() if stored else from_arrow_schema(schema).json())
+            yield pd.DataFrame({"path": batch["path"], "schema": out})
+
+    by_schema: dict[str, list[str]] = {}
+    for r in files.mapInPandas(footers, "path string, schema string").orderBy("path").collect():
+        by_schema.setdefault(r["schema"], []).append(r["path"])
+    return [spark.read.schema(StructType.fromJson(json.loads(k))).parquet(*paths) for k, paths in by_schema.items()]
+
+
+def location(spark: SparkSession, path: str) -> str:
+    """``scheme://authority/path`` of a root, as the rows' file paths are compared."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    full = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hpath).toString()
+    scheme, rest = full.split(":", 1)
+    authority, _, inner = rest[2:].partition("/") if rest.startswith("//") else ("", "", rest.lstrip("/"))
+    return f"{scheme}://{authority}/{inner}".rstrip("/") if inner else f"{scheme}://{authority}"
+
+
 def plain_path(path: str) -> str:
     """Drop scheme and authority: ``file:///a/b`` → ``/a/b``; ``s3a://bkt/a`` → ``/a``."""
     p = re.sub(_SCHEME, "", path)
@@ -89,50 +144,81 @@ def with_path_partitions(df: DataFrame, root: str, levels: int = 1,
     return out
 
 
-def tag_from_path(df: DataFrame, roots: Mapping[str, str], tag_col: str) -> DataFrame:
+def outermost(roots: Sequence[str]) -> list[str]:
+    """Different locations without those inside another one, so that a scan lists each file once."""
+    kept: list[str] = []
+    for r in sorted(set(roots)):
+        if not any(r.startswith(k + "/") for k in kept):
+            kept.append(r)
+    return kept
+
+
+def tag_from_path(df: DataFrame, roots: Mapping[str, str], tag_col: str, levels: int = 0,
+                  prefix: str = "partition_") -> DataFrame:
     """Tag each row of a multi-root scan with the name of the root it came from.
 
-    Three shapes, cheapest first:
-    1. every name equals its directory's basename and all roots share one
-       depth → the tag is one path segment;
-    2. few roots → a ``CASE WHEN startswith`` chain, longest root first;
-    3. many roots of one depth → a hash join on the root-depth prefix. The
-       small side has one row per input table (a bound the caller already
-       holds in driver memory as the ``roots`` mapping); it is broadcast up
-       to ``MAX_BROADCAST_ROOTS`` rows and shuffled beyond that.
+    A row is given once for every root its file lies under: roots may be nested, in different
+    buckets, or one folder under several names. With ``levels``, ``partition_0…`` are the directory
+    levels below that root. If each name is its own folder's and all roots are equally deep, the tag
+    is one path segment; otherwise the file's folders are looked up per depth among the roots.
     """
-    plain = {name: plain_path(r) for name, r in roots.items()}
-    depths = {path_depth(p) for p in plain.values()}
-    if len(depths) == 1 and all(p.rsplit("/", 1)[-1] == n for n, p in plain.items()):
-        return df.withColumn(tag_col, path_segment(depths.pop() - 1))
-    if len(plain) <= 32 or len(depths) != 1:
-        path = decoded_file_path()
-        expr = None
-        for name, p in sorted(plain.items(), key=lambda kv: -len(kv[1])):
-            cond = path.startswith(p.rstrip("/") + "/")
-            expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-        return df.withColumn(tag_col, expr)
-    depth = depths.pop()
     spark = df.sparkSession
-    lookup = spark.createDataFrame([(p, n) for n, p in plain.items()], f"_root string, `{tag_col}` string")
-    # Cut the root-depth prefix out of the encoded path, then decode just that.
-    prefix = F.regexp_extract(F.col("_metadata.file_path"), _SCHEME_OPT + r"((?:/[^/]*){%d})/" % depth, 2)
-    key = _decode(prefix)
-    small = F.broadcast(lookup) if len(plain) <= MAX_BROADCAST_ROOTS else lookup
-    return df.withColumn("_root", key).join(small, "_root", "left").drop("_root")
+    at = {name: location(spark, r) for name, r in roots.items()}
+    depth = {name: loc.split("://", 1)[1].count("/") for name, loc in at.items()}
+    if len(set(depth.values())) == 1 and all(loc.rsplit("/", 1)[-1] == n for n, loc in at.items()) and min(depth.values()) > 0:
+        d = next(iter(depth.values()))
+        out = df.withColumn(tag_col, path_segment(d - 1))
+        for i in range(levels):
+            out = out.withColumn(f"{prefix}{i}", path_segment(d + i))
+        return out
+    taken = {c.lower() for c in df.columns} | {tag_col.lower()}
+    parts, hits = "_path_parts", "_root_hits"
+    while any(c.startswith((parts, hits)) for c in taken):
+        parts, hits = "_" + parts, "_" + hits
+    full = F.col("_metadata.file_path")
+    scheme = F.regexp_extract(full, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
+    authority = F.regexp_extract(full, r"^[^:/]*://([^/]*)", 1)
+    inner = F.regexp_replace(_decode(F.regexp_replace(full, _SCHEME, "")), "^/+", "")
+    # scheme://authority, then the folders, then the file name
+    out = df.withColumn(parts, F.concat(F.array(F.concat(scheme, F.lit("://"), authority)), F.split(inner, "/")))
+    found = []
+    for d in sorted(set(depth.values())):
+        rows = [(at[n], n) for n in roots if depth[n] == d]
+        names: dict[str, list[str]] = {}
+        for loc, n in rows:
+            names.setdefault(loc, []).append(n)
+        key, own = f"{hits}_k{d}", f"{hits}_{d}"
+        lookup = spark.createDataFrame([(loc, ns) for loc, ns in names.items()], f"`{key}` string, `{own}` array<string>")
+        if sum(len(loc) + sum(map(len, ns)) for loc, ns in names.items()) <= LOOKUP_BROADCAST_BYTES:
+            lookup = F.broadcast(lookup)
+        folder = F.when(F.size(parts) > d + 1, F.array_join(F.slice(parts, 1, d + 1), "/"))
+        out = out.withColumn(key, folder).join(lookup, key, "left").drop(key)
+        depth_here = F.lit(d).alias("depth")  # a second lambda argument would be the element's position
+        found.append(F.transform(F.coalesce(own, F.array().cast("array<string>")), lambda n: F.struct(n.alias("name"), depth_here)))  # noqa: B023
+    out = out.withColumn(hits, F.explode(F.concat(*found))).withColumn(tag_col, F.col(f"{hits}.name"))
+    for i in range(levels):
+        place = F.col(f"{hits}.depth") + F.lit(1 + i)
+        out = out.withColumn(f"{prefix}{i}", F.when(place < F.size(parts) - 1, F.get(parts, place)))
+    return out.drop(parts, hits, *(f"{hits}_{d}" for d in set(depth.values())))
 
 
-def packed_scan(spark: SparkSession, group_bytes: int, open_cost_bytes: int | None = None):
-    """Scope small-file packing: roughly ``group_bytes`` of input per scan task.
+def packed_scan(spark: SparkSession, group_bytes: int, open_cost_bytes: int = 64 << 10):
+    """Scope small-file packing: a scan task takes up to ``group_bytes / open_cost_bytes`` small files.
 
-    Spark packs files into a task up to ``maxPartitionBytes``, charging
-    ``openCostInBytes`` per file; both must move together or a small group
-    size yields one task per file. These are read at planning time, so run
-    the action inside the block.
+    Spark fills a task up to ``maxPartitionBytes`` and charges ``openCostInBytes`` for each file. The size
+    at which a task is full is also the size at which a file is split, and a file cut finer than its row
+    groups gives tasks without rows; so it stays as it is, and the charge is set so that as many files
+    fit as would into a group. Read at planning time: run the action inside the block.
     """
-    open_cost = open_cost_bytes if open_cost_bytes is not None else max(1, group_bytes // 16)
-    return scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": str(group_bytes),
-                               "spark.sql.files.openCostInBytes": str(open_cost)})
+    whole = max(_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")), group_bytes)
+    return scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": str(whole),
+                               "spark.sql.files.openCostInBytes": str(max(1, whole * open_cost_bytes // group_bytes))})
+
+
+def _bytes(size: str) -> int:
+    """Bytes of a Spark size setting such as ``128m`` or ``134217728b``."""
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmgt]?)b?", size.strip().lower()).groups()
+    return int(number) << (10 * "bkmgt".index(unit or "b"))
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "key") -> DataFrame:

@@ -1,42 +1,78 @@
 """Incremental consolidation: each run combines only files not seen before.
 
-The batch combine re-reads every tenant table on every run. Here each table
-root is a Structured Streaming file source; a run with the ``availableNow``
-trigger processes exactly the files that arrived since the last run (the
-checkpoint remembers which files were taken) and appends them to the
-combined output, whose ``_spark_metadata`` log makes every run's output
-appear atomically and exactly once. A run killed half-way, or an executor
-lost during it, is simply re-run.
-
-The checkpoint must live on shared, durable storage: by default it goes
-under the session's ``spark.checkpoint.dir``.
+The batch combine re-reads every tenant table on every run. Here all table
+roots together are one Structured Streaming file source; a run with the
+``availableNow`` trigger processes exactly the files that arrived since the
+last run (the checkpoint remembers them by path, however old they are) and
+appends them to the combined output, whose ``_spark_metadata`` log makes every
+run's output appear atomically and exactly once. A run killed half-way, or an
+executor lost during it, is simply re-run.
+
+As files are remembered by path, tables may be added, left out and reordered
+between runs. Every run reads with the columns all tables have by then, so a
+new column is kept from its first file on; a column whose type changed beyond
+what Parquet reads as the wider type raises ``SchemaConflict``.
+
+The checkpoint lies in the sink folder unless one is named, so that both stay
+together. A sink with a log but without its checkpoint is refused (Spark would
+take its first batches for written already and skip them), and so is a
+checkpoint whose sink is gone.
 """
 
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tessera.operators.align import SchemaConflict, conflicting_columns, widened
+from tessera.operators.combine import union_column_order
+from tessera.session import path_exists
+from tessera.sources.files import location, outermost, read_parquet_groups, tag_from_path
+
 
-from tessera.operators.combine import tag, union_by_name
-from tessera.session import checkpoint_root
-from tessera.sources.files import read_parquet_tree, with_path_partitions
+def default_checkpoint(sink_path: str) -> str:
+    """The sink's own checkpoint folder."""
+    return f"{sink_path.rstrip('/')}/_checkpoint"
 
 
-def default_checkpoint(spark: SparkSession, sink_path: str) -> str:
-    """One checkpoint per sink: the same sink resumes, two sinks never share."""
-    digest = hashlib.sha1(sink_path.rstrip("/").encode()).hexdigest()[:16]
-    name = sink_path.rstrip("/").rsplit("/", 1)[-1]
-    return f"{checkpoint_root(spark)}/tessera/streams/{name}-{digest}"
+def _one_pattern(locations: list[str]) -> str:
+    """A path pattern for all roots: one file source has one path."""
+    if len(locations) == 1:
+        return re.sub(r"([\\{}\[\]*?,])", r"\\\1", locations[0])
+    heads = {loc.split("/", 3)[0] + "//" + loc.split("/", 3)[2] for loc in locations}
+    if len(heads) > 1:
+        raise ValueError(f"one incremental combine reads one file system; these roots lie in {sorted(heads)}")
+    head = heads.pop()
+    inner = [re.sub(r"([\\{}\[\]*?,])", r"\\\1", loc[len(head) + 1:]) for loc in locations]
+    return head + "/{" + ",".join(inner) + "}"
+
+
+def _common_schema(spark: SparkSession, roots: Mapping[str, str]) -> StructType:
+    """All columns of all tables, in the fold's order, each in a type Parquet reads every file as."""
+    frames = [df for root in roots.values() for df in read_parquet_groups(spark, root)]
+    clashes = conflicting_columns(frames)
+    fields = {}
+    for df in frames:
+        for f in df.schema.fields:
+            fields.setdefault(f.name.lower(), f)
+    for name, types in clashes.items():
+        to = types[0]
+        for t in types[1:]:
+            to = widened(to, t) if to is not None else None
+        if to is None:
+            raise SchemaConflict(f"column {name} has types no incremental read can join: {[t.simpleString() for t in types]}")
+        fields[name].dataType = to
+    return StructType([fields[c.lower()] for c in union_column_order(frames)])
 
 
 def incremental_combine(spark: SparkSession, roots: Mapping[str, str], sink_path: str,
                         checkpoint: str | None = None, tag_col: str = "source_table",
-                        partition_levels: int = 0, on_conflict: str = "string",
-                        max_files_per_trigger: int | None = None, available_now: bool = True,
-                        query_name: str | None = None,
+                        partition_levels: int = 0, max_files_per_trigger: int | None = None,
+                        available_now: bool = True, query_name: str | None = None,
                         transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Start (and with ``available_now`` run to the end of the current files) one combine run.
 
@@ -44,20 +80,25 @@ def incremental_combine(spark: SparkSession, roots: Mapping[str, str], sink_path
     ``lambda df: normalize_column(df, "value")`` for the whole
     combine → normalise flow, incrementally.
     """
-    frames = []
-    for name, root in roots.items():
-        schema = read_parquet_tree(spark, root).schema  # a stream needs its schema up front
-        reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        df = reader.parquet(root)
-        if partition_levels:
-            df = with_path_partitions(df, root, partition_levels)
-        frames.append(tag(df, name, tag_col, "last"))
-    combined = union_by_name(frames, allow_missing=True, on_conflict=on_conflict)
+    ckpt = checkpoint or default_checkpoint(sink_path)
+    has_log, has_state = path_exists(spark, f"{sink_path.rstrip('/')}/_spark_metadata"), path_exists(spark, f"{ckpt}/offsets")
+    if has_log and not has_state:
+        raise ValueError(f"{sink_path} was written with another checkpoint than {ckpt}")
+    if has_state and not has_log and path_exists(spark, f"{ckpt}/commits/0"):
+        raise ValueError(f"{ckpt} belongs to a sink that is no longer at {sink_path}")
+    schema = _common_schema(spark, roots)
+    data = [f.name for f in schema.fields if f.name.lower() != tag_col.lower()]
+    # Files are told apart by path, so none is too old to be new.
+    reader = (spark.readStream.schema(StructType([f for f in schema.fields if f.name in data]))
+              .option("recursiveFileLookup", "true").option("maxFileAge", "36500d"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.parquet(_one_pattern(outermost([location(spark, r) for r in roots.values()])))
+    derived = [f"partition_{i}" for i in range(partition_levels)]
+    combined = tag_from_path(stream, roots, tag_col, partition_levels).select(
+        *(f"`{c}`" for c in data if c not in derived), *derived, tag_col)
     if transform is not None:
         combined = transform(combined)
-    ckpt = checkpoint or default_checkpoint(spark, sink_path)
     writer = (combined.writeStream.format("parquet").option("path", sink_path)
               .option("checkpointLocation", ckpt).outputMode("append"))
     if query_name:
@@ -66,6 +107,11 @@ def incremental_combine(spark: SparkSession, roots: Mapping[str, str], sink_path
     return writer.start()
 
 
+def read_combined(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The sink with all columns any run wrote."""
+    return spark.read.option("mergeSchema", "true").parquet(sink_path)
+
+
 def run_once(spark: SparkSession, roots: Mapping[str, str], sink_path: str, **kwargs) -> None:
     """One incremental run to completion (raises if the run failed)."""
     query = incremental_combine(spark, roots, sink_path, available_now=True, **kwargs)

@@ -215,3 +215,74 @@ def test_positional_conflicts_are_checked_by_position(spark):
     assert rows(out) == [("a", "1", "x"), ("b", "k2", "y")]
     with pytest.raises(SchemaConflict):
         union_tagged([("a", a), ("b", b)], on_conflict="fail")
+
+
+def _tables(spark, base, many):
+    """``many`` one-folder tables at two depths, one nested inside another, one under three names."""
+    roots = {}
+    for k in range(many):
+        roots[f"t{k}_order"] = f"{base}/a/t{k}_order" if k % 2 else f"{base}/b/deep er/t{k}_order"
+        spark.createDataFrame([(k, f"v{k}")], "id int, v string").write.parquet(f"{roots[f't{k}_order']}/batch {k}")
+    roots["inner"] = f"{roots['t1_order']}/more"
+    spark.createDataFrame([(1000, "x")], "id int, v string").write.parquet(roots["inner"] + "/b")
+    roots["alpha"] = roots["beta"] = roots["t0_order"]
+    roots["table"] = roots["t0_order"] + "/"
+    return roots
+
+
+@pytest.mark.parametrize("many", [2, 13, 40])
+def test_fold_and_scan_agree_on_aliases_nesting_and_depths(spark, tmp_base, many):
+    roots = _tables(spark, tmp_base, many)
+    plans = {p: combine_parquet_tables(spark, roots, plan=p, partition_levels=1) for p in ("fold", "scan", "auto")}
+    fold = rows(plans["fold"])
+    assert len(fold) == many + 1 + 1 + 3  # the nested file belongs to both tables around it
+    assert rows(plans["scan"]) == fold and rows(plans["auto"]) == fold
+    assert plans["scan"].columns == plans["fold"].columns
+    known = plans["fold"].select("id", "v").schema
+    assert len(combine_parquet_tables(spark, roots, schema=known).collect()) == len(fold)
+
+
+def test_columns_of_later_batches_are_kept(spark, tmp_base):
+    roots = {n: f"{tmp_base}/{n}" for n in ("a_order", "b_order")}
+    for root in roots.values():
+        spark.createDataFrame([(1,)], "id int").write.parquet(f"{root}/b1")
+        spark.createDataFrame([(2 ** 40, "x")], "id bigint, late string").write.parquet(f"{root}/b2")
+    want = sorted([(1, None, n) for n in roots] + [(2 ** 40, "x", n) for n in roots], key=str)
+    for plan in ("fold", "auto"):
+        assert sorted((tuple(r) for r in combine_parquet_tables(spark, roots, plan=plan).collect()), key=str) == want
+    same = {n: f"{tmp_base}/c/{n}" for n in ("c_order", "d_order")}
+    for root in same.values():
+        spark.createDataFrame([(1,)], "id int").write.parquet(f"{root}/b1")
+        spark.createDataFrame([(2, "x")], "id int, late string").write.parquet(f"{root}/b2")
+    for plan in ("fold", "scan", "auto"):
+        assert rows(combine_parquet_tables(spark, same, plan=plan).select("id", "late")) == rows(
+            spark.createDataFrame([(1, None), (2, "x")] * 2, "id int, late string"))
+
+
+def test_lossless_widening():
+    from pyspark.sql.types import (ArrayType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType,
+                                   StringType, StructField, StructType, TimestampNTZType, TimestampType)
+    from tessera.operators.align import widened
+    i, b, d = IntegerType(), LongType(), DoubleType()
+    for x, y, want in ((i, b, b), (ShortType(), i, i), (i, d, d), (b, d, None), (FloatType(), d, d), (i, FloatType(), d),
+                       (DecimalType(10, 2), DecimalType(8, 4), DecimalType(12, 4)), (b, DecimalType(10, 2), DecimalType(21, 2)),
+                       (DecimalType(38, 0), DecimalType(10, 2), None), (DateType(), TimestampNTZType(), TimestampNTZType()),
+                       (DateType(), TimestampType(), None), (StringType(), i, None), (ArrayType(i), ArrayType(b), ArrayType(b))):
+        assert widened(x, y) == want and widened(y, x) == want
+    one, two = StructType([StructField("a", i)]), StructType([StructField("a", b), StructField("c", i)])
+    assert widened(one, two) == two
+
+
+def test_text_of_nested_and_binary_values(spark):
+    a = spark.sql("SELECT named_struct('x', 1) AS s, X'FF00' AS b")
+    c = spark.sql("SELECT 's' AS s, 'b' AS b")
+    assert rows(union_by_name([a, c])) == [("s", "b"), ('{"x":1}', "/wA=")]
+    wider = spark.sql("SELECT named_struct('x', 5000000000L, 'y', 2) AS s, X'01' AS b")
+    assert [r["s"].asDict() for r in union_by_name([a, wider]).collect()] == [{"x": 1, "y": None}, {"x": 5000000000, "y": 2}]
+
+
+def test_empty_matched_tables_are_counted(spark):
+    from tessera.operators.combine import suffix_match_counts
+    frames = {"a_order": spark.createDataFrame([(1,)], "id int"), "b_order": spark.createDataFrame([], "id int")}
+    counts = suffix_match_counts(combine_tables(frames), names=list(frames))
+    assert rows(counts) == [("a_order", 1, 2), ("b_order", 0, 2)]

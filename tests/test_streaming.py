@@ -43,3 +43,45 @@ def test_available_now_with_file_rate_limit(spark, tmp_base):
         orders.where(f"o_orderstatus = '{s}'").coalesce(1).write.parquet(f"{tmp_base}/in/x_order/{s}")
     run_once(spark, {"x_order": f"{tmp_base}/in/x_order"}, f"{tmp_base}/out", max_files_per_trigger=1)
     assert spark.read.parquet(f"{tmp_base}/out").count() == orders.count()
+
+
+def _ids(spark, sink):
+    from tessera.streaming.incremental import read_combined
+    return sorted((r["source_table"], r["id"]) for r in read_combined(spark, sink).select("source_table", "id").collect())
+
+
+def test_tables_added_reordered_old_files_and_new_columns(spark, tmp_base):
+    import glob
+    import os
+
+    from tessera.streaming.incremental import read_combined
+    root = lambda n: f"{tmp_base}/in/{n}"
+    for k, n in enumerate(("a_order", "b_order")):
+        spark.createDataFrame([(k,)], "id int").write.parquet(f"{root(n)}/b1")
+    sink = f"{tmp_base}/out"
+    run_once(spark, {n: root(n) for n in ("a_order", "b_order")}, sink)
+    run_once(spark, {n: root(n) for n in ("b_order", "a_order")}, sink)
+    assert _ids(spark, sink) == [("a_order", 0), ("b_order", 1)]
+    spark.createDataFrame([(2, "x")], "id int, late string").write.parquet(f"{root('c_order')}/b1")
+    spark.createDataFrame([(3, "y")], "id int, late string").write.parquet(f"{root('a_order')}/b2")
+    for f in glob.glob(f"{root('a_order')}/b2/*.parquet"):
+        os.utime(f, (1, 1))  # a file with a very old date
+    run_once(spark, {n: root(n) for n in ("c_order", "b_order", "a_order")}, sink)
+    assert _ids(spark, sink) == [("a_order", 0), ("a_order", 3), ("b_order", 1), ("c_order", 2)]
+    assert {r["late"] for r in read_combined(spark, sink).collect()} == {None, "x", "y"}
+
+
+def test_foreign_checkpoint_and_unreadable_type_are_refused(spark, tmp_base):
+    import pytest
+
+    from tessera.operators.align import SchemaConflict
+    spark.createDataFrame([(1,)], "id int").write.parquet(f"{tmp_base}/in/a_order/b1")
+    roots, sink = {"a_order": f"{tmp_base}/in/a_order"}, f"{tmp_base}/out"
+    run_once(spark, roots, sink)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        run_once(spark, roots, sink, checkpoint=f"{tmp_base}/elsewhere")
+    with pytest.raises(ValueError, match="no longer"):
+        run_once(spark, roots, f"{tmp_base}/other", checkpoint=f"{sink}/_checkpoint")
+    spark.createDataFrame([("x",)], "id string").write.parquet(f"{tmp_base}/in/a_order/b2")
+    with pytest.raises(SchemaConflict):
+        run_once(spark, roots, sink)
