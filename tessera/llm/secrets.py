@@ -52,13 +52,15 @@ FOUND = "blob string, kind string, version int, start long, end long"
 
 
 def _screen(rule: Rule) -> str:
-    """A pattern that some kept match of the rule must match: cheap to test on texts without any."""
-    return rule.pattern if rule.group or not rule.pattern.endswith("+") else f"{rule.pattern[:-1]}{{{rule.least - _fixed_length(rule.pattern)},}}"
-
-
-def _fixed_length(pattern: str) -> int:
-    """Length of the literal text before the one repeated class of a simple pattern."""
-    return len(pattern.split("[")[0]) if pattern.count("[") == 1 else 0
+    """A pattern that every kept match of the rule matches, and few other texts do.
+
+    For literal text and one repeated class the least length can be written into the pattern: the
+    first match in a run is its longest. Other rules are screened by their own pattern.
+    """
+    literal, bracket, rest = rule.pattern.partition("[")
+    if rule.group or not rest.endswith("]+") or "[" in rest or not literal.isalnum() and literal:
+        return rule.pattern
+    return f"{literal}{bracket}{rest[:-1]}{{{rule.least - len(literal)},}}"
 
 
 def blob_id(text: Column) -> Column:
