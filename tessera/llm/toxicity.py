@@ -49,7 +49,8 @@ _HOMOGLYPH_TABLE = str.maketrans(HOMOGLYPHS | {"l": "i"} | dict.fromkeys("­​
 _HOMOGLYPH_TABLE[ord("ł")] = _HOMOGLYPH_TABLE[ord("ӏ")] = "i"
 _ASCII_TABLE = str.maketrans({"l": "i"})
 _SUBST_TABLE = str.maketrans(SUBSTITUTIONS)
-_SUBST_TOKEN = re.compile(r"[^\s]*[0134578@$!|+€][^\s]*")
+# Whole tokens with a substitute in them; starting at token borders alone keeps very long tokens linear.
+_SUBST_TOKEN = re.compile(r"(?<!\S)[^\s0134578@$!|+€]*[0134578@$!|+€]\S*")
 _MARKS = re.compile("[̀-ͯ]+")
 _WORD = re.compile(r"[^\W_]+")
 _LETTER = re.compile(r"[^\W\d_]")

@@ -74,3 +74,11 @@ def test_messy_and_empty_tables(spark, messy, no_docs):
     assert all(r["score"] == 0 for r in T.score_documents(messy, lexicon).collect())
     assert T.learn_lexicon(no_docs, labels.limit(0)) == T.Lexicon()
     assert T.score_documents(no_docs, T.Lexicon()).count() == 0
+
+
+def test_very_long_tokens_take_linear_time():
+    import time
+    began = time.process_time()
+    for text in ("x" * 2_000_000, "x1" * 1_000_000, "1" * 2_000_000, "!" * 2_000_000, "é" * 1_000_000):
+        T.fold_words(text)
+    assert time.process_time() - began < 20
