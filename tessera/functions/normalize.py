@@ -86,36 +86,23 @@ def php_to_json_expr(col: Column | str, null_as_empty: bool = True, strict_json:
 
 def normalize_column(df: DataFrame, col: str = "value", flag_col: str | None = None,
                      keep_original: bool = False, null_as_empty: bool = True,
-                     strict_json: bool = False) -> DataFrame:
+                     strict_json: bool = False, spread: int | None = None) -> DataFrame:
     """Replace ``col`` in place with its JSON form; other columns untouched.
 
+    ``spread`` deals the rows out to that many tasks first: for an input of one or a few row groups,
+    as the parser costs far more per row than the scan. Building the plan runs no job.
+
     ``flag_col`` restricts conversion to rows where that column is 1 (e.g. a
     ``serialize`` flag); ``keep_original`` adds ``<col>_original``.
     """
     ship_package(df.sparkSession)  # the UDF is unpickled by module name on workers
     gate = (F.col(flag_col) == 1) if flag_col else None
-    out = spread_thin_input(df)
+    out = df.repartition(spread) if spread else df
     if keep_original:
         out = out.withColumn(f"{col}_original", F.col(col))
     return out.withColumn(col, php_to_json_expr(col, null_as_empty, strict_json, gate))
 
 
-def spread_thin_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an input that has fewer partitions than the cluster has cores.
-
-    The Python stage costs far more per row than the scan, so a one-file,
-    one-row-group input would otherwise run the whole conversion in a single
-    task. Inputs of cluster size (thousands of splits) pass through untouched,
-    without an exchange.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 — no RDD view (remote session): leave as is
-        return df
-    return df if have >= want else df.repartition(want)
-
-
 def is_error_json(col: Column | str) -> Column:
     """True where a converted value is an error object."""
     c = F.col(col) if isinstance(col, str) else col

@@ -17,12 +17,18 @@ several tasks (that bucket then has several files) and merges tiny ones.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import run_parallel
+
+BUCKET_BYTES = 256 << 20
+#: Spark's own limit of buckets.
+MAX_BUCKETS = 100_000
+
 
 @dataclass
 class IndexSpec:
@@ -54,10 +60,22 @@ def index_projection(df: DataFrame, spec: IndexSpec, table_keys: Sequence[str])
     return df.where(present).select(*index_columns(df, spec, table_keys))
 
 
+def bucket_count(df: DataFrame) -> int:
+    """Buckets of about ``BUCKET_BYTES`` by the planner's size of ``df``, and no fewer than shuffle
+    partitions: with fewer, reading the table by its buckets would be less parallel than a shuffle."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MAX_BUCKETS, -(-size // BUCKET_BYTES)))
+
+
 def write_index(df: DataFrame, spec: IndexSpec, table_keys: Sequence[str], table_name: str,
-                buckets: int, path: str | None = None) -> DataFrame:
+                buckets: int | None = None, path: str | None = None) -> DataFrame:
     """Materialise the index as a bucketed (and sorted) catalog table."""
-    proj = index_projection(df, spec, table_keys).hint("rebalance", buckets, spec.hash_key)
+    if spec.kind == "local" and spec.hash_key != table_keys[0]:
+        raise ValueError(f"local index {spec.name} must share the table's hash key {table_keys[0]}")
+    proj = index_projection(df, spec, table_keys)
+    buckets = buckets or bucket_count(proj)
+    proj = proj.hint("rebalance", buckets, spec.hash_key)
     writer = proj.write.mode("errorifexists").format("parquet").bucketBy(buckets, spec.hash_key)
     if spec.range_key:
         writer = writer.sortBy(spec.range_key)
@@ -65,3 +83,11 @@ def write_index(df: DataFrame, spec: IndexSpec, table_keys: Sequence[str], table
         writer = writer.option("path", path)
     writer.saveAsTable(table_name)
     return df.sparkSession.table(table_name)
+
+
+def write_indexes(df: DataFrame, specs: Sequence[IndexSpec], table_keys: Sequence[str], table_name: Callable[[str], str],
+                  path: str | None = None, buckets: int | None = None, max_workers: int = 4) -> dict[str, DataFrame]:
+    """All indexes of a table, written concurrently: index name → table."""
+    made = run_parallel(lambda s: write_index(df, s, table_keys, table_name(s.name), buckets, path and f"{path}/{s.name}"),
+                        specs, max_workers)
+    return {s.name: t for s, t in zip(specs, made)}

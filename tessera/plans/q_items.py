@@ -35,6 +35,69 @@ def typed_items_profile(spark, sf_dir):
     return profile_items(read_typed_items_raw(spark, customer_item_export(spark, sf_dir)))
 
 
+@register("typed_items_mixed", """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN CAST(c_nationkey AS VARCHAR) ELSE c_mktsegment END AS label,
+       CAST(NULL AS BOOLEAN) AS gone, CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_nationkey AS INTEGER) END AS nation,
+       CASE WHEN c_custkey % 5 = 0 THEN 'nation' ELSE '' END AS misfits
+FROM customer
+""")
+def typed_items_mixed(spark, sf_dir):
+    # One attribute is N in some items and S in others, one is NULL, and one has values that are no number.
+    from pyspark.sql import functions as F
+
+    from tessera.session import scratch_path
+    path = scratch_path(spark, "mixed-items")
+    table(spark, sf_dir, "customer").selectExpr("""
+        '{"Item":{"id":{"N":"' || c_custkey || '"},"gone":{"NULL":true},"label":{' ||
+        CASE WHEN c_custkey % 3 = 0 THEN '"N":"' || c_nationkey ELSE '"S":"' || c_mktsegment END || '"},"nation":{"S":"' ||
+        CASE WHEN c_custkey % 5 = 0 THEN 'none' ELSE CAST(c_nationkey AS string) END || '"}}}' AS value""").write.text(path)
+    items = read_typed_items(spark, path, {"id": "N", "label": "S", "gone": "NULL", "nation": "N"},
+                             cast={"id": "bigint", "nation": "int"}, misfits="misfits")
+    return items.withColumn("misfits", F.array_join("misfits", ","))
+
+
+@register("typed_items_nested", """
+SELECT o_orderkey AS id, o_custkey AS customer, o_orderpriority AS priority, CAST(o_orderkey AS VARCHAR) || '.000000000000001234' AS exact,
+       o_orderstatus || ',' || o_orderkey AS list, CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS inner_key
+FROM orders
+""")
+def typed_items_nested(spark, sf_dir):
+    # Maps and lists decode to plain structs and arrays; numbers keep every digit.
+    from pyspark.sql import functions as F
+
+    from tessera.session import scratch_path
+    path = scratch_path(spark, "nested-items")
+    table(spark, sf_dir, "orders").selectExpr("""
+        '{"Item":{"id":{"N":"' || o_orderkey || '"},"exact":{"N":"' || o_orderkey || '.000000000000001234"},"m":{"M":{"customer":{"N":"' ||
+        o_custkey || '"},"priority":{"S":"' || o_orderpriority || '"},"more":{"M":{' ||
+        CASE WHEN o_orderstatus = 'O' THEN '"k":{"N":"' || o_custkey || '"}' ELSE '' END || '}}}},"l":{"L":[{"S":"' || o_orderstatus ||
+        '"},{"N":"' || o_orderkey || '"}]}}}' AS value""").write.text(path)
+    items = read_typed_items(spark, path, {"id": "N", "exact": "N", "m": "M", "l": "L"},
+                             cast={"id": "bigint", "m": "struct<customer:bigint,priority:string,more:map<string,bigint>>", "l": "array<string>"})
+    return items.select("id", "m.customer", "m.priority", "exact", F.array_join("l", ",").alias("list"), F.col("m.more")["k"].alias("inner_key"))
+
+
+@register("index_all", """
+SELECT 'by_customer' AS index_name, o_custkey AS k, o_orderkey, o_totalprice FROM orders
+UNION ALL SELECT 'by_priority', o_orderkey, o_orderkey, NULL FROM orders
+UNION ALL SELECT 'urgent', o_orderkey, o_orderkey, NULL FROM orders WHERE o_orderpriority = '1-URGENT'
+""")
+def index_all(spark, sf_dir):
+    # All indexes of a table in one call, bucket counts by size; the last is sparse (null keys are left out).
+    from pyspark.sql import functions as F
+
+    from tessera.operators.indexes import write_indexes
+    orders = table(spark, sf_dir, "orders").withColumn("urgent", F.expr("CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END"))
+    specs = [IndexSpec("by_customer", "o_custkey", "o_orderdate", "INCLUDE", ("o_totalprice",)),
+             IndexSpec("by_priority", "o_orderkey", "o_orderpriority", "KEYS_ONLY", kind="local"),
+             IndexSpec("urgent", "urgent", None, "KEYS_ONLY")]
+    prefix, path = scratch_table(spark, "orders_idx")
+    made = write_indexes(orders, specs, ["o_orderkey"], lambda n: f"{SCRATCH_DB}.{prefix}_{n}", path=path)
+    return (made["by_customer"].selectExpr("'by_customer' AS index_name", "o_custkey AS k", "o_orderkey", "o_totalprice")
+            .unionByName(made["by_priority"].selectExpr("'by_priority' AS index_name", "o_orderkey AS k", "o_orderkey"), allowMissingColumns=True)
+            .unionByName(made["urgent"].selectExpr("'urgent' AS index_name", "urgent AS k", "o_orderkey"), allowMissingColumns=True))
+
+
 @register("index_projection", """
 SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM orders
 WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
@@ -45,7 +108,7 @@ def index_projection_q(spark, sf_dir):
     spec = IndexSpec("by_customer", "o_custkey", "o_orderdate", "INCLUDE", ("o_totalprice",))
     name, path = scratch_table(spark, "orders_by_customer")
     return write_index(table(spark, sf_dir, "orders"), spec, ["o_orderkey"], f"{SCRATCH_DB}.{name}",
-                       buckets=8, path=path)
+                       path=path)
 
 
 @register("typed_items_import", """

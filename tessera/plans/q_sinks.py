@@ -28,14 +28,30 @@ def ctas_combined(spark, sf_dir):
 
 @register("compact_write", _DRIFT_ORACLE)
 def compact_write_q(spark, sf_dir):
-    # Combined tenants written as exactly 10 files, read back.
+    # Combined tenants written in files of the target size, read back.
     tables = read_tables(spark, drift_tenants(spark, sf_dir))
     combined = combine_by_suffix(tables, {"_order": "combined_order"})["combined_order"]
     path = scratch_path(spark, "combined_order")
-    compact_write(combined, path, num_files=10)
+    compact_write(combined, path)
     return spark.read.parquet(path)
 
 
+@register("compact_write_counted", """
+SELECT n_files, n_rows FROM (VALUES (10), (4)) AS f(n_files), (SELECT count(*) AS n_rows FROM customer)
+""")
+def compact_write_counted(spark, sf_dir):
+    # A stated number of files: spread by an exchange, or (small inputs) by fewer tasks without one.
+    from pyspark.sql import functions as F
+    customers = table(spark, sf_dir, "customer").repartition(12)
+    out = []
+    for n, shuffle in ((10, True), (4, False)):
+        path = scratch_path(spark, "customers_counted")
+        compact_write(customers, path, num_files=n, shuffle=shuffle)
+        written = spark.read.parquet(path).withColumn("file", F.input_file_name())
+        out.append(written.agg(F.count_distinct("file").cast("int").alias("n_files"), F.count(F.lit(1)).alias("n_rows")))
+    return out[0].unionByName(out[1])
+
+
 @register("json_sink_roundtrip", "SELECT * FROM orders")
 def json_sink_roundtrip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")

@@ -4,7 +4,7 @@ Scratch output (round trips, snapshots, upsert generations) always lives
 under the folder the session names in ``spark.checkpoint.dir``: on a cluster
 that is a shared, durable file system, so a lost executor never takes
 intermediate results with it. Only when the setting is absent (tests, a
-laptop) do we pick a local folder ourselves.
+laptop) do we pick a local folder ourselves, and only for a local master.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,49 +46,63 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; a local one is made only for a local master.
+
+    On a cluster a folder of this machine would be invisible to the executors, so an unset setting is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = getattr(spark, "sparkContext", None) if not root else None
     if not root and context is not None:
-        try:
-            root = context.getCheckpointDir()
-        except Exception:  # noqa: BLE001 — a remote session has no context
-            root = None
+        root = context.getCheckpointDir()
     if not root:
+        if context is None or not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        if context is not None:
-            context.setCheckpointDir(root)
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused directory under the checkpoint root."""
-    root = checkpoint_root(spark)
-    if "://" not in root and not root.startswith("file:"):
-        os.makedirs(root, exist_ok=True)
-    return f"{root}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused directory under the checkpoint root (made by whoever writes to it)."""
+    return f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Open scopes per session and setting: the value before the first, and the values set since.
+_scopes: dict[tuple[int, str], tuple[str | None, list[tuple[object, str]]]] = {}
+_scopes_lock = threading.Lock()
 
 
 @contextlib.contextmanager
 def scoped_conf(spark: SparkSession, values: dict[str, str]):
     """Set session settings for the actions run inside the block, then restore.
 
-    Only keys whose value actually changes are touched, so a block nested in
-    an outer block with the same settings (e.g. per-table work on driver
-    threads inside one outer scope) neither sets nor restores anything.
+    Blocks may overlap on several threads, ending in any order: a setting goes back to what it was
+    before the first of them when the last one ends, and in between has the value of the youngest
+    block that is still open.
     """
-    changed = {k: spark.conf.get(k, None) for k, v in values.items() if spark.conf.get(k, None) != v}
+    me = object()
+
+    def put(key: str, value: str | None) -> None:
+        if value is None:
+            spark.conf.unset(key)
+        elif spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+
+    with _scopes_lock:
+        for key, value in values.items():
+            _scopes.setdefault((id(spark), key), (spark.conf.get(key, None), []))[1].append((me, value))
+            put(key, value)
     try:
-        for k in changed:
-            spark.conf.set(k, values[k])
         yield
     finally:
-        for k, v in changed.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        with _scopes_lock:
+            for key in values:
+                before, open_ = _scopes[(id(spark), key)]
+                open_[:] = [x for x in open_ if x[0] is not me]
+                put(key, open_[-1][1] if open_ else before)
+                if not open_:
+                    del _scopes[(id(spark), key)]
 
 
 # Joins may broadcast a side only once AQE has measured it: the static
@@ -122,7 +137,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 _shipped: set[str] = set()
-_ship_lock = __import__("threading").Lock()
+_ship_lock = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -7,10 +7,15 @@ files are what keeps the read parallel).
 Two ways to read them:
 
 * known attributes → ``read_typed_items``: an explicit nested schema, no
-  inference pass, then one column per attribute cast to its target type;
+  inference pass, then one column per attribute in its target type, nested
+  maps and lists included;
 * unknown attributes → ``read_typed_items_raw``: each item as
   ``map<attribute, map<type, value-text>>`` (nested ``M``/``L`` values stay
   JSON text), for profiling or generic pass-through copies.
+
+Items carry their types themselves, so one attribute may be ``S`` in one item
+and ``N`` in another: a scalar is taken from whichever code it has. ``NULL`` is
+null. ``N`` is exact decimal text unless the caller names a type.
 """
 
 from __future__ import annotations
@@ -19,44 +24,83 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, DecimalType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import ArrayType, BooleanType, DataType, MapType, StringType, StructField, StructType
 
 # The attribute type descriptors of the format.
 TYPE_CODES = ("S", "N", "B", "BOOL", "NULL", "M", "L", "SS", "NS", "BS")
 
-# ``N`` is read as its decimal text (up to 38 significant digits, any scale)
-# and cast to the caller's type, by default decimal(38,10).
-_READ_TYPES = {
-    "S": StringType(), "N": StringType(), "B": StringType(), "BOOL": BooleanType(),
-    "NULL": BooleanType(), "SS": ArrayType(StringType()), "NS": ArrayType(StringType()),
-    "BS": ArrayType(StringType()), "M": StringType(), "L": StringType(),
+# What an attribute is read as unless the caller names a type; M and L stay typed JSON text.
+_DEFAULT_TYPES = {
+    "S": StringType(), "N": StringType(), "B": StringType(), "BOOL": BooleanType(), "NULL": BooleanType(),
+    "SS": ArrayType(StringType()), "NS": ArrayType(StringType()), "BS": ArrayType(StringType()),
 }
-
-
-def typed_item_schema(attributes: Mapping[str, str]) -> StructType:
-    """``Item struct<attr: struct<CODE: type>, …>`` for attribute → type code."""
+_SCALARS = ("S", "N", "B", "BOOL")
+_SETS = ("SS", "NS", "BS")
+
+
+def _written(to: DataType) -> StructType:
+    """How a value of type ``to`` is written: its type codes around it, at every level."""
+    if isinstance(to, ArrayType):
+        return StructType([StructField("L", ArrayType(_written(to.elementType))), *(StructField(c, ArrayType(StringType())) for c in _SETS)])
+    if isinstance(to, MapType):
+        return StructType([StructField("M", MapType(StringType(), _written(to.valueType)))])
+    if isinstance(to, StructType):
+        return StructType([StructField("M", StructType([StructField(f.name, _written(f.dataType)) for f in to.fields]))])
+    return StructType([StructField(c, StringType()) for c in _SCALARS])
+
+
+def _value(at: Column, to: DataType) -> Column:
+    """The plain value under the type codes; null where it does not convert."""
+    if isinstance(to, ArrayType):
+        lists = F.transform(at.getField("L"), lambda e: _value(e, to.elementType))
+        return F.coalesce(lists, *(F.transform(at.getField(c), lambda e: e.try_cast(to.elementType)) for c in _SETS
+                                   if not isinstance(to.elementType, (ArrayType, MapType, StructType))))
+    if isinstance(to, MapType):
+        return F.transform_values(at.getField("M"), lambda _, v: _value(v, to.valueType))
+    if isinstance(to, StructType):
+        m = at.getField("M")
+        return F.when(m.isNotNull(), F.struct(*(_value(m.getField(f.name), f.dataType).alias(f.name) for f in to.fields)))
+    return F.coalesce(*(at.getField(c) for c in _SCALARS)).try_cast(to)
+
+
+def _type(attribute: str, code: str, cast: Mapping[str, str] | None) -> DataType | None:
+    if code not in TYPE_CODES:
+        raise ValueError(f"unknown type code {code!r} for {attribute!r}")
+    if cast and attribute in cast:
+        return DataType.fromDDL(cast[attribute])
+    return _DEFAULT_TYPES.get(code)
+
+
+def typed_item_schema(attributes: Mapping[str, str], cast: Mapping[str, str] | None = None) -> StructType:
+    """``Item struct<attr: struct<CODE: …>, …>`` for attribute → type code."""
     fields = []
     for name, code in attributes.items():
-        if code not in _READ_TYPES:
-            raise ValueError(f"unknown type code {code!r} for {name!r}")
-        fields.append(StructField(name, StructType([StructField(code, _READ_TYPES[code])])))
+        to = _type(name, code, cast)
+        fields.append(StructField(name, StructType([StructField(code, StringType())]) if to is None else _written(to)))
     return StructType([StructField("Item", StructType(fields))])
 
 
 def read_typed_items(spark: SparkSession, path: str, attributes: Mapping[str, str],
-                     cast: Mapping[str, str] | None = None) -> DataFrame:
-    """One column per attribute (absent attribute → null), optionally cast."""
+                     cast: Mapping[str, str] | None = None, misfits: str | None = None) -> DataFrame:
+    """One column per attribute (absent or ``NULL`` attribute → null).
+
+    ``cast`` names target types as DDL, e.g. ``{"n": "decimal(20,4)", "m": "struct<q:int,tags:array<string>>"}``;
+    nested maps and lists are decoded to it. A scalar that is there but does not convert is null, and with
+    ``misfits`` that array column lists the names of such attributes, e.g. as a check for rejects.
+    """
     raw = (spark.read.option("recursiveFileLookup", "true")
-           .schema(typed_item_schema(attributes)).json(path))
-    cols = []
+           .schema(typed_item_schema(attributes, cast)).json(path))
+    cols, bad = [], []
     for name, code in attributes.items():
-        value = F.col("Item").getField(name).getField(code)
-        if cast and name in cast:
-            value = value.cast(cast[name])
-        elif code == "N":
-            value = value.cast(DecimalType(38, 10))
+        at, to = F.col("Item").getField(name), _type(name, code, cast)
+        value = at.getField(code) if to is None else F.lit(None).cast(to) if code == "NULL" else _value(at, to)
         cols.append(value.alias(name))
+        if to is not None and code != "NULL":
+            # Of nested values only their being there is known: a misfit within one is a null there.
+            if not isinstance(to, (ArrayType, MapType, StructType)):
+                bad.append(F.when(F.coalesce(*(at.getField(c) for c in _SCALARS)).isNotNull() & value.isNull(), F.lit(name)))
+    if misfits:
+        cols.append(F.array_compact(F.array(*bad)).alias(misfits) if bad else F.array().cast("array<string>").alias(misfits))
     return raw.select(*cols)
 
 

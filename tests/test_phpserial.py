@@ -41,13 +41,11 @@ def test_strict_json_drops_non_finite():
     assert php_to_json('a:1:{i:0;d:INF;}', strict_json=True) == '{"0": null}'
 
 
-def test_deep_nesting_is_an_error_not_a_crash():
+def test_deep_nesting_is_kept():
     deep = "a:1:{i:0;" * 500 + "N;" + "}" * 500
-    assert list(json.loads(php_to_json(deep))) == ["error"]
+    assert list(json.loads(php_to_json(deep))) == ["0"]
 
 
-# --- property tests: a serializer written for the test, values → text → JSON ---
-
 def ser(v) -> str:
     if v is None:
         return "N;"
@@ -101,3 +99,13 @@ def test_truncation_never_raises(v, cut):
 
 def test_decode_returns_python_values():
     assert decode('a:2:{s:1:"a";i:1;i:7;a:0:{}}') == {"a": 1, 7: {}}
+
+
+def test_nesting_has_no_limit():
+    for depth in (99, 101, 250, 20_000):
+        text = 'a:2:{s:1:"k";i:1;i:0;' * depth + "N;" + "}" * depth
+        want = '{"k": 1, "0": ' * depth + "null" + "}" * depth
+        assert php_to_json(text) == want
+    bad = 'a:1:{i:0;' * 300 + "d:inf;" + "}" * 300
+    assert "Infinity" in php_to_json(bad) and "null" in php_to_json(bad, strict_json=True)
+    assert php_to_json("a:1:{" * 300 + "}" * 300).startswith('{"error": ')

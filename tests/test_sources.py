@@ -81,3 +81,59 @@ def test_index_write_splits_a_hot_key(spark, tmp_base):
         b = int(_re.search(r"_(\d{5})(?:\.c\d+)?\.[^/]*parquet$", f).group(1))
         per_bucket[b] = per_bucket.get(b, 0) + 1
     assert per_bucket[hot_bucket] > 1
+
+
+def test_overlapping_settings_are_restored(spark):
+    import threading
+
+    from tessera.session import scoped_conf
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    one_in, two_in, one_out = threading.Event(), threading.Event(), threading.Event()
+
+    def first():
+        with scoped_conf(spark, {key: "11m"}):
+            one_in.set()
+            two_in.wait(10)
+        one_out.set()
+
+    thread = threading.Thread(target=first)
+    thread.start()
+    one_in.wait(10)
+    with scoped_conf(spark, {key: "12m"}):
+        two_in.set()
+        one_out.wait(10)
+        assert spark.conf.get(key) == "12m"
+    thread.join()
+    assert spark.conf.get(key) == before
+
+
+def test_no_local_folder_on_a_cluster(monkeypatch):
+    import pytest
+
+    from tessera.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
+def test_large_files_are_not_cut_finer_by_packing(spark, tmp_base):
+    from tessera.sources.files import packed_scan, read_parquet_tree
+    spark.range(2_000_000).selectExpr("id", "uuid() AS u").coalesce(1).write.parquet(tmp_base)
+    plain = read_parquet_tree(spark, tmp_base).rdd.getNumPartitions()
+    with packed_scan(spark, 1 << 20):
+        assert read_parquet_tree(spark, tmp_base).rdd.getNumPartitions() <= plain
