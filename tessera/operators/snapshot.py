@@ -82,3 +82,31 @@ def restore_snapshot(spark: SparkSession, base: str, name: str, indices: str = "
     import json
     return {r.table_name: spark.read.schema(StructType.fromJson(json.loads(r.schema_json))).parquet(r.path)
             for r in sorted(chosen, key=lambda r: r.table_name)}
+
+
+def restore_to_tables(spark: SparkSession, base: str, name: str, target_db: str, indices: str = "*",
+                      rename: Mapping[str, str] | None = None, location: str | None = None,
+                      max_workers: int = 4) -> DataFrame:
+    """Restore tables of a snapshot into catalog database ``target_db``.
+
+    Each table is a copy of the snapshot's (which stays as it is) and is checked against the row count
+    in the manifest. Returns ``table_name, n_rows, status``: ``restored``, or ``failed: <error>`` for a
+    table that exists already, has lost files or does not have its rows; the others are restored.
+    """
+    from tessera.sinks.tables import create_table_as
+    root = f"{base.rstrip('/')}/{name}"
+    counts = {r.table_name: r.n_rows for r in spark.read.parquet(f"{root}/{MANIFEST}").where(pattern_filter(indices)).collect()}
+    frames = restore_snapshot(spark, base, name, indices)
+
+    def restore_one(item):
+        table_name, df = item
+        target = (rename or {}).get(table_name, table_name)
+        try:
+            made = create_table_as(df, f"`{target_db}`.`{target}`", path=location and f"{location.rstrip('/')}/{target}")
+            n = made.count()  # from the footers
+            status = "restored" if n == counts[table_name] else f"failed: {n} of {counts[table_name]} rows"
+            return (target, n, status)
+        except Exception as exc:  # noqa: BLE001 — a failed table is a row of the report
+            return (target, 0, f"failed: {type(exc).__name__}: {exc}")
+
+    return spark.createDataFrame(run_parallel(restore_one, frames.items(), max_workers), "table_name string, n_rows bigint, status string")

@@ -103,3 +103,50 @@ def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixe
         report = run_parallel(run_one, suffixes.items(), max_workers)
     return spark.createDataFrame(report, "suffix string, output_table string, n_tables bigint, "
                                          "n_rows bigint, status string")
+
+
+def consolidate_database(spark: SparkSession, db: str, suffixes: Mapping[str, str], target_db: str,
+                         columns: Mapping[str, list[str]] | None = None, tag_col: str = "source_table",
+                         on_conflict: str = "lossless", partition_levels: int = 0, location: str | None = None,
+                         max_workers: int = 4) -> DataFrame:
+    """The combine job from a catalog database to catalog tables.
+
+    For each ``suffix → output`` every table of ``db`` whose name ends in the suffix is combined into
+    ``target_db.output``. With a column list for the suffix the output has the tag first, then these
+    columns; otherwise all columns by name, the tag last. Tables that are plain Parquet folders are
+    read by location, many of them in one scan; others (views, other formats, partitioned tables)
+    through the catalog. Returns ``suffix, output_table, n_tables, n_rows, status``: a suffix without
+    tables is ``no match``, one that fails is ``failed: <error>``, and the others still run.
+    """
+    from pyspark.sql import functions as F
+
+    from tessera.operators.combine import combine_by_suffix
+    from tessera.session import run_parallel
+    from tessera.sources.catalog import list_table_names, parquet_location, read_table
+
+    names, outputs = list_table_names(spark, db), set(suffixes.values())
+
+    def combined(suffix: str, matched: list[str]) -> DataFrame:
+        wanted = (columns or {}).get(suffix)
+        where = dict(zip(matched, run_parallel(lambda n: parquet_location(spark, db, n), matched, max_workers=16)))
+        if all(where.values()):
+            out = combine_parquet_tables(spark, where, tag_col=tag_col, on_conflict=on_conflict, partition_levels=partition_levels)
+            return out.select(tag_col, *(F.col(f"`{c}`") for c in wanted)) if wanted else out
+        tables = {n: read_table(spark, db, n) for n in matched}
+        return combine_by_suffix(tables, {suffix: suffixes[suffix]}, {suffix: wanted} if wanted else None, tag_col,
+                                 on_conflict)[suffixes[suffix]]
+
+    def run_one(item):
+        suffix, output = item
+        matched = match_suffix(names, suffix, exclude=outputs)
+        if not matched:
+            return (suffix, output, 0, 0, "no match")
+        try:
+            table = create_table_as(combined(suffix, matched), f"`{target_db}`.`{output}`",
+                                    path=location and f"{location.rstrip('/')}/{output}")
+            return (suffix, output, len(matched), table.count(), "written")  # counted from the footers
+        except Exception as exc:  # noqa: BLE001 — a failed output is a row of the report
+            return (suffix, output, len(matched), 0, f"failed: {type(exc).__name__}: {exc}")
+
+    report = run_parallel(run_one, suffixes.items(), max_workers)
+    return spark.createDataFrame(report, "suffix string, output_table string, n_tables bigint, n_rows bigint, status string")

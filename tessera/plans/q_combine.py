@@ -241,6 +241,34 @@ def union_type_drift(spark, sf_dir):
     return union_tagged([("a", a), ("b", b)])
 
 
+@register("combine_database_job", f"""
+SELECT 'combined_order' AS out, {tenant_case_sql()} AS source_table, o_orderkey, o_custkey, count(*) OVER () AS n_rows FROM orders
+UNION ALL
+SELECT 'combined_order_totals', 'shop_p_order_totals', NULL, NULL, count(*) FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'combined_conf', 'no match', NULL, NULL, 0
+""")
+def combine_database_job(spark, sf_dir):
+    # From a catalog database to catalog tables, one suffix with a column list; contents and report.
+    import uuid
+
+    from tessera.plans.consolidation import consolidate_database
+    from tessera.sinks.tables import ensure_database
+    run = uuid.uuid4().hex[:10]
+    db, target = f"tessera_raw_{run}", f"tessera_combined_{run}"
+    ensure_database(spark, db)
+    ensure_database(spark, target)
+    for name, root in drift_tenants(spark, sf_dir).items():
+        spark.catalog.createTable(f"{db}.{name}", path=root, source="parquet")
+    report = consolidate_database(spark, db, {"_order": "combined_order", "_order_totals": "combined_order_totals", "_conf": "combined_conf"},
+                                  target, columns={"_order": ["o_orderkey", "o_custkey"]})
+    n_rows = {r["suffix"]: F.lit(r["n_rows"]).alias("n_rows") for r in report.collect()}  # one row per suffix
+    orders = spark.table(f"{target}.combined_order").select(F.lit("combined_order").alias("out"), "*", n_rows["_order"])
+    totals = spark.table(f"{target}.combined_order_totals").select("source_table").distinct().select(
+        F.lit("combined_order_totals").alias("out"), "*", n_rows["_order_totals"])
+    missing = report.where("status = 'no match'").selectExpr("output_table AS out", "status AS source_table", "n_rows")
+    return orders.unionByName(totals, allowMissingColumns=True).unionByName(missing, allowMissingColumns=True)
+
+
 @register("combine_job_report", """
 SELECT '_order' AS suffix, 'combined_order' AS output_table, CAST(3 AS BIGINT) AS n_tables,
        count(*) AS n_rows, 'written' AS status FROM orders

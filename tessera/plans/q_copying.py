@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators.copying import copy_all_tables, copy_database, copy_table
-from tessera.operators.snapshot import restore_snapshot, snapshot_tables
+from tessera.operators.snapshot import restore_snapshot, restore_to_tables, snapshot_tables
 from tessera.plans.q_sources import SCRATCH_DB, scratch_table
 from tessera.plans.registry import register, table
 from tessera.session import scratch_path
@@ -166,3 +166,23 @@ def snapshot_restore(spark, sf_dir):
     for df in counts[1:]:
         out = out.unionByName(df)
     return out
+
+
+@register("restore_to_tables", """
+SELECT 'customer' AS table_name, c_custkey AS k, c_name AS name, NULL AS failed FROM customer
+UNION ALL SELECT 'region', r_regionkey, r_name, NULL FROM region
+UNION ALL SELECT 'supplier', NULL, NULL, 'failed' 
+""")
+def restore_to_tables_q(spark, sf_dir):
+    # Into catalog tables, all but ``n*``; one target exists already and is reported, the others hold their rows.
+    base, suffix = scratch_path(spark, "snapshots"), scratch_path(spark, "x").rsplit("-", 1)[-1]
+    db = f"tessera_restored_{suffix}"
+    ensure_database(spark, db)
+    snapshot_tables(spark, {n: table(spark, sf_dir, n) for n in ("region", "nation", "supplier", "customer")}, base, "snap-001")
+    table(spark, sf_dir, "nation").write.saveAsTable(f"{db}.supplier")
+    report = restore_to_tables(spark, base, "snap-001", db, "-n*")
+    return (spark.table(f"{db}.customer").selectExpr("'customer' AS table_name", "c_custkey AS k", "c_name AS name", "CAST(NULL AS string) AS failed")
+            .unionByName(spark.table(f"{db}.region").selectExpr("'region' AS table_name", "CAST(r_regionkey AS bigint) AS k", "r_name AS name",
+                                                                 "CAST(NULL AS string) AS failed"))
+            .unionByName(report.where("status <> 'restored'").selectExpr("table_name", "CAST(NULL AS bigint) AS k", "CAST(NULL AS string) AS name",
+                                                                         "split(status, ':')[0] AS failed")))
