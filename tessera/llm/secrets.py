@@ -47,6 +47,8 @@ MORE_RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30),
 )
 RULES = BASE_RULES + MORE_RULES
+#: Up to so many new blobs (about 120 bytes each) are sent to all tasks.
+FEW_BLOBS = 200_000
 SCANNED = "blob string, kind string, version int"
 FOUND = "blob string, kind string, version int, start long, end long"
 
@@ -120,17 +122,18 @@ class Ledger:
 
     def scan(self, versions: DataFrame, rules: tuple[Rule, ...] = RULES) -> None:
         """Scan what is new in ``versions`` (any columns, ``text`` among them)."""
+        rows = versions.select(blob_id(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
         # Copies collapse before the shuffle: each task hands on one row per distinct text.
-        texts = (versions.select(blob_id(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
-                         .dropDuplicates(["blob"]))
-        pending = None
+        texts, pending = rows.dropDuplicates(["blob"]), None
         if path_exists(self.spark, f"{self.path}/scanned"):
-            # As a condition, not a join on the rules: their number is that of the rule set.
             known = F.broadcast(self.spark.createDataFrame([(r.kind, r.version) for r in rules], "kind string, version int"))
             done = self.scanned().join(known, ["kind", "version"]).groupBy("blob").agg(F.collect_set("kind").alias("done"))
-            every = F.array(*(F.lit(r.kind) for r in rules))
-            texts = texts.join(done, "blob", "left").withColumn("pending", F.array_except(every, F.coalesce("done", F.array().cast("array<string>"))))
-            texts = texts.filter(F.size("pending") > 0)
+            left = F.array_except(F.array(*(F.lit(r.kind) for r in rules)), F.coalesce("done", F.array().cast("array<string>")))
+            new = persist(rows.select("blob").distinct().join(done, "blob", "left").select("blob", left.alias("pending"))
+                              .filter(F.size("pending") > 0), "secrets-pending")
+            # A few new blobs: known texts are not even shuffled. Many: by a join after the copies have collapsed.
+            few = new.count() <= FEW_BLOBS
+            texts = rows.join(F.broadcast(new), "blob").dropDuplicates(["blob"]) if few else texts.join(new, "blob")
             pending = F.col("pending")
         name = scratch_path(self.spark, "secrets-new")
         find(texts, rules, pending).write.parquet(name)
@@ -147,6 +150,8 @@ class Ledger:
         known = self.spark.createDataFrame([(k, r.kind, r.version) for k, r in enumerate(rules)], "rule int, kind string, version int")
         per_blob = (self.findings().join(F.broadcast(known), ["kind", "version"]).groupBy("blob")
                         .agg(F.array_sort(F.collect_list(F.struct("start", "rule", "kind", "end"))).alias("spans")))
+        # Written first, so that the join has plain exchanges on both sides and Spark can split a blob with many paths.
+        per_blob = persist(per_blob, "secrets-per-blob")
         return versions.select(*paths, blob_id(F.col("text")).alias("blob")).join(per_blob, "blob", "left").select(*paths, "spans")
 
 
