@@ -32,6 +32,8 @@ MAX_FIT_ROWS = 40_000
 #: Bound of the learned lexicon's candidate terms.
 MAX_TERMS = 5_000
 STEMS = (4, 5, 6)
+#: Terms a task counts before it hands them on.
+HELD_TERMS = 200_000
 
 # Look-alike letters of other scripts and the Latin letter each is read as.
 HOMOGLYPHS = {
@@ -179,16 +181,20 @@ def _count_terms(train: DataFrame, known: list[str] | None) -> DataFrame:
     """(term, df): documents of ``train`` with each term; only ``known`` terms if given."""
     wanted = frozenset(known) if known is not None else None
 
+    def table(counts: Counter[str]) -> pd.DataFrame:
+        return pd.DataFrame({"term": list(counts), "df": pd.Series(list(counts.values()), dtype="int64")})
+
     def count(batches):
         counts: Counter[str] = Counter()
         for batch in batches:
             for text in batch["text"]:
                 terms = _terms(fold_words(text))
                 counts.update(terms if wanted is None else terms & wanted)
-            if len(counts) > 200_000:
-                yield pd.DataFrame({"term": list(counts), "df": list(counts.values())})
+            if len(counts) > HELD_TERMS:
+                yield table(counts)
                 counts.clear()
-        yield pd.DataFrame({"term": list(counts), "df": pd.Series(list(counts.values()), dtype="int64")})
+        if counts:
+            yield table(counts)
 
     return (train.select("text").mapInPandas(count, "term string, df long")
                  .groupBy("term").agg(F.sum("df").alias("df")))
@@ -212,6 +218,8 @@ def _exceptions(train: DataFrame, terms: dict[str, float]) -> list[str]:
                     if f" {w} " in terms or any(f" {w[:n]}" in terms for n in STEMS if len(w) > n):
                         found.update(" ".join(words[a:a + 2]) for a in (k - 1, k) if 0 <= a < len(words) - 1)
                 counts.update((p, int(toxic)) for p in found)
+        if not counts:
+            return
         yield pd.DataFrame({"phrase": [p for p, _ in counts], "toxic": pd.Series([y for _, y in counts], dtype="int32"),
                             "df": pd.Series(list(counts.values()), dtype="int64")})
 
@@ -286,6 +294,8 @@ def _fit_scale(train: DataFrame, lexicon: Lexicon) -> float:
                 words = fold_words(text)
                 x = density(weight_of(words, machine)[0], len(words))
                 counts[(max(-40, round(8 * math.log2(x))) if x > 0 else -100, int(toxic))] += 1
+        if not counts:
+            return
         yield pd.DataFrame({"bin": pd.Series([b for b, _ in counts], dtype="int32"),
                             "toxic": pd.Series([y for _, y in counts], dtype="int32"),
                             "n": pd.Series(list(counts.values()), dtype="int64")})

@@ -82,3 +82,8 @@ def test_very_long_tokens_take_linear_time():
     for text in ("x" * 2_000_000, "x1" * 1_000_000, "1" * 2_000_000, "!" * 2_000_000, "é" * 1_000_000):
         T.fold_words(text)
     assert time.process_time() - began < 20
+
+
+def test_more_terms_than_a_task_holds(spark):
+    many = spark.createDataFrame([(" ".join(f"v{k}x{j}" for j in range(400)),) for k in range(600)], "text string").coalesce(1)
+    assert T._count_terms(many, None).filter("term LIKE ' v% '").count() == 240_000
