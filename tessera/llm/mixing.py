@@ -129,6 +129,7 @@ def plan_mix(rows: DataFrame, carry: tuple[str, ...], seed: int = 9, weights: tu
     """
     spark = rows.sparkSession
     prepare(spark)
+    kinds = dict(rows.dtypes)
     rows = persist(rows, "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("words").alias("size"), F.count("*").alias("n")).collect()
     target = targets([(r["source"], r["size"]) for r in sizes], weights, most)
@@ -146,7 +147,9 @@ def plan_mix(rows: DataFrame, carry: tuple[str, ...], seed: int = 9, weights: tu
     keyed = (own.join(of_source, F.col("own_source").eqNullSafe(F.col("source")))
                 .withColumn("draw", _draw(seed, "doc_id", "digest", "words"))
                 .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "digest", "words", F.lit(seed + 1)), F.col("buckets")).cast("int"))
-                .select("source_no", "bucket", "words", "part", "draw", "digest", "source_size", "target", "whole", *carry))
+                # Carried columns travel as text: pandas would turn integers with nulls among them into floats.
+                .select("source_no", "bucket", "words", "part", "draw", "digest", "source_size", "target", "whole",
+                        *(F.col(c).cast("string").alias(c) for c in carry)))
     first = _decide(keyed, ("source_no", "bucket"), "mix-level")
     # The rows left over go up the tree.
     left = first.filter("up IS NULL").select("source_no", "bucket", F.col("bucket").alias("parent"), "words", "part", "draw")
@@ -163,7 +166,8 @@ def plan_mix(rows: DataFrame, carry: tuple[str, ...], seed: int = 9, weights: tu
     decided = last if decided is None else decided.unionByName(last)
     open_rows = first.filter("up IS NULL").drop("up").join(decided, ["source_no", "bucket"])
     return (first.filter("up IS NOT NULL").unionByName(open_rows)
-                 .select(*carry, "words", "source_size", "target", (F.col("whole") + F.col("up")).cast("long").alias("copies")))
+                 .select(*(F.col(c).cast(kinds[c]).alias(c) for c in carry), "words", "source_size", "target",
+                         (F.col("whole") + F.col("up")).cast("long").alias("copies")))
 
 
 def mix(docs: DataFrame, seed: int = 9) -> DataFrame:

@@ -63,11 +63,17 @@ def test_copies_come_near_their_expectation(spark):
     assert all(abs(v) <= 5 * counts[k] ** 0.5 for k, v in sums.items())
 
 
+def spark_rows(df, rows):
+    return df.sparkSession.createDataFrame(rows, "doc_id long, source string, text string")
+
+
 def test_messy_and_empty_tables(spark, messy, no_docs):
     got = M.mix(messy).collect()
     assert len(got) == messy.count()
     assert all(r["taken"] == 0 for r in got if r["size"] == 0)
     assert M.mix(no_docs).count() == 0
+    large = spark_rows(messy, [(2 ** 53 + 1, "a", "x y"), (None, "a", "x y z"), (-2 ** 62 - 1, None, "x")])
+    assert {r["doc_id"] for r in M.mix(large).collect()} == {2 ** 53 + 1, None, -2 ** 62 - 1}
     out = M.mixed_documents(messy)
     assert out.columns == messy.columns
     empty = [r for r in out.collect() if not (r["text"] or "").split()]
