@@ -245,12 +245,13 @@ def search(graph: Graph, queries: DataFrame, beam: int = BEAM, rounds: int = SEA
                 x = np.concatenate((x, np.zeros((len(x), 1))), axis=1).astype("<f2")
                 near = np.argsort(-(x.astype(np.float32) @ entry_vecs.T), axis=1)[:, :ENTRIES]
                 yield pd.DataFrame({"query": batch["query"], "qvec": [r.tobytes() for r in x],
-                                    "entries": [entry_ids[e].tolist() for e in near], "own": batch["own"].astype("Int64")})
+                                    "entries": [entry_ids[e].tolist() for e in near], "own": batch["own"]})
 
-    placed = persist(queries.select("query", "vec", "own").mapInPandas(start, "query long, qvec binary, entries array<long>, own long"), "ann-queries")
+    # The own node travels as an array: a null among integers would turn them into floats.
+    own = F.when(F.col("own").isNull(), F.array().cast("array<long>")).otherwise(F.array("own")).alias("own")
+    placed = persist(queries.select("query", "vec", own).mapInPandas(start, "query long, qvec binary, entries array<long>, own array<long>"), "ann-queries")
     vectors = placed.select("query", "qvec")
-    first = placed.select("query", F.explode(F.array_distinct(F.when(F.col("own").isNull(), F.col("entries")).otherwise(
-        F.concat("entries", F.array("own"))))).alias("node"))
+    first = placed.select("query", F.explode(F.array_distinct(F.concat("entries", "own"))).alias("node"))
     found = persist(_scored(first, graph.nodes, vectors).withColumn("open", F.lit(1)), "ann-beam")
     for _ in range(rounds):
         rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "node"))
