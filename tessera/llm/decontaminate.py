@@ -43,6 +43,8 @@ MAX_REPEATS = 64
 BLOCK_BYTES = 8 << 20
 #: Windows embedded or verified in one step.
 WINDOW_STEP = 4096
+#: Words of all windows of a step together: long items are worked on a few windows at a time.
+WINDOW_CELLS = 1 << 20
 MATCHES = "array<struct<item_id:bigint,start_word:int,end_word:int,edits:int,similarity:double>>"
 _WORD = re.compile(r"\w+")
 
@@ -55,6 +57,10 @@ def allowed_edits(n_words: int, similarity: float) -> int:
     return math.floor((1 - similarity) * n_words + 1e-9)
 
 
+def _step(width: int) -> int:
+    return max(1, min(WINDOW_STEP, WINDOW_CELLS // max(1, width)))
+
+
 def _mix(a: np.ndarray, seed: int) -> np.ndarray:
     """A 64-bit mix of the values with a seed."""
     x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed * 0xD1B54A32D192ED03 & (1 << 64) - 1)
@@ -160,7 +166,7 @@ class Index:
         draw = np.random.default_rng(size)
         edits = allowed_edits(size, self.similarity)
         item = self.by_size[size]
-        item = item[draw.integers(len(item), size=200)]
+        item = item[draw.integers(len(item), size=max(50, min(200, 20_000 // size)))]
         width = size + edits
         changed = np.full((len(item), width), 0, dtype=np.int64)
         for k, row in enumerate(item.tolist()):
@@ -206,9 +212,10 @@ class Index:
             reach = max(s + allowed_edits(s, self.similarity) for s in bracket) - 1
             least = min(self.need(s) for s in bracket)
             at = np.flatnonzero(total[reach:reach + len(pair)] - total[:len(pair)] >= least)
-            for lo in range(0, len(at), WINDOW_STEP):
+            step = _step(reach)
+            for lo in range(0, len(at), step):
                 for size in bracket:
-                    self._match(size, at[lo:lo + WINDOW_STEP], words, slots, starts, found)
+                    self._match(size, at[lo:lo + step], words, slots, starts, found)
         out = []
         for per_item in found:
             out.append([(self.ids[k], *per_item[k]) for k in sorted(per_item)])
@@ -240,8 +247,9 @@ class Index:
         window = np.repeat(met // key.shape[1], many)
         place = np.repeat(low[met], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         pairs = np.unique(window * len(self.owners[size]) + item_of[place])
-        for lo in range(0, len(pairs), WINDOW_STEP):
-            w, item = np.divmod(pairs[lo:lo + WINDOW_STEP], len(self.owners[size]))
+        step = _step(width + 2 * edits)
+        for lo in range(0, len(pairs), step):
+            w, item = np.divmod(pairs[lo:lo + step], len(self.owners[size]))
             first = np.maximum(at[w] - edits, starts[doc[w]])
             text = self._gather(words, first, width + 2 * edits, starts[doc[w]], end[w])
             cost, begin, stop = fitting_distance(self.by_size[size][item], text)

@@ -99,3 +99,12 @@ def test_blocks_and_tables(spark, messy, no_docs, monkeypatch):
     assert sorted(map(tuple, D.leaks(messy, benchmark).collect()), key=str) == whole
     assert D.leaks(no_docs, benchmark).count() == 0
     assert D.leaks(messy, benchmark.limit(0)).count() == 0
+
+
+def test_long_items_are_found_in_bounded_steps():
+    words = [f"w{k % 977}x{k % 13}" for k in range(1200)]
+    index = D.Index([(1, words)])
+    text = ["pre"] * 500 + words[:600] + ["zz"] * 5 + words[600:] + ["post"]
+    assert D._step(1800) < D.WINDOW_STEP
+    found = index.find([" ".join(text)])[0]
+    assert [(m[0], m[1], m[3]) for m in found] == [(1, 500, 5)]
