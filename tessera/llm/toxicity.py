@@ -166,38 +166,44 @@ def toxicity_score(text: Column, lexicon: Lexicon) -> Column:
     return run(text)
 
 
-def _terms(words: list[str]) -> set[str]:
-    """Whole words as `` w `` and stems as `` s`` for each distinct word."""
-    out = set()
-    for w in set(words):
-        out.add(f" {w} ")
-        for n in STEMS:
-            if len(w) > n:
-                out.add(f" {w[:n]}")
+def _terms(words: list[str]) -> Counter[str]:
+    """Whole words as `` w `` and stems as `` s`` with their number of occurrences."""
+    out: Counter[str] = Counter()
+    for w, n in Counter(words).items():
+        out[f" {w} "] += n
+        for k in STEMS:
+            if len(w) > k:
+                out[f" {w[:k]}"] += n
     return out
 
 
 def _count_terms(train: DataFrame, known: list[str] | None) -> DataFrame:
-    """(term, df): documents of ``train`` with each term; only ``known`` terms if given."""
+    """(term, df, tf): documents of ``train`` with each term, and occurrences; only ``known`` terms if given."""
     wanted = frozenset(known) if known is not None else None
 
-    def table(counts: Counter[str]) -> pd.DataFrame:
-        return pd.DataFrame({"term": list(counts), "df": pd.Series(list(counts.values()), dtype="int64")})
+    def table(df: Counter[str], tf: Counter[str]) -> pd.DataFrame:
+        return pd.DataFrame({"term": list(df), "df": pd.Series(list(df.values()), dtype="int64"),
+                             "tf": pd.Series([tf[t] for t in df], dtype="int64")})
 
     def count(batches):
-        counts: Counter[str] = Counter()
+        df: Counter[str] = Counter()
+        tf: Counter[str] = Counter()
         for batch in batches:
             for text in batch["text"]:
                 terms = _terms(fold_words(text))
-                counts.update(terms if wanted is None else terms & wanted)
-            if len(counts) > HELD_TERMS:
-                yield table(counts)
-                counts.clear()
-        if counts:
-            yield table(counts)
+                if wanted is not None:
+                    terms = {t: terms[t] for t in terms.keys() & wanted}
+                df.update(terms.keys())
+                tf.update(terms)
+            if len(df) > HELD_TERMS:
+                yield table(df, tf)
+                df.clear()
+                tf.clear()
+        if df:
+            yield table(df, tf)
 
-    return (train.select("text").mapInPandas(count, "term string, df long")
-                 .groupBy("term").agg(F.sum("df").alias("df")))
+    return (train.select("text").mapInPandas(count, "term string, df long, tf long")
+                 .groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf")))
 
 
 def _exceptions(train: DataFrame, terms: dict[str, float]) -> list[str]:
@@ -236,8 +242,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_RO
     Rows whose crc32(doc_id) mod 4 is 2 never take part. At most about ``max_rows`` labelled rows,
     chosen by a hash, are read; the sample is written once and used by each step. A document with
     both labels is left out. Terms: precision of 0.97 and more among labelled documents, in at
-    least 2 % of the rejected ones (three at least); the weight is a lower bound of the log odds,
-    so that terms seen in few documents weigh little.
+    least 2 % of the rejected ones (two at least; with fewer than six, twice in each on average); the
+    weight is a lower bound of the log odds, so that terms seen in few documents weigh little.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -256,8 +262,9 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_RO
     if not n_bad or not n_clean:
         return Lexicon()
     bad, clean = train.filter("toxic = 1"), train.filter("toxic = 0")
-    least = max(3, math.ceil(0.02 * n_bad))
-    seen = (_count_terms(bad, None).filter(F.col("df") >= least)
+    least = max(2, math.ceil(0.02 * n_bad))
+    # With few documents to learn from, a term must also come up repeatedly in them.
+    seen = (_count_terms(bad, None).filter((F.col("df") >= least) & ((F.col("df") >= 6) | (F.col("tf") >= 2 * F.col("df"))))
             .orderBy(F.desc("df"), "term").limit(MAX_TERMS).collect())
     df_bad = {r["term"]: r["df"] for r in seen}
     df_clean = {r["term"]: r["df"] for r in _count_terms(clean, list(df_bad)).collect()}
