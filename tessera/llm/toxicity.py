@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,8 +30,6 @@ from tessera.llm.common import crc_mod, fit_sample, persist, prepare
 THRESHOLD = 0.3
 #: Bound of the labelled rows the lexicon and its scale are fitted on (a hash sample beyond it).
 MAX_FIT_ROWS = 40_000
-#: Bound of the learned lexicon's candidate terms.
-MAX_TERMS = 5_000
 STEMS = (4, 5, 6)
 #: Terms a task counts before it hands them on.
 HELD_TERMS = 200_000
@@ -135,10 +134,9 @@ def weight_of(words: list[str], machine) -> tuple[float, int]:
             else:
                 merged.append([start, end])
                 last = end
-        import bisect
         starts = [m[0] for m in merged]
         for at in list(hits):
-            k = bisect.bisect_right(starts, at) - 1
+            k = bisect_right(starts, at) - 1
             if k >= 0 and at < merged[k][1]:
                 del hits[at]
     return sum(hits.values()), len(hits)
@@ -178,32 +176,46 @@ def _terms(words: list[str]) -> Counter[str]:
 
 
 def _count_terms(train: DataFrame, known: list[str] | None) -> DataFrame:
-    """(term, df, tf): documents of ``train`` with each term, and occurrences; only ``known`` terms if given."""
+    """(term, df, bad, tf): documents of ``train`` with each term, the rejected ones of them and the occurrences
+    in those; only ``known`` terms if given. Without a column ``toxic`` no document is rejected."""
     wanted = frozenset(known) if known is not None else None
+    toxic = F.col("toxic") if "toxic" in train.columns else F.lit(0)
 
-    def table(df: Counter[str], tf: Counter[str]) -> pd.DataFrame:
+    def table(df: Counter[str], bad: Counter[str], tf: Counter[str]) -> pd.DataFrame:
         return pd.DataFrame({"term": list(df), "df": pd.Series(list(df.values()), dtype="int64"),
+                             "bad": pd.Series([bad[t] for t in df], dtype="int64"),
                              "tf": pd.Series([tf[t] for t in df], dtype="int64")})
 
     def count(batches):
         df: Counter[str] = Counter()
+        bad: Counter[str] = Counter()
         tf: Counter[str] = Counter()
         for batch in batches:
-            for text in batch["text"]:
+            for text, rejected in zip(batch["text"], batch["toxic"]):
                 terms = _terms(fold_words(text))
                 if wanted is not None:
                     terms = {t: terms[t] for t in terms.keys() & wanted}
                 df.update(terms.keys())
-                tf.update(terms)
+                if rejected:
+                    bad.update(terms.keys())
+                    tf.update(terms)
             if len(df) > HELD_TERMS:
-                yield table(df, tf)
+                yield table(df, bad, tf)
                 df.clear()
+                bad.clear()
                 tf.clear()
         if df:
-            yield table(df, tf)
+            yield table(df, bad, tf)
 
-    return (train.select("text").mapInPandas(count, "term string, df long, tf long")
-                 .groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf")))
+    return (train.select("text", toxic.alias("toxic")).mapInPandas(count, "term string, df long, bad long, tf long")
+                 .groupBy("term").agg(F.sum("df").alias("df"), F.sum("bad").alias("bad"), F.sum("tf").alias("tf")))
+
+
+def _sure(bad: Column, clean: Column, n_bad: int, n_clean: int) -> Column:
+    """A lower bound of a term's log odds; of rates, not counts, so that the share of rejected documents
+    among the labelled ones plays no part."""
+    odds = ((bad + 0.5) / (n_bad + 1)) / ((clean + 0.5) / (n_clean + 1))
+    return F.log(odds) - 1.5 * F.sqrt(1 / (bad + 0.5) + 1 / (clean + 0.5))
 
 
 def _exceptions(train: DataFrame, terms: dict[str, float]) -> list[str]:
@@ -232,8 +244,8 @@ def _exceptions(train: DataFrame, terms: dict[str, float]) -> list[str]:
     found = (train.select("text", "toxic").mapInPandas(phrases, "phrase string, toxic int, df long")
                   .groupBy("phrase").agg(F.sum(F.when(F.col("toxic") == 0, F.col("df")).otherwise(0)).alias("clean"),
                                          F.sum(F.when(F.col("toxic") == 1, F.col("df")).otherwise(0)).alias("bad"))
-                  .filter("clean >= 3 AND bad = 0").orderBy(F.desc("clean"), "phrase").limit(MAX_TERMS))
-    return [r["phrase"] for r in found.collect()]
+                  .filter("clean >= 3 AND bad = 0"))
+    return sorted(r["phrase"] for r in found.collect())
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Lexicon:
@@ -261,31 +273,28 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_RO
     n_bad, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_bad or not n_clean:
         return Lexicon()
-    bad, clean = train.filter("toxic = 1"), train.filter("toxic = 0")
     least = max(2, math.ceil(0.02 * n_bad))
-    # With few documents to learn from, a term must also come up repeatedly in them.
-    seen = (_count_terms(bad, None).filter((F.col("df") >= least) & ((F.col("df") >= 6) | (F.col("tf") >= 2 * F.col("df"))))
-            .orderBy(F.desc("df"), "term").limit(MAX_TERMS).collect())
-    df_bad = {r["term"]: r["df"] for r in seen}
-    df_clean = {r["term"]: r["df"] for r in _count_terms(clean, list(df_bad)).collect()}
-    weights = {}
-    for term, b in df_bad.items():
-        # Rates, not counts, so that the share of rejected documents among the labelled ones plays no part.
-        rate_b, rate_c = (b + 0.5) / (n_bad + 1), (df_clean.get(term, 0) + 0.5) / (n_clean + 1)
-        if b * n_clean >= 0.97 * (b * n_clean + df_clean.get(term, 0) * n_bad) and df_clean.get(term, 0) <= 0.001 * n_clean:
-            sure = math.log(rate_b / rate_c) - 1.5 * math.sqrt(1 / (b + 0.5) + 1 / (df_clean.get(term, 0) + 0.5))
-            if sure > 0.5:
-                weights[term] = sure
+    bad, clean = F.col("bad"), F.col("clean")
+    # With few documents to learn from, a term must also come up repeatedly in them. All terms are judged
+    # where they are counted; only those that pass come to the driver.
+    seen = (_count_terms(train, None).withColumn("clean", F.col("df") - bad)
+            .filter((bad >= least) & ((bad >= 6) | (F.col("tf") >= 2 * bad))
+                    & (bad * n_clean >= 0.97 * (bad * n_clean + clean * n_bad)) & (clean <= 0.001 * n_clean))
+            .withColumn("sure", _sure(bad, clean, n_bad, n_clean)).filter("sure > 0.5").orderBy("term").collect())
+    df_bad = {r["term"]: r["bad"] for r in seen}
+    df_clean = {r["term"]: r["clean"] for r in seen}
+    weights = {r["term"]: r["sure"] for r in seen}
     # A stem that a longer one explains as well is dropped.
+    ordered = sorted(weights)
     for term in sorted(weights, key=len):
-        longer = [t for t in weights if t != term and t.startswith(term)]
-        if any(df_bad[t] >= 0.9 * df_bad[term] and df_clean.get(t, 0) < df_clean.get(term, 0) for t in longer):
+        longer = (t for t in ordered[bisect_right(ordered, term):bisect_right(ordered, term + "\U0010ffff")] if t in weights)
+        if any(df_bad[t] >= 0.9 * df_bad[term] and df_clean[t] < df_clean[term] for t in longer):
             del weights[term]
     if not weights:
         return Lexicon()
     lexicon = Lexicon({t[1:-1]: w for t, w in weights.items() if t.endswith(" ")},
                       {t[1:]: w for t, w in weights.items() if not t.endswith(" ")})
-    if any(df_clean.get(t, 0) >= 3 for t in weights):
+    if any(df_clean[t] >= 3 for t in weights):
         lexicon.exceptions = tuple(_exceptions(train, weights))
     lexicon.scale = _fit_scale(train, lexicon)
     return lexicon

@@ -87,3 +87,11 @@ def test_very_long_tokens_take_linear_time():
 def test_more_terms_than_a_task_holds(spark):
     many = spark.createDataFrame([(" ".join(f"v{k}x{j}" for j in range(400)),) for k in range(600)], "text string").coalesce(1)
     assert T._count_terms(many, None).filter("term LIKE ' v% '").count() == 240_000
+
+
+def test_rare_terms_are_not_cut_by_the_number_of_frequent_ones(spark):
+    # 5,200 words in every document; the words of interest are in rejected ones only, one of them in three tenths.
+    common = " ".join(f"q{k}" for k in range(5_200))
+    rows = [(i, f"{common} {'zzorkel' if i % 10 == 0 else 'grumpf' if i % 3 == 0 else 'kind'}", int(i % 3 == 0 or i % 10 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(8)
+    assert {"zzorkei", "grumpf"} <= set(T.learn_lexicon(df, df).words)
