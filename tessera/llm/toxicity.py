@@ -31,6 +31,11 @@ THRESHOLD = 0.3
 #: Bound of the labelled rows the lexicon and its scale are fitted on (a hash sample beyond it).
 MAX_FIT_ROWS = 40_000
 STEMS = (4, 5, 6)
+#: Rejected documents a term must come up in, whatever the size of the tables.
+LEAST_SEEN = 3
+#: Standard errors taken off a term's log odds, and what must be left.
+CAUTION = 2.5
+LEAST_ODDS = 0.5
 #: Terms a task counts before it hands them on.
 HELD_TERMS = 200_000
 
@@ -164,58 +169,54 @@ def toxicity_score(text: Column, lexicon: Lexicon) -> Column:
     return run(text)
 
 
-def _terms(words: list[str]) -> Counter[str]:
-    """Whole words as `` w `` and stems as `` s`` with their number of occurrences."""
-    out: Counter[str] = Counter()
-    for w, n in Counter(words).items():
-        out[f" {w} "] += n
+def _terms(words: list[str]) -> set[str]:
+    """Whole words as `` w `` and stems as `` s``."""
+    out = set()
+    for w in set(words):
+        out.add(f" {w} ")
         for k in STEMS:
             if len(w) > k:
-                out[f" {w[:k]}"] += n
+                out.add(f" {w[:k]}")
     return out
 
 
 def _count_terms(train: DataFrame, known: list[str] | None) -> DataFrame:
-    """(term, df, bad, tf): documents of ``train`` with each term, the rejected ones of them and the occurrences
-    in those; only ``known`` terms if given. Without a column ``toxic`` no document is rejected."""
+    """(term, df, bad): documents of ``train`` with each term and the rejected ones of them; only ``known``
+    terms if given. Without a column ``toxic`` no document is rejected."""
     wanted = frozenset(known) if known is not None else None
     toxic = F.col("toxic") if "toxic" in train.columns else F.lit(0)
 
-    def table(df: Counter[str], bad: Counter[str], tf: Counter[str]) -> pd.DataFrame:
+    def table(df: Counter[str], bad: Counter[str]) -> pd.DataFrame:
         return pd.DataFrame({"term": list(df), "df": pd.Series(list(df.values()), dtype="int64"),
-                             "bad": pd.Series([bad[t] for t in df], dtype="int64"),
-                             "tf": pd.Series([tf[t] for t in df], dtype="int64")})
+                             "bad": pd.Series([bad[t] for t in df], dtype="int64")})
 
     def count(batches):
         df: Counter[str] = Counter()
         bad: Counter[str] = Counter()
-        tf: Counter[str] = Counter()
         for batch in batches:
             for text, rejected in zip(batch["text"], batch["toxic"]):
                 terms = _terms(fold_words(text))
                 if wanted is not None:
-                    terms = {t: terms[t] for t in terms.keys() & wanted}
-                df.update(terms.keys())
+                    terms &= wanted
+                df.update(terms)
                 if rejected:
-                    bad.update(terms.keys())
-                    tf.update(terms)
+                    bad.update(terms)
             if len(df) > HELD_TERMS:
-                yield table(df, bad, tf)
+                yield table(df, bad)
                 df.clear()
                 bad.clear()
-                tf.clear()
         if df:
-            yield table(df, bad, tf)
+            yield table(df, bad)
 
-    return (train.select("text", toxic.alias("toxic")).mapInPandas(count, "term string, df long, bad long, tf long")
-                 .groupBy("term").agg(F.sum("df").alias("df"), F.sum("bad").alias("bad"), F.sum("tf").alias("tf")))
+    return (train.select("text", toxic.alias("toxic")).mapInPandas(count, "term string, df long, bad long")
+                 .groupBy("term").agg(F.sum("df").alias("df"), F.sum("bad").alias("bad")))
 
 
 def _sure(bad: Column, clean: Column, n_bad: int, n_clean: int) -> Column:
     """A lower bound of a term's log odds; of rates, not counts, so that the share of rejected documents
     among the labelled ones plays no part."""
     odds = ((bad + 0.5) / (n_bad + 1)) / ((clean + 0.5) / (n_clean + 1))
-    return F.log(odds) - 1.5 * F.sqrt(1 / (bad + 0.5) + 1 / (clean + 0.5))
+    return F.log(odds) - CAUTION * F.sqrt(1 / (bad + 0.5) + 1 / (clean + 0.5))
 
 
 def _exceptions(train: DataFrame, terms: dict[str, float]) -> list[str]:
@@ -253,9 +254,10 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_RO
 
     Rows whose crc32(doc_id) mod 4 is 2 never take part. At most about ``max_rows`` labelled rows,
     chosen by a hash, are read; the sample is written once and used by each step. A document with
-    both labels is left out. Terms: precision of 0.97 and more among labelled documents, in at
-    least 2 % of the rejected ones (two at least; with fewer than six, twice in each on average); the
-    weight is a lower bound of the log odds, so that terms seen in few documents weigh little.
+    both labels is left out. Terms: in ``LEAST_SEEN`` rejected documents or more, with a lower bound of
+    the log odds above ``LEAST_ODDS``; nothing depends on the share of all rejected documents, so that the
+    terms of a small language count like others. The bound is the weight, so that terms seen in few
+    documents weigh little.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -273,14 +275,11 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_RO
     n_bad, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_bad or not n_clean:
         return Lexicon()
-    least = max(2, math.ceil(0.02 * n_bad))
     bad, clean = F.col("bad"), F.col("clean")
-    # With few documents to learn from, a term must also come up repeatedly in them. All terms are judged
-    # where they are counted; only those that pass come to the driver.
+    # All terms are judged where they are counted; only those that pass come to the driver.
     seen = (_count_terms(train, None).withColumn("clean", F.col("df") - bad)
-            .filter((bad >= least) & ((bad >= 6) | (F.col("tf") >= 2 * bad))
-                    & (bad * n_clean >= 0.97 * (bad * n_clean + clean * n_bad)) & (clean <= 0.001 * n_clean))
-            .withColumn("sure", _sure(bad, clean, n_bad, n_clean)).filter("sure > 0.5").orderBy("term").collect())
+            .filter((bad >= LEAST_SEEN) & (clean <= 0.001 * n_clean))
+            .withColumn("sure", _sure(bad, clean, n_bad, n_clean)).filter(F.col("sure") > LEAST_ODDS).orderBy("term").collect())
     df_bad = {r["term"]: r["bad"] for r in seen}
     df_clean = {r["term"]: r["clean"] for r in seen}
     weights = {r["term"]: r["sure"] for r in seen}

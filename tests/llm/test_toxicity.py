@@ -95,3 +95,17 @@ def test_rare_terms_are_not_cut_by_the_number_of_frequent_ones(spark):
     rows = [(i, f"{common} {'zzorkel' if i % 10 == 0 else 'grumpf' if i % 3 == 0 else 'kind'}", int(i % 3 == 0 or i % 10 == 0)) for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(8)
     assert {"zzorkei", "grumpf"} <= set(T.learn_lexicon(df, df).words)
+
+
+def test_terms_of_a_small_language_are_kept(spark):
+    # 9 of 600 rejected documents hold the term of their small language: 1.5 %, and no accepted one does.
+    rows = []
+    for i in range(5400):
+        small, bad = i % 90 < 8, i % 9 == 0
+        words = [f"{'s' if small else 'w'}{(i * 7 + k * 13) % 101}" for k in range(20)]
+        term = ("zzorkel" if i % 630 == 0 else "grumpf") if bad else "kind"
+        rows.append((i, " ".join([*words, term]), int(bad)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(8)
+    lexicon = T.learn_lexicon(df, df)
+    assert "zzorkei" in lexicon.words
+    assert scored(" ".join([f"s{k}" for k in range(20)] + ["zzorkel"]), lexicon) >= T.THRESHOLD
