@@ -36,6 +36,10 @@ LEAST_SEEN = 3
 #: Standard errors taken off a term's log odds, and what must be left.
 CAUTION = 2.5
 LEAST_ODDS = 0.5
+#: Hits by stronger terms after which a rejected document is no evidence for weaker ones.
+EXPLAINED = 2
+#: A phrase is an exception if chance would leave it without a rejected document less often than this.
+CHANCE = 0.001
 #: Terms a task counts before it hands them on.
 HELD_TERMS = 200_000
 
@@ -180,9 +184,15 @@ def _terms(words: list[str]) -> set[str]:
     return out
 
 
-def _count_terms(train: DataFrame, known: list[str] | None) -> DataFrame:
+def _outside(words: list[str], phrases: frozenset[str]) -> list[str]:
+    """The words that are in none of the two-word ``phrases``."""
+    inside = {k + n for k, pair in enumerate(zip(words, words[1:])) if " ".join(pair) in phrases for n in (0, 1)}
+    return [w for k, w in enumerate(words) if k not in inside]
+
+
+def _count_terms(train: DataFrame, known: list[str] | None, phrases: frozenset[str] = frozenset()) -> DataFrame:
     """(term, df, bad): documents of ``train`` with each term and the rejected ones of them; only ``known``
-    terms if given. Without a column ``toxic`` no document is rejected."""
+    terms if given, and only outside ``phrases``. Without a column ``toxic`` no document is rejected."""
     wanted = frozenset(known) if known is not None else None
     toxic = F.col("toxic") if "toxic" in train.columns else F.lit(0)
 
@@ -195,7 +205,8 @@ def _count_terms(train: DataFrame, known: list[str] | None) -> DataFrame:
         bad: Counter[str] = Counter()
         for batch in batches:
             for text, rejected in zip(batch["text"], batch["toxic"]):
-                terms = _terms(fold_words(text))
+                words = fold_words(text)
+                terms = _terms(_outside(words, phrases) if phrases else words)
                 if wanted is not None:
                     terms &= wanted
                 df.update(terms)
@@ -219,34 +230,73 @@ def _sure(bad: Column, clean: Column, n_bad: int, n_clean: int) -> Column:
     return F.log(odds) - CAUTION * F.sqrt(1 / (bad + 0.5) + 1 / (clean + 0.5))
 
 
-def _exceptions(train: DataFrame, terms: dict[str, float]) -> list[str]:
-    """Two-word phrases around a term seen in several accepted texts and in no rejected one."""
-    machine = Lexicon({t[1:-1]: w for t, w in terms.items() if t.endswith(" ")},
-                      {t[1:]: w for t, w in terms.items() if not t.endswith(" ")})
+def _exceptions(train: DataFrame, shares: dict[str, float]) -> frozenset[str]:
+    """Two-word phrases around a term seen in several accepted texts and in no rejected one.
 
+    ``shares`` gives for each term the share of accepted documents among those that hold it: how often a
+    document with the phrase would be accepted if the phrase told nothing.
+    """
     def phrases(batches):
-        automaton = machine.automaton()
-        counts: Counter[tuple[str, int]] = Counter()
+        known: dict[str, float] = {}
+
+        def share(word: str) -> float:
+            """The largest share of the terms that match ``word``; 0 if none does."""
+            if word not in known:
+                if len(known) > HELD_TERMS:
+                    known.clear()
+                known[word] = max(shares.get(f" {word} ", 0.0), *(shares.get(f" {word[:n]}", 0.0) if len(word) > n else 0.0 for n in STEMS))
+            return known[word]
+
+        def table() -> pd.DataFrame:
+            return pd.DataFrame({"phrase": list(counts), "share": pd.Series([max(map(share, p.split(" "))) for p in counts], dtype="float64"),
+                                 "clean": pd.Series([c for c, _ in counts.values()], dtype="int64"),
+                                 "bad": pd.Series([b for _, b in counts.values()], dtype="int64")})
+
+        counts: dict[str, list[int]] = {}
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 words = fold_words(text)
-                if not weight_of(words, automaton)[1]:
-                    continue
-                found = set()
-                for k, w in enumerate(words):
-                    if f" {w} " in terms or any(f" {w[:n]}" in terms for n in STEMS if len(w) > n):
-                        found.update(" ".join(words[a:a + 2]) for a in (k - 1, k) if 0 <= a < len(words) - 1)
-                counts.update((p, int(toxic)) for p in found)
-        if not counts:
-            return
-        yield pd.DataFrame({"phrase": [p for p, _ in counts], "toxic": pd.Series([y for _, y in counts], dtype="int32"),
-                            "df": pd.Series(list(counts.values()), dtype="int64")})
+                hits = [share(w) > 0 for w in words]
+                for p in {f"{words[k]} {words[k + 1]}" for k in range(len(words) - 1) if hits[k] or hits[k + 1]}:
+                    counts.setdefault(p, [0, 0])[toxic] += 1
+            if len(counts) > HELD_TERMS:
+                yield table()
+                counts.clear()
+        if counts:
+            yield table()
+
+    found = (train.select("text", "toxic").mapInPandas(phrases, "phrase string, share double, clean long, bad long")
+                  .groupBy("phrase").agg(F.max("share").alias("share"), F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
+                  .filter("clean >= 3 AND bad = 0").filter(F.col("clean") * F.log("share") <= math.log(CHANCE)))
+    return frozenset(r["phrase"] for r in found.collect())
+
+
+def _unexplained(bad: DataFrame, weights: dict[str, float]) -> dict[str, float]:
+    """The terms, from strong to weak, that ``LEAST_SEEN`` rejected documents need: such as hold fewer than
+    ``EXPLAINED`` stronger ones. Chance finds and what copies of a document share go; a term that only few
+    documents have stays if nothing else marks them. ``bad`` is part of the bounded sample.
+    """
+    # Of equally strong terms whole words go first, then longer stems.
+    order = sorted(weights, key=lambda t: (-weights[t], not t.endswith(" "), -len(t), t))
+    number = {t: k for k, t in enumerate(order)}
 
-    found = (train.select("text", "toxic").mapInPandas(phrases, "phrase string, toxic int, df long")
-                  .groupBy("phrase").agg(F.sum(F.when(F.col("toxic") == 0, F.col("df")).otherwise(0)).alias("clean"),
-                                         F.sum(F.when(F.col("toxic") == 1, F.col("df")).otherwise(0)).alias("bad"))
-                  .filter("clean >= 3 AND bad = 0"))
-    return sorted(r["phrase"] for r in found.collect())
+    def held(batches):
+        for batch in batches:
+            yield pd.DataFrame({"terms": [sorted(number[t] for t in _terms(fold_words(x)) if t in number) for x in batch["text"]]})
+
+    where: list[list[int]] = [[] for _ in order]
+    rows = bad.select("text").mapInPandas(held, "terms array<int>").collect()
+    for doc, row in enumerate(rows):
+        for k in row["terms"]:
+            where[k].append(doc)
+    hits = [0] * len(rows)
+    kept = {}
+    for k, term in enumerate(order):
+        if sum(hits[doc] < EXPLAINED for doc in where[k]) >= LEAST_SEEN:
+            kept[term] = weights[term]
+            for doc in where[k]:
+                hits[doc] += 1
+    return kept
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Lexicon:
@@ -256,8 +306,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_RO
     chosen by a hash, are read; the sample is written once and used by each step. A document with
     both labels is left out. Terms: in ``LEAST_SEEN`` rejected documents or more, with a lower bound of
     the log odds above ``LEAST_ODDS``; nothing depends on the share of all rejected documents, so that the
-    terms of a small language count like others. The bound is the weight, so that terms seen in few
-    documents weigh little.
+    terms of a small language count like others. Terms that only come up beside stronger ones are left
+    out. The bound is the weight, so that terms seen in few documents weigh little.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -276,13 +326,23 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_RO
     if not n_bad or not n_clean:
         return Lexicon()
     bad, clean = F.col("bad"), F.col("clean")
-    # All terms are judged where they are counted; only those that pass come to the driver.
-    seen = (_count_terms(train, None).withColumn("clean", F.col("df") - bad)
-            .filter((bad >= LEAST_SEEN) & (clean <= 0.001 * n_clean))
-            .withColumn("sure", _sure(bad, clean, n_bad, n_clean)).filter(F.col("sure") > LEAST_ODDS).orderBy("term").collect())
+    # All terms are judged where they are counted; only those that pass come to the driver. Terms of high
+    # odds are looked at for exceptions first, however many accepted documents hold them; what decides
+    # and weighs is the bound outside the exceptions.
+    def judged(counts: DataFrame, least: float) -> list:
+        return (counts.withColumn("clean", F.col("df") - bad).filter(bad >= LEAST_SEEN)
+                      .withColumn("sure", _sure(bad, clean, n_bad, n_clean)).filter(F.col("sure") > least).orderBy("term").collect())
+
+    seen = judged(_count_terms(train, None), 0.0)
+    # Terms that no accepted document holds need no exception.
+    shares = {r["term"]: r["clean"] / r["df"] for r in seen if r["clean"]}
+    phrases = _exceptions(train, shares) if shares else frozenset()
+    if phrases:
+        seen = judged(_count_terms(train, [r["term"] for r in seen], phrases), LEAST_ODDS)
+    seen = [r for r in seen if r["sure"] > LEAST_ODDS]
     df_bad = {r["term"]: r["bad"] for r in seen}
     df_clean = {r["term"]: r["clean"] for r in seen}
-    weights = {r["term"]: r["sure"] for r in seen}
+    weights = _unexplained(train.filter("toxic = 1"), {r["term"]: r["sure"] for r in seen}) if seen else {}
     # A stem that a longer one explains as well is dropped.
     ordered = sorted(weights)
     for term in sorted(weights, key=len):
@@ -293,8 +353,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_RO
         return Lexicon()
     lexicon = Lexicon({t[1:-1]: w for t, w in weights.items() if t.endswith(" ")},
                       {t[1:]: w for t, w in weights.items() if not t.endswith(" ")})
-    if any(df_clean[t] >= 3 for t in weights):
-        lexicon.exceptions = tuple(_exceptions(train, weights))
+    machine = lexicon.automaton()
+    lexicon.exceptions = tuple(sorted(p for p in phrases if weight_of(p.split(" "), machine)[1]))
     lexicon.scale = _fit_scale(train, lexicon)
     return lexicon
 

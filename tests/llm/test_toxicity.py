@@ -109,3 +109,20 @@ def test_terms_of_a_small_language_are_kept(spark):
     lexicon = T.learn_lexicon(df, df)
     assert "zzorkei" in lexicon.words
     assert scored(" ".join([f"s{k}" for k in range(20)] + ["zzorkel"]), lexicon) >= T.THRESHOLD
+
+
+def test_term_with_harmless_uses_is_kept_with_an_exception(spark):
+    # A tenth of the accepted documents have the harmless phrase, a third of the rejected ones the bare word.
+    rows = []
+    for i in range(1500):
+        bad = i % 3 == 0
+        filler = " ".join(f"w{(i * 3 + k) % 50}" for k in range(20))
+        term = ("you scumlord there" if i % 9 == 0 else "grumpf") if bad else "the old scumlord ballad" if i % 10 == 1 else "hello"
+        rows.append((i, f"{filler} {term}", int(bad)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = T.learn_lexicon(df, df)
+    assert {"oid scumiord", "scumiord baiiad"} <= set(lexicon.exceptions)
+    assert "scumiord" in lexicon.words
+    calm = " ".join(f"w{k}" for k in range(20))
+    assert scored(f"{calm} you scumlord there", lexicon) >= T.THRESHOLD
+    assert scored(f"{calm} the old scumlord ballad", lexicon) == 0
