@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import pandas as pd
@@ -32,6 +32,8 @@ from tessera.llm.common import prepare, tokenizer_path
 MAX_WORDS = 200_000
 MAX_PAIRS = 400_000
 NEVER = 1 << 60
+#: Columns of a text's stored table.
+STORED = ("ends", "tokens", "first", "final", "counts")
 #: Texts whose new words are counted together.
 GROUP = 512
 
@@ -73,6 +75,10 @@ class PrefixCounter:
         self.left: dict[int, tuple] = {}
         self.right: dict[int, tuple] = {}
         self.words: dict[str, int] = {}
+        self.inner: dict[str, list[int] | None] = {}
+        # A character with those that normalisation may join to it.
+        self.segment = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+|(?s:.)[\p{M}\u1160-\u11ff]*")
+        self.joining = regex.compile(r"[\p{M}\u1160-\u11ff]")
         self.ends = self._suffix_tree()
         self.library = Tokenizer.from_file(path)
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -268,39 +274,130 @@ class PrefixCounter:
     def count(self, text: str | None) -> int:
         return self.counts([text])[0]
 
-    def stored(self, text: str | None) -> tuple[list[int], list[int]]:
-        """The stored table of a text: for each word its end (code points of the text) and the tokens up to there.
-
-        Words are found in the original text, so offsets hold there; a text in which normalisation moves
-        characters is stored by its normalised form's offsets.
-        """
-        ends, tokens, at = [], [], 0
+    def _aligned(self, part: str) -> tuple[list[tuple[str, int, int]], list[int] | None]:
+        """(word, start, end in the normalised part) in order, and the offset in ``part`` of each normalised offset:
+        -1 where none is; None if all are the same, empty if they cannot be told."""
+        words = self.pieces(part)
+        normal = self._normal if not set(part) & self.odd else self.library.normalizer.normalize_str
+        whole = normal(part)
+        found, seek = [], 0
+        for w in words:
+            at = max(whole.find(w, seek), seek)
+            seek = at + len(w)
+            found.append((w, at, seek))
+        if len(whole) == len(part) and unicodedata.is_normalized("NFC", part):
+            return found, None
+        # Characters that join the one before are normalised with it; there is no cut inside.
+        known: dict[str, str] = {}
+        where, made, at = [0], [], 0
+        for seg in self.segment.findall(part):
+            if seg not in known:
+                known[seg] = normal(seg)
+            at += len(seg)
+            made.append(known[seg])
+            if known[seg]:
+                where += [-1] * (len(known[seg]) - 1) + [at]
+            else:
+                where[-1] = at
+        if "".join(made) != whole:
+            return found, []
+        return found, where
+
+    def _inside(self, word: str) -> list[int]:
+        """Tokens of the first 1, 2, … characters of a word, each read as a whole text; from one pass over it."""
+        if word not in self.inner:
+            if len(self.inner) >= MAX_WORDS:
+                self.inner.clear()
+            if word.startswith("'"):  # a contraction's start is more than one word
+                self.inner[word] = [sum(map(self.of_piece, self.pieces(word[:k]))) for k in range(1, len(word) + 1)] if len(word) <= 3 else None
+            if self.inner.get(word) is None:
+                mapped = self._mapped(word)
+                last, count = [-1], [0]
+                self.extend(mapped, last, count, len(mapped) - 1)
+                self.inner[word] = [self.closed(mapped, last, count, k) for k in accumulate(len(c.encode("utf-8")) for c in word)]
+        return self.inner[word]
+
+    def _cells(self, text: str | None) -> Iterator[tuple[int, int, Callable[[], list[tuple[int, int]]]]]:
+        """(end, tokens, cuts) of each word and special string; ``cuts()`` gives (offset, tokens of the cell up
+        to there) for the offsets inside. All offsets are code points of the text."""
+        at, before = 0, None
         for part, special in self.parts(text or ""):
             if special:
-                ends.append(at + len(part))
-                tokens.append(1)
+                touched = before[:2] if before and before[2] == at else (at, 0)
+
+                def cuts(at=at, part=part, touched=touched):
+                    # A cut special string is plain text, and goes on the word that it touches.
+                    return [(at + k, self.count(text[touched[0]:at + k]) - touched[1]) for k in range(1, len(part))]
+                yield at + len(part), 1, cuts
+                before = None
             else:
-                from_here = self._normal(part)
-                seek = 0
-                for piece in self.pieces(part):
-                    found = from_here.find(piece, seek)
-                    seek = (found if found >= 0 else seek) + len(piece)
-                    ends.append(at + seek)
-                    tokens.append(self.of_piece(piece))
+                words, where = self._aligned(part)
+                if where == []:
+                    # Each prefix is counted by itself.
+                    yield at + len(part), self.count(part), lambda at=at, part=part: [
+                        (at + k, self.count(part[:k])) for k in range(1, len(part))]
+                    before, at = (at, self.count(part), at + len(part)), at + len(part)
+                    continue
+                group: list[tuple[str, int, int]] = []
+                for word, a, b in words:
+                    group.append((word, a, b))
+                    if where is not None and where[b] < 0:
+                        continue  # it ends inside a character's normalised form, where no cut is
+                    def cuts(at=at, group=tuple(group), where=where):
+                        out, total = [], 0
+                        for word, a, _ in group:
+                            for q, n in enumerate(self._inside(word)[:-1], a + 1):
+                                if where is None or where[q] >= 0:
+                                    out.append((at + (q if where is None else where[q]), total + n))
+                            total += self.of_piece(word)
+                        return out
+                    start, end = (group[0][1], b) if where is None else (max(where[:group[0][1] + 1]), where[b])
+                    n = sum(self.of_piece(w) for w, _, _ in group)
+                    yield at + end, n, cuts
+                    before, group = (at + start, n, at + end), []
             at += len(part)
-        return ends, list(accumulate(tokens))
-
-    def at_prefix(self, text: str, chars: int, table: tuple[list[int], list[int]] | None = None) -> int:
-        """Tokens of ``text[:chars]``: the words stored up to there plus the cut word's own prefix."""
-        ends, tokens = table or self.stored(text)
-        k = bisect_right(ends, chars)
-        start = ends[k - 1] if k else 0
-        return (tokens[k - 1] if k else 0) + sum(self.of_piece(p) for p in self.pieces(text[start:chars]))
 
-    def fitting(self, table: tuple[list[int], list[int]], budget: int) -> int:
-        """Code points of the longest prefix of whole words with at most ``budget`` tokens."""
-        k = bisect_right(table[1], budget)
-        return table[0][k - 1] if k else 0
+    def stored(self, text: str | None) -> tuple[list[int], ...]:
+        """The stored table of a text: for each word its end (code points of the text) and the tokens up to there;
+        then the count of tokens at every prefix, as runs of prefixes with the same count: first and last length, count."""
+        ends, tokens, first, final, counts, total = [], [], [0], [0], [0], 0
+        for end, n, cuts in self._cells(text):
+            for cut, inner in [*cuts(), (end, n)]:
+                if total + inner != counts[-1]:
+                    first.append(cut)
+                    final.append(cut)
+                    counts.append(total + inner)
+                final[-1] = cut
+            total += n
+            ends.append(end)
+            tokens.append(total)
+        return ends, tokens, first, final, counts
+
+    def at_prefix(self, text: str, chars: int, table: tuple[list[int], ...] | None = None) -> int:
+        """Tokens of ``text[:chars]``, read from the stored table; only where the cut parts characters that
+        normalisation joins, the cut word is counted anew."""
+        ends, tokens, first, _, counts = table or self.stored(text)
+        if 0 < chars < len(text) and self.joining.match(text, chars):
+            k = max(0, bisect_right(ends, chars - 1) - 1)  # a word earlier: without its mark a letter may end a contraction
+            return (tokens[k - 1] if k else 0) + self.count(text[ends[k - 1] if k else 0:chars])
+        return counts[bisect_right(first, chars) - 1]
+
+    def fitting(self, table: tuple[list[int], ...], budget: int) -> int:
+        """Code points of the longest prefix with at most ``budget`` tokens, without white space after it."""
+        ends, tokens, first, final, counts = table
+        k = bisect_right(tokens, budget)
+        # Inside the word that goes over, more characters can be fewer tokens: the last run that fits counts.
+        j = bisect_right(first, ends[k]) if k < len(ends) else len(first)
+        return next((final[i] for i in range(j - 1, -1, -1) if counts[i] <= budget), 0)
+
+    def fit(self, text: str | None, budget: int) -> int:
+        """``fitting`` for one budget: only the word that goes over is looked into."""
+        best = total = 0
+        for end, n, cuts in self._cells(text):
+            if total + n > budget:
+                return max([best, *(cut for cut, inner in cuts() if total + inner <= budget)])
+            best, total = end, total + n
+        return best
 
 
 _COUNTERS: dict[str, PrefixCounter] = {}
@@ -321,22 +418,22 @@ def token_summary(text: Column, name: str, budget: int) -> Column:
         for texts in batches:
             texts = texts.tolist()
             counts = [n for at in range(0, len(texts), GROUP) for n in c.counts(texts[at:at + GROUP])]
-            fit = [len(t or "") if n <= budget else c.fitting(c.stored(t), budget) for t, n in zip(texts, counts)]
+            fit = [len(t or "") if n <= budget else c.fit(t, budget) for t, n in zip(texts, counts)]
             yield pd.DataFrame({"n_tokens": pd.Series(counts, dtype="int64"), "fit_chars": pd.Series(fit, dtype="int64")})
     return run(text)
 
 
 def prefix_table(docs: DataFrame, name: str) -> DataFrame:
-    """(doc_id, ends, tokens): the stored counts of every row, for later budget and truncation questions."""
+    """(doc_id, ends, tokens, first, final, counts): the stored counts of every row, for later budget and truncation questions."""
     prepare(docs.sparkSession)
 
-    @F.pandas_udf("ends array<int>, tokens array<int>")
+    @F.pandas_udf(", ".join(f"{c} array<int>" for c in STORED))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = counter(tokenizer_path(name))
         for texts in batches:
             rows = [c.stored(t) for t in texts]
-            yield pd.DataFrame({"ends": [r[0] for r in rows], "tokens": [r[1] for r in rows]})
-    return docs.select("doc_id", run(F.col("text")).alias("p")).select("doc_id", "p.ends", "p.tokens")
+            yield pd.DataFrame({c: [r[k] for r in rows] for k, c in enumerate(STORED)})
+    return docs.select("doc_id", run(F.col("text")).alias("p")).select("doc_id", *(f"p.{c}" for c in STORED))
 
 
 def count_tokens(docs: DataFrame, name: str = "word_bpe_49k.json", limit: int = 2048) -> DataFrame:

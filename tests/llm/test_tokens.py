@@ -74,3 +74,41 @@ def test_messy_and_empty_tables(spark, both, messy, no_docs):
     assert K.count_tokens(no_docs).count() == 0
     stored = K.prefix_table(messy, NAME).filter("doc_id = 0").first()
     assert stored["tokens"] == [1, 2, 3, 4, 5, 6] and stored["ends"][-1] == 22
+
+
+def test_budgets_cut_inside_words(both):
+    ours, theirs = both
+    draw = random.Random(5)
+    runs = ["".join(draw.choice("etaoinshrdlu") for _ in range(3_000)), "".join(draw.choice("中文天地人大小上下") for _ in range(1_200))]
+    for text in [*runs, "e\u0301te\u0301 " * 40, "one <|endoftext|> two"]:
+        table = ours.stored(text)
+        for budget in (1, 2, 3, 50, 400):
+            cut = ours.fitting(table, budget)
+            assert cut == ours.fit(text, budget) and theirs(text[:cut]) <= budget
+            if theirs(text) > budget:
+                assert theirs(text[:cut + 2]) > budget or text[cut:cut + 2].isspace() or text[cut:cut + 1] == " "
+    for run in runs:
+        assert ours.fitting(ours.stored(run), 400) > 100
+
+
+def test_stored_counts_answer_every_prefix(both):
+    ours, theirs = both
+    draw = random.Random(4)
+    for _ in range(400):
+        text = "".join(draw.choice(ODD) for _ in range(draw.randrange(10)))
+        table = ours.stored(text)
+        for p in range(len(text) + 1):
+            assert ours.at_prefix(text, p, table) == theirs(text[:p]), (text, p)
+        for budget in (1, 2, 4):
+            fits = [p for p in range(len(text) + 1) if theirs(text[:p]) <= budget]
+            cut = ours.fitting(table, budget)
+            assert theirs(text[:cut]) <= budget and cut <= max(fits)
+
+
+def test_answers_encode_nothing(both, monkeypatch):
+    ours, theirs = both
+    text = "unbelievableness " * 3 + "x" * 500
+    table, expected = ours.stored(text), [theirs(text[:p]) for p in range(len(text) + 1)]
+    for name in ("pieces", "of_piece", "learn", "extend"):
+        monkeypatch.setattr(ours, name, None)
+    assert [ours.at_prefix(text, p, table) for p in range(len(text) + 1)] == expected
