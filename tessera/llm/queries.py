@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, decontaminate, langid, mixing, secrets, sharding, simhash, tokens, toxicity, warc
+from tessera.llm import (ann, codes, crosstoken, decontaminate, innerproduct, langid, mixing, secrets, sharding, simhash, tokens,
+                         toxicity, warc)
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -83,3 +84,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op10_warc"] = warc.ORACLE.strip()
+
+
+@query
+def op11_crosstoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, links and corpus-wide link counts of every document under two tokenizers."""
+    return crosstoken.align_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector: 16 parts, 64 entries each, two rounds."""
+    return codes.code_report(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
+ORACLE_SQL["op12_vector_codes"] = codes.ORACLE
+
+
+@query
+def op13_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest inner products of every 50th vector, exactly."""
+    return innerproduct.top_products(table(spark, sf_dir, "embeddings"), k=5)
+
+
+ORACLE_SQL["op13_top_products"] = innerproduct.ORACLE.strip()
