@@ -277,9 +277,9 @@ def _oracle() -> str:
     steps = ["""
 kept AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
-         list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 parts AS MATERIALIZED (
   SELECT r, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS x FROM kept, range(16) AS t(p)),
 book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 64)"""]
@@ -287,7 +287,7 @@ book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 64)"""
         steps.append(f"""
 near{k} AS MATERIALIZED (
   SELECT r, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
-    SELECT r, parts.p, e, x, list_sum(list_transform(list_zip(x, c), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    SELECT r, parts.p, e, x, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
     FROM parts JOIN book{k} AS b ON b.p = parts.p) GROUP BY r, p)""")
         if k < 2:
             steps.append(f"""

@@ -254,12 +254,12 @@ def top_products(embeddings: DataFrame, k: int = 5, is_query: Column | None = No
 
 ORACLE = """
 WITH kept AS MATERIALIZED (
-  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT q.r AS q, q.vec_id AS query_id, c.vec_id AS vec_id, c.r AS r,
-         CAST(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM kept AS q JOIN kept AS c ON q.r <> c.r WHERE q.vec_id % 50 = 0)
 SELECT query_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id NULLS LAST, r) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5"""
