@@ -11,8 +11,8 @@ The new contents go to a fresh directory and the catalog table is then
 pointed at it, so a failed or retried job never leaves the target half
 written (a path cannot be overwritten while it is being read).
 
-Rows that cannot be written (no key, a failed check, or a value the target's
-column type cannot hold) are split off with a reason into a ``rejects``
+Rows that cannot be written (no key, a failed check, or a value that the target's
+column type does not hold exactly) are split off with a reason into a ``rejects``
 location instead of failing the job. One pass over the key and the checked
 columns, before anything is written, counts rows and rejects and finds
 duplicate keys; the write then reads the source's rows.
@@ -26,8 +26,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegralType, NumericType, StructType
+from pyspark.sql.types import StructType
 
+from tessera.operators.fitting import converted, free_name
 from tessera.session import RUNTIME_BROADCAST_ONLY, run_parallel, scoped_conf, scratch_path
 
 
@@ -51,8 +52,9 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str) -> Da
     # Nulls in ``order_by`` rank lowest (instead of being skipped, which
     # would turn a key whose rows all lack it into an all-null row).
     rank = F.struct(F.col(order_by).isNotNull(), F.col(order_by))
-    packed = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), rank).alias("_row")
-    return df.groupBy(*keys).agg(packed).select(*keys, "_row.*").select(*df.columns)
+    row = free_name(keys, "_row")
+    packed = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), rank).alias(row)
+    return df.groupBy(*keys).agg(packed).select(*keys, f"{row}.*").select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
@@ -86,33 +88,40 @@ def upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str],
         *target.columns, *[c for c in src.columns if c not in target.columns])
 
 
-def fit_to_schema(source: DataFrame, schema: StructType) -> tuple[DataFrame, dict[str, Column]]:
-    """Cast ``source`` to the types ``schema`` has, and a failure predicate per column that drifted.
+@dataclass
+class Fitted:
+    """``frame`` in the wanted types; ``reasons``: reason → predicate on it; ``originals``: how to get each source column back."""
+    frame: DataFrame
+    reasons: dict[str, Column]
+    originals: list[Column]
+    helpers: list[str]
+
 
-    A value fails if the cast gives null, or if a number comes back different
-    (a fraction into an integer column, too many decimals). Columns of the
-    same type, and those ``schema`` lacks, stay as they are. Predicates refer
-    to columns of the returned frame, which carries the drifted originals as
-    ``_was_<name>``.
+def fit_to_schema(source: DataFrame, schema: StructType) -> Fitted:
+    """Convert ``source`` to the types ``schema`` has; a value that would change in any way fails its row.
+
+    Columns of the same type, and those ``schema`` lacks, stay as they are. The drifted originals and the
+    verdicts travel as helper columns, under names the source does not have.
     """
     want = {f.name.lower(): f.dataType for f in schema.fields}
-    columns, kept, failing = [], [], {}
+    taken = [*source.columns, *schema.names]
+    columns, helpers, kept, reasons, originals = [], [], [], {}, []
     for f in source.schema.fields:
         to = want.get(f.name.lower(), f.dataType)
         at = F.col(f"`{f.name}`")
         if to == f.dataType:
             columns.append(at)
+            originals.append(at)
             continue
-        cast = at.try_cast(to)
-        columns.append(cast.alias(f.name))
-        was = f"_was_{f.name}"
-        kept.append(at.alias(was))
-        lost = at.isNotNull() & cast.isNull()
-        if isinstance(f.dataType, NumericType) and isinstance(to, (IntegralType, DecimalType)):
-            lost = lost | ~cast.try_cast(f.dataType).eqNullSafe(at)
-        columns.append(lost.alias(f"_lost_{f.name}"))
-        failing[f"{f.name} does not fit {to.simpleString()}"] = F.col(f"`_lost_{f.name}`")
-    return source.select(*columns, *kept), failing
+        value, lost = converted(at, f.dataType, to)
+        columns.append(value.alias(f.name))
+        was = free_name([*taken, *helpers], f"_was_{f.name}")
+        gone = free_name([*taken, *helpers, was], f"_lost_{f.name}")
+        helpers += [was, gone]
+        kept += [at.alias(was), lost.alias(gone)]
+        reasons[f"{f.name} does not fit {to.simpleString()}"] = F.col(f"`{gone}`")
+        originals.append(F.col(f"`{was}`").alias(f.name))
+    return Fitted(source.select(*columns, *kept), reasons, originals, helpers)
 
 
 def validity_reason(key: str | Sequence[str], checks: Mapping[str, Column] | None = None) -> Column:
@@ -130,6 +139,21 @@ def validity_reason(key: str | Sequence[str], checks: Mapping[str, Column] | Non
     return expr
 
 
+def flag_rows(source: DataFrame, schema: StructType | None, key: str | Sequence[str],
+              checks: Mapping[str, Column] | None = None) -> tuple[str, DataFrame, Fitted]:
+    """(name of the reason column, source in the types of ``schema`` with that column, how it was fitted).
+
+    The reason is null for a writable row. The caller's checks see the values as they were given, before any cast.
+    """
+    own = free_name([*source.columns, *(schema.names if schema else ())], "_own_reason")
+    checked = source.withColumn(own, validity_reason(key, checks))
+    fitted = fit_to_schema(checked, schema if schema is not None else checked.schema)
+    fitted.originals = fitted.originals[:len(source.columns)]
+    why = free_name([*fitted.frame.columns, own], "_reason")
+    reason = F.coalesce(F.col(own), *(F.when(lost, F.lit(text)) for text, lost in fitted.reasons.items()))
+    return why, fitted.frame.withColumn(why, reason), fitted
+
+
 @dataclass
 class CopyResult:
     table: str
@@ -192,21 +216,18 @@ def copy_table(spark: SparkSession, source: DataFrame, target_table: str, key: s
     """
     exists = spark.catalog.tableExists(target_table)
     # The caller's checks see the values as they were given, before any cast.
-    checked = source.withColumn("_own_reason", validity_reason(key, checks))
-    fitted, drifted = fit_to_schema(checked, spark.table(target_table).schema) if exists else (checked, {})
-    helpers = [c for c in fitted.columns if c not in source.columns]
-    reason = F.coalesce(F.col("_own_reason"), *(F.when(lost, F.lit(why)) for why, lost in drifted.items()))
-    flagged = fitted.withColumn("_reason", reason)
-    good = flagged.where(F.col("_reason").isNull()).drop("_reason", *helpers)
-    originals = [F.col(f"`_was_{c}`").alias(c) if f"_was_{c}" in flagged.columns else F.col(f"`{c}`") for c in source.columns]
-    bad = flagged.where(F.col("_reason").isNotNull()).select(*originals, F.col("_reason").alias("reason"))
+    why, flagged, fitted = flag_rows(source, spark.table(target_table).schema if exists else None, key, checks)
+    good = flagged.where(F.col(why).isNull()).select(*(F.col(f"`{c}`") for c in source.columns))
+    # The rejects say why in ``reason``, or in a longer name if the source has that column.
+    bad = flagged.where(F.col(why).isNotNull()).select(*fitted.originals, F.col(why).alias(free_name(source.columns, "reason")))
 
     keys = _keys(key)
-    per_key = (flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_reason").isNull()).alias("ok")))
-    seen = per_key.agg(F.sum("n").alias("n"), F.sum("ok").alias("ok"), F.max("ok").alias("most")).first()
+    n, ok = free_name(keys, "n"), free_name(keys, "ok")
+    per_key = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias(n), F.count_if(F.col(why).isNull()).alias(ok))
+    seen = per_key.agg(F.sum(n).alias("n"), F.sum(ok).alias("ok"), F.max(ok).alias("most")).first()
     n_all, n_good = int(seen["n"] or 0), int(seen["ok"] or 0)
     if not order_by and (seen["most"] or 0) > 1:
-        example = per_key.where("ok > 1").limit(1).collect()[0].asDict()
+        example = per_key.where(F.col(ok) > 1).limit(1).collect()[0].asDict()
         raise DuplicateKeys(f"duplicate key in copy source for {target_table}: { {k: example[k] for k in keys} }")
 
     base = location or scratch_path(spark, target_table.replace(".", "_").replace("`", ""))

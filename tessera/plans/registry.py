@@ -35,5 +35,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tessera.plans import (q_combine, q_copying, q_items, q_serialized,  # noqa: F401
+    from tessera.plans import (q_combine, q_copying, q_items, q_keyed, q_serialized,  # noqa: F401
                                q_sinks, q_sources)

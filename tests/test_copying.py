@@ -174,7 +174,7 @@ def test_values_that_do_not_fit_the_target_are_rejected_one_by_one(spark, tmp_ba
     ensure_database(spark, "tessera_scratch")
     name = _target(spark, "drift")
     copy_table(spark, spark.createDataFrame([(0, 7, 1.5)], "k int, v int, d float"), name, "k", location=tmp_base)
-    for rows_in, schema in (([(1, 8, 0.1), (2, 2 ** 40, 0.2)], "k bigint, v bigint, d double"),
+    for rows_in, schema in (([(1, 8, 0.25), (2, 2 ** 40, 0.5)], "k bigint, v bigint, d double"),
                             ([(3, 9.0, 1.0), (4, 9.5, 1.0)], "k int, v double, d double"),
                             ([(5, "10", 1.0), (6, "x", 1.0), (7, None, 1.0)], "k int, v string, d double")):
         copy_table(spark, spark.createDataFrame(rows_in, schema), name, "k", location=tmp_base)
