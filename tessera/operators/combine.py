@@ -113,7 +113,7 @@ def combine_tables(tables: Mapping[str, DataFrame], tag_col: str = "source_table
 
 def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_col: str = "source_table",
                            on_conflict: str = "lossless", plan: str = "auto",
-                           partition_levels: int = 0, schema: StructType | None = None) -> DataFrame:
+                           partition_levels: int = 0, schema: StructType | None = None, ledger=None) -> DataFrame:
     """Combine Parquet table roots (name → directory), tagging rows by table.
 
     ``plan="scan"`` reads all roots in one scan with an explicit merged schema
@@ -125,9 +125,17 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
 
     With a known ``schema`` (the combined data columns, in order) no table is
     inspected at all: one listing, one scan, missing columns null-filled.
+
+    With a ``SchemaLedger`` only the footers it has not seen are read, whatever the number of tables and files;
+    if every column has one type in all files, the scan follows from it, else the fold.
     """
     if not roots:
         raise ValueError("no tables to combine")
+    if ledger is not None and schema is None and plan != "fold":
+        ledger.update(roots)
+        found = ledger.joined(roots)
+        if found.uniform and tag_col.lower() not in {f.name.lower() for f in found.schema.fields}:
+            return combine_parquet_tables(spark, roots, tag_col, on_conflict, "scan", partition_levels, schema=found.schema)
     if schema is not None:
         where = outermost([location(spark, r) for r in roots.values()])
         scan = tag_from_path(read_parquet_tree(spark, where, schema=schema), roots, tag_col, partition_levels)
@@ -142,7 +150,7 @@ def combine_parquet_tables(spark: SparkSession, roots: Mapping[str, str], tag_co
             return combine_parquet_tables(spark, roots, tag_col, on_conflict, "scan", partition_levels,
                                           schema=uniform)
     # One listing and schema merge per table, overlapped on driver threads.
-    frames = run_parallel(lambda root: read_parquet_groups(spark, root), roots.values(), max_workers=32)
+    frames = run_parallel(lambda root: read_parquet_groups(spark, root, ledger), roots.values(), max_workers=32)
     raw = dict(zip(roots, frames))
     # The scan reads every file with one schema, so every column needs one
     # exact type (nested field differences included); otherwise fold.

@@ -331,3 +331,30 @@ def sql_ctas_union(spark, sf_dir):
         spark.catalog.createTable(f"{db}.{name}", path=root, source="parquet")
     run_statement(spark, TRINO_STYLE_CTAS.format(db=db))
     return run_statement(spark, f'SELECT * FROM "{db}"."combined_orders"')
+
+
+@register("schema_ledger_runs", """
+SELECT 'row' AS what, o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority,
+       lower(o_orderstatus) || '_order' AS source_table, NULL AS footers FROM orders
+UNION ALL SELECT 'first run', NULL, NULL, NULL, NULL, 3
+UNION ALL SELECT 'second run', NULL, NULL, NULL, NULL, 1
+UNION ALL SELECT 'third run', NULL, NULL, NULL, NULL, 0
+""")
+def schema_ledger_runs(spark, sf_dir):
+    # Three files; then one more with a new column; then nothing new. Each run opens the new footers alone, and the
+    # combine's columns follow from the ledger.
+    from tessera.operators.combine import combine_parquet_tables
+    from tessera.session import scratch_path
+    from tessera.sources.ledger import SchemaLedger
+    orders, base = table(spark, sf_dir, "orders"), scratch_path(spark, "ledger")
+    roots = {f"{s.lower()}_order": f"{base}/in/{s.lower()}_order" for s in "FOP"}
+    late = (F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 2 == 0)
+    for s in "FOP":
+        (orders.where((F.col("o_orderstatus") == s) & ~late).select("o_orderkey", "o_totalprice").coalesce(1)
+               .write.parquet(f"{roots[f'{s.lower()}_order']}/batch 1"))
+    ledger = SchemaLedger(spark, f"{base}/schemas")
+    reads = [("first run", ledger.update(roots))]
+    orders.where(late).select("o_orderkey", "o_totalprice", "o_orderpriority").coalesce(1).write.parquet(f"{roots['o_order']}/batch 2")
+    reads += [("second run", ledger.update(roots)), ("third run", ledger.update(roots))]
+    combined = combine_parquet_tables(spark, roots, ledger=ledger).withColumn("what", F.lit("row"))
+    return combined.unionByName(spark.createDataFrame(reads, "what string, footers int"), allowMissingColumns=True)

@@ -186,3 +186,32 @@ def restore_to_tables_q(spark, sf_dir):
                                                                  "CAST(NULL AS string) AS failed"))
             .unionByName(report.where("status <> 'restored'").selectExpr("table_name", "CAST(NULL AS bigint) AS k", "CAST(NULL AS string) AS name",
                                                                          "split(status, ':')[0] AS failed")))
+
+
+@register("snapshot_incremental", """
+SELECT 'first' AS what, o_orderkey, o_totalprice, CAST(o_orderstatus AS VARCHAR) AS o_orderstatus, NULL AS files, NULL AS copied FROM orders
+UNION ALL SELECT 'second', o_orderkey, CASE WHEN o_orderstatus = 'P' THEN -1 ELSE o_totalprice END, o_orderstatus, NULL, NULL FROM orders
+UNION ALL SELECT 'taken first', NULL, NULL, NULL, 4, 4
+UNION ALL SELECT 'taken second', NULL, NULL, NULL, 4, 1
+""")
+def snapshot_incremental(spark, sf_dir):
+    # The second snapshot copies the one file that changed. Both restore as they were taken, the second after the
+    # first is dropped and its blobs are swept.
+    from tessera.operators.increments import drop_snapshot, restore_files, sweep_blobs, take_snapshot
+    base = scratch_path(spark, "increments")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    roots = {"orders": f"{base}/db/orders", "region": f"{base}/db/region"}
+    orders.coalesce(1).write.partitionBy("o_orderstatus").parquet(roots["orders"])
+    table(spark, sf_dir, "region").coalesce(1).write.parquet(roots["region"])
+    first = take_snapshot(spark, roots, f"{base}/repo", "first")
+    (orders.where("o_orderstatus = 'P'").select("o_orderkey", F.lit(-1.0).alias("o_totalprice")).coalesce(1)
+           .write.mode("overwrite").parquet(f"{roots['orders']}/o_orderstatus=P"))
+    second = take_snapshot(spark, roots, f"{base}/repo", "second")
+    was = restore_files(spark, f"{base}/repo", "first", f"{base}/back/first", "orders")["orders"]
+    drop_snapshot(spark, f"{base}/repo", "first")
+    sweep_blobs(spark, f"{base}/repo")
+    now = restore_files(spark, f"{base}/repo", "second", f"{base}/back/second", "orders")["orders"]
+    report = spark.createDataFrame([("taken first", first.files, first.copied), ("taken second", second.files, second.copied)],
+                                   "what string, files int, copied int")
+    return (was.withColumn("what", F.lit("first")).unionByName(now.withColumn("what", F.lit("second")))
+            .unionByName(report, allowMissingColumns=True))

@@ -14,7 +14,7 @@ from tessera.sinks.files import write_manifest
 from tessera.sinks.tables import create_table_as, ensure_database
 from tessera.sources.catalog import read_table
 from tessera.sources.files import packed_scan, read_lines, read_parquet_tree
-from tessera.sources.inventory import cold_object_keys, keys_by_prefix, list_objects
+from tessera.sources.inventory import cold_object_keys, keys_by_prefix, list_objects, list_objects_frontier
 
 SCRATCH_DB = "tessera_scratch"
 
@@ -96,3 +96,13 @@ def list_objects_bytes(spark, sf_dir):
     listing = list_objects(spark, root)
     lang = F.regexp_extract("key", r"/lang=([^/]+)/", 1)
     return listing.groupBy(lang.alias("lang")).agg(F.sum("size").cast("bigint").alias("n_bytes"))
+
+
+@register("list_objects_frontier", """
+SELECT lang, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY lang
+""")
+def list_objects_frontier_q(spark, sf_dir):
+    # The same totals from a listing that the executors make, one level of folders per round.
+    lang = F.regexp_extract("key", r"/lang=([^/]+)/", 1)
+    listing = list_objects_frontier(spark, document_files(spark, sf_dir))
+    return listing.groupBy(lang.alias("lang")).agg(F.sum("size").cast("bigint").alias("n_bytes"))

@@ -12,7 +12,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Mapping, Sequence
 
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.session import scoped_conf
+from tessera.session import scoped_conf, scratch_path
 
 # Tables whose root → name lookup is larger than this are joined by shuffle.
 LOOKUP_BROADCAST_BYTES = 32 << 20
@@ -47,41 +46,26 @@ def is_merge_conflict(exc: Exception) -> bool:
     return "CANNOT_MERGE_SCHEMAS" in str(exc)
 
 
-def read_parquet_groups(spark: SparkSession, root: str) -> list[DataFrame]:
+def literal_path(path: str) -> str:
+    """``path`` as a pattern that matches itself alone."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
+
+
+def read_parquet_groups(spark: SparkSession, root: str, ledger=None) -> list[DataFrame]:
     """One frame per group of files below ``root`` whose column types agree; one in all, as a rule.
 
-    Only when the footers cannot be merged (a column changed its type between batches) are they read
-    one by one, in a distributed job, and files with equal schemas grouped.
+    Only when the footers cannot be merged (a column changed its type between batches) are files grouped by
+    schema, with a ``SchemaLedger`` (a passing one unless given): a distributed job reads the footers that it does not know.
     """
     try:
         return [read_parquet_tree(spark, root)]
     except Exception as exc:  # noqa: BLE001 — raised again unless it is a merge conflict
         if not is_merge_conflict(exc):
             raise
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-             .load(root).select("path"))
-
-    def footers(batches):
-        import pandas as pd
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-        from pyspark.sql.pandas.types import from_arrow_schema
-        for batch in batches:
-            out = []
-            for path in batch["path"]:
-                if path.startswith("file:"):
-                    system, inner = fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-                else:
-                    system, inner = fs.FileSystem.from_uri(path)
-                schema = pq.read_schema(inner, filesystem=system)
-                stored = (schema.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
-                out.append(stored.decode() if stored else from_arrow_schema(schema).json())
-            yield pd.DataFrame({"path": batch["path"], "schema": out})
-
-    by_schema: dict[str, list[str]] = {}
-    for r in files.mapInPandas(footers, "path string, schema string").orderBy("path").collect():
-        by_schema.setdefault(r["schema"], []).append(r["path"])
-    return [spark.read.schema(StructType.fromJson(json.loads(k))).parquet(*paths) for k, paths in by_schema.items()]
+    from tessera.sources.ledger import SchemaLedger
+    ledger = ledger or SchemaLedger(spark, scratch_path(spark, "schema-ledger"))
+    ledger.update({"t": root})
+    return [spark.read.schema(schema).parquet(*map(literal_path, places)) for schema, places in ledger.groups(root)]
 
 
 def location(spark: SparkSession, path: str) -> str:

@@ -11,7 +11,8 @@ executor lost during it, is simply re-run.
 As files are remembered by path, tables may be added, left out and reordered
 between runs. Every run reads with the columns all tables have by then, so a
 new column is kept from its first file on; a column whose type changed beyond
-what Parquet reads as the wider type raises ``SchemaConflict``.
+what Parquet reads as the wider type raises ``SchemaConflict``. Schemas come from a ledger in the
+checkpoint, so a run opens the footers of new files only, however many there were before.
 
 The checkpoint lies in the sink folder unless one is named, so that both stay
 together. A sink with a log but without its checkpoint is refused (Spark would
@@ -21,17 +22,15 @@ checkpoint whose sink is gone.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tessera.operators.align import SchemaConflict, conflicting_columns, widened
-from tessera.operators.combine import union_column_order
 from tessera.session import path_exists
-from tessera.sources.files import location, outermost, read_parquet_groups, tag_from_path
+from tessera.sources.files import literal_path, location, outermost, tag_from_path
+from tessera.sources.ledger import SchemaLedger
 
 
 def default_checkpoint(sink_path: str) -> str:
@@ -42,33 +41,15 @@ def default_checkpoint(sink_path: str) -> str:
 def _one_pattern(locations: list[str]) -> str:
     """A path pattern for all roots: one file source has one path."""
     if len(locations) == 1:
-        return re.sub(r"([\\{}\[\]*?,])", r"\\\1", locations[0])
+        return literal_path(locations[0])
     heads = {loc.split("/", 3)[0] + "//" + loc.split("/", 3)[2] for loc in locations}
     if len(heads) > 1:
         raise ValueError(f"one incremental combine reads one file system; these roots lie in {sorted(heads)}")
     head = heads.pop()
-    inner = [re.sub(r"([\\{}\[\]*?,])", r"\\\1", loc[len(head) + 1:]) for loc in locations]
+    inner = [literal_path(loc[len(head) + 1:]) for loc in locations]
     return head + "/{" + ",".join(inner) + "}"
 
 
-def _common_schema(spark: SparkSession, roots: Mapping[str, str]) -> StructType:
-    """All columns of all tables, in the fold's order, each in a type Parquet reads every file as."""
-    frames = [df for root in roots.values() for df in read_parquet_groups(spark, root)]
-    clashes = conflicting_columns(frames)
-    fields = {}
-    for df in frames:
-        for f in df.schema.fields:
-            fields.setdefault(f.name.lower(), f)
-    for name, types in clashes.items():
-        to = types[0]
-        for t in types[1:]:
-            to = widened(to, t) if to is not None else None
-        if to is None:
-            raise SchemaConflict(f"column {name} has types no incremental read can join: {[t.simpleString() for t in types]}")
-        fields[name].dataType = to
-    return StructType([fields[c.lower()] for c in union_column_order(frames)])
-
-
 def incremental_combine(spark: SparkSession, roots: Mapping[str, str], sink_path: str,
                         checkpoint: str | None = None, tag_col: str = "source_table",
                         partition_levels: int = 0, max_files_per_trigger: int | None = None,
@@ -86,7 +67,10 @@ def incremental_combine(spark: SparkSession, roots: Mapping[str, str], sink_path
         raise ValueError(f"{sink_path} was written with another checkpoint than {ckpt}")
     if has_state and not has_log and path_exists(spark, f"{ckpt}/commits/0"):
         raise ValueError(f"{ckpt} belongs to a sink that is no longer at {sink_path}")
-    schema = _common_schema(spark, roots)
+    # Columns of all tables, each in a type Parquet reads every file as. Only files the ledger has not seen are opened.
+    ledger = SchemaLedger(spark, f"{ckpt}/schemas")
+    ledger.update(roots)
+    schema = ledger.common_schema(roots)
     data = [f.name for f in schema.fields if f.name.lower() != tag_col.lower()]
     # Files are told apart by path, so none is too old to be new.
     reader = (spark.readStream.schema(StructType([f for f in schema.fields if f.name in data]))

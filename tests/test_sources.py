@@ -137,3 +137,15 @@ def test_large_files_are_not_cut_finer_by_packing(spark, tmp_base):
     plain = read_parquet_tree(spark, tmp_base).rdd.getNumPartitions()
     with packed_scan(spark, 1 << 20):
         assert read_parquet_tree(spark, tmp_base).rdd.getNumPartitions() <= plain
+
+
+def test_frontier_listing_is_the_files(spark, tmp_base):
+    from tessera.sources.inventory import list_objects, list_objects_frontier
+    for at in ("a", "a/deep er/x=1", "b%20c/é"):
+        spark.range(20).repartition(2).write.parquet(f"{tmp_base}/l/{at}")
+    mine = list_objects_frontier(spark, f"{tmp_base}/l")
+    assert rows(mine) == rows(list_objects(spark, f"{tmp_base}/l")) and mine.count() == 6
+    assert list_objects_frontier(spark, f"{tmp_base}/l", hidden=True).where("key LIKE '%_SUCCESS'").count() == 3
+    import os
+    os.makedirs(f"{tmp_base.removeprefix('file:')}/empty")
+    assert list_objects_frontier(spark, f"{tmp_base}/empty").count() == 0
