@@ -11,7 +11,7 @@ are scored in integers. A pair whose bound equals the k-th score stays: a tie ma
 
 Queries are marked by a condition and grow with the table, so they are rows of the same distributed
 join: each goes, by number, to the cells of the round that it still needs. A task holds one cell
-and streams the queries. Dealing rows by length, then id, then a hash of the row cuts equal lengths
+and streams the queries. Dealing rows by length, then by a hash of the row, cuts equal lengths
 like any others, so a vector that a third of the rows share fills cells of the usual size.
 
 Defined results: vectors that are null or hold null or non-finite components (also after the factor
@@ -44,14 +44,23 @@ _EXACT = 2.0 ** 53
 
 
 def usable(embeddings: DataFrame, is_query: Column) -> DataFrame:
-    """(row, vec_id, asked, vec), written: integer components as doubles; ``row`` names a row."""
+    """(row, vec_id, asked, vec, length), written: integer components as doubles; ``row`` names a row, ``vec_id`` is text."""
     vec = F.transform("embedding", lambda x: x.cast("double") * F.lit(float(SCALE)))
     fine = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    whole = F.transform("vec", lambda x: F.when(F.abs(x) < F.lit(_EXACT), F.floor(x).cast("double")).otherwise(x))
-    rows = (embeddings.select("vec_id", F.coalesce(is_query, F.lit(False)).alias("asked"), vec.alias("vec"))
-                      .filter(F.coalesce(fine, F.lit(False)))
-                      .select(F.monotonically_increasing_id().alias("row"), "vec_id", "asked", whole.alias("vec")))
-    rows = persist(rows, "ip-rows")
+    rows = (embeddings.select(F.col("vec_id").cast("string").alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("asked"), vec.alias("vec"))
+                      .filter(F.coalesce(fine, F.lit(False))))
+
+    def measured(batches):
+        for batch in batches:
+            # Doubles of 2^53 and more are integers already.
+            vecs = [np.floor(v) for v in batch["vec"]]
+            longest = [float(np.abs(v).max(initial=0.0)) for v in vecs]
+            batch["length"] = [m * float(np.sqrt(((v / m) ** 2).sum())) if m else 0.0 for v, m in zip(vecs, longest)]
+            batch["vec"] = vecs
+            yield batch
+
+    rows = rows.mapInPandas(measured, "vec_id string, asked boolean, vec array<double>, length double")
+    rows = persist(rows.withColumn("row", F.monotonically_increasing_id()), "ip-rows")
     sizes = rows.groupBy(F.size("vec").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
     return rows.filter(F.size("vec") == (sizes[0]["d"] if sizes else 0))
 
@@ -78,18 +87,12 @@ def rotation(rows: DataFrame, d: int) -> np.ndarray:
     return np.linalg.eigh((moment + moment.T) / (2 * top))[1][:, ::-1].copy()
 
 
-def _length() -> Column:
-    """Euclidean length, without overflow."""
-    most = F.aggregate("vec", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x)))
-    return F.when(most > 0, most * F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + (x / most) * (x / most)))).otherwise(0.0)
-
-
 def cells(rows: DataFrame, d: int) -> DataFrame:
     """(cell, row, vec_id, asked, vec, length), written: cell 0 has the longest vectors."""
     n = rows.count()
     many = max(1, -(-n * max(1, d) * 8 // CELL_BYTES))
-    dealt = (rows.withColumn("length", _length())
-                 .repartitionByRange(many, F.desc("length"), F.asc_nulls_last("vec_id"), F.xxhash64("row")))
+    # Any order among equal lengths will do; this one cuts them like others.
+    dealt = rows.repartitionByRange(many, F.desc("length"), F.xxhash64("vec_id", "row"))
     return persist(dealt.withColumn("cell", F.spark_partition_id()), "ip-cells")
 
 
@@ -222,7 +225,7 @@ def top_products(embeddings: DataFrame, k: int = 5, is_query: Column | None = No
     spark = embeddings.sparkSession
     prepare(spark)
     rows = usable(embeddings, F.col("vec_id") % 50 == 0 if is_query is None else is_query)
-    id_type = rows.schema["vec_id"].dataType
+    id_type = embeddings.schema["vec_id"].dataType
     head = rows.select(F.size("vec").alias("d")).limit(1).collect()
     d = head[0]["d"] if head else 0
     turn = rotation(rows, d) if d else np.zeros((0, 0))
@@ -240,10 +243,9 @@ def top_products(embeddings: DataFrame, k: int = 5, is_query: Column | None = No
         asked = queries.join(least, "row", "left").withColumn("need", F.coalesce(F.col("least").cast("double"), F.lit(float("-inf"))))
         sent = (asked.withColumn("cell", F.explode(F.sequence(F.lit(first), F.lit(last))))
                      .join(place, "cell").filter(F.col("length") * F.col("longest") * (1 + 1e-9) + 1e-9 >= F.col("need"))
-                     .select("cell", F.lit(1).alias("kind"), "row", F.col("vec_id").cast("string").alias("vec_id"), "vec", "least"))
+                     .select("cell", F.lit(1).alias("kind"), "row", "vec_id", "vec", "least"))
         own = (table.filter(F.col("cell").between(first, last))
-                    .select("cell", F.lit(0).alias("kind"), "row", F.col("vec_id").cast("string").alias("vec_id"), "vec",
-                            F.lit(None).cast("string").alias("least")))
+                    .select("cell", F.lit(0).alias("kind"), "row", "vec_id", "vec", F.lit(None).cast("string").alias("least")))
         found = _found_in(own.unionByName(sent), turn, k)
         best = persist(best.unionByName(found).withColumn("rank", rank).filter(F.col("rank") <= k).drop("rank"), "ip-best")
         first, many = last + 1, many * GROWTH
