@@ -61,6 +61,15 @@ def _places(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), F.when((whole == "") & (part == ""), F.lit(0)).otherwise(needed))
 
 
+def number_digits(text: Column) -> tuple[Column, Column]:
+    """Digits before and after the point that the number in ``text`` needs; null where it is no number."""
+    whole, part, power = (F.regexp_extract(text, _NUMBER, k) for k in (1, 2, 3))
+    shift = F.when(power == "", F.lit(0)).otherwise(power.try_cast("int"))
+    lead = F.when(whole != "", F.length(whole)).otherwise(F.length(F.regexp_replace(part, "^0+", "")) - F.length(part))
+    scale = F.greatest(_places(text), F.lit(0))
+    return F.when(scale.isNotNull(), F.greatest(lead + shift, F.lit(0))), scale
+
+
 def _text_as(text: Column, value: Column, to: DataType) -> Column:
     """Whether ``value`` is the whole of what ``text`` says."""
     if isinstance(to, (IntegralType, DecimalType)):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tessera.operators.indexes import IndexSpec, write_index
 from tessera.plans.fixtures import ITEM_ATTRIBUTES, customer_item_export
 from tessera.plans.q_sources import SCRATCH_DB, scratch_table
@@ -133,3 +135,65 @@ def typed_items_import(spark, sf_dir):
     return imported.agg(F.sum("id").cast("bigint").alias("key_sum")).select(
         F.lit("customer_items").alias("table_name"), F.lit(res.copied).cast("bigint").alias("copied"),
         F.lit(res.rejected).cast("bigint").alias("rejected"), "key_sum")
+
+
+def _order_items(spark, sf_dir, name: str, list_end: str) -> str:
+    """Orders as an export: a map with a nested map, a list of text and number, an attribute of two kinds."""
+    from tessera.session import scratch_path
+    path = scratch_path(spark, name)
+    table(spark, sf_dir, "orders").selectExpr(f"""
+        '{{"Item":{{"id":{{"N":"' || o_orderkey || '"}},"m":{{"M":{{"customer":{{"N":"' || o_custkey || '"}},"more":{{"M":{{' ||
+        CASE WHEN o_orderstatus = 'O' THEN '"k":{{"N":"' || o_custkey || '.25"}}' ELSE '"p":{{"S":"' || o_orderpriority || '"}}' END ||
+        '}}}}}}}},"l":{{"L":[{{"N":"' || o_custkey || '"}},' || {list_end} || ']}}}}}}' AS value""").write.text(path)
+    return path
+
+
+@register("typed_items_discover", """
+SELECT 'id' AS path, 'N' AS code, count(*) AS n, 'bigint' AS proposed FROM orders
+UNION ALL SELECT 'm', 'M', count(*), 'struct<customer:bigint,more:struct<k:decimal,p:string>>' FROM orders
+UNION ALL SELECT 'm.customer', 'N', count(*), NULL FROM orders
+UNION ALL SELECT 'm.more', 'M', count(*), NULL FROM orders
+UNION ALL SELECT 'm.more.k', 'N', count(*), NULL FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 'm.more.p', 'S', count(*), NULL FROM orders WHERE o_orderstatus <> 'O'
+UNION ALL SELECT 'l', 'L', count(*), 'array<string>' FROM orders
+UNION ALL SELECT 'l.[]', 'N', count(*), NULL FROM orders
+UNION ALL SELECT 'l.[]', 'S', count(*), NULL FROM orders
+UNION ALL SELECT 'decoded', o_orderstatus, CAST(sum(o_custkey) AS BIGINT), NULL FROM orders GROUP BY o_orderstatus
+""")
+def typed_items_discover(spark, sf_dir):
+    # An export whose nested attributes are not known: the places and codes found at every depth, the types proposed
+    # for the attributes, and sums of what decodes under them.
+    from pyspark.sql import functions as F
+
+    from tessera.sources.items import discover_items, propose_types
+    path = _order_items(spark, sf_dir, "discover-items", "'{\"S\":\"' || o_orderstatus || '\"}'")
+    found = discover_items(spark, path)
+    attributes, cast = propose_types(found)
+    # The decimal's size follows the data.
+    named = spark.createDataFrame([(a, re.sub(r"\(\d+,\d+\)", "", t.simpleString())) for a, t in cast.items()], "path string, proposed string")
+    places = (found.select(F.array_join("path", ".").alias("path"), "code", "n")
+              .join(named, "path", "left").select("path", "code", "n", "proposed"))
+    decoded = read_typed_items(spark, path, attributes, cast, misfits="misfits")
+    sums = decoded.where(F.size("misfits") == 0).groupBy(F.element_at("l", 2).alias("code")).agg(F.sum("m.customer").alias("n"))
+    return places.unionByName(sums.select(F.lit("decoded").alias("path"), "code", "n", F.lit(None).cast("string").alias("proposed")))
+
+
+@register("typed_items_nested_rejects", """
+SELECT 'table' AS place, o_orderkey AS id, o_custkey AS customer, NULL AS misfits FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 4 <> 0
+UNION ALL SELECT 'rejects', o_orderkey, o_custkey, concat_ws(',', CASE WHEN o_orderstatus <> 'O' THEN 'm.more{p}' END,
+                                                             CASE WHEN o_orderkey % 4 = 0 THEN 'l[1]' END)
+FROM orders WHERE o_orderstatus <> 'O' OR o_orderkey % 4 = 0
+""")
+def typed_items_nested_rejects(spark, sf_dir):
+    # Import into a keyed table: an item with a value that does not convert, however deep, is a reject that names the place.
+    from pyspark.sql import functions as F
+
+    from tessera.operators.keyed import copy_keyed, read_keyed
+    path = _order_items(spark, sf_dir, "reject-items", "CASE WHEN o_orderkey % 4 = 0 THEN '{\"N\":\"1.5\"}' ELSE '{\"N\":\"2\"}' END")
+    items = read_typed_items(spark, path, {"id": "N", "m": "M", "l": "L"}, misfits="misfits",
+                             cast={"id": "bigint", "m": "struct<customer:bigint,more:map<string,decimal(12,2)>>", "l": "array<int>"})
+    name, location = scratch_table(spark, "nested_items")
+    result = copy_keyed(spark, items, f"{SCRATCH_DB}.{name}", "id", checks={"does not convert": F.size("misfits") > 0}, buckets=8, location=location)
+    rejects = spark.read.parquet(result.rejects_path)
+    return (read_keyed(spark, f"{SCRATCH_DB}.{name}").select(F.lit("table").alias("place"), "id", "m.customer", F.lit(None).cast("string").alias("misfits"))
+            .unionByName(rejects.select(F.lit("rejects").alias("place"), "id", "m.customer", F.array_join("misfits", ",").alias("misfits"))))
