@@ -1,26 +1,30 @@
 """Approximate nearest neighbours by inner product: NN-descent graph, greedy graph search.
 
-Vectors get one more component that gives all of them the same length, so that a larger inner product
-is a smaller distance and the graph is a metric one. Equal vectors are one node; the copies come back
-when the answers are written out.
+Vectors are dealt into zones by length, each half as long as the one before, so that one very long vector
+sets no scale for the others. Within a zone they get one more component that gives all of them the same
+length, so that a larger inner product is a smaller distance and the graph is a metric one; edges stay
+within a zone, all zones are built and searched in the same jobs, and what they give is merged by exact
+score. Equal vectors are one node; the copies come back when the answers are written out.
 
 The graph starts from blocks of vectors around the same pivot and is improved in rounds: each node
 introduces its neighbours (both directions, new ones to all) to each other, as a join of the edge table
 with the vectors, and each node keeps the best ``DEGREE`` it has met. Rounds end when few edges change.
 Sampling both directions to ``SAMPLE`` is part of the method and bounds what a node gathers, however
-many nodes point to it. A query starts at its nearest pivots (and at itself, if it is a node) and
-expands the best nodes it has seen, a few per round for all queries at once, until its best ``BEAM``
-are all expanded or ``SEARCH_ROUNDS`` are over. Found candidates are scored again in double precision.
+many nodes point to it. A query starts at its nearest pivots of every zone (and at itself, if it is a node)
+and expands the best nodes it has seen, a few per round for all queries at once, until its best ``BEAM`` of each
+zone are all expanded. Found candidates are scored again in double precision.
 
-Every row is indexed; only the pivots are a sample (``MAX_PIVOTS`` at most, by hash). Each round's
+Every row is indexed; only the pivots are a sample (``MAX_PIVOTS`` per zone at most, by hash). Each round's
 tables are written to the shared folder. Defined results: vectors that are null, empty, zero or hold
 null or non-finite components, of another length than most, and rows without vec_id take no part; of
 rows that share a vec_id the smallest vector counts; ties go to the smaller vec_id; with fewer
-candidates all are returned; other columns are not read.
+candidates all are returned; a score beyond the double
+range is infinite, and 0 where infinities cancel out; other columns are not read.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,12 +39,10 @@ SAMPLE = 20
 BLOCK = 384
 PIVOT_SHARE = 256
 MAX_PIVOTS = 2048
-ROUNDS = 8
 #: Rounds end when fewer than this share of the edges is new.
 SETTLED = 0.02
 BEAM = 64
 EXPAND = 8
-SEARCH_ROUNDS = 8
 ENTRIES = 4
 
 
@@ -92,21 +94,31 @@ def usable(embeddings: DataFrame) -> DataFrame:
 
 
 def _nodes(classes: DataFrame) -> DataFrame:
-    """(node, vec): the vector over the largest length, with the component that makes all lengths 1.
+    """(node, zone, vec): the vector over its zone's greatest length, with the component that makes all lengths 1.
 
-    Half precision is enough to find candidates and halves what the rounds shuffle.
+    Zone z has lengths over 2^-(z+1) and up to 2^-z of the longest. Half precision is enough to find candidates
+    and halves what the rounds shuffle.
     """
-    longest = classes.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))).first()[0] or 0.0
+    largest = F.aggregate("vec", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x)))
+    # By the largest component first: squares of very long vectors overflow.
+    sized = classes.select("node", "vec", largest.alias("most"))
+    scaled = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + (x / F.col("most")) * (x / F.col("most"))))
+    sized = persist(sized.withColumn("log", F.log2("most") + F.log2(scaled)), "ann-lengths")
+    top = sized.agg(F.max("log")).first()[0] or 0.0
+    zoned = sized.select("node", F.floor(F.lit(top) - F.col("log")).cast("int").alias("zone"), "vec")
 
     def pack(batches):
         for batch in batches:
             if len(batch):
-                x = np.stack(batch["vec"].to_numpy())
-                extra = np.sqrt(np.maximum(longest - (x * x).sum(axis=1), 0.0))
-                packed = (np.concatenate((x, extra[:, None]), axis=1) / np.sqrt(longest)).astype("<f2")
-                yield pd.DataFrame({"node": batch["node"], "vec": [r.tobytes() for r in packed]})
+                x, zone = np.stack(batch["vec"].to_numpy()), batch["zone"].to_numpy()
+                # 2^-512 at a time: the factor itself may be out of the doubles' range.
+                power = zone - top
+                x = x * np.exp2(power / 2)[:, None] * np.exp2(power / 2)[:, None]
+                extra = np.sqrt(np.maximum(1.0 - (x * x).sum(axis=1), 0.0))
+                packed = np.concatenate((x, extra[:, None]), axis=1).astype("<f2")
+                yield pd.DataFrame({"node": batch["node"], "zone": batch["zone"], "vec": [r.tobytes() for r in packed]})
 
-    return persist(classes.select("node", "vec").mapInPandas(pack, "node long, vec binary"), "ann-nodes")
+    return persist(zoned.mapInPandas(pack, "node long, zone int, vec binary"), "ann-nodes")
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
@@ -116,23 +128,43 @@ def _best(edges: DataFrame, degree: int) -> DataFrame:
     return each.withColumn("rank", rank).filter(F.col("rank") <= degree).drop("rank")
 
 
-def _pivots(nodes: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded sample of nodes, by hash: their numbers and vectors."""
-    many = max(1, min(MAX_PIVOTS, n // PIVOT_SHARE))
-    rows = nodes.orderBy(F.xxhash64("node", F.lit(7)), "node").limit(many).collect()
-    return np.array([r["node"] for r in rows]), _matrix([r["vec"] for r in rows])
+class Pivots:
+    """A bounded sample of each zone's nodes: zone → (first number of its pivots, node numbers, vectors)."""
+
+    def __init__(self, rows: list):
+        self.zones: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
+        by_zone: dict[int, list] = {}
+        for r in rows:
+            by_zone.setdefault(r["zone"], []).append(r)
+        self.count = 0
+        for zone, own in sorted(by_zone.items()):
+            self.zones[zone] = (self.count, np.array([r["node"] for r in own]), _matrix([r["vec"] for r in own]))
+            self.count += len(own)
+
+
+def _pivots(nodes: DataFrame) -> Pivots:
+    """By hash, one in ``PIVOT_SHARE`` and at most ``MAX_PIVOTS`` of each zone."""
+    # A row per zone, and doubles have some 2,100 lengths that differ by a factor of two.
+    sizes = F.broadcast(nodes.groupBy("zone").agg(F.count("*").alias("n")))
+    many = F.greatest(F.lit(1), F.least(F.lit(MAX_PIVOTS), F.floor(F.col("n") / PIVOT_SHARE)))
+    place = F.xxhash64("node", F.lit(7)) / F.lit(2.0 ** 64) + 0.5
+    # A few times as many as wanted are ranked, whatever the zone's size.
+    some = nodes.join(sizes, "zone").withColumn("place", place).filter((F.col("n") < 4 * PIVOT_SHARE) | (F.col("place") * F.col("n") < 4 * many))
+    nth = F.row_number().over(Window.partitionBy("zone").orderBy("place", "node"))
+    return Pivots(some.withColumn("nth", nth).filter(F.col("nth") <= many).select("zone", "node", "vec", "nth").orderBy("zone", "nth").collect())
 
 
-def _first_edges(nodes: DataFrame, pivots: np.ndarray, degree: int) -> DataFrame:
+def _first_edges(nodes: DataFrame, pivots: Pivots, degree: int) -> DataFrame:
     """Best neighbours within blocks of vectors that share one of their two nearest pivots, and within random blocks."""
     def place(batches):
         for batch in batches:
-            if len(batch):
-                near = np.argsort(-(_matrix(batch["vec"]) @ pivots.T), axis=1)[:, :2]
+            for zone, own in batch.groupby("zone"):
+                base, _, vectors = pivots.zones[zone]
+                near = np.argsort(-(_matrix(own["vec"]) @ vectors.T), axis=1)[:, :2]
                 for k in range(near.shape[1]):
-                    yield pd.DataFrame({"pivot": near[:, k], "node": batch["node"], "vec": batch["vec"]})
-                # One more cell has everyone: its random blocks tie the others together.
-                yield pd.DataFrame({"pivot": len(pivots), "node": batch["node"], "vec": batch["vec"]})
+                    yield pd.DataFrame({"pivot": base + near[:, k], "node": own["node"], "vec": own["vec"]})
+                # One more cell has the whole zone: its random blocks tie the others together.
+                yield pd.DataFrame({"pivot": pivots.count + zone, "node": own["node"], "vec": own["vec"]})
 
     placed = persist(nodes.mapInPandas(place, "pivot int, node long, vec binary"), "ann-placed")
     # A full cell is cut into blocks, so that no task meets a large one.
@@ -170,6 +202,8 @@ def _round(nodes: DataFrame, edges: DataFrame, degree: int, seed: int) -> DataFr
     worst = edges.groupBy("src").agg(F.min("sim").alias("least"), F.count("*").alias("n"))
     known = nodes.join(worst, nodes["node"] == worst["src"], "left").select(
         F.col("node").alias("guest"), "vec", F.when(F.col("n") >= degree, F.col("least")).otherwise(F.lit(float("-inf"))).cast("float").alias("least"))
+    # Written before it is joined: a vector that very many hosts know can then be split off.
+    known = persist(known, "ann-known")
 
     def meet(batches):
         def each():
@@ -197,19 +231,20 @@ def _round(nodes: DataFrame, edges: DataFrame, degree: int, seed: int) -> DataFr
 class Graph:
     """nodes (node, vec), neighbours (src, dst) and the entry pivots."""
 
-    def __init__(self, nodes: DataFrame, neighbours: DataFrame, entries: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, nodes: DataFrame, neighbours: DataFrame, entries: Pivots):
         self.nodes, self.neighbours, self.entries = nodes, neighbours, entries
 
 
-def build_graph(classes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> Graph | None:
+def build_graph(classes: DataFrame, degree: int = DEGREE) -> Graph | None:
     """NN-descent over (node, vec) with different vectors; None if there is none."""
     nodes = _nodes(classes)
     n = nodes.count()
     if not n:
         return None
-    pivots = _pivots(nodes, n)
-    edges = persist(_first_edges(nodes, pivots[1], degree), "ann-edges")
-    for k in range(rounds):
+    pivots = _pivots(nodes)
+    edges = persist(_first_edges(nodes, pivots, degree), "ann-edges")
+    # Kept neighbours only get nearer, so the rounds come to an end.
+    for k in itertools.count():
         edges = persist(_round(nodes, edges, degree, k), "ann-edges")
         if edges.filter("fresh = 1").count() <= SETTLED * n * degree:
             break
@@ -232,28 +267,37 @@ def _scored(pairs: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame
                  .mapInPandas(score, "query long, node long, sim float"))
 
 
-def search(graph: Graph, queries: DataFrame, beam: int = BEAM, rounds: int = SEARCH_ROUNDS) -> DataFrame:
-    """(query, node, sim): the best nodes found for queries (query, vec as array<double>, own: a node or null)."""
-    entry_ids, entry_vecs = graph.entries
+def search(graph: Graph, queries: DataFrame, beam: int = BEAM) -> DataFrame:
+    """(query, node, sim): the best nodes found for queries (query, vec as array<double>, own: a node or null), in each zone.
+
+    ``sim`` orders one query's nodes within a zone only.
+    """
+    pivots = graph.entries
 
     def start(batches):
         for batch in batches:
             if len(batch):
                 x = np.stack(batch["vec"].to_numpy())
                 # Only the order of one query's products matters: its own length is set to 1.
+                x = x / np.abs(x).max(axis=1, keepdims=True)
                 x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
                 x = np.concatenate((x, np.zeros((len(x), 1))), axis=1).astype("<f2")
-                near = np.argsort(-(x.astype(np.float32) @ entry_vecs.T), axis=1)[:, :ENTRIES]
-                yield pd.DataFrame({"query": batch["query"], "qvec": [r.tobytes() for r in x],
-                                    "entries": [entry_ids[e].tolist() for e in near], "own": batch["own"]})
-
-    # The own node travels as an array: a null among integers would turn them into floats.
-    own = F.when(F.col("own").isNull(), F.array().cast("array<long>")).otherwise(F.array("own")).alias("own")
-    placed = persist(queries.select("query", "vec", own).mapInPandas(start, "query long, qvec binary, entries array<long>, own array<long>"), "ann-queries")
-    vectors = placed.select("query", "qvec")
-    first = placed.select("query", F.explode(F.array_distinct(F.concat("entries", "own"))).alias("node"))
+                for zone, (_, ids, vectors) in pivots.zones.items():
+                    near = np.argsort(-(x.astype(np.float32) @ vectors.T), axis=1)[:, :ENTRIES]
+                    yield pd.DataFrame({"query": batch["query"], "qvec": [r.tobytes() for r in x],
+                                        "entries": [ids[e].tolist() + ([own[0]] if len(own) and own[1] == zone else [])
+                                                    for e, own in zip(near, batch["own"])]})
+
+    # The own node and its zone travel as an array: a null among integers would turn them into floats.
+    zones = graph.nodes.select(F.col("node").alias("own"), "zone")
+    own = F.when(F.col("zone").isNull(), F.array().cast("array<long>")).otherwise(F.array("own", F.col("zone").cast("long"))).alias("own")
+    asked = queries.join(zones, "own", "left").select("query", "vec", own).mapInPandas(start, "query long, qvec binary, entries array<long>")
+    # Each query walks each zone on its own, as products of different zones do not compare.
+    placed = persist(asked.withColumn("walk", F.monotonically_increasing_id()), "ann-queries")
+    vectors = placed.select(F.col("walk").alias("query"), "qvec")
+    first = placed.select(F.col("walk").alias("query"), F.explode(F.array_distinct("entries")).alias("node"))
     found = persist(_scored(first, graph.nodes, vectors).withColumn("open", F.lit(1)), "ann-beam")
-    for _ in range(rounds):
+    while True:
         rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "node"))
         frontier = persist(found.filter("open = 1").withColumn("rank", rank).filter(F.col("rank") <= EXPAND).select("query", "node"), "ann-frontier")
         if frontier.isEmpty():
@@ -264,7 +308,8 @@ def search(graph: Graph, queries: DataFrame, beam: int = BEAM, rounds: int = SEA
             "query", "node", "sim", F.when(F.col("now") == 1, 0).otherwise(F.col("open")).alias("open"))
         every = walked.unionByName(_scored(steps, graph.nodes, vectors).withColumn("open", F.lit(1)))
         found = persist(every.withColumn("rank", rank).filter(F.col("rank") <= beam).drop("rank"), "ann-beam")
-    return found.select("query", "node", "sim")
+    walks = placed.select("walk", F.col("query").alias("of"))
+    return (found.join(walks, F.col("query") == F.col("walk")).groupBy(F.col("of").alias("query"), "node").agg(F.max("sim").alias("sim")))
 
 
 def nearest(embeddings: DataFrame, k: int = 20, is_query: Column | None = None) -> DataFrame:
@@ -284,7 +329,7 @@ def nearest(embeddings: DataFrame, k: int = 20, is_query: Column | None = None)
     left = classes.select(F.col("node").alias("query"), F.col("vec").alias("a"))
     right = classes.select("node", F.col("vec").alias("b"))
     dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    scored = found.select("query", "node").join(right, "node").join(left, "query").select("query", "node", dot.alias("score"))
+    scored = found.select("query", "node").join(right, "node").join(left, "query").select("query", "node", F.nanvl(dot, F.lit(0.0)).alias("score"))
     # Of a class of equal vectors only the smallest ids can be among the best; one more than k, as one may be the asker.
     rank_in = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
     members = (rows.join(classes, "vec").select("node", "vec_id").withColumn("nth", rank_in).filter(F.col("nth") <= k + 1).drop("nth"))

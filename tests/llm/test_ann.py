@@ -56,3 +56,28 @@ def test_small_and_empty_tables(spark):
     assert A.nearest(spark.createDataFrame([(0, [1.0])], schema)).count() == 0
     three = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [-1.0, 0.0])], schema)
     assert [tuple(r) for r in A.nearest(three).orderBy("rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 2, -1.0)]
+
+
+def test_very_long_vectors_set_no_scale(spark):
+    draw = np.random.default_rng(5)
+    centres = draw.normal(size=(10, 16))
+    x = centres[draw.integers(10, size=1200)] + 0.5 * draw.normal(size=(1200, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] *= 1e4
+    x[500] *= 1e30
+    x[900:910] *= 1e-20
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in A.nearest(rows, k=20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    ids = list(range(1200))
+    hit = sum(len({i for i, _ in exact(ids, x, q, 20)} & found) for q, found in got.items())
+    assert sorted(got) == ids[::20] and hit / (20 * len(got)) >= 0.95
+
+
+def test_lengths_beyond_the_range_of_squares(spark):
+    rows = [(0, [1e200, 1e200]), (1, [-1e200, 1e200]), (20, [3e-200, 1e-200]), (3, [1.0, 1.0]), (4, [-1.0, 0.5])]
+    got = {}
+    for r in A.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=2).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    assert got == {0: {1: 3, 2: 20}, 20: {1: 0, 2: 3}}
