@@ -54,8 +54,9 @@ def fit_sample(docs: DataFrame, keep: Column, max_rows: int, n_rows: int, seed:
     """Condition for a repeatable sample of about ``max_rows`` of ``n_rows`` rows, by a hash of doc_id."""
     if n_rows <= max_rows:
         return keep
-    per_million = max(1, int(max_rows * 1_000_000 / n_rows))
-    return keep & (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) < per_million)
+    # As fine as the share asked for: the sample stays within its bound at any size.
+    steps = 1_000_000 if max_rows * 1_000_000 >= n_rows else 10 ** 15
+    return keep & (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(steps)) < max_rows * steps // n_rows)
 
 
 def tokenizer_path(name: str) -> str:
@@ -67,23 +68,30 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-ROW_ID = ("llm_row_file", "llm_row_index")
+def row_id_names(df: DataFrame) -> tuple[str, str]:
+    """Two column names that ``df`` does not have, for ``with_row_id``."""
+    return tmp_name(df, "llm_row_file"), tmp_name(df, "llm_row_index")
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
-    """``df`` with two columns that name each row: its Parquet file and the position in it.
+    """``df`` with two columns (``row_id_names``) that name each row: its Parquet file and the position in it.
 
     The name is the same in every task and every retry. What is not a plain Parquet scan is written
     to the shared folder first.
     """
     from pyspark.errors import AnalysisException
+    names = row_id_names(df)
+
+    def named(rows):
+        # A column of the caller's may be called _metadata as well; the file's own is asked for by name.
+        own = rows.metadataColumn("_metadata")
+        return rows.select("*", own.getField("file_path").alias(names[0]), own.getField("row_index").alias(names[1]))
     try:
-        found = df.select("*", F.col("_metadata.file_path").alias(ROW_ID[0]), F.col("_metadata.row_index").alias(ROW_ID[1]))
+        found = named(df)
         found.schema  # noqa: B018 — resolves the columns
         return found
     except AnalysisException:
-        kept = persist(df, "rows")
-        return kept.select("*", F.col("_metadata.file_path").alias(ROW_ID[0]), F.col("_metadata.row_index").alias(ROW_ID[1]))
+        return named(persist(df, "rows"))
 
 
 def word_count(text: Column) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import ROW_ID, persist, prepare, with_row_id, word_count
+from tessera.llm.common import persist, prepare, row_id_names, tmp_name, with_row_id, word_count
 
 MOST = 3
 WEIGHTS = (1, 2, 3)
@@ -180,11 +180,11 @@ def mix(docs: DataFrame, seed: int = 9) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, seed: int = 9) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it. Rows without words are kept once."""
-    columns = docs.columns
-    named = with_row_id(docs)
-    rows = named.select("doc_id", "source", *ROW_ID, word_count(F.col("text")).alias("words"), F.xxhash64("text").alias("digest"))
-    copies = (plan_mix(rows, ("doc_id", *ROW_ID), seed)
-              .select(*ROW_ID, F.when(F.col("words") == 0, 1).otherwise(F.col("copies")).cast("int").alias("llm_copies"))
-              .filter("llm_copies > 0"))
-    return (named.join(copies, list(ROW_ID))
-                 .withColumn("llm_copy", F.explode(F.array_repeat(F.lit(1), F.col("llm_copies")))).select(*columns))
+    ids, named = row_id_names(docs), with_row_id(docs)
+    times, one = tmp_name(docs, "llm_copies"), tmp_name(docs, "llm_copy")
+    rows = named.select("doc_id", "source", *ids, word_count(F.col("text")).alias("words"), F.xxhash64("text").alias("digest"))
+    copies = (plan_mix(rows, ("doc_id", *ids), seed)
+              .select(*ids, F.when(F.col("words") == 0, 1).otherwise(F.col("copies")).cast("int").alias(times))
+              .filter(F.col(times) > 0))
+    return (named.join(copies, list(ids))
+                 .withColumn(one, F.explode(F.array_repeat(F.lit(1), F.col(times)))).select(*(F.col(f"`{c}`") for c in docs.columns)))

@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ROW_ID, persist, with_row_id
+from tessera.llm.common import persist, row_id_names, tmp_name, with_row_id
 
 SHARDS = 24
 OVERHEAD = 8
@@ -186,12 +186,12 @@ def shard_report(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def sharded_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The rows of ``docs`` with their shard and slot."""
-    columns = docs.columns
-    named = with_row_id(docs)
-    places = assign(named, ROW_ID, shards).select(*ROW_ID, F.col("shard").alias("llm_shard"), F.col("slot").alias("llm_slot"))
-    taken = {c.lower() for c in columns}
-    names = ["shard" if "shard" not in taken else "llm_shard", "slot" if "slot" not in taken else "llm_slot"]
-    return named.join(places, list(ROW_ID)).select(*columns, F.col("llm_shard").alias(names[0]), F.col("llm_slot").alias(names[1]))
+    ids, named = row_id_names(docs), with_row_id(docs)
+    shard, slot = tmp_name(docs, "llm_shard"), tmp_name(docs, "llm_slot")
+    places = assign(named, ids, shards).select(*ids, F.col("shard").alias(shard), F.col("slot").alias(slot))
+    taken = {c.lower() for c in docs.columns}
+    names = ["shard" if "shard" not in taken else shard, "slot" if "slot" not in taken else slot]
+    return named.join(places, list(ids)).select(*(F.col(f"`{c}`") for c in docs.columns), F.col(shard).alias(names[0]), F.col(slot).alias(names[1]))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:

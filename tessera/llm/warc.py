@@ -7,11 +7,11 @@ frame and offset within the uncompressed frame; it is written next to the bundle
 
 Of records with equal payloads (SHA-1) of at least ``least`` bytes, the one with the largest page_id
 is a response with the payload, the others are revisits that refer to it. Deciding that moves digests
-and page ids, no payloads.
+and page ids; only rows whose digest occurs again are then shuffled with their payload.
 
 A bundle gets its final name by a rename from a name of its own attempt, and the index, written by
 Spark's committer, names the bundles of the attempts that count: a retried task leaves at most a file
-that nothing refers to. Files go through pyarrow's file systems, by the URI of the shared folder.
+that nothing refers to. Files go through pyarrow, in the store that Spark means by the folder's path.
 
 Defined results: null html is the empty payload; a null page_id counts as smaller than any other, has
 no id in its record and is never referred to unless all are null (then all such rows are responses,
@@ -31,11 +31,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import prepare
+from tessera.llm.common import persist, prepare
 from tessera.session import scratch_path
+from tessera.sources.ledger import Store, store_of
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 64 << 20
+#: Packed bytes that a reading task fetches.
+READ_BYTES = 4 << 20
 LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"
 # Magic numbers of the Zstandard seekable format.
@@ -46,14 +49,12 @@ READ = ("page_id bigint, payload_bytes bigint, payload_digest string, record_typ
         "payload binary")
 
 
-def file_system(uri: str):
-    """(pyarrow file system, path in it) of a Spark path."""
-    from pyarrow import fs
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    return fs.FileSystem.from_uri(uri)
+def folder_store(spark: SparkSession, folder: str) -> Store:
+    """How tasks open files below ``folder``: the store that Spark's own file system means by that path."""
+    store = store_of(spark, folder)
+    if store is None:
+        raise ValueError(f"{folder} lies in a store that pyarrow does not open")
+    return store
 
 
 def digest_of(payload: bytes) -> str:
@@ -96,9 +97,9 @@ def parse_record(data: bytes) -> dict:
 class BundleWriter:
     """One bundle: frames are written as they fill up, the seek table at the end."""
 
-    def __init__(self, folder: str):
+    def __init__(self, store: Store):
         import zstandard
-        self.fs, root = file_system(folder)
+        self.fs, root = store.open(), store.place(store.prefix)
         self.fs.create_dir(root, recursive=True)
         self.name = f"bundle-{uuid.uuid4().hex}.warc.zst"
         self.root = root
@@ -160,12 +161,25 @@ def decide(pages: DataFrame, least: int = 0) -> DataFrame:
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     named = pages.withColumn("digest", F.sha1(payload))
     long_enough = F.octet_length(F.coalesce("html", F.lit(""))) >= least
-    # Only payloads that occur again are looked up: page ids and digests travel, no payloads.
+    # Which payloads occur again is decided by page ids and digests alone.
     again = (pages.select("page_id", F.sha1(payload).alias("digest"), long_enough.alias("counts")).filter("counts")
                   .groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).filter("n > 1").select("digest", "newest"))
+    # Written first, so that a digest that most pages share can be split over tasks in the join.
+    again = persist(again, "warc-again")
+    # A bit set of their digests, of a fixed size: rows that miss it have a payload of their own and stay where they
+    # are, so that such payloads are not shuffled. (A row that hits it by chance is looked up in vain.)
+    place = lambda digest: F.conv(F.substring(digest, 1, 6), 16, 10).cast("long")
+    word, bit = F.shiftright(F.col("place"), 6), F.pmod(F.col("place"), F.lit(64)).cast("int")
+    bits = (again.select(place("digest").alias("place")).groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits")))
+    bits = F.broadcast(persist(bits, "warc-bits"))  # 2^18 words at most
+    placed = named.withColumn("place", place("digest")).withColumn("word", word).join(bits, "word", "left")
+    hit = F.coalesce(F.call_function("shiftright", F.col("bits"), bit).bitwiseAND(F.lit(1).cast("long")) == 1, F.lit(False))
+    columns = named.columns
     revisit = (F.col("newest").isNotNull() & F.coalesce(F.col("page_id") < F.col("newest"), F.lit(True))
                if least == 0 else long_enough & F.col("newest").isNotNull() & F.coalesce(F.col("page_id") < F.col("newest"), F.lit(True)))
-    return (named.join(again, "digest", "left")
+    alone = placed.filter(~hit).select(*columns, F.lit(None).cast(again.schema["newest"].dataType).alias("newest"))
+    looked_up = placed.filter(hit).select(*columns).join(again, "digest", "left").select(*columns, "newest")
+    return (alone.unionByName(looked_up)
                  .withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
                  .withColumn("refers_to", F.when(revisit, F.col("newest"))))
 
@@ -174,6 +188,7 @@ def write_archive(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     """Write every row of ``pages`` (page_id, url, html) as a record; returns the stored index."""
     prepare(pages.sparkSession)
     rows = decide(pages.select("page_id", "url", "html"), least).select("page_id", "url", "html", "digest", "record_type", "refers_to")
+    store = folder_store(pages.sparkSession, folder)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["page_id", "bundle", "frame", "frame_start", "frame_size", "record_start", "record_size"]
@@ -184,7 +199,7 @@ def write_archive(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
         for batch in batches:
             for page_id, url, html, digest, kind, refers in zip(batch["page_id"], batch["url"], batch["html"], batch["digest"],
                                                                 batch["record_type"], batch["refers_to"]):
-                writer = writer or BundleWriter(folder)
+                writer = writer or BundleWriter(store)
                 payload = (html or "").encode("utf-8", "surrogatepass")
                 page_id = None if pd.isna(page_id) else int(page_id)
                 writer.add(page_id, record_bytes(page_id, url, payload, base64.b32encode(bytes.fromhex(digest)).decode(), kind,
@@ -207,13 +222,17 @@ def read_records(index: DataFrame, folder: str, verify: bool = True) -> DataFram
     refers_to and payload (null for revisits). ``verify`` recomputes the digests of stored payloads."""
     prepare(index.sparkSession)
     # A frame is fetched once: its records come together. Frames, not bundles, are the unit of work.
-    frames = index.groupBy("bundle", "frame", "frame_start", "frame_size").agg(
-        F.collect_list(F.struct("record_start", "record_size")).alias("records"))
+    place = ["bundle", "frame", "frame_start", "frame_size"]
+    frames = index.groupBy(*place).agg(F.collect_list(F.struct("record_start", "record_size")).alias("records"))
+    # The index is small beside what it names: frames are dealt out by their bytes, not by the index's.
+    size = index.select(*place).distinct().agg(F.sum("frame_size")).first()[0] or 0
+    frames = frames.repartition(max(1, -(-size // READ_BYTES)), "bundle", "frame")
+    store = folder_store(index.sparkSession, folder)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
         unpack = zstandard.ZstdDecompressor()
-        fs, root = file_system(folder)
+        fs, root = store.open(), store.place(store.prefix)
         for batch in batches:
             for bundle, part in batch.groupby("bundle"):
                 with fs.open_input_file(f"{root}/{bundle}") as file:

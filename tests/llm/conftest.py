@@ -2,7 +2,7 @@ import pytest
 
 #: Column names that the operators use inside, as extra columns of the input.
 CLASH = ("score", "size", "shard", "slot", "fp", "blob", "bucket", "node", "key", "draw", "part", "words", "digest", "row",
-         "tie", "grams", "spans", "toxicity", "leaks", "copies", "target", "root", "rank", "bin", "n")
+         "tie", "grams", "spans", "llm_row_file", "llm_row_index", "llm_copies", "llm_copy", "llm_shard", "llm_slot", "m", "least", "toxicity", "leaks", "copies", "target", "root", "rank", "bin", "n")
 
 
 @pytest.fixture(scope="session")

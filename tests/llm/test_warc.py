@@ -60,7 +60,7 @@ def test_small_payloads_may_stay_responses(pages):
 def test_damage_is_noticed(spark, tmp_base):
     record = W.record_bytes(1, "u", b"payload", digest("other"), "response", None, 7)
     assert W.parse_record(record)["payload"] == b"payload"
-    writer = W.BundleWriter(tmp_base)
+    writer = W.BundleWriter(W.folder_store(spark, tmp_base))
     writer.add(1, record)
     index = spark.createDataFrame(writer.close(), W.INDEX)
     with pytest.raises(Exception, match="damaged record"):
@@ -78,3 +78,35 @@ def test_report_equals_its_sql(spark, pages):
     got = W.archive_report(pages.filter("page_id IS NOT NULL"))
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({W.ORACLE})").fetchall()
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.collect())
+
+
+def test_unique_payloads_are_not_shuffled_and_hot_ones_are_split(spark, tmp_base):
+    spark.range(4000).selectExpr("id AS page_id", "'u' AS url", "CASE WHEN id % 3 = 0 THEN 'x' || id ELSE repeat('same ', 20) END AS html").repartition(8).write.parquet(f"{tmp_base}/p")
+    decided = W.decide(spark.read.parquet(f"{tmp_base}/p"))
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    from tessera.session import scoped_conf
+    with scoped_conf(spark, small):
+        assert decided.filter("record_type = 'revisit'").count() == 2666 - 1
+        decided = W.decide(spark.read.parquet(f"{tmp_base}/p"))
+        decided.collect()
+        plan = decided._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+    # One branch of the union reaches the end without an exchange.
+    alone = plan.split("Union")[1].split("SortMergeJoin")[0]
+    assert "Exchange hashpartitioning" not in alone
+
+
+def test_frames_are_dealt_out_to_tasks(spark, tmp_base, monkeypatch):
+    pages = spark.range(60).selectExpr("id AS page_id", "'u' AS url", "repeat(md5(CAST(id AS string)), 20) || id AS html").repartition(6)
+    index = W.write_archive(pages, tmp_base)
+    monkeypatch.setattr(W, "READ_BYTES", 500)
+    assert W.read_records(index, tmp_base).rdd.getNumPartitions() > 3
+    assert W.read_records(index, tmp_base).count() == 60
+
+
+def test_paths_that_only_spark_knows(spark, pages, tmp_base):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.warc.link./in", f"file://{tmp_base.removeprefix('file:')}")
+    import os
+    os.makedirs(f"{tmp_base.removeprefix('file:')}/a")
+    assert W.archive_report(pages, "viewfs://warc/in/a").count() == len(PAGES)
