@@ -61,6 +61,39 @@ def is_serialized(col: Column | str) -> Column:
     return c.rlike(GATE_REGEX)
 
 
+#: Tokens of a flat array that are read without Python: integers, booleans, null, and strings without a quote.
+_FLAT_TOKEN = r'i:-?\d{1,18};|b:[01];|N;|s:\d{1,9}:"[^"]*";'
+
+
+def flat_array_json(col: Column | str) -> Column:
+    """JSON of a flat serialized array by JVM expressions alone; null for any other text.
+
+    The text is cut into tokens as if it were flat and had plain values (integers, booleans, null, strings of
+    printable ASCII without quotes and backslashes), then written again from the tokens with counted lengths. Only if that
+    is the text, byte for byte, and all keys differ, the tokens are what the array holds.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    tokens = F.regexp_extract_all(c, F.lit(_FLAT_TOKEN), F.lit(0))
+    content = lambda t: F.regexp_extract(t, r'^s:\d+:"(.*)";$', 1)
+    number = lambda t: F.regexp_extract(t, r"^i:(-?\d+);$", 1)
+    is_text = lambda t: t.startswith("s:")
+    exact = F.forall(tokens, lambda t: F.when(is_text(t), t == F.concat(F.lit("s:"), F.octet_length(content(t)).cast("string"), F.lit(':"'), content(t), F.lit('";')))
+                     .when(t.startswith("i:"), number(t).try_cast("bigint").cast("string") == number(t)).otherwise(True))
+    pairs = F.floor(F.size(tokens) / 2).cast("int")
+    places = F.when(pairs > 0, F.sequence(F.lit(0), pairs - 1)).otherwise(F.array().cast("array<int>"))
+    keys = F.transform(places, lambda k: F.get(tokens, 2 * k))
+    names = F.transform(keys, lambda t: F.when(is_text(t), content(t)).otherwise(number(t)))
+    value = lambda t: (F.when(is_text(t), F.concat(F.lit('"'), content(t), F.lit('"'))).when(t == "N;", "null")
+                       .when(t == "b:1;", "true").when(t == "b:0;", "false").otherwise(number(t)))
+    written = F.concat(F.lit("a:"), pairs.cast("string"), F.lit(":{"), F.array_join(tokens, ""), F.lit("}"))
+    flat = ((written == c) & (F.size(tokens) % 2 == 0) & exact & F.forall(keys, lambda t: is_text(t) | t.startswith("i:"))
+            & (F.size(F.array_distinct(names)) == pairs))
+    json = F.concat(F.lit("{"), F.array_join(F.transform(places, lambda k: F.concat(F.lit('"'), F.get(names, k), F.lit('": '), value(F.get(tokens, 2 * k + 1)))), ", "),
+                    F.lit("}"))
+    # Cheap tests first: only texts that may be flat are cut up.
+    return F.when(c.rlike(r"^a:\d{1,9}:\{[\x20-\x5b\x5d-\x7e]*\}$"), F.when(flat, json))
+
+
 def php_to_json_expr(col: Column | str, null_as_empty: bool = True, strict_json: bool = False,
                      gate: Column | None = None) -> Column:
     """Column expression implementing the full per-value rule."""

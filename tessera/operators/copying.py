@@ -295,15 +295,48 @@ def copy_all_tables(spark: SparkSession, sources: Mapping[str, tuple],
 
 
 def copy_database(spark: SparkSession, source_db: str, target_db: str, keys: Mapping[str, str | Sequence[str]],
-                  rename: Mapping[str, str] | None = None, max_workers: int = 4) -> DataFrame:
+                  rename: Mapping[str, str] | None = None, max_workers: int = 4, ledger: str | None = None) -> DataFrame:
     """Copy every table of a catalog database into another: ``table_name, copied, rejected, error``.
 
     ``keys`` names each table's key. A table without one, or whose copy
     fails, is a row of the report with its error; the others are copied.
+
+    With a ``ledger`` (a folder that the job's runs share) every table is committed to it when its copy ends, and a
+    later run copies only the tables that failed or did not end, whose files are others by now, whose key is
+    another, or whose target is gone; the report gets a column ``state``: ``done``, ``unchanged`` or ``failed``. Tables that
+    are no plain Parquet folders can't be told to be unchanged and are copied each time.
     """
     from tessera.sources.catalog import list_table_names
     names = sorted(list_table_names(spark, source_db))
+    if ledger is not None:
+        return _copy_by_ledger(spark, names, source_db, target_db, keys, rename or {}, max_workers, ledger)
     known = {n: (f"`{source_db}`.`{n}`", keys[n]) for n in names if n in keys}
     report, _ = copy_all_tables(spark, known, target_db, rename=rename, max_workers=max_workers, on_error="report")
     missing = [((rename or {}).get(n, n), 0, 0, "no key given") for n in names if n not in keys]
     return report.unionByName(spark.createDataFrame(missing, report.schema)) if missing else report
+
+
+def _copy_by_ledger(spark: SparkSession, names: Sequence[str], source_db: str, target_db: str, keys: Mapping[str, str | Sequence[str]],
+                    rename: Mapping[str, str], max_workers: int, ledger: str) -> DataFrame:
+    from tessera.operators.jobledger import Item, JobLedger, files_fingerprint
+    from tessera.sources.catalog import parquet_location
+
+    def item(name: str) -> Item:
+        target = f"{target_db}.{rename.get(name, name)}"
+
+        def fingerprint() -> str | None:
+            at = parquet_location(spark, source_db, name)
+            return at and f"{files_fingerprint(spark, at)} {','.join(_keys(keys.get(name, ())))}"
+
+        def run() -> tuple[str, dict]:
+            if name not in keys:
+                raise ValueError("no key given")
+            result = copy_table(spark, spark.table(f"`{source_db}`.`{name}`"), target, keys[name])
+            return target, {"copied": result.copied, "rejected": result.rejected}
+
+        return Item(fingerprint, run, lambda output: output == target and spark.catalog.tableExists(target))
+
+    with scoped_conf(spark, RUNTIME_BROADCAST_ONLY):
+        outcomes = JobLedger(spark, ledger).run({n: item(n) for n in names}, max_workers)
+    rows = [(rename.get(o.item, o.item), o.counts.get("copied", 0), o.counts.get("rejected", 0), o.error, o.state) for o in outcomes]
+    return spark.createDataFrame(rows, "table_name string, copied bigint, rejected bigint, error string, state string")

@@ -7,6 +7,7 @@ combined catalog table → query it with SQL.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,7 +52,7 @@ def conf_report(spark: SparkSession, table_name: str) -> DataFrame:
 def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixes: Mapping[str, str],
                           out_base: str, num_files: int | None = None, on_conflict: str = "lossless",
                           tag_col: str = "source_table", plan: str = "auto", on_error: str = "raise",
-                          group_bytes: int | None = None, max_workers: int = 4) -> DataFrame:
+                          group_bytes: int | None = None, max_workers: int = 4, ledger: str | None = None) -> DataFrame:
     """The combine job: for each ``suffix → output``, combine and write Parquet.
 
     Every matching root is combined (single scan or fold, see
@@ -63,6 +64,10 @@ def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixe
     n_rows, status`` — row counts observed during the writes, one report row
     per suffix. ``group_bytes`` packs small input files into scan tasks of
     about that many bytes while the job runs (``packed_scan``).
+
+    With a ``ledger`` (a folder that the job's runs share) outputs are committed to it one by one: a later run writes
+    only those that failed or did not end, whose tables or their files are others by now, or that are gone;
+    the others are reported as ``unchanged``.
     """
     import contextlib
 
@@ -96,15 +101,44 @@ def consolidate_by_suffix(spark: SparkSession, roots: Mapping[str, str], suffixe
     # (file packing, output file size) are set once around all of them, so
     # the per-write scopes inside are no-ops and no thread restores a value
     # another one still uses.
+    if ledger is not None:
+        done = functools.partial(_by_ledger, spark, ledger, roots, outputs, out_base)
+    else:
+        done = lambda one, items, workers: run_parallel(one, items, workers)
     packing = packed_scan(spark, group_bytes) if group_bytes else contextlib.nullcontext()
     sizing = scoped_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_FILE_BYTES)}
                          if num_files is None else {})
     with packing, sizing:
-        report = run_parallel(run_one, suffixes.items(), max_workers)
+        report = done(run_one, suffixes.items(), max_workers)
     return spark.createDataFrame(report, "suffix string, output_table string, n_tables bigint, "
                                          "n_rows bigint, status string")
 
 
+def _by_ledger(spark: SparkSession, ledger: str, roots: Mapping[str, str], outputs: set[str], out_base: str, run_one, items,
+               max_workers: int) -> list[tuple]:
+    """``run_one`` for the suffixes that are open by the job's ledger."""
+    from tessera.operators.jobledger import Item, JobLedger, files_fingerprint
+    from tessera.session import path_exists
+
+    def item(suffix: str, output: str) -> Item:
+        names = match_suffix(roots, suffix, exclude=outputs)
+
+        def run() -> tuple[str, dict]:
+            _, _, n_tables, n_rows, status = run_one((suffix, output))
+            if status.startswith("failed: "):
+                raise RuntimeError(status.removeprefix("failed: "))
+            return f"{out_base.rstrip('/')}/{output}", {"n_tables": n_tables, "n_rows": n_rows, "status": status}
+
+        mark = lambda: ",".join(names) + " " + files_fingerprint(spark, *(roots[n] for n in names))
+        return Item(mark, run, lambda at: not names or path_exists(spark, f"{at}/_SUCCESS"))
+
+    found = JobLedger(spark, ledger).run({suffix: item(suffix, output) for suffix, output in items}, max_workers)
+    of = dict(items)
+    return [(o.item, of[o.item], o.counts.get("n_tables", 0), o.counts.get("n_rows", 0),
+             f"failed: {o.error}" if o.state == "failed" else o.counts["status"] if o.state == "done" or o.counts["status"] == "no match" else "unchanged")
+            for o in found]
+
+
 def consolidate_database(spark: SparkSession, db: str, suffixes: Mapping[str, str], target_db: str,
                          columns: Mapping[str, list[str]] | None = None, tag_col: str = "source_table",
                          on_conflict: str = "lossless", partition_levels: int = 0, location: str | None = None,

@@ -215,3 +215,35 @@ def snapshot_incremental(spark, sf_dir):
                                    "what string, files int, copied int")
     return (was.withColumn("what", F.lit("first")).unionByName(now.withColumn("what", F.lit("second")))
             .unionByName(report, allowMissingColumns=True))
+
+
+@register("copy_database_resumed", """
+SELECT 'customer' AS table_name, c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'new' END AS name, NULL AS run, NULL AS state FROM customer
+UNION ALL SELECT 'nation', n_nationkey, n_name, NULL, NULL FROM nation
+UNION ALL SELECT * FROM (VALUES ('customer', NULL, NULL, 1, 'done'), ('nation', NULL, NULL, 1, 'failed'), ('supplier', NULL, NULL, 1, 'done'),
+  ('customer', NULL, NULL, 2, 'done'), ('nation', NULL, NULL, 2, 'done'), ('supplier', NULL, NULL, 2, 'unchanged'),
+  ('customer', NULL, NULL, 3, 'unchanged'), ('nation', NULL, NULL, 3, 'unchanged'), ('supplier', NULL, NULL, 3, 'unchanged'))
+""")
+def copy_database_resumed(spark, sf_dir):
+    # The first run fails on one table. Then its key is put right and another table gets new files: the second run
+    # copies these two, the third none.
+    suffix = scratch_path(spark, "x").rsplit("-", 1)[-1]
+    source_db, target_db, base = f"tessera_open_{suffix}", f"tessera_done_{suffix}", scratch_path(spark, "resumed")
+    ensure_database(spark, source_db)
+    ensure_database(spark, target_db)
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    c.where("c_custkey % 2 = 0").write.parquet(f"{base}/customer")
+    spark.catalog.createTable(f"{source_db}.customer", path=f"{base}/customer", source="parquet")
+    for name in ("supplier", "nation"):
+        spark.catalog.createTable(f"{source_db}.{name}", path=f"{sf_dir.rstrip('/')}/{name}.parquet", source="parquet")
+    keys = {"customer": "c_custkey", "supplier": "s_suppkey", "nation": "n_regionkey"}
+    reports = [copy_database(spark, source_db, target_db, keys, ledger=f"{base}/ledger")]
+    c.where("c_custkey % 2 = 1").withColumn("c_name", F.lit("new")).write.mode("append").parquet(f"{base}/customer")
+    spark.catalog.refreshTable(f"{source_db}.customer")
+    keys["nation"] = "n_nationkey"
+    reports += [copy_database(spark, source_db, target_db, keys, ledger=f"{base}/ledger") for _ in range(2)]
+    out = (spark.table(f"{target_db}.customer").selectExpr("'customer' AS table_name", "c_custkey AS k", "c_name AS name")
+           .unionByName(spark.table(f"{target_db}.nation").selectExpr("'nation' AS table_name", "CAST(n_nationkey AS bigint) AS k", "n_name AS name")))
+    for run, report in enumerate(reports, 1):
+        out = out.unionByName(report.select("table_name", F.lit(run).alias("run"), "state"), allowMissingColumns=True)
+    return out

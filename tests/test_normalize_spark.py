@@ -71,3 +71,31 @@ def test_native_fast_paths_match_python_on_fuzzed_text(spark):
     out = normalize_column(_frame(spark, values), "value").orderBy("id").collect()
     for text, row in zip(values, out):
         assert row.value == php_to_json(text), text
+
+
+FLAT = ['a:0:{}', 'a:1:{i:0;s:1:"x";}', 'a:3:{s:1:"k";i:-5;s:2:"on";b:1;i:7;N;}', 'a:1:{s:3:"a;b";s:4:"}i:1";}', 'a:2:{i:0;b:0;i:-12;s:0:"";}']
+OTHER = [None, '', 'plain', 'i:5;', 'a:1:{i:0;a:0:{}}', 'a:1:{i:0;s:3:"a"b";}', 'a:1:{i:0;s:2:"é";}', 'a:1:{i:0;d:0.5;}', 'a:2:{i:0;N;s:1:"0";N;}', 'a:1:{i:0;s:2:"x";}',
+         'a:2:{i:0;N;}', 'a:1:{i:0;N;}trailing}', 'a:1:{i:05;N;}', 'a:1:{b:1;N;}', 'a:1:{N;N;}', 'a:01:{i:0;N;}', 'a:1:{i:0;s:1:"\\\\";}', 'a:1:{i:0;i:-0;}', 'a:1:{i:0;s:01:"x";}',
+         'a:1:{i:0;N;x}', 'a:1:{i:9999999999999999999;N;}', 'a:1:{i:0;O:1:"a":0:{}}', 'a:1:{i:0;s:1:"\t";}']
+
+
+def test_flat_arrays_without_python(spark):
+    from tessera.functions.normalize import flat_array_json
+    from tessera.functions.phpserial import php_to_json
+    df = spark.createDataFrame([(v,) for v in FLAT + OTHER], "v string").select("v", flat_array_json("v").alias("j"))
+    assert "Python" not in df._jdf.queryExecution().toString()
+    for r in df.collect():
+        assert r["j"] == (php_to_json(r["v"]) if r["v"] in FLAT else None), r["v"]
+
+
+def test_flat_arrays_are_what_the_parser_gives(spark):
+    import random
+    from tessera.functions.normalize import flat_array_json
+    from tessera.functions.phpserial import php_to_json
+    draw = random.Random(2)
+    atoms = ['i:1;', 'i:-20;', 'b:1;', 'N;', 's:1:"a";', 's:2:"ab";', 's:3:"a;}";', 's:0:"";', 'd:1;', 'a:0:{}', 'i:1', 's:2:"a";', 'x', '"', '}', 's:1:"1";']
+    texts = ["a:%d:{%s}" % (draw.randint(0, 3), "".join(draw.choice(atoms) for _ in range(draw.randint(0, 6)))) for _ in range(3000)]
+    texts += ["a:%d:{%s}" % (n, "".join(f'i:{k};' + draw.choice(atoms[:8]) for k in range(n))) for n in range(1, 9) for _ in range(20)]
+    got = spark.createDataFrame([(t,) for t in texts], "v string").select("v", flat_array_json("v").alias("j")).collect()
+    assert sum(r["j"] is not None for r in got) > 160
+    assert all(r["j"] is None or r["j"] == php_to_json(r["v"]) for r in got)
