@@ -123,7 +123,7 @@ def _nodes(classes: DataFrame) -> DataFrame:
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
     """Each node's best ``degree`` different neighbours; an edge known before is not new."""
-    each = edges.groupBy("src", "dst").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    each = edges.groupBy("src", "dst").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"), F.min("born").alias("born"))
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst"))
     return each.withColumn("rank", rank).filter(F.col("rank") <= degree).drop("rank")
 
@@ -187,7 +187,7 @@ def _first_edges(nodes: DataFrame, pivots: Pivots, degree: int) -> DataFrame:
 
     edges = (blocked.select("pivot", "block", "node", "vec").repartition("pivot", "block").sortWithinPartitions("pivot", "block", "node")
                     .mapInPandas(meet, "src long, dst long, sim float"))
-    return _best(edges.withColumn("fresh", F.lit(1)), degree)
+    return _best(edges.withColumn("fresh", F.lit(1)).withColumn("born", F.lit(1)), degree)
 
 
 def _round(nodes: DataFrame, edges: DataFrame, degree: int, seed: int) -> DataFrame:
@@ -224,8 +224,9 @@ def _round(nodes: DataFrame, edges: DataFrame, degree: int, seed: int) -> DataFr
                       .repartition("host").sortWithinPartitions("host", "guest").mapInPandas(meet, "src long, dst long, sim float"))
     # An edge whose ends have met is old from now on; what was not sampled stays new.
     met = guests.filter("fresh = 1").select(F.col("host").alias("src"), F.col("guest").alias("dst"), F.lit(1).alias("met"))
-    aged = edges.join(met, ["src", "dst"], "left").select("src", "dst", "sim", F.when(F.col("met").isNull(), F.col("fresh")).otherwise(0).alias("fresh"))
-    return _best(aged.unionByName(proposed.withColumn("fresh", F.lit(1))), degree)
+    aged = edges.join(met, ["src", "dst"], "left").select("src", "dst", "sim", F.when(F.col("met").isNull(), F.col("fresh")).otherwise(0).alias("fresh"),
+                                                                F.lit(0).alias("born"))
+    return _best(aged.unionByName(proposed.withColumn("fresh", F.lit(1)).withColumn("born", F.lit(1))), degree)
 
 
 class Graph:
@@ -246,7 +247,8 @@ def build_graph(classes: DataFrame, degree: int = DEGREE) -> Graph | None:
     # Kept neighbours only get nearer, so the rounds come to an end.
     for k in itertools.count():
         edges = persist(_round(nodes, edges, degree, k), "ann-edges")
-        if edges.filter("fresh = 1").count() <= SETTLED * n * degree:
+        # Edges that came in this round; others may still be new to some hosts, as those sample.
+        if edges.filter("born = 1").count() <= SETTLED * n * degree:
             break
     # Searching also walks edges backwards: from a node to the nearest referrers it does not point to itself.
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst"))
