@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tessera.functions.phpserial import GATE_REGEX, serialized_to_json
+from tessera.operators.fitting import free_name
 from tessera.session import ship_package
 
 _INT = r"^i:(-?[0-9]{1,18});"
@@ -95,8 +96,8 @@ def flat_array_json(col: Column | str) -> Column:
 
 
 def php_to_json_expr(col: Column | str, null_as_empty: bool = True, strict_json: bool = False,
-                     gate: Column | None = None) -> Column:
-    """Column expression implementing the full per-value rule."""
+                     gate: Column | None = None, flat: Column | None = None) -> Column:
+    """Column expression implementing the full per-value rule. ``flat`` is what JVM expressions made of flat arrays (or null)."""
     c = F.col(col) if isinstance(col, str) else col
     # A null flag means "not flagged": a null condition would fall through
     # to the native branches below.
@@ -104,7 +105,8 @@ def php_to_json_expr(col: Column | str, null_as_empty: bool = True, strict_json:
     native_null = c.startswith("N;")
     native_int = c.rlike(_INT)
     native_bool = c.rlike(_BOOL)
-    native = native_null | native_int | native_bool
+    flat = F.lit(None).cast("string") if flat is None else flat
+    native = native_null | native_int | native_bool | flat.isNotNull()
     udf = serialized_to_json_strict_udf if strict_json else serialized_to_json_udf
     python = udf(F.when(gated & ~native, c))
     empty = F.lit("") if null_as_empty else F.lit(None).cast("string")
@@ -114,17 +116,20 @@ def php_to_json_expr(col: Column | str, null_as_empty: bool = True, strict_json:
              .when(native_int, F.regexp_extract(c, _INT, 1).cast("bigint").cast("string"))
              .when(native_bool, F.when(F.regexp_extract(c, _BOOL, 1).cast("bigint") != 0, "true")
                                .otherwise("false"))
+             .when(flat.isNotNull(), flat)
              .otherwise(python))
 
 
 def normalize_column(df: DataFrame, col: str = "value", flag_col: str | None = None,
                      keep_original: bool = False, null_as_empty: bool = True,
-                     strict_json: bool = False, spread: int | None = None) -> DataFrame:
+                     strict_json: bool = False, spread: int | None = None, native_flat: bool = False) -> DataFrame:
     """Replace ``col`` in place with its JSON form; other columns untouched.
 
     ``spread`` deals the rows out to that many tasks first: for an input of one or a few row groups,
     as the parser costs far more per row than the scan. Building the plan runs no job.
 
+    ``native_flat`` settles flat arrays by JVM expressions (``flat_array_json``), so that Python only sees the others.
+
     ``flag_col`` restricts conversion to rows where that column is 1 (e.g. a
     ``serialize`` flag); ``keep_original`` adds ``<col>_original``.
     """
@@ -133,7 +138,11 @@ def normalize_column(df: DataFrame, col: str = "value", flag_col: str | None = N
     out = df.repartition(spread) if spread else df
     if keep_original:
         out = out.withColumn(f"{col}_original", F.col(col))
-    return out.withColumn(col, php_to_json_expr(col, null_as_empty, strict_json, gate))
+    if not native_flat:
+        return out.withColumn(col, php_to_json_expr(col, null_as_empty, strict_json, gate))
+    flat = free_name(out.columns, "_flat")
+    return (out.withColumn(flat, flat_array_json(F.col(f"`{col}`")))
+               .withColumn(col, php_to_json_expr(col, null_as_empty, strict_json, gate, F.col(flat))).drop(flat))
 
 
 def is_error_json(col: Column | str) -> Column:

@@ -64,6 +64,11 @@ class KeyedCopyResult:
     kept: int
 
 
+def _literal(text: str) -> str:
+    """``text`` as a string of Spark's SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -93,7 +98,7 @@ def create_keyed_table(spark: SparkSession, name: str, schema: StructType, key:
     empty = spark.createDataFrame([], StructType([*schema.fields, StructField(bucket, IntegerType())]))
     empty.write.mode("errorifexists").format("parquet").partitionBy(bucket).option("path", location).saveAsTable(name)
     spec = json.dumps({"keys": keys, "bucket_by": spread, "buckets": buckets, "bucket": bucket, "location": location})
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PROPERTY}' = '{spec}')")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PROPERTY}' = {_literal(spec)})")
     return KeyedTable(name, keys, spread, buckets, bucket, location)
 
 
@@ -136,7 +141,7 @@ def _repoint(spark: SparkSession, table: KeyedTable, generation: str, touched: S
     before = _bucket_locations(spark, table, touched)
     for b in touched:
         at = f"PARTITION (`{table.bucket}` = {b})"
-        to = f"LOCATION '{generation}/{table.bucket}={b}'"
+        to = f"LOCATION {_literal(f'{generation}/{table.bucket}={b}')}"
         if b in filled and b in before:
             spark.sql(f"ALTER TABLE {table.name} {at} SET {to}")
         elif b in filled:

@@ -2,6 +2,8 @@
 
 import json
 
+from conftest import rows
+
 
 from tessera.functions.normalize import is_serialized, normalize_column
 from tessera.functions.phpserial import php_to_json
@@ -99,3 +101,9 @@ def test_flat_arrays_are_what_the_parser_gives(spark):
     got = spark.createDataFrame([(t,) for t in texts], "v string").select("v", flat_array_json("v").alias("j")).collect()
     assert sum(r["j"] is not None for r in got) > 160
     assert all(r["j"] is None or r["j"] == php_to_json(r["v"]) for r in got)
+
+
+def test_the_native_path_changes_nothing(spark):
+    df = spark.createDataFrame([(v, k % 2) for k, v in enumerate(FLAT + OTHER)], "value string, flag int").selectExpr("*", "'x' AS _flat")
+    for kw in ({}, {"strict_json": True}, {"flag_col": "flag"}, {"null_as_empty": False, "keep_original": True}):
+        assert rows(normalize_column(df, native_flat=True, **kw)) == rows(normalize_column(df, **kw))
