@@ -2,20 +2,22 @@
 
 A document is contaminated by an item if some passage of it is within ``floor((1 - similarity) x
 words)`` word edits (insert, delete, replace) of the item; words are lower-cased runs of letters,
-digits and underscores. Windows of the item's size are taken at every word of the whole text. The
+digits and underscores, and single characters in scripts written without spaces. Items of fewer than
+``MIN_WORDS`` words, which allow no edit, are looked up as they are. For the others windows of the item's size are taken at every word of the whole text. The
 CGK embedding walks over a window, writing the current word at each step and moving on where a
 random bit of (step, word) says so: texts within a small edit distance then agree in many places.
 Sampling a few places gives a key; this is repeated, with fresh random bits, until the measured
-chance of one shared key reaches the target recall at the largest allowed number of edits. Whatever
-meets on a key is verified by the exact edit distance.
+chance of one shared key reaches the target recall at the largest allowed number of edits (an index that
+can't is an error). Whatever meets on a key is verified by the exact edit distance.
 
 Before embedding, windows that cannot match are left out by the q-gram lemma: within k edits, at
 least ``words - 1 - 2k`` of the item's adjacent word pairs are kept. This loses nothing.
 
 The benchmark is the stated query set: it is read in blocks of bounded size, and each block's index
-goes to the tasks. Documents are not shuffled. Defined results: null and empty texts match nothing
-and are matched by nothing; items of fewer than ``MIN_WORDS`` words take no part; items with equal
-words all match; repeated rows match alike; a null item_id is reported as null.
+goes to the tasks in a pass of its own, so that the driver and a task hold one block at a time. Documents are
+not shuffled. Of an item every place is returned that overlaps no closer one. Defined results: null and empty texts
+match nothing and are matched by nothing, as do texts without words; items with equal words all match; repeated
+rows match alike; a null item_id is reported as null.
 """
 
 from __future__ import annotations
@@ -30,15 +32,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import prepare
+from tessera.llm.common import persist, prepare, tmp_name
 
 SIMILARITY = 0.8
 TARGET_RECALL = 0.995
+#: Shorter items allow no edit: they are looked up as they are.
 MIN_WORDS = 5
 #: Places sampled for one key.
 PLACES = 2
-#: Most repetitions; each size takes as many of them as the target needs (measured when the index is built).
-MAX_REPEATS = 64
+#: Repetitions tried in turn; each size takes as many as the target needs (measured when the index is built).
+REPEATS = (64, 256, 1024)
 #: Text bytes of the items in one index block: bounds what a task and the driver hold.
 BLOCK_BYTES = 8 << 20
 #: Windows embedded or verified in one step.
@@ -47,10 +50,18 @@ WINDOW_STEP = 4096
 WINDOW_CELLS = 1 << 20
 MATCHES = "array<struct<item_id:bigint,start_word:int,end_word:int,edits:int,similarity:double>>"
 _WORD = re.compile(r"\w+")
+# Scripts written without spaces (Thai and Lao, Myanmar, Khmer, kana, Han); each character is a word.
+_SPACELESS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_SPACELESS_CHAR = re.compile(f"[{_SPACELESS}]")
+_WORD_OR_CHAR = re.compile(f"[{_SPACELESS}]|[^\\W{_SPACELESS}]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """Lower-cased runs of letters, digits and underscores; single characters in scripts without spaces."""
+    if not text:
+        return []
+    lower = text.lower()
+    return (_WORD if lower.isascii() or not _SPACELESS_CHAR.search(lower) else _WORD_OR_CHAR).findall(lower)
 
 
 def allowed_edits(n_words: int, similarity: float) -> int:
@@ -126,7 +137,16 @@ class Index:
                  target_recall: float = TARGET_RECALL):
         self.similarity = similarity
         kept = [(i, w) for i, w in items if len(w) >= MIN_WORDS]
-        self.vocab = {w: k for k, w in enumerate(dict.fromkeys(chain.from_iterable(w for _, w in kept)), 1)}
+        brief = [(i, w) for i, w in items if 0 < len(w) < MIN_WORDS]
+        self.vocab = {w: k for k, w in enumerate(dict.fromkeys(chain.from_iterable(w for _, w in (*kept, *brief))), 1)}
+        self.brief_ids = [i for i, _ in brief]
+        self.brief: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in sorted({len(w) for _, w in brief}):
+            own = np.array([k for k, (_, w) in enumerate(brief) if len(w) == size])
+            rows = np.array([[self.vocab[x] for x in brief[k][1]] for k in own.tolist()], dtype=np.int64)
+            key = self._brief_key(rows[:, j] for j in range(size))
+            order = np.argsort(key, kind="stable")
+            self.brief[size] = key[order], own[order], rows[order]
         self.ids = [i for i, _ in kept]
         self.base = len(self.vocab) + 1
         self.by_size: dict[int, np.ndarray] = {}
@@ -158,6 +178,31 @@ class Index:
             order = np.argsort(keys, axis=None, kind="stable")
             self.keys[size] = keys.ravel()[order], order // keys.shape[1]
 
+    @staticmethod
+    def _brief_key(columns) -> np.ndarray:
+        """A hash of rows of word numbers, given column by column."""
+        key = None
+        for column in columns:
+            key = _mix(column, 1) if key is None else _mix(key ^ column.astype(np.uint64), 2)
+        return key
+
+    def _find_brief(self, words: np.ndarray, starts: np.ndarray, found: list) -> None:
+        """Every place of an item of fewer than ``MIN_WORDS`` words."""
+        for size, (keys, own, rows) in self.brief.items():
+            n = len(words) - size + 1
+            if n < 1:
+                continue
+            key = self._brief_key(words[j:n + j] for j in range(size))
+            low, high = np.searchsorted(keys, key, side="left"), np.searchsorted(keys, key, side="right")
+            for at in np.flatnonzero(high > low).tolist():
+                d = int(np.searchsorted(starts, at, side="right")) - 1
+                if at + size > starts[d + 1]:
+                    continue  # over the end of its text
+                for k in range(int(low[at]), int(high[at])):
+                    if (rows[k] == words[at:at + size]).all():
+                        begin = int(at - starts[d])
+                        found[d].append((self.brief_ids[int(own[k])], begin, begin + size, 0, 1.0))
+
     def _slot(self, pairs: np.ndarray) -> np.ndarray:
         return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
 
@@ -179,25 +224,41 @@ class Index:
                 else:
                     del row[at]
             changed[k, :len(row)] = row[:width]
-        walks = Walks(size, MAX_REPEATS)
-        met = np.cumsum(walks.keys(item) == walks.keys(changed), axis=1) > 0
-        reached = met.mean(axis=0) >= target
-        return Walks(size, max(4, int(np.argmax(reached)) + 1 if reached.any() else MAX_REPEATS))
+        for repeats in REPEATS:
+            walks = Walks(size, repeats)
+            met = np.cumsum(walks.keys(item) == walks.keys(changed), axis=1) > 0
+            reached = met.mean(axis=0) >= target
+            if reached.any():
+                return Walks(size, max(4, int(np.argmax(reached)) + 1))
+        raise ValueError(f"{REPEATS[-1]} repetitions do not reach a recall of {target} for items of {size} words")
 
     def need(self, size: int) -> int:
         return max(1, size - 1 - 2 * allowed_edits(size, self.similarity))
 
     def find(self, texts: list[str | None]) -> list[list[tuple]]:
-        """For each text its matches: (item_id, start_word, end_word, edits, similarity)."""
-        found: list[dict[int, tuple]] = [{} for _ in texts]
-        if not self.by_size:
+        """For each text its matches: (item_id, start_word, end_word, edits, similarity), every place that does not
+        overlap a closer (or, as close, earlier) one of the same item."""
+        if not self.by_size and not self.brief:
             return [[] for _ in texts]
         get = self.vocab.get
         parts = [list(map(get, words_of(t), repeat(0))) for t in texts]
         starts = np.cumsum([0, *(len(p) for p in parts)])
         words = np.fromiter(chain.from_iterable(parts), dtype=np.int64, count=int(starts[-1]))
-        if len(words) < 2:
-            return [[] for _ in texts]
+        out: list[list[tuple]] = [[] for _ in texts]
+        self._find_brief(words, starts, out)
+        for exact, per_item in zip(out, self._find_long(words, starts, len(texts))):
+            for k in sorted(per_item):
+                places: list[tuple] = []
+                for match in sorted(per_item[k], key=lambda m: (m[2], m[0], m[1])):
+                    if all(match[1] <= p[0] or p[1] <= match[0] for p in places):
+                        places.append(match)
+                exact += [(self.ids[k], *m) for m in sorted(places)]
+        return out
+
+    def _find_long(self, words: np.ndarray, starts: np.ndarray, n_texts: int) -> list[dict[int, set]]:
+        found: list[dict[int, set]] = [{} for _ in range(n_texts)]
+        if len(words) < 2 or not self.by_size:
+            return found
         pair = words[:-1] * self.base + words[1:]
         known = self.table[self._slot(pair)]
         # Number of each known pair among the items' pairs; the last number stands for none.
@@ -216,10 +277,7 @@ class Index:
             for lo in range(0, len(at), step):
                 for size in bracket:
                     self._match(size, at[lo:lo + step], words, slots, starts, found)
-        out = []
-        for per_item in found:
-            out.append([(self.ids[k], *per_item[k]) for k in sorted(per_item)])
-        return out
+        return found
 
     def _gather(self, words: np.ndarray, at: np.ndarray, width: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Rows of ``width`` words from ``at`` on; places outside the text are 0."""
@@ -258,40 +316,54 @@ class Index:
                 start = int(first[k] + begin[k] - starts[d])
                 match = (start, int(first[k] + stop[k] - starts[d]), int(cost[k]), 1 - int(cost[k]) / size)
                 number = int(self.owners[size][item[k]])
-                old = found[d].get(number)
-                if old is None or (match[2], match[0]) < (old[2], old[0]):
-                    found[d][number] = match
+                found[d].setdefault(number, set()).add(match)
 
 
-def index_blocks(benchmark: DataFrame, similarity: float = SIMILARITY, target_recall: float = TARGET_RECALL) -> list[Index]:
-    """The benchmark as index blocks of bounded size, each collected on its own."""
+def index_blocks(benchmark: DataFrame, similarity: float = SIMILARITY, target_recall: float = TARGET_RECALL) -> Iterator[Index]:
+    """The benchmark as index blocks of bounded size, each collected when it is asked for; at least one."""
     items = benchmark.select("item_id", "text").filter("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(1, math.ceil(size / BLOCK_BYTES))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    out = []
     for k in range(n):
         rows = sorted(((r["item_id"], r["text"]) for r in items.filter(block == k).collect()),
                       key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        out.append(Index([(i, words_of(t)) for i, t in rows], similarity, target_recall))
-    return out
+        yield Index([(i, words_of(t)) for i, t in rows], similarity, target_recall)
 
 
-def matches_column(text: Column, blocks: list[Index]) -> Column:
-    """All matches of a whole text, as an array of structs."""
-    def of(index: Index) -> Column:
-        @F.pandas_udf(MATCHES)
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for texts in batches:
-                names = ("item_id", "start_word", "end_word", "edits", "similarity")
-                yield pd.Series([[dict(zip(names, m)) for m in found] for found in index.find(texts.tolist())])
-        return run(text)
-    return F.concat(*(of(b) for b in blocks)) if len(blocks) > 1 else of(blocks[0])
+def matches_column(text: Column, index: Index) -> Column:
+    """All matches of a whole text with one block, as an array of structs."""
+    @F.pandas_udf(MATCHES)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            names = ("item_id", "start_word", "end_word", "edits", "similarity")
+            yield pd.Series([[dict(zip(names, m)) for m in found] for found in index.find(texts.tolist())])
+    return run(text)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, item_id, start_word, end_word, edits, similarity): each contaminated document with each item it holds."""
+    """(doc_id, item_id, start_word, end_word, edits, similarity): each place of an item in a document.
+
+    One written pass over the documents per index block: the driver and a task hold one block at a time.
+    """
+    prepare(docs.sparkSession)
+    out = None
+    for index in index_blocks(benchmark, similarity):
+        found = docs.select("doc_id", "text").select("doc_id", F.inline(matches_column(F.col("text"), index)))
+        found = persist(found, "leaks")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that hold no item: one written pass per block over what the blocks before have left."""
     prepare(docs.sparkSession)
-    blocks = index_blocks(benchmark, similarity)
-    found = docs.select("doc_id", "text").select("doc_id", F.inline(matches_column(F.col("text"), blocks)))
-    return found
+    found = tmp_name(docs, "leaks")
+    blocks, left = iter(index_blocks(benchmark, similarity)), docs
+    index = next(blocks)
+    while index is not None:
+        left = left.withColumn(found, matches_column(F.col("text"), index)).filter(F.size(found) == 0).drop(found)
+        index = next(blocks, None)
+        if index is not None:
+            left = persist(left, "leaks-left")
+    return left

@@ -80,8 +80,9 @@ def test_whole_texts_borders_and_odd_input(index):
     far = "x " * 100_000
     texts = [None, "", " ", item, item.upper() + "!", far + item, item[: len(item) // 2], f"{item} {item}", "too short", item.replace(" ", ", ")]
     found = index.find(texts)
-    assert [bool(f) for f in found] == [False, False, False, True, True, True, False, True, False, True]
+    assert [bool(f) for f in found] == [False, False, False, True, True, True, False, True, True, True]
     assert found[5][0][1] == 100_000
+    assert [(m[0], m[1]) for m in found[7]] == [(4, 0), (4, 33)] and found[8] == [(90, 0, 2, 0, 1.0)]
     # An item cut by the border of two texts is in neither of them.
     words = ITEMS[5][1]
     assert index.find([" ".join(words[:30]), " ".join(words[30:])]) == [[], []]
@@ -95,7 +96,7 @@ def test_blocks_and_tables(spark, messy, no_docs, monkeypatch):
     assert sorted({(r[0], r[1]) for r in whole}, key=str) == [(0, 8), (0, None), (1, 8), (1, None)]
     assert len(whole) == 6  # the repeated row matches as well
     monkeypatch.setattr(D, "BLOCK_BYTES", 200)
-    assert len(D.index_blocks(benchmark)) > 1
+    assert len(list(D.index_blocks(benchmark))) > 1
     assert sorted(map(tuple, D.leaks(messy, benchmark).collect()), key=str) == whole
     assert D.leaks(no_docs, benchmark).count() == 0
     assert D.leaks(messy, benchmark.limit(0)).count() == 0
@@ -108,3 +109,47 @@ def test_long_items_are_found_in_bounded_steps():
     assert D._step(1800) < D.WINDOW_STEP
     found = index.find([" ".join(text)])[0]
     assert [(m[0], m[1], m[3]) for m in found] == [(1, 500, 5)]
+
+
+def test_short_items_and_scripts_without_spaces_against_plain_search():
+    draw = random.Random(8)
+    vocabulary = ["a", "b", "c", "dd", "e5", "_x"]
+    items = [(k, [draw.choice(vocabulary) for _ in range(draw.randint(1, 4))]) for k in range(25)]
+    index = D.Index(items)
+    texts = [" ".join(draw.choice([*vocabulary, "zz"]) for _ in range(draw.randint(0, 30))) for _ in range(80)]
+    for text, found in zip(texts, index.find(texts)):
+        words = text.split()
+        want = [(k, at, at + len(w), 0, 1.0) for k, w in items for at in range(len(words)) if words[at:at + len(w)] == w]
+        assert sorted(found) == sorted(want)
+    # Twelve characters are twelve words; one edit of them is allowed, three are not.
+    chinese = "人工智能模型评测数据集合"
+    index = D.Index([(1, D.words_of(chinese)), (2, D.words_of("สวัสดี")), (3, D.words_of("你好"))])
+    one, three = chinese.replace("模", "某"), chinese.replace("模型评", "某某某")
+    found = index.find([f"前文{chinese}后文", f"x {one}", three, "กล่าวสวัสดีครับ", "他说你好，你好", chinese[:6]])
+    assert [[m[0] for m in f] for f in found] == [[1], [1], [], [2], [3, 3], []]
+    assert found[0][0][1:4] == (2, 14, 0) and found[1][0][3] == 1
+
+
+def test_every_place_of_an_item_is_returned():
+    index = D.Index(ITEMS)
+    item = ITEMS[2][1]
+    text = item + ["zz"] * 4 + changed(item, 2, random.Random(1)) + ["yy"] + item
+    places = [m for m in index.find([" ".join(text)])[0] if m[0] == 2]
+    assert [m[3] for m in places] == [0, distance(item, text[places[1][1]:places[1][2]]), 0] and len(places) == 3
+    assert all(a[2] <= b[1] for a, b in zip(places, places[1:]))
+
+
+def test_a_recall_that_is_not_reached_is_an_error(monkeypatch):
+    monkeypatch.setattr(D, "REPEATS", (2, 3))
+    with pytest.raises(ValueError, match="repetitions do not reach"):
+        D.Index(ITEMS)
+
+
+def test_stage_with_several_blocks(spark, messy, monkeypatch):
+    items = [(k, " ".join(w)) for k, w in ITEMS] + [(8, "the cat sat on the mat"), (9, "1234 5678")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    one = D.clean(messy, benchmark).select("doc_id").collect()
+    monkeypatch.setattr(D, "BLOCK_BYTES", 200)
+    several = D.clean(messy, benchmark)
+    assert several.columns == messy.columns and sorted(map(str, several.select("doc_id").collect())) == sorted(map(str, one))
+    assert len(one) == messy.count() - 4
