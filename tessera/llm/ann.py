@@ -42,7 +42,7 @@ MAX_PIVOTS = 2048
 #: Rounds end when fewer than this share of the edges is new.
 SETTLED = 0.02
 BEAM = 64
-EXPAND = 8
+EXPAND = 16
 ENTRIES = 4
 
 
