@@ -26,6 +26,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DataType, Dat
 _NESTED = (ArrayType, MapType, StructType)
 _FLOATING = (FloatType, DoubleType)
 _NUMBER = r"^\s*[+-]?0*(\d*?)(?:\.(\d*?)0*)?(?:[eE]([+-]?\d+))?\s*$"
+_USUAL = r"^-?(?:0|[1-9][0-9]*)(?:\.[0-9]*[1-9])?\z"
 _ZONE = r"(?i)(?:\d\s*(?:z|[+-]\d{1,2}(?::?\d{2}){0,2})|[a-z]{2,}\S*)\s*$"
 _AFTER_MICROS = r"\.\d{6}\d*[1-9]"
 
@@ -63,17 +64,24 @@ def _places(text: Column) -> Column:
 
 def number_digits(text: Column) -> tuple[Column, Column]:
     """Digits before and after the point that the number in ``text`` needs; null where it is no number."""
+    # Most numbers have no sign but minus, no needless zeros and no power: their digits are counted without taking them apart.
+    usual, dot, size = text.rlike(_USUAL), F.instr(text, "."), F.length(text)
+    before = F.when(text.startswith("0") | text.startswith("-0"), F.lit(0)).otherwise(
+        F.when(dot > 0, dot - 1).otherwise(size) - text.startswith("-").cast("int"))
     whole, part, power = (F.regexp_extract(text, _NUMBER, k) for k in (1, 2, 3))
     shift = F.when(power == "", F.lit(0)).otherwise(power.try_cast("int"))
     lead = F.when(whole != "", F.length(whole)).otherwise(F.length(F.regexp_replace(part, "^0+", "")) - F.length(part))
     scale = F.greatest(_places(text), F.lit(0))
-    return F.when(scale.isNotNull(), F.greatest(lead + shift, F.lit(0))), scale
+    return (F.when(usual, before).otherwise(F.when(scale.isNotNull(), F.greatest(lead + shift, F.lit(0)))),
+            F.when(usual, F.when(dot > 0, size - dot).otherwise(F.lit(0))).otherwise(scale))
 
 
 def _text_as(text: Column, value: Column, to: DataType) -> Column:
     """Whether ``value`` is the whole of what ``text`` says."""
     if isinstance(to, (IntegralType, DecimalType)):
-        return _places(text) <= (to.scale if isinstance(to, DecimalType) else 0)
+        scale = to.scale if isinstance(to, DecimalType) else 0
+        # A number written with no more places than these needs no more; only other texts are taken apart.
+        return text.rlike(r"^[+-]?[0-9]+(?:\.[0-9]{0,%d})?\z" % scale) | (_places(text) <= scale)
     if isinstance(to, (DoubleType, FloatType)):
         own = _digits(text)
         normal = 2.3e-308 if isinstance(to, DoubleType) else 1.2e-38

@@ -183,37 +183,45 @@ def discover_items(spark: SparkSession, path: str, max_fields: int = 200) -> Dat
     of a map that has more than ``max_fields`` different keys. ``n`` counts the values of that code there; ``whole`` and
     ``scale`` are the digits that its numbers need before and after the point, ``plain`` whether all of them are numbers.
 
-    Level by level: a round takes the maps and lists of the level before apart, by JVM expressions, and counts what it
-    finds; the values of a level are written to the shared folder before they are taken apart.
+    Level by level, by JVM expressions: a round counts what it finds by place and code, then takes the maps and lists out.
+    Only these are written to the shared folder, to be taken apart by the next round. Keys that are data are put together
+    in the counts, a row per place, and renamed in what is written.
     """
     maps, lists = "map<string,map<string,string>>", "array<map<string,string>>"
-    typed = "path array<string>, code string, value string"
+    typed, places = "path array<string>, code string, value string", "path array<string>, code string, n bigint, whole int, scale int, plain boolean"
+    out, depth = scratch_path(spark, "discovered"), 0
     level = (read_typed_items_raw(spark, path).select(F.explode_outer("item").alias("name", "typed")).where(F.col("name").isNotNull())
              .select(F.array("name").alias("path"), F.explode_outer("typed").alias("code", "value")).where(F.col("code").isNotNull()))
-    out, depth = scratch_path(spark, "discovered"), 0
-    places = "path array<string>, code string, n bigint, whole int, scale int, plain boolean"
+    parent = F.slice("path", 1, F.size("path") - 1)
     while True:
-        if depth:
-            staged = scratch_path(spark, "discover-level")
-            level.write.parquet(staged)
-            level = spark.read.schema(typed).parquet(staged)
-            # Keys that are data, not names: their values are one place.
-            parent = F.slice("path", 1, F.size("path") - 1)
-            wide = (level.groupBy("path").agg(F.lit(1)).where(F.element_at("path", -1) != "[]").groupBy(parent.alias("parent"))
-                    .agg(F.count(F.lit(1)).alias("names")).where(F.col("names") > max_fields).select("parent"))
-            level = (level.withColumn("parent", parent).join(wide.withColumn("wide", F.lit(True)), "parent", "left")
-                     .select(F.when(F.col("wide"), F.concat("parent", F.array(F.lit("{}")))).otherwise(F.col("path")).alias("path"), "code", "value"))
         whole, scale = number_digits(F.when(F.col("code") == "N", F.col("value")))
         members = F.when(F.col("code") == "NS", F.from_json("value", "array<string>"))
         counted = level.groupBy("path", "code").agg(
             F.count(F.lit(1)).alias("n"), F.max(whole).cast("int").alias("whole"), F.max(scale).cast("int").alias("scale"),
             F.coalesce(F.bool_and(F.when(F.col("code") == "N", scale.isNotNull())), F.bool_and(members.isNull()), F.lit(True)).alias("plain"))
+        renamed = lambda rows: rows
+        if depth:
+            tally = scratch_path(spark, "discover-tally")
+            counted.write.parquet(tally)
+            counted = spark.read.schema(places).parquet(tally)
+            # Keys that are data, not names: their values are one place. At most a row per place of the level before.
+            wide = (counted.select("path").distinct().where(F.element_at("path", -1) != "[]").groupBy(parent.alias("parent"))
+                    .agg(F.count(F.lit(1)).alias("names")).where(F.col("names") > max_fields).select("parent", F.lit(True).alias("wide")))
+
+            def renamed(rows, wide=wide):
+                own = [c for c in rows.columns if c != "path"]
+                return (rows.withColumn("parent", parent).join(F.broadcast(wide), "parent", "left")
+                        .select(F.when(F.col("wide"), F.concat("parent", F.array(F.lit("{}")))).otherwise(F.col("path")).alias("path"), *own))
+            counted = renamed(counted).groupBy("path", "code").agg(
+                F.sum("n").alias("n"), F.max("whole").alias("whole"), F.max("scale").alias("scale"), F.bool_and("plain").alias("plain"))
         counted.write.parquet(f"{out}/level={depth}")
-        found = spark.read.schema(places).parquet(f"{out}/level={depth}")
-        if found.where("code IN ('M', 'L')").isEmpty():
+        if spark.read.schema(places).parquet(f"{out}/level={depth}").where("code IN ('M', 'L')").isEmpty():
             break
-        fields = level.where("code = 'M'").select("path", F.explode_outer(F.from_json("value", maps)).alias("name", "typed"))
-        elements = level.where("code = 'L'").select("path", F.explode_outer(F.from_json("value", lists)).alias("typed"))
+        staged = scratch_path(spark, "discover-level")
+        renamed(level.where("code IN ('M', 'L')")).write.parquet(staged)
+        nested = spark.read.schema(typed).parquet(staged)
+        fields = nested.where("code = 'M'").select("path", F.explode_outer(F.from_json("value", maps)).alias("name", "typed"))
+        elements = nested.where("code = 'L'").select("path", F.explode_outer(F.from_json("value", lists)).alias("typed"))
         inner = (fields.where(F.col("name").isNotNull()).select(F.concat("path", F.array("name")).alias("path"), "typed")
                  .unionByName(elements.select(F.concat("path", F.array(F.lit("[]"))).alias("path"), "typed")))
         level = inner.select("path", F.explode_outer("typed").alias("code", "value")).where(F.col("code").isNotNull())

@@ -50,3 +50,19 @@ def test_what_fits_and_what_is_lost(spark, own, to, fits, lost):
     for r in out.collect():
         assert r["found"] == r["gone"], r
         assert r["gone"] or (r["value"] is None) == (r["v"] is None), r
+
+
+def test_usual_and_unusual_numbers_count_the_same_digits(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DecimalType, LongType, StringType
+
+    from tessera.operators.fitting import converted, number_digits
+    # (text, digits before the point, digits after it, fits bigint, fits decimal(6,2))
+    cases = [("0", 0, 0, True, True), ("-0", 0, 0, True, True), ("7", 1, 0, True, True), ("-120", 3, 0, True, True), ("120.5", 3, 1, False, True),
+             ("-0.025", 0, 3, False, False), ("120.50", 3, 1, False, True), ("+12", 2, 0, True, True), ("007", 1, 0, True, True),
+             ("1e2", 3, 0, False, True), ("12.", 2, 0, False, True), (" 12 ", 2, 0, True, True), ("12.345", 2, 3, False, False),
+             ("12.340", 2, 2, False, True)]
+    df = spark.createDataFrame([(c[0],) for c in cases], "t string")
+    lost = [~converted(F.col("t"), StringType(), to)[1] for to in (LongType(), DecimalType(6, 2))]
+    got = {r[0]: tuple(r)[1:] for r in df.select("t", *number_digits(F.col("t")), *lost).collect()}
+    assert got == {c[0]: c[1:] for c in cases}

@@ -99,3 +99,23 @@ def test_nothing_to_discover(spark, tmp_base):
     spark.createDataFrame([("",), ("{}",), ('{"Item":{}}',)], "value string").write.text(tmp_base)
     found = discover_items(spark, tmp_base)
     assert found.count() == 0 and propose_types(found) == ({}, {})
+
+
+def test_only_maps_and_lists_are_written_between_levels(spark, tmp_base, monkeypatch):
+    from tessera.sources import items
+    written, fresh = [], items.scratch_path
+
+    def noted(spark, name):
+        written.append(fresh(spark, name))
+        return written[-1]
+    monkeypatch.setattr(items, "scratch_path", noted)
+    lines = ['{"Item":{"id":{"N":"-7"},"m":{"M":{"k%d":{"M":{"x":{"N":"%d.50"}}},"n":{"NS":["1","2"]}}},"l":{"L":[{"S":"a"},{"L":[{"N":null}]}]}}}' % (k, k)
+             for k in range(4)] + ['{"Item":{"id":{"S":"x"}}}', "not json", '{"Item":null}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(tmp_base)
+    found = {(".".join(r["path"]), r["code"]): tuple(r)[2:] for r in items.discover_items(spark, tmp_base, max_fields=3).collect()}
+    assert found == {("id", "N"): (4, 1, 0, True), ("id", "S"): (1, 0, 0, True), ("m", "M"): (4, 0, 0, True),
+                     ("l", "L"): (4, 0, 0, True), ("m.{}", "M"): (4, 0, 0, True), ("m.{}", "NS"): (4, 0, 0, False),
+                     ("l.[]", "S"): (4, 0, 0, True), ("l.[]", "L"): (4, 0, 0, True), ("m.{}.x", "N"): (4, 1, 1, True),
+                     ("l.[].[]", "N"): (4, 0, 0, True)}
+    staged = [spark.read.parquet(p) for p in written if "discover-level" in p]
+    assert [sorted(r["code"] for r in s.select("code").distinct().collect()) for s in staged] == [["L", "M"], ["L", "M"]]
