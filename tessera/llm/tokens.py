@@ -17,6 +17,7 @@ repeated rows count alike; only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
@@ -53,6 +54,15 @@ def _letters_first(pattern: str) -> str:
         c.startswith("'") for c in choices[:run]) else pattern
 
 
+def _ascii_pattern(pattern: str) -> re.Pattern | None:
+    """The same lower-case word pattern for ASCII texts, in the faster module; None if it names other classes than
+    letters, digits and white space, or names these outside of brackets."""
+    if "\\" in re.sub(r"\\p\{[LN]\}|\\s", "", pattern) or "\\" in re.sub(r"\[[^\]]*\]", "", pattern):
+        return None
+    # The two modules differ on which control characters are white space.
+    return re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9").replace(r"\s", r" \t-\r"))
+
+
 class PrefixCounter:
     """Exact token counts at every prefix for one tokenizer file (BPE with an end-of-word suffix)."""
 
@@ -83,6 +93,7 @@ class PrefixCounter:
         self.library = Tokenizer.from_file(path)
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(_letters_first(split))
+        self.ascii = _ascii_pattern(_letters_first(split))
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(regex.escape(s) for s in special)) if special else None
         self.plain = {chr(c) for c in range(128) if self._agree(chr(c))}
@@ -113,6 +124,8 @@ class PrefixCounter:
             back = {s: b for b, s in self.table.items()}
             split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
             return [bytes(back[c] for c in p).decode("utf-8", "replace") for p, _ in split]
+        if self.ascii and text.isascii():
+            return self.ascii.findall(text.lower())
         return self.pattern.findall(self._normal(text))
 
     def parts(self, text: str) -> Iterator[tuple[str, bool]]:
@@ -210,9 +223,17 @@ class PrefixCounter:
     def extend(self, word: str, last: list[int], count: list[int], upto: int) -> None:
         """Store last token and token count of every prefix up to length ``upto``, each read as the start
         of a longer word; what is stored already stays."""
-        pairs, fits, ending = self.pairs, self.fits, self._ending
+        pairs, fits, root = self.pairs, self.fits, self.ends
         for k in range(len(last), upto + 1):
-            for j, token in reversed(ending(word, k, "open")):
+            # As _ending, which is too dear to call here.
+            node, found = root, []
+            for j in range(k - 1, -1, -1):
+                node = node.get(word[j])
+                if node is None:
+                    break
+                if "open" in node:
+                    found.append((j, node["open"]))
+            for j, token in reversed(found):
                 if not j or (ok := pairs.get(last[j] << 32 | token)) or (ok is None and fits(last[j], token)):
                     last.append(token)
                     count.append(count[j] + 1)
@@ -258,6 +279,11 @@ class PrefixCounter:
 
     def counts(self, texts: list[str | None]) -> list[int]:
         """Tokens of each whole text; the new words of all of them are learned together."""
+        return [n for n, _ in self.summaries(texts, NEVER)]
+
+    def summaries(self, texts: list[str | None], budget: int) -> list[tuple[int, int]]:
+        """(tokens, code points of the longest prefix with at most ``budget`` tokens) of each whole text; a text within
+        the budget fits whole. The new words of all of them are learned together."""
         split = []
         for text in texts:
             parts = [None if special else self.pieces(part) for part, special in self.parts(text or "")]
@@ -269,22 +295,40 @@ class PrefixCounter:
                 fresh = {w for parts in split for words in parts if words for w in words}
             self.learn(fresh)
         get = self.words.__getitem__
-        return [sum(1 if words is None else sum(map(get, words)) for words in parts) for parts in split]
+        totals = [sum(1 if words is None else sum(map(get, words)) for words in parts) for parts in split]
+        # Where the budget ends is noted before anything else is learned, which may start the memory anew.
+        starts = [self._start(parts[0], budget) if n > budget and len(parts) == 1 and parts[0] else None for n, parts in zip(totals, split)]
+        return [(n, len(text or "") if n <= budget else self.fit(text, budget, start)) for n, text, start in zip(totals, texts, starts)]
+
+    def _start(self, words: list[str], budget: int) -> tuple[list[str], int]:
+        """The words up to the one that goes over the budget, and the tokens before that one."""
+        before = 0
+        for k, word in enumerate(words):
+            n = self.words[word]
+            if before + n > budget:
+                return words[:k + 1], before
+            before += n
+        raise ValueError("the words are within the budget")
 
     def count(self, text: str | None) -> int:
         return self.counts([text])[0]
 
+    @staticmethod
+    def _places(words: list[str], whole: str) -> Iterator[tuple[str, int, int]]:
+        """(word, start, end) in the normalised part, in order."""
+        seek = 0
+        for w in words:
+            at = max(whole.find(w, seek), seek)
+            seek = at + len(w)
+            yield w, at, seek
+
     def _aligned(self, part: str) -> tuple[list[tuple[str, int, int]], list[int] | None]:
         """(word, start, end in the normalised part) in order, and the offset in ``part`` of each normalised offset:
         -1 where none is; None if all are the same, empty if they cannot be told."""
         words = self.pieces(part)
         normal = self._normal if not set(part) & self.odd else self.library.normalizer.normalize_str
         whole = normal(part)
-        found, seek = [], 0
-        for w in words:
-            at = max(whole.find(w, seek), seek)
-            seek = at + len(w)
-            found.append((w, at, seek))
+        found = list(self._places(words, whole))
         if len(whole) == len(part) and unicodedata.is_normalized("NFC", part):
             return found, None
         # Characters that join the one before are normalised with it; there is no cut inside.
@@ -390,8 +434,17 @@ class PrefixCounter:
         j = bisect_right(first, ends[k]) if k < len(ends) else len(first)
         return next((final[i] for i in range(j - 1, -1, -1) if counts[i] <= budget), 0)
 
-    def fit(self, text: str | None, budget: int) -> int:
-        """``fitting`` for one budget: only the word that goes over is looked into."""
+    def fit(self, text: str | None, budget: int, start: tuple[list[str], int] | None = None) -> int:
+        """``fitting`` for one budget: only the word that goes over is looked into. ``start`` (``_start`` of a text that
+        is one part) saves looking at the words after it, where normalisation moves no character."""
+        if start and not set(text) & self.odd and unicodedata.is_normalized("NFC", text):
+            whole = self._normal(text)
+            if len(whole) == len(text):
+                words, total = start
+                placed = list(self._places(words, whole))
+                word, at, _ = placed[-1]
+                return max([placed[-2][2] if len(placed) > 1 else 0,
+                            *(cut for cut, n in enumerate(self._inside(word)[:-1], at + 1) if total + n <= budget)])
         best = total = 0
         for end, n, cuts in self._cells(text):
             if total + n > budget:
@@ -417,8 +470,8 @@ def token_summary(text: Column, name: str, budget: int) -> Column:
         c = counter(tokenizer_path(name))
         for texts in batches:
             texts = texts.tolist()
-            counts = [n for at in range(0, len(texts), GROUP) for n in c.counts(texts[at:at + GROUP])]
-            fit = [len(t or "") if n <= budget else c.fit(t, budget) for t, n in zip(texts, counts)]
+            found = [s for at in range(0, len(texts), GROUP) for s in c.summaries(texts[at:at + GROUP], budget)]
+            counts, fit = ([s[k] for s in found] for k in (0, 1))
             yield pd.DataFrame({"n_tokens": pd.Series(counts, dtype="int64"), "fit_chars": pd.Series(fit, dtype="int64")})
     return run(text)
 

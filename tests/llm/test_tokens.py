@@ -112,3 +112,32 @@ def test_answers_encode_nothing(both, monkeypatch):
     for name in ("pieces", "of_piece", "learn", "extend"):
         monkeypatch.setattr(ours, name, None)
     assert [ours.at_prefix(text, p, table) for p in range(len(text) + 1)] == expected
+
+
+def test_summaries_are_counts_and_fits(both):
+    ours, theirs = both
+    draw = random.Random(5)
+    texts = ["".join(draw.choice([*ODD, "don't", "unbelievable", "Über", " "]) for _ in range(draw.randrange(40))) for _ in range(400)] + [None, "", "a b"]
+    for budget in (0, 1, 5, 17):
+        for text, (n, fit) in zip(texts, ours.summaries(texts, budget)):
+            assert n == theirs(text or "")
+            assert fit == (len(text or "") if n <= budget else ours.fit(text, budget)), (text, budget)
+
+
+def test_a_fit_looks_at_no_word_after_it(both, monkeypatch):
+    ours, _ = both
+    seen = []
+    places = K.PrefixCounter._places
+    monkeypatch.setattr(K.PrefixCounter, "_places", staticmethod(lambda words, whole: seen.append(len(words)) or places(words, whole)))
+    text = "some words of a long text " * 5000
+    (n, fit), = ours.summaries([text], 20)
+    assert n > 20 and fit == ours.fit(text, 20) and seen[0] <= 21
+
+
+def test_ascii_words_are_the_pattern_s(both):
+    ours, _ = both
+    draw = random.Random(9)
+    for _ in range(2000):
+        s = "".join(draw.choice([chr(draw.randrange(128)), "'s", "'LL", "don't", "12", " "]) for _ in range(20))
+        assert ours.ascii.findall(s.lower()) == ours.pattern.findall(s.lower())
+    assert K._ascii_pattern(r"\p{Lu}+|[\p{L}]+") is None and K._ascii_pattern(r"\p{L}+") is None
