@@ -7,7 +7,7 @@ recursive grammar:
 2. not gated (``GATE_REGEX``)   → unchanged
 3. ``N;…``                      → ``null``          (native)
 4. ``i:<n>;`` / ``b:<n>;`` with a plain 1-18 digit integer → native cast
-5. everything else gated        → Arrow-batched pandas UDF
+5. everything else gated        → Arrow-batched Python UDF
 
 Spark evaluates a Python UDF for every input row of its batch, even inside a
 ``CASE WHEN`` branch, so the UDF's *argument* is nulled for rows the JVM
@@ -16,7 +16,10 @@ already handled: those cross the Arrow boundary as nulls and cost nothing.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -29,13 +32,29 @@ _INT = r"^i:(-?[0-9]{1,18});"
 _BOOL = r"^b:(-?[0-9]{1,18});"
 
 
-def _convert(batch: pd.Series, strict: bool) -> pd.Series:
+#: Bytes of texts that are parsed and handed back together; an Arrow batch of long texts is far larger.
+SLICE_BYTES = 4 << 20
+
+
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The batch in slices of at most ``SLICE_BYTES``, or of one text."""
+    start = held = 0
+    for k, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if k > start and held + size > SLICE_BYTES:
+            yield texts.slice(start, k - start)
+            start, held = k, 0
+        held += size
+    yield texts.slice(start)
+
+
+def _convert(batch: pa.Array, strict: bool) -> pa.Array:
     # Serialized settings repeat (the same value in many rows and tenants):
-    # each distinct text is parsed once per Arrow batch. The memo lives only
-    # for the batch, which Spark caps at maxBytesPerBatch.
+    # each distinct text is parsed once per slice. The memo lives only for the
+    # slice, so what Python holds besides the Arrow batch stays small.
     memo: dict[str, str] = {}
     out = []
     for v in batch:
+        v = v.as_py()
         if v is None:
             out.append(None)
             continue
@@ -43,17 +62,21 @@ def _convert(batch: pd.Series, strict: bool) -> pd.Series:
         if r is None:
             r = memo[v] = serialized_to_json(v, strict)
         out.append(r)
-    return pd.Series(out, index=batch.index, dtype=object)
+    return pa.array(out, batch.type)
 
 
-@F.pandas_udf(StringType())
-def serialized_to_json_udf(batch: pd.Series) -> pd.Series:
-    return _convert(batch, False)
+@F.arrow_udf(StringType())
+def serialized_to_json_udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for texts in _slices(batch):
+            yield _convert(texts, False)
 
 
-@F.pandas_udf(StringType())
-def serialized_to_json_strict_udf(batch: pd.Series) -> pd.Series:
-    return _convert(batch, True)
+@F.arrow_udf(StringType())
+def serialized_to_json_strict_udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for texts in _slices(batch):
+            yield _convert(texts, True)
 
 
 def is_serialized(col: Column | str) -> Column:

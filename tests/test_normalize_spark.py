@@ -107,3 +107,19 @@ def test_the_native_path_changes_nothing(spark):
     df = spark.createDataFrame([(v, k % 2) for k, v in enumerate(FLAT + OTHER)], "value string, flag int").selectExpr("*", "'x' AS _flat")
     for kw in ({}, {"strict_json": True}, {"flag_col": "flag"}, {"null_as_empty": False, "keep_original": True}):
         assert rows(normalize_column(df, native_flat=True, **kw)) == rows(normalize_column(df, **kw))
+
+
+def test_long_texts_are_parsed_in_small_slices(spark, monkeypatch):
+    import pyarrow as pa
+
+    from tessera.functions import normalize
+    texts = [None, "s:3:\"abc\";", "é" * 40, None, "x" * 90, "", "s:1:\"a\";"]
+    monkeypatch.setattr(normalize, "SLICE_BYTES", 64)
+    cut = [s.to_pylist() for s in normalize._slices(pa.array(texts, pa.string()))]
+    assert cut == [[None, "s:3:\"abc\";"], ["é" * 40], [None], ["x" * 90], ["", "s:1:\"a\";"]]
+    assert [s.to_pylist() for s in normalize._slices(pa.array([], pa.string()))] == [[]]
+    monkeypatch.undo()
+    # Several slices in one Arrow batch: every row has its own result.
+    rows = spark.range(12).selectExpr("id", "'s:' || (1000000 + id) || ':\"' || repeat('y', CAST(1000000 + id AS int)) || '\";' AS value").coalesce(1)
+    got = normalize.normalize_column(rows, "value").selectExpr("id", "length(value) AS n").collect()
+    assert sorted(map(tuple, got)) == [(k, 1000002 + k) for k in range(12)]
